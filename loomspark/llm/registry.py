@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe
+from . import bpe, lines, mixing, sharding
 
-QUERIES = {"op9_bpe": bpe.op9_bpe}
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_mixing": mixing.op1_mixing,
+    "op3_line_dedup": lines.op3_line_dedup,
+    "op9_bpe": bpe.op9_bpe,
+    "op10_sharding": sharding.op10_sharding,
+}
+SQL: dict[str, str] = {"op3_line_dedup": lines.SQL3}
