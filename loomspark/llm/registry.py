@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, mixing, sharding
+from . import bpe, lines, mixing, nearcopies, quality, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
+    "op2_quality": quality.op2_quality,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op7_url_filters": urls.op7_url_filters,
+    "op8_near_copies": nearcopies.op8_near_copies,
     "op9_bpe": bpe.op9_bpe,
     "op10_sharding": sharding.op10_sharding,
 }
