@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, lines, mixing, nearcopies, quality, sharding, urls
+from . import bpe, fingerprints, lines, mixing, nearcopies, quality, rules, sharding, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_quality": quality.op2_quality,
     "op3_line_dedup": lines.op3_line_dedup,
+    "op4_quality_rules": rules.op4_quality_rules,
+    "op5_fingerprints": fingerprints.op5_fingerprints,
     "op7_url_filters": urls.op7_url_filters,
     "op8_near_copies": nearcopies.op8_near_copies,
     "op9_bpe": bpe.op9_bpe,

@@ -17,9 +17,10 @@ from .common import SPACES, WORD, table, written
 
 P = 5
 #: Share of rows in the concentrated half; steps; least standard deviation in each dimension; fewest rows a group's own estimate needs.
-INNER, STEPS, FLOOR, FEWEST = 0.75, 3, (0.08, 0.5, 0.5, 0.5, 0.5), 200
-#: Cut of squared distances, once their median is that of chi-squared with five degrees of freedom (4.3515).
-CUT, MEDIAN = 60.0, 4.3515
+INNER, STEPS, FLOOR, FEWEST = 0.75, 3, (0.08, 0.5, 0.5, 0.5, 0.35), 200
+#: Cut of squared distances (chi-squared with five degrees of freedom, 0.9999); what the covariance of the inner
+#: three quarters is short of, under a normal distribution of five dimensions.
+CUT, CONSISTENCY = 25.74, 1.41
 TICK = 1024.0
 
 
@@ -62,9 +63,9 @@ def base_statistics(docs: DataFrame) -> DataFrame:
 
 
 def vector(x: DataFrame) -> DataFrame:
-    """z0 to z4: logarithms of word length and of rates of symbols, capitals, marks and repeated lines."""
+    """z0 to z4: logarithms of word length and of rates of symbols, capitals and marks; the share of repeated lines."""
     rate = lambda a, b: F.log1p(100 * F.col(a) / F.greatest(F.col(b), F.lit(1)))
-    z = [F.log1p(F.col("word_chars") / F.greatest("n_words", F.lit(1))), rate("n_symbols", "n_words"), rate("n_capitals", "n_words"), rate("n_marks", "n_words"), rate("n_dup_lines", "n_lines")]
+    z = [F.log1p(F.col("word_chars") / F.greatest("n_words", F.lit(1))), rate("n_symbols", "n_words"), rate("n_capitals", "n_words"), rate("n_marks", "n_words"), F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))]
     return x.withColumns({f"z{k}": F.floor(c * TICK) / TICK for k, c in enumerate(z)})
 
 
@@ -99,7 +100,7 @@ def _distance() -> Column:
 
 
 def estimates(x: DataFrame) -> DataFrame:
-    """(g, z0 ...) to one row a group: g, m{i}, r{i}{j} and scale, of the minimum-covariance-determinant estimate."""
+    """(g, z0 ...) to one row a group: g, m{i} and r{i}{j}, of the minimum-covariance-determinant estimate."""
     names = [f"m{i}" for i in range(P)] + [f"r{i}{j}" for i in range(P) for j in range(i + 1)]
     par = written(x.groupBy("g").agg(*[_quantile(F.col(f"z{i}"), 0.5).alias(f"m{i}") for i in range(P)]), "rules-start")
     mad = [_quantile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), 0.5).alias(f"s{i}") for i in range(P)]
@@ -113,10 +114,11 @@ def estimates(x: DataFrame) -> DataFrame:
         inner = at.join(written(cut, "rules-cut"), "g").where("d <= cut + 1e-3")
         z = [F.col(f"z{i}") for i in range(P)]
         sums = inner.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(z[i]).alias(f"t{i}") for i in range(P)], *[F.sum(z[i] * z[j]).alias(f"q{i}{j}") for i in range(P) for j in range(i + 1)])
-        par = sums.select("g", *[(F.col(f"t{i}") / F.col("n")).alias(f"m{i}") for i in range(P)], *[(F.col(f"q{i}{j}") / F.col("n") - F.col(f"t{i}") * F.col(f"t{j}") / F.col("n") / F.col("n") + F.lit(FLOOR[i] ** 2 if i == j else 0.0)).alias(f"cov{i}{j}") for i in range(P) for j in range(i + 1)])
+        mean, square = [F.col(f"t{i}") / F.col("n") for i in range(P)], lambda i, j: F.col(f"q{i}{j}") / F.col("n")
+        cov = [(CONSISTENCY * (square(i, j) - mean[i] * mean[j]) + F.lit(FLOOR[i] ** 2 if i == j else 0.0)).alias(f"cov{i}{j}") for i in range(P) for j in range(i + 1)]
+        par = sums.select("g", *[m.alias(f"m{i}") for i, m in enumerate(mean)], *cov)
         par = written(_inverse_root(written(par, "rules-cov")).select("g", *names), f"rules-step{step}")
-    scale = near(par).groupBy("g").agg((MEDIAN / F.greatest(F.expm1(_quantile(F.col("d"), 0.5)), F.lit(0.5))).alias("scale"))
-    return par.join(scale, "g")
+    return par
 
 
 def judge(docs: DataFrame, cut: float = CUT, fewest: int = FEWEST) -> DataFrame:
@@ -140,7 +142,7 @@ def judge(docs: DataFrame, cut: float = CUT, fewest: int = FEWEST) -> DataFrame:
     z = written(z.drop("own", "members", "lang", "source"), "rules-vectors")
     par = written(estimates(z.select("g", *[f"z{i}" for i in range(P)])), "rules-estimates")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = z.join(par, "g").select(*columns, (_distance() * F.col("scale")).alias("distance"))
+    judged = z.join(par, "g").select(*columns, _distance().alias("distance"))
     judged = judged.select(*columns, (F.col("distance") <= cut).alias("kept"), "distance")
     return judged.union(rows.where("base_failed").select(*columns, F.lit(False), F.lit(None).cast("double")))
 
