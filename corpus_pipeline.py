@@ -1,22 +1,77 @@
-"""The corpus pipeline: documents in, token ids of a mixed and cleaned corpus out."""
+"""The corpus pipeline: from raw documents to the token ids of a cleaned and mixed corpus.
+
+Every stage works on all that the one before it kept. All but the last return
+the columns of ``documents``; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomspark.llm import bpe, lines, mixing, nearcopies, quality
+from loomspark.llm.common import table, written
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose calibrated probability of good quality is below 0.3."""
+    docs = docs.select(*COLUMNS)
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, "_score").where("_score >= 0.3").select(*COLUMNS)
+
 
-from loomspark.llm import bpe
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop lines that a document of a smaller id has; a document that loses all stays, with an empty text."""
+    x = lines.dedup(docs.select(*COLUMNS))
+    text = F.col("kept_text")
+    return x.select("doc_id", text.alias("text"), "lang", "source", F.length(text).cast("long").alias("n_chars"))
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies, that of the smallest id."""
+    docs = docs.select(*COLUMNS)
+    gone = nearcopies.near_copies(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or drop whole documents, so that the words taken of each match the mix in expectation.
+
+    A document of which the mix takes 1.3 times its words stays once, and a
+    second time with probability 0.3, which a hash of its id decides.
+    """
+    docs = docs.select(*COLUMNS)
+    share = mixing.mix(docs).groupBy("doc_id").agg((F.sum("taken") / F.greatest(F.sum("size"), F.lit(1))).alias("_share"))
+    chance = F.pmod(F.xxhash64("doc_id", F.lit("mix")), F.lit(1 << 20)) / (1 << 20)
+    share = share.select(F.col("doc_id").alias("_id"), F.floor(F.col("_share") + chance).cast("int").alias("_copies")).where("_copies > 0")
+    joined = docs.join(share, docs["doc_id"].eqNullSafe(share["_id"]))
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*COLUMNS)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, as digests with their number, and the digest of what they decode to."""
     return bpe.digests(docs, bpe.default_path())
 
 
-STAGES = [("bpe encoding and decoding", encode)]
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("MinHash near-dedup", near_stage),
+    ("mixing sources to target weights", mixing_stage),
+    ("BPE encoding and decoding", bpe_stage),
+]
+
+#: The classifier's training and BPE's merges are beyond SQL; tests hold the run against plain Python instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    """All stages, each but the last written as a table and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs, f"pipeline-{k}")
     return docs

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, lines, mixing, nearcopies, quality, rules, sharding, urls
+from . import bpe, fingerprints, lines, mixing, nearcopies, quality, rules, sharding, substrings, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_fingerprints": fingerprints.op5_fingerprints,
+    "op6_repeats": substrings.op6_repeats,
     "op7_url_filters": urls.op7_url_filters,
     "op8_near_copies": nearcopies.op8_near_copies,
     "op9_bpe": bpe.op9_bpe,
