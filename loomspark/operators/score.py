@@ -1,0 +1,107 @@
+"""Hard gates and the weighted score; a gate that fails is never made up for by points."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# --- fixed values: the seventeen gates, their weights and the profile's thresholds ---
+GATES = [
+    "required_fields", "message_roles", "first_message_role", "system_prompt", "effective_turns", "structured_tool_calls",
+    "valid_tool_results", "tool_definitions", "tool_pairing_after_open_tail", "machine_turn_ratio", "assembly_integrity",
+    "runtime_dag_integrity", "trace_delivery_ready", "inference_api_conservation", "model", "session_closed", "domain",
+]
+WEIGHTS = {
+    "required_fields": 5, "message_roles": 5, "first_message_role": 5, "system_prompt": 5, "valid_tool_results": 5, "model": 5, "session_closed": 5,
+    "structured_tool_calls": 10, "machine_turn_ratio": 10, "effective_turns": 15, "tool_definitions": 15, "tool_pairing_after_open_tail": 15,
+}
+ROLES = ["system", "user", "assistant", "tool"]
+BAD_DOMAINS = ["roleplay", "gui"]
+# -------------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Profile:
+    """Thresholds of a delivery profile."""
+
+    effective_turns: int = 10
+    user_pairs: int = 2
+    tool_calls: int = 5
+    valid_results: int = 5
+    machine_ratio: float = 0.25
+    bad_domains: tuple[str, ...] = field(default=tuple(BAD_DOMAINS))
+
+
+def gates(profile: Profile = Profile()) -> dict[str, Column]:
+    """Boolean columns over session metrics, by gate. Metrics are columns of the session table."""
+    c, p = F.col, profile
+    zero = lambda *names: _all(F.coalesce(c(n), F.lit(0)) == 0 for n in names)
+    true = lambda *names: _all(F.coalesce(c(n), F.lit(False)) for n in names)
+    return {
+        "required_fields": true("required_present"),
+        "message_roles": (c("n_messages") > 0) & zero("n_bad_roles"),
+        "first_message_role": F.coalesce(c("first_role").isin("system", "user"), F.lit(False)),
+        "system_prompt": true("has_system_prompt"),
+        "effective_turns": (c("effective_turns") >= p.effective_turns) & (c("user_pairs") >= p.user_pairs),
+        "structured_tool_calls": (c("n_calls") >= p.tool_calls) & (c("n_call_ids") == c("n_calls")) & zero("n_invalid_arguments", "n_duplicate_calls") & (c("n_tool_names") >= p.tool_calls),
+        "valid_tool_results": c("n_valid_results") >= p.valid_results,
+        "tool_definitions": (c("n_tool_names") > 0) & (c("n_complete_definitions") == c("n_tool_names")) & zero("n_generic_names"),
+        "tool_pairing_after_open_tail": (c("pairing_rate") == 1.0) & zero("n_orphans", "n_duplicate_calls", "n_duplicate_results"),
+        "machine_turn_ratio": (c("user_turns") > 0) & (c("machine_turns") / F.greatest(c("user_turns"), F.lit(1)) < p.machine_ratio),
+        "assembly_integrity": zero("n_conflicts", "n_invalid_boundaries", "n_unresolved_parents") & true("task_complete") & ~F.coalesce(c("has_cycle"), F.lit(False)),
+        "runtime_dag_integrity": ~F.coalesce(c("runtime_applicable"), F.lit(False)) | (true("runtime_complete") & (c("runtime_events") > 0) & zero("runtime_open", "runtime_conflicts")),
+        "trace_delivery_ready": true("delivery_ready"),
+        "inference_api_conservation": ~F.coalesce(c("inference_applicable"), F.lit(False)) | ((c("inferences") > 0) & (c("matched_inferences") == c("inferences"))),
+        "model": true("model_eligible"),
+        "session_closed": true("closed"),
+        "domain": ~F.lower(F.coalesce(c("task_type"), F.lit(""))).isin(*p.bad_domains),
+    }
+
+
+def _all(conditions) -> Column:
+    out = F.lit(True)
+    for c in conditions:
+        out = out & c
+    return out
+
+
+def assess(rows: DataFrame, checks: dict[str, Column], weights: dict[str, float] | None = None) -> DataFrame:
+    """``score`` (weights of gates passed), ``eligible`` (all pass) and ``failures`` (names, in order). Null fails."""
+    weights = WEIGHTS if weights is None else weights
+    ok = {n: F.coalesce(c, F.lit(False)) for n, c in checks.items()}
+    total = sum((F.when(c, float(weights.get(n, 0))).otherwise(0.0) for n, c in ok.items()), F.lit(0.0))
+    failed = F.array_compact(F.array(*[F.when(~c, F.lit(n)) for n, c in ok.items()]))
+    return rows.withColumns({"score": total, "failures": failed}).withColumn("eligible", F.size("failures") == 0)
+
+
+def reassess(assessed: DataFrame, names: list[str], weights: dict[str, float]) -> DataFrame:
+    """V2: score and eligibility derived again from the failures; the rows that disagree."""
+    again = sum((F.when(F.array_contains("failures", n), 0.0).otherwise(float(weights.get(n, 0))) for n in names), F.lit(0.0))
+    unknown = F.size(F.array_except("failures", F.array(*map(F.lit, names)))) > 0
+    return assessed.where((again != F.col("score")) | (F.col("eligible") != (F.size("failures") == 0)) | unknown)
+
+
+def summary(assessed: DataFrame) -> DataFrame:
+    """A10: one row of counts and the mean score, three places."""
+    return assessed.agg(F.count("*").alias("sessions"), F.count_if("eligible").alias("eligible"), F.round(F.avg("score"), 3).alias("mean_score"))
+
+
+def reasons(assessed: DataFrame) -> DataFrame:
+    """A10: how often each gate failed."""
+    return assessed.select(F.explode("failures").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def eligible_model(vendor_version: Column, least: dict[str, tuple[int, int]]) -> Column:
+    """Version thresholds by vendor; an unknown vendor is not eligible."""
+    out = F.lit(False)
+    for vendor, (major, minor) in least.items():
+        v = vendor_version
+        out = out | ((v["vendor"] == vendor) & ((v["major"] > major) | ((v["major"] == major) & (v["minor"] >= minor))))
+    return F.coalesce(out, F.lit(False))
+
+
+def rewards(rows: DataFrame, group: str, kind: str, reward: str) -> DataFrame:
+    """Mean reward and count by kind."""
+    return rows.groupBy(group, kind).agg(F.count("*").alias("n"), F.round(F.avg(reward), 6).alias("mean_reward"))
