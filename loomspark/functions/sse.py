@@ -11,6 +11,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def frames(body: Column) -> Column:
@@ -125,7 +126,14 @@ def _anthropic(events: list[dict]) -> dict:
     return {"message": head | {"content": [blocks[k] for k in sorted(blocks)], "usage": usage, "stop_reason": stop}, "conflicts": 0, "terminal": stop is not None}
 
 
-@F.pandas_udf("struct<message:string,frames:int,malformed:int,conflicts:int,done:boolean,terminal:boolean>")
+_REBUILT = T.StructType(
+    [T.StructField("message", T.StringType())]
+    + [T.StructField(n, T.IntegerType()) for n in ("frames", "malformed", "conflicts")]
+    + [T.StructField(n, T.BooleanType()) for n in ("done", "terminal")]
+)
+
+
+@F.pandas_udf(_REBUILT)
 def rebuilt(body: pd.Series, shape: pd.Series) -> pd.DataFrame:
     """A streamed body of shape responses, chat_completions or messages to its whole message, as JSON."""
     build = {"responses": _responses, "chat_completions": _chat, "messages": _anthropic}

@@ -140,7 +140,7 @@ def header_map(headers: Column, keep: list[str], redact: list[str]) -> Column:
 def chain_members(c: Column) -> Column:
     """A comma chain: the whole, and each member."""
     whole = F.trim(c)
-    members = F.filter(F.transform(F.split(whole, ","), F.trim), lambda x: x != "")
+    members = F.filter(F.transform(F.split(whole, ","), lambda x: F.trim(x)), lambda x: x != "")
     return F.when(whole == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(F.array(whole), members)))
 
 

@@ -11,6 +11,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- fixed values: usage aliases ---------------------------------------------------------------
 USAGE = {
@@ -83,7 +84,7 @@ def _walk(value, leaf, key=None):
 def rewritten(leaf):
     """A Pandas UDF that rewrites all leaves of JSON texts, to any depth; texts that aren't JSON become null."""
 
-    @F.pandas_udf("string")
+    @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         def one(t):
             try:
@@ -130,7 +131,7 @@ def scrub_json(c: Column) -> Column:
     return rewritten(leaf)(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def all_text(texts: pd.Series) -> pd.Series:
     """All strings of a JSON text, in order, to any depth, joined by line feeds."""
 
@@ -145,7 +146,7 @@ def all_text(texts: pd.Series) -> pd.Series:
     return texts.map(one)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nested_usage(texts: pd.Series) -> pd.Series:
     """The first object named ``usage``, at any depth but below ``tool_usage``, as JSON."""
 
