@@ -199,7 +199,7 @@ def dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS, copy_load: int = COPY_L
     columns are kept; one named like a new column is an error.
     """
     ship(docs.sparkSession)
-    if clash := {"kept_text", "n_lines", "n_dropped"} & {*docs.columns}:
+    if clash := {"kept_text", "n_lines", "n_dropped", "_k", "_th", "_rk", "_rth", "_drops"} & {*docs.columns}:
         raise ValueError(f"columns are there already: {sorted(clash)}")
     keyed = [F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("th")]
     hashes = written(line_hashes(docs.select(*keyed, "text")), "line-hashes")
@@ -211,10 +211,10 @@ def dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS, copy_load: int = COPY_L
     sent = hashes.withColumn("shard", F.pmod("h1", F.lit(n_shards)).cast("int")).join(load, "shard")
     sent = sent.withColumn("copy", F.pmod(F.xxhash64("k", "idx"), F.col("copies")).cast("int"))
     copied = arrays.join(load, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    drops = probe(sent, copied).groupBy("k", "th").agg(F.collect_set("idx").alias("_drops"))
-    whole = docs.withColumns({"_k": keyed[0], "_th": keyed[1]})
-    joined = whole.join(drops, (whole["_k"] == drops["k"]) & (whole["_th"] == drops["th"]), "left").drop("k", "th", "_k", "_th")
+    drops = probe(sent, copied).groupBy("k", "th").agg(F.collect_set("idx").alias("_drops")).toDF("_rk", "_rth", "_drops")
     keep = docs.columns
+    whole = docs.withColumns({"_k": keyed[0], "_th": keyed[1]})
+    joined = whole.join(drops, (F.col("_k") == F.col("_rk")) & (F.col("_th") == F.col("_rth")), "left").select(*keep, "_drops")
     schema = T.StructType([*docs.schema.fields, T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
