@@ -3,17 +3,16 @@
 288 minima of universal hashes, in 48 bands of 6, bring together all pairs
 at Jaccard similarity 0.75 but a fraction of (1 - 0.75**6)**48, or 9e-5; a
 pair that is missed counts only where no other path links its documents.
-Documents of equal shingle sets are one node from the start. Candidates are
-then found in rounds, so that a bucket never yields all its pairs:
+Documents of equal shingle sets are one node from the start. A bucket never yields all its pairs:
 
-1. every member of a bucket with the bucket's least member;
-2. in buckets that still hold several components, every member with a
-   pseudorandom member of another component;
-3. what is left: pairs of members of different components.
+1. every member of a bucket is paired with the bucket's least member;
+2. in buckets that still hold several components, the members outside the
+   largest are held against all others where they lie, in blocks of bounded
+   size, and only pairs that link two components are given out.
 
 Each candidate is first held against the signatures (one byte a minimum), far
 below the threshold, then confirmed on the full shingle sets. Components are
-found by alternating large-star and small-star after each round.
+found by alternating large-star and small-star.
 """
 
 from __future__ import annotations
@@ -35,6 +34,8 @@ HASHES = BANDS * PER_BAND
 LEAST_AGREEMENT = THRESHOLD / 100 - 5 * (THRESHOLD / 100 * (1 - THRESHOLD / 100) / HASHES) ** 0.5
 #: Members that one copy of a leader's text is held against.
 COPY_LOAD = 2000
+#: Members of a bucket that meet in one task: outside its largest component, and all.
+OUTSIDE, INSIDE = 1000, 10_000
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -180,23 +181,97 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
         return written(_confirmed(pairs, nodes, docs), f"{name}-links")
 
     found = checked(_sized(members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))), "near1")
-    of = components(found)
-    for step in (2, 3):
-        x = members.join(of, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("c"))
-        mixed = x.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("node", "n", "c"), F.xxhash64("key", "node")).alias("lead"))
-        x = written(x.join(mixed.where("low < high"), "key"), f"near{step}-open")
-        if step == 2:
-            pairs = x.where("c != lead.c").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))
-        else:
-            y = x.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            near = (F.col("n") * 100 >= F.col("nb") * THRESHOLD) & (F.col("nb") * 100 >= F.col("n") * THRESHOLD)
-            pairs = x.join(y, "key").where((F.col("c") < F.col("cb")) & near).select(F.col("node").alias("a"), F.col("n").alias("na"), "b", "nb")
-        more = checked(_sized(pairs), f"near{step}")
-        if more.isEmpty():
-            continue
-        found = found.union(more)
-        of = components(found)
-    return of
+    of = written(components(found), "near1-components")
+    x = members.select("key", "node", "n").join(of, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    more = written(_confirmed(written(_between(x, nodes, docs), "near2-pairs"), nodes, docs), "near2-links")
+    # the links between components join these; only labels take part
+    side = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    labels = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"))
+    up = components(labels, "x", "y").select(F.col("node").alias("was"), F.col("component").alias("now"))
+    known = of.union(up.select("was", "was").join(of.select("node"), F.col("was") == F.col("node"), "left_anti")).toDF("node", "c")
+    return known.join(up, known["c"] == up["was"], "left").select("node", F.coalesce("now", "c").alias("component"))
+
+
+def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Members (key, node, n, c) to pairs (a, b) that link different components c of one bucket.
+
+    In a bucket of several components, every member outside the largest
+    is held against all. Tasks get blocks of at most OUTSIDE such members and
+    INSIDE others, with signatures and sets; only the pairs that link two
+    components are given out, one for each two components of a block.
+    """
+    by = members.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("all"), F.max(F.struct("m", "c")).alias("top"))
+    by = by.where("cs > 1").select("key", F.col("top.c").alias("main"), F.ceil((F.col("all") - F.col("top.m")) / OUTSIDE).cast("int").alias("blocks"), F.ceil(F.col("all") / INSIDE).cast("int").alias("chunks"))
+    open_ = written(members.join(by, "key"), "near2-open")
+    needed = open_.select("node").distinct()
+    sets = _sets(nodes.join(needed, "node").select("node", F.col("doc_id").alias("d"), F.col("th").alias("h"), "sig"), docs)
+    sets = written(sets, "near2-sets")
+    numbers = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    pick = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int")
+    outside = open_.where("c != main").select("key", "node", "n", "c", F.lit(0).alias("role"), pick("blocks").alias("block"), F.explode(numbers("chunks")).alias("chunk"))
+    every = open_.select("key", "node", "n", "c", F.lit(1).alias("role"), F.explode(numbers("blocks")).alias("block"), pick("chunks").alias("chunk"))
+    rows = outside.union(every).join(sets, "node").select("key", "block", "chunk", "role", "node", "n", "c", "sig", "set32")
+
+    def solve(group: list[list]) -> list[tuple[int, int]]:
+        role, node, n, c = (np.array(group[k], np.int64) for k in (3, 4, 5, 6))
+        sigs = np.frombuffer(b"".join(group[7]), np.uint8).reshape(-1, HASHES)
+        out, inner = np.flatnonzero(role == 0), np.flatnonzero(role == 1)
+        same = {x: x for x in c.tolist()}
+
+        def root(x: int) -> int:
+            while same[x] != x:
+                x = same[x]
+            return x
+
+        found = []
+        for i in out.tolist():
+            near = inner[(c[inner] != c[i]) & (100 * n[inner] >= THRESHOLD * n[i]) & (100 * n[i] >= THRESHOLD * n[inner])]
+            near = near[((sigs[near] == sigs[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= LEAST_AGREEMENT]
+            if not len(near):
+                continue
+            own = np.frombuffer(group[8][i], np.uint32)
+            others = [np.frombuffer(group[8][j], np.uint32) for j in near.tolist()]
+            flat = np.concatenate(others)
+            at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            sizes = np.array([len(o) for o in others])
+            both = np.add.reduceat((own[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)[:-1]]))
+            for j in near[100 * both >= THRESHOLD * (len(own) + sizes - both)].tolist():
+                x, y = root(int(c[i])), root(int(c[j]))
+                if x != y:
+                    same[x] = y
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = None, [[] for _ in range(9)]
+
+        def give() -> pa.RecordBatch:
+            pairs = solve(group) if group[0] else []
+            return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        for x in batches:
+            for row in zip(*(col.to_pylist() for col in x.columns), strict=True):
+                if row[:3] != held:
+                    yield give()
+                    held, group = row[:3], [[] for _ in range(9)]
+                for col, v in zip(group, row, strict=True):
+                    col.append(v)
+        yield give()
+
+    rows = rows.repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk")
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def _sets(keys: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, d, h, sig) to node, sig and set32: the shingles as sorted 32-bit hashes."""
+    joined = docs.join(keys, (docs["doc_id"] == keys["d"]) & (docs["th"] == keys["h"])).select("node", "sig", "text").dropDuplicates(["node"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [np.unique((shingles(t.as_py()) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())], names=["node", "sig", "set32"])
+
+    return joined.mapInArrow(run, "node long, sig binary, set32 binary")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
