@@ -9,8 +9,8 @@ Medians are found together for all nodes of a level: a histogram of at most
 1024 bins a node goes to the driver (at most nodes x bins short rows, however
 large the input), and the bin that holds the median is refined until it holds
 one unit or next to no bytes. Equal texts are one unit and stay together,
-unless their bytes exceed a tenth of a shard; then they are dealt by id into
-units of a tenth at most, as whole groups of any size can't give equal shards.
+unless their bytes exceed a twentieth of a shard; then they are dealt by id into
+units of that size at most, as whole groups of any size can't give equal shards.
 """
 
 from __future__ import annotations
@@ -154,8 +154,8 @@ def shard(docs: DataFrame, n_shards: int = 40) -> DataFrame:
         F.sum("size").alias("weight"), F.min("doc_id").alias("first_id"), F.min("lang").alias("lang"), F.min("source").alias("source")
     )
     whole = F.sum("weight").over(W.partitionBy(*group))
-    chunks = F.greatest(F.lit(1), F.least(F.lit(PARTS), F.ceil(whole / (target / 10)))).cast("int")
-    chunk = F.when(whole > target / 10, F.col("part") % chunks).otherwise(0)
+    chunks = F.greatest(F.lit(1), F.least(F.lit(PARTS), F.ceil(whole / (target / 20)))).cast("int")
+    chunk = F.when(whole > target / 20, F.col("part") % chunks).otherwise(0)
     parts = written(parts.withColumn("chunk", F.when(F.col("size") == whole, 0).otherwise(chunk)), "shard-parts")
     scale = lambda c: F.pmod(F.min(c), F.lit(1 << COORD))
     number = lambda x: F.lit(float(x or 0))
