@@ -32,7 +32,7 @@ def lines(spark: SparkSession, roots: list[str], pattern: str = "*.{jsonl,ndjson
 
 def numbered(spark: SparkSession, roots: list[str], pattern: str = "*.{jsonl,ndjson}") -> DataFrame:
     """S1 with line numbers from 1: files are read whole, so for files that fit an executor's memory."""
-    x = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(roots)
+    x = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(roots, wholetext=True)
     x = x.select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("n", "line"))
     return x.where(F.trim("line") != "").select("path", (F.col("n") + 1).alias("line_no"), "line")
 
@@ -75,10 +75,13 @@ def strict(found: DataFrame) -> DataFrame:
 
 def usage_values(text: DataFrame, column: str = "value") -> DataFrame:
     """Rows of a usage log that is one JSON document or JSON lines; arrays and known wrappers are opened."""
-    v = F.try_parse_json(column)
-    docs = text.select(v.alias("v"), F.col(column).alias("_t"))
-    parts = docs.where("v is null").select(F.explode(F.split("_t", "\r?\n")).alias("_l")).where(F.trim("_l") != "").select(F.try_parse_json("_l").alias("v"))
-    every = docs.where("v is not null").select("v").union(parts.where("v is not null"))
+    # JSON lines if every line is JSON of its own, which no line of a longer document's layout is
+    parts = F.filter(F.split(column, "\r?\n"), lambda x: F.trim(x) != "")
+    docs = text.select(F.col(column).alias("_t"), parts.alias("_p"))
+    alone = F.forall("_p", lambda x: F.try_parse_json(x).isNotNull())
+    by_line = docs.where(alone).select(F.explode("_p").alias("_l")).select(F.try_parse_json("_l").alias("v"))
+    whole = docs.where(~alone).select(F.try_parse_json("_t").alias("v"))
+    every = by_line.union(whole).where("v is not null")
     listed = F.from_json(F.to_json("v"), "array<string>")
     opened = F.coalesce(*[F.try_variant_get("v", f"$.{w}", "variant") for w in WRAPPERS], F.col("v"))
     every = every.select(opened.alias("v"))

@@ -20,10 +20,11 @@ def accept(rows: DataFrame, key: str, ts: str, late: str = "1 hour") -> DataFram
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
-def judge(rows: DataFrame, key: str, digest: str, idle_ms: int = 3_600_000) -> DataFrame:
+def judge(rows: DataFrame, key: str, digest: str, idle_ms: int | None = 3_600_000) -> DataFrame:
     """T2 in full: accepted, duplicate or conflict for every arrival, against all before and within the batch.
 
-    State a key: the digest first seen, dropped after ``idle_ms`` without an arrival.
+    State a key: the digest first seen, dropped after ``idle_ms`` without an
+    arrival; None keeps it for good, and lets an ``availableNow`` run end.
     """
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -38,10 +39,12 @@ def judge(rows: DataFrame, key: str, digest: str, idle_ms: int = 3_600_000) -> D
                 first = d if first is None else first
             yield pd.DataFrame({"id": [str(k[0])] * len(pdf), "digest": pdf[digest].astype(str), "status": status})
         state.update((first,))
-        state.setTimeoutDuration(idle_ms)
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
 
+    timeout = GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     slim = rows.select(key, F.col(digest).cast("string").alias(digest))
-    return slim.groupBy(key).applyInPandasWithState(step, "id string, digest string, status string", "first string", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return slim.groupBy(key).applyInPandasWithState(step, "id string, digest string, status string", "first string", "append", timeout)
 
 
 def coverage(rows: DataFrame, key: str, source: str, ts: str) -> DataFrame:
