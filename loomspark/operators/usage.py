@@ -21,9 +21,9 @@ def roll_up(rows: DataFrame, day: Column, month: Column, tokens: str) -> DataFra
     return g.select(level.alias("level"), "day", "month", "requests", "tokens")
 
 
-def nearest_rank(c: Column, p: float) -> Column:
-    """The value at rank ceil(p n)."""
-    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c._jc.toString()})")
+def nearest_rank(column: str, p: float) -> Column:
+    """The value at rank ceil(p n) of a column."""
+    return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY `{column}`)")
 
 
 def finite_mean(c: Column) -> Column:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, records, turns
+from . import analytics, records, spans, turns
 
-_MODULES = [turns, records, analytics]
+_MODULES = [turns, records, analytics, spans]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

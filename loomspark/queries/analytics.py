@@ -31,7 +31,7 @@ def usage_roll_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p95_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    return e.groupBy("event_type").agg(F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY value)").alias("p95"), F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY value)").alias("p50"))
+    return e.groupBy("event_type").agg(usage.nearest_rank("value", 0.95).alias("p95"), usage.nearest_rank("value", 0.5).alias("p50"))
 
 
 def finite_means(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def uptime_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("cents", _cents("value"))
-    x = usage.daily(e, F.to_date("ts"), "2023-12-30", "2024-02-02", {"n": F.count("*"), "cents": F.sum("cents"), "p95": F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY value)")})
+    x = usage.daily(e, F.to_date("ts"), "2023-12-30", "2024-02-02", {"n": F.count("*"), "cents": F.sum("cents"), "p95": usage.nearest_rank("value", 0.95)})
     return x.select(F.col("day").cast("string").alias("day"), *[F.coalesce(c, F.lit(0).cast(t)).alias(c) for c, t in (("n", "long"), ("cents", "long"), ("p95", "double"))])
 
 

@@ -302,3 +302,16 @@ def test_envelopes(spark):
     good = json.dumps({"resourceLogs": [{"scopeLogs": [{"logRecords": [{"traceId": "t", "spanId": "s", "timeUnixNano": "1", "attributes": []}]}]}]})
     r, bad = ingest.records(spark.createDataFrame([(good,), ("{",)], "raw string"), "raw")
     assert r.first().traceId == "t" and bad.count() == 1
+
+
+def test_profile_view_and_tokens(spark):
+    import public_tokenizers as P
+
+    from loomspark.functions.tokens import token_count
+    from loomspark.operators import spans
+
+    m = spark.sql("SELECT array(named_struct('role', 'assistant', 'content', '', 'call_ids', array('a')), named_struct('role', 'assistant', 'content', 'x', 'call_ids', array('a', 'b')), named_struct('role', 'user', 'content', '', 'call_ids', array())) AS m, array('a') AS gone")
+    got = m.select(spans.profile_view(F.col("m"), F.col("gone")).alias("v")).first().v
+    assert [(x.role, x.call_ids) for x in got] == [("assistant", ["b"]), ("user", [])]
+    n = spark.createDataFrame([("hello world",), (None,)], "t string").select(token_count(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)("t").alias("n")).collect()
+    assert [r.n for r in n] == [2, 0]
