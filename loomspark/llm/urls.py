@@ -99,3 +99,40 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), RULES)
+
+
+_NORMAL = r"""
+CASE WHEN {host} <> '' THEN regexp_replace({host}, '^(www\d?|m|mobile|amp)\.', '') || regexp_replace({path}, '(/index)?(\.html?)?/*$', '')
+  || CASE WHEN len({left}) > 0 THEN '?' || array_to_string(list_sort({left}), '&') ELSE '' END END"""
+_LEFT = r"list_filter(string_split(regexp_extract({rest}, '(?s)^[^?#]*\?([^#]*)', 1), '&'), lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_\w+|ref|fbclid|gclid)(=|$)'))"
+_REST = "CASE WHEN instr({url}, '://') > 0 THEN substr({url}, instr({url}, '://') + 3) ELSE '' END"
+_HOST = "translate(regexp_extract({rest}, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({rest}, '(?s)^[^/?#]*([^?#]*)', 1)"
+
+
+def _form(rest: str) -> str:
+    return _NORMAL.format(host=_HOST.format(rest=rest), path=_PATH.format(rest=rest), left=_LEFT.format(rest=rest))
+
+
+_FITS = "WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{h}{p}'"
+_CASES = " ".join(_FITS.format(h=h, p=p) for _, h, p in sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2])))
+_BLOCKS = ", ".join(f"'{h}{p}'" for v, h, p in RULES if v == "block")
+SQL7 = rf"""
+WITH RECURSIVE u AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
+l AS (SELECT *, {_REST.format(url="url")} AS rest,
+  regexp_extract(regexp_extract(html, '(?is)<link[^>]*canonical[^>]*>', 0), '(?is)href\s*=\s*["'']?([^"''>\s]+)', 1) AS c,
+  regexp_extract(regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>', 0), '(?is)url\s*=\s*["'']?([^"''>\s;]+)', 1) AS r FROM u),
+p AS (SELECT *, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path, {_form("rest")} AS node,
+  CASE WHEN contains(html, 'anonical') AND c <> '' THEN c WHEN contains(html, 'efresh') AND r <> '' THEN r END AS link FROM l),
+j AS (SELECT *, CASE {_CASES} END AS rule,
+  CASE WHEN starts_with(link, '//') THEN 'http:' || link WHEN starts_with(link, '/') THEN 'http://' || host || link ELSE link END AS target FROM p),
+t AS (SELECT node, {_REST.format(url="target")} AS trest FROM j WHERE target IS NOT NULL),
+e AS (SELECT DISTINCT node AS a, {_form("trest")} AS b FROM t),
+s AS (SELECT a, b FROM e WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM e WHERE a IS NOT NULL AND b IS NOT NULL),
+reach AS (SELECT a, b FROM s UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),
+comp AS (SELECT a AS node, least(a, min(b)) AS c FROM reach GROUP BY a),
+k AS (SELECT j.*, coalesce(comp.c, j.node) AS c2 FROM j LEFT JOIN comp ON j.node = comp.node),
+d AS (SELECT c2, bool_or(rule NOT IN ({_BLOCKS})) AS allowed, bool_or(rule IN ({_BLOCKS})) AS blocked FROM k WHERE rule IS NOT NULL AND c2 IS NOT NULL GROUP BY c2)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ({_BLOCKS}) THEN 'block' WHEN rule IS NOT NULL THEN 'allow' WHEN blocked AND NOT allowed THEN 'block' ELSE 'allow' END AS verdict
+FROM k LEFT JOIN d ON k.c2 = d.c2
+"""
