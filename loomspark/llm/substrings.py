@@ -30,8 +30,9 @@ from .common import ship, table, written
 
 SPAN, GRAM = 200, 32
 WINDOW = SPAN - GRAM + 1
-#: Bytes of contexts sorted at once; distinct contexts of an anchor beyond which they are grouped by hash.
-SORT_BYTES, HOT = 1_500_000, 4000
+#: Bytes of contexts sorted at once; distinct contexts of an anchor (some 300 bytes each, and 60 times that in
+#: memory while they are sorted, so 300 MB) beyond which their strings are grouped by hash.
+SORT_BYTES, HOT = 1_500_000, 16_000
 NO_ID = (1 << 63) - 1
 #: Ends a context; no byte of UTF-8 is as large.
 END = 0xFF
@@ -289,7 +290,8 @@ def _grouped_repeats(contexts: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """``(k, th, text)`` to byte ranges (k, th, s, e) whose union is what repeats."""
     found = _anchor_rows(docs)
-    several = found.groupBy("h").agg(F.count("*").alias("total")).where("total > 1").select("h")
+    # written, so that both sides of the join are plain exchanges, which adaptive execution can split
+    several = written(found.groupBy("h").agg(F.count("*").alias("total")).where("total > 1").select("h"), "spans-several")
     found = written(found.join(several, "h"), "spans-anchors")
     kinds = found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "th", "s", "t")).alias("rep"))
     kinds = written(kinds, "spans-kinds")
@@ -312,14 +314,13 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     named like a new column is an error.
     """
     ship(docs.sparkSession)
-    if clash := {"kept", "spans", "n_bytes"} & {*docs.columns}:
+    if clash := {"kept", "spans", "n_bytes", "_k", "_th", "_rk", "_rth", "_ranges"} & {*docs.columns}:
         raise ValueError(f"columns are there already: {sorted(clash)}")
     keys = {"_k": F.coalesce("doc_id", F.lit(NO_ID)), "_th": F.xxhash64("text")}
     found = repeats(docs.select(keys["_k"].alias("k"), keys["_th"].alias("th"), "text"), hot)
-    ranges = found.groupBy("k", "th").agg(F.collect_set(F.struct("s", "e")).alias("ranges"))
-    whole = docs.withColumns(keys)
-    joined = whole.join(ranges, (whole["_k"] == ranges["k"]) & (whole["_th"] == ranges["th"]), "left").drop("k", "th", "_k", "_th")
+    ranges = found.groupBy("k", "th").agg(F.collect_set(F.struct("s", "e")).alias("_ranges")).toDF("_rk", "_rth", "_ranges")
     keep = docs.columns
+    joined = docs.withColumns(keys).join(ranges, (F.col("_k") == F.col("_rk")) & (F.col("_th") == F.col("_rth")), "left").select(*keep, "_ranges")
     span = T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("spans", span), T.StructField("n_bytes", T.LongType())])
 
