@@ -22,6 +22,8 @@ def folder(spark, tmp_path_factory):
     for k in range(240):
         bad = k % 6 == 0
         text = " ".join("THE!! OF!! HOUSE!!".split() * rng.randrange(10, 40)) if bad else good(rng.randrange(2, 9))
+        if k % 10 == 2 and not bad:
+            text = good(9).replace("\n", " ")  # one line, of which no line is a repeat
         if k % 10 == 3 and not bad and (k - 1) % 6:
             text = rows[-1][1].replace("rain", "sun", 1)  # a near copy
         if k % 7 == 2 and not bad:
