@@ -46,6 +46,14 @@ def uptime_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.uptime(e, seconds, F.col("event_type") != "error", 1704067200 - 5 * 32400, 32400, 100)
 
 
+def uptime_buckets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events: a third of the errors count as failures, in buckets of 15 minutes, so that every state occurs."""
+    e = table(spark, sf_dir, "events")
+    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
+    failed = (F.col("event_type") == "error") & (_cents("value") % 3 == 0)
+    return usage.uptime(e, seconds, ~failed, 1704067200 - 162000, 900, 3360)
+
+
 def daily_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("cents", _cents("value"))
     x = usage.daily(e, F.to_date("ts"), "2023-12-30", "2024-02-02", {"n": F.count("*"), "cents": F.sum("cents"), "p95": usage.nearest_rank("value", 0.95)})
@@ -241,6 +249,11 @@ WITH b AS (SELECT floor((floor(epoch(ts)) - (1704067200 - 162000)) / 32400)::BIG
 g AS (SELECT bucket, count(*) AS n, count(*) FILTER (ok) AS good FROM b GROUP BY bucket)
 SELECT r.bucket, coalesce(n, 0) AS n, coalesce(good, 0) AS good, CASE WHEN n IS NULL THEN 'empty' WHEN good / n >= 0.97 THEN 'up' WHEN good / n >= 0.90 THEN 'degraded' ELSE 'down' END AS status
 FROM (SELECT range AS bucket FROM range(100)) r LEFT JOIN g ON r.bucket = g.bucket""",
+    "uptime_buckets_all": """
+WITH b AS (SELECT floor((floor(epoch(ts)) - (1704067200 - 162000)) / 900)::BIGINT AS bucket, NOT (event_type = 'error' AND round(value * 100)::BIGINT % 3 = 0) AS ok FROM events),
+g AS (SELECT bucket, count(*) AS n, count(*) FILTER (ok) AS good FROM b GROUP BY bucket)
+SELECT r.bucket, coalesce(n, 0) AS n, coalesce(good, 0) AS good, CASE WHEN n IS NULL THEN 'empty' WHEN good / n >= 0.97 THEN 'up' WHEN good / n >= 0.90 THEN 'degraded' ELSE 'down' END AS status
+FROM (SELECT range AS bucket FROM range(3360)) r LEFT JOIN g ON r.bucket = g.bucket""",
     "daily_history": """
 WITH g AS (SELECT ts::DATE AS day, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS cents, quantile_disc(value, 0.95) AS p95 FROM events GROUP BY 1)
 SELECT d.day::VARCHAR AS day, coalesce(n, 0) AS n, coalesce(cents, 0) AS cents, coalesce(p95, 0) AS p95

@@ -315,3 +315,16 @@ def test_profile_view_and_tokens(spark):
     assert [(x.role, x.call_ids) for x in got] == [("assistant", ["b"]), ("user", [])]
     n = spark.createDataFrame([("hello world",), (None,)], "t string").select(token_count(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)("t").alias("n")).collect()
     assert [r.n for r in n] == [2, 0]
+
+
+def test_uptime_states(spark, tmp_path):
+    """Every state at its limits, and a query that counts the events of all users."""
+    from loomspark.queries import analytics
+
+    rows = [(0, i >= 3) for i in range(100)] + [(10, i >= 4) for i in range(100)] + [(20, i >= 1) for i in range(10)] + [(30, i >= 11) for i in range(100)] + [(-1, True), (50, True)]
+    x = spark.createDataFrame(rows, "s long, ok boolean")
+    got = {r.bucket: (r.n, r.good, r.status) for r in usage.uptime(x, F.col("s"), F.col("ok"), 0, 10, 5).collect()}
+    assert got == {0: (100, 97, "up"), 1: (100, 96, "degraded"), 2: (10, 9, "degraded"), 3: (100, 89, "down"), 4: (0, 0, "empty")}
+    e = spark.range(100).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"))
+    e.write.parquet(str(tmp_path / "events.parquet"))
+    assert analytics.uptime_buckets_all(spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 100
