@@ -45,6 +45,21 @@ def enrich_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.groupBy("outcome").agg(F.count("*").alias("n"), F.coalesce(F.sum("fact"), F.lit(-1)).alias("facts"))
 
 
+def enrich_outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers and suppliers as facts; the outcomes come from the keys, and no fact is left out."""
+    e = table(spark, sf_dir, "events")
+    u, n = F.col("user_id"), F.col("event_id")
+    client = F.concat(F.lit("client:"), F.expr("user_id div 15"))
+    keys = F.when(n % 11 == 0, F.array().cast("array<string>")).when(n % 4 == 0, F.array(client)).when(n % 4 == 1, F.array(u.cast("string"), client)).otherwise(F.array(u.cast("string")))
+    had = F.when(n % 3 == 0, u.cast("string")).when(n % 3 == 1, F.lit("7"))
+    rows = e.select("event_id", keys.alias("keys"), had.alias("existing"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("fk"), F.col("c_custkey").cast("long").alias("fid"))
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("client:"), F.when(k % 5 == 0, k + 1).otherwise(k).cast("string")).alias("fk"), (k * 15).cast("long").alias("fid"))
+    x = identity.enrich(rows, "event_id", "keys", c.union(s), "fk", "fid", "existing")
+    return x.groupBy("outcome").agg(F.count("*").alias("n"), F.coalesce(F.sum("fact"), F.lit(-1)).alias("facts"))
+
+
 def inherited_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     rows = d.select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("source")).alias("target"), F.array(F.concat(F.lit("t:"), F.sha2("text", 256))).alias("links"))
@@ -216,6 +231,15 @@ def release_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.compare(a, e, ["o_orderkey"], ["o_orderstatus", "cust"]).groupBy("state", "differ").agg(F.count("*").alias("n"))
 
 
+def release_differences_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders on both sides; the keys of some differ, so they are missing on one side and extra on the other."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_custkey").alias("cust"))
+    k = F.col("o_orderkey")
+    a = o.withColumn("o_orderkey", F.when(k % 10 == 0, -k - 1).otherwise(k))
+    e = o.withColumns({"o_orderkey": F.when(k % 11 == 0, -k - 1).otherwise(k), "cust": F.when(k % 13 == 0, F.col("cust") + 1).otherwise(F.col("cust"))})
+    return verify.compare(a, e, ["o_orderkey"], ["o_orderstatus", "cust"]).groupBy("state", "differ").agg(F.count("*").alias("n"))
+
+
 def set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.set_equal(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k")), table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")))
 
@@ -266,6 +290,17 @@ h AS (SELECT event_id, max(nf) AS most, count(DISTINCT fid) AS n, min(fid) AS fi
 o AS (SELECT e.event_id, h.fid, CASE WHEN h.event_id IS NULL THEN 'unmatched_no_key' WHEN n = 0 THEN 'unmatched_not_found' WHEN most > 1 THEN 'ambiguous_multiple_facts'
   WHEN n > 1 THEN 'ambiguous_candidates_disagree' WHEN e.event_id % 3 = 0 AND h.fid <> 7 THEN 'conflicting_existing' ELSE 'matched' END AS outcome
   FROM events e LEFT JOIN h ON e.event_id = h.event_id)
+SELECT outcome, count(*) AS n, coalesce((sum(fid) FILTER (outcome = 'matched'))::BIGINT, -1) AS facts FROM o GROUP BY outcome""",
+    "enrich_outcomes_all": """
+WITH facts AS (SELECT fk, count(DISTINCT fid) AS nf, min(fid) AS fid FROM (
+    SELECT c_custkey::VARCHAR AS fk, c_custkey AS fid FROM customer
+    UNION ALL SELECT 'client:' || CASE WHEN s_suppkey % 5 = 0 THEN s_suppkey + 1 ELSE s_suppkey END, s_suppkey * 15 FROM supplier) GROUP BY fk),
+k AS (SELECT event_id, user_id::VARCHAR AS key FROM events WHERE event_id % 11 <> 0 AND event_id % 4 <> 0
+  UNION ALL SELECT event_id, 'client:' || (user_id // 15) FROM events WHERE event_id % 11 <> 0 AND event_id % 4 IN (0, 1)),
+h AS (SELECT event_id, max(nf) AS most, count(DISTINCT fid) AS n, min(fid) AS fid FROM k LEFT JOIN facts ON key = fk GROUP BY event_id),
+o AS (SELECT e.event_id, h.fid, CASE WHEN h.event_id IS NULL THEN 'unmatched_no_key' WHEN n = 0 THEN 'unmatched_not_found' WHEN most > 1 THEN 'ambiguous_multiple_facts'
+  WHEN n > 1 THEN 'ambiguous_candidates_disagree' WHEN e.event_id % 3 = 0 AND h.fid <> e.user_id OR e.event_id % 3 = 1 AND h.fid <> 7 THEN 'conflicting_existing' ELSE 'matched' END AS outcome
+  FROM events e LEFT JOIN h ON e.event_id = h.event_id)
 SELECT outcome, count(*) AS n, coalesce((sum(fid) FILTER (outcome = 'matched'))::BIGINT, -1) AS facts FROM o GROUP BY outcome""",
     "inherited_links": """
 WITH k AS (SELECT text, min(source) AS lo, max(source) AS hi FROM documents WHERE doc_id % 3 <> 0 GROUP BY text)
@@ -358,6 +393,12 @@ SELECT lang, batch, count(*) AS n, sum(n_chars)::BIGINT AS chars, min(doc_id) AS
     "release_differences": """
 WITH a AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 10 <> 0), e AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + 1 ELSE o_custkey END AS c FROM orders WHERE o_orderkey % 11 <> 0),
 j AS (SELECT a.k AS ak, e.k AS ek, a.c AS ac, e.c AS ec FROM a FULL JOIN e ON a.k = e.k)
+SELECT CASE WHEN ak IS NULL THEN 'missing' WHEN ek IS NULL THEN 'extra' ELSE 'different' END AS state,
+  CASE WHEN ak IS NULL OR ek IS NULL THEN 'o_orderstatus,cust' ELSE 'cust' END AS differ, count(*) AS n FROM j WHERE ak IS NULL OR ek IS NULL OR ac <> ec GROUP BY ALL""",
+    "release_differences_all": """
+WITH a AS (SELECT CASE WHEN o_orderkey % 10 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, o_custkey AS c FROM orders),
+e AS (SELECT CASE WHEN o_orderkey % 11 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS k, CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + 1 ELSE o_custkey END AS c FROM orders),
+j AS (SELECT a.k AS ak, e.k AS ek, a.c AS ac, e.c AS ec FROM a FULL JOIN e ON a.k = e.k)
 SELECT CASE WHEN ak IS NULL THEN 'missing' WHEN ek IS NULL THEN 'extra' ELSE 'different' END AS state,
   CASE WHEN ak IS NULL OR ek IS NULL THEN 'o_orderstatus,cust' ELSE 'cust' END AS differ, count(*) AS n FROM j WHERE ak IS NULL OR ek IS NULL OR ac <> ec GROUP BY ALL""",
     "set_equality": """

@@ -328,3 +328,19 @@ def test_uptime_states(spark, tmp_path):
     e = spark.range(100).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("2024-01-02 00:00:00").cast("timestamp_ntz").alias("ts"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"))
     e.write.parquet(str(tmp_path / "events.parquet"))
     assert analytics.uptime_buckets_all(spark, str(tmp_path)).agg(F.sum("n")).first()[0] == 100
+
+
+def test_enrichment_uses_every_fact(spark, tmp_path):
+    """A customer beyond 100 and a supplier that is no multiple of nine are facts too."""
+    from loomspark.queries import records
+
+    rows = [(2, 14999, "view"), (4, 105, "view"), (6, 14999, "view")]  # an id, a client id, an id with a stated fact
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(14999,), (100,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(7,), (9,)], "s_suppkey long").write.parquet(str(tmp_path / "supplier.parquet"))
+    got = {r.outcome: (r.n, r.facts) for r in records.enrich_outcomes_all(spark, str(tmp_path)).collect()}
+    assert got == {"matched": (2, 29998), "conflicting_existing": (1, -1)}
+    o = spark.createDataFrame([(10, "F", 1), (11, "F", 1), (13, "F", 1), (7, "F", 1)], "o_orderkey long, o_orderstatus string, o_custkey long")
+    o.write.parquet(str(tmp_path / "orders.parquet"))
+    got = {(r.state, r.differ): r.n for r in records.release_differences_all(spark, str(tmp_path)).collect()}
+    assert got == {("missing", "o_orderstatus,cust"): 2, ("extra", "o_orderstatus,cust"): 2, ("different", "cust"): 1}
