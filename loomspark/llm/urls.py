@@ -54,14 +54,27 @@ def normal_form(url: Column) -> Column:
     return F.when(host != "", F.concat_ws("?", F.concat(host, path), F.when(left != "", left)))
 
 
-def linked_url(url: Column, html: Column) -> Column:
-    """The canonical link of a page, or else the target of its refresh; null without."""
-    tag = F.regexp_extract(html, r"(?is)<link\b[^>]*\bcanonical\b[^>]*>", 0)
-    canonical = F.regexp_extract(tag, r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1)
-    tag = F.regexp_extract(html, r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh[^>]*>", 0)
-    refresh = F.regexp_extract(tag, r"(?is)\burl\s*=\s*[\"']?([^\"'>\s;]+)", 1)
-    to = F.when(html.contains("anonical") & (canonical != ""), canonical).when(html.contains("efresh") & (refresh != ""), refresh)
-    return F.when(to.startswith("//"), F.concat(F.lit("http:"), to)).when(to.startswith("/"), F.concat(F.lit("http://"), host_of(url), to)).otherwise(to)
+def resolve(base: Column, ref: Column) -> Column:
+    """The url that a reference means on a page at ``base``; null for an empty one, a fragment, or a relative one without a host."""
+    here, path, tail = path_of(base), F.regexp_extract(ref, r"(?s)^([^?#]*)", 1), F.regexp_extract(ref, r"(?s)^[^?#]*(.*)", 1)
+    whole = F.when(path == "", here).when(path.startswith("/"), path).otherwise(F.concat(F.regexp_extract(here, r"(?s)^(.*/)", 1), path))
+    step = lambda a, x: F.when(x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).when(x == ".", a).otherwise(F.concat(a, F.array(x)))
+    steps = F.aggregate(F.split(F.regexp_replace(whole, "^/", ""), "/"), F.array().cast("array<string>"), step)
+    on_host = F.when(host_of(base) != "", F.concat(F.lit("http://"), host_of(base), F.lit("/"), F.array_join(steps, "/"), tail))
+    given = (ref != "") & ~ref.startswith("#")
+    return F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref).when(ref.startswith("//"), F.concat(F.lit("http:"), ref)).when(given, on_host)
+
+
+def linked_urls(url: Column, html: Column) -> Column:
+    """The targets of all canonical links and refreshes of a page, relative ones resolved against its base or else its url."""
+    html = F.coalesce(html, F.lit(""))
+    tags = lambda pattern, target: F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
+    canonical = tags(r"(?is)<link\b[^>]*\bcanonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)")
+    refresh = tags(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'>\s;]+)")
+    own = F.regexp_extract(html, r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1)
+    to = lambda base: F.transform(F.concat(canonical, refresh), lambda x: resolve(base, x))
+    bound = F.transform(F.array(F.coalesce(resolve(url, own), url)), to)  # so that the base is found once a page, not once a link
+    return F.array_distinct(F.array_compact(F.get(bound, 0)))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFrame | None = None) -> DataFrame:
@@ -76,9 +89,9 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
     """
     url = F.col("url")
     host, path = host_of(url), path_of(url)
-    x = pages.select("page_id", host.alias("host"), path.alias("path"), normal_form(url).alias("node"), normal_form(linked_url(url, F.col("html"))).alias("to"))
+    x = pages.select("page_id", host.alias("host"), path.alias("path"), normal_form(url).alias("node"), F.transform(linked_urls(url, F.col("html")), normal_form).alias("to"))
     x = written(x.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)), "url-pages")
-    edges = x.where("node is not null and to is not null").select(F.col("node").alias("a"), F.col("to").alias("b"))
+    edges = x.where("node is not null").select(F.col("node").alias("a"), F.explode("to").alias("b")).where("b is not null")
     if redirects is not None:
         edges = edges.union(redirects.select(normal_form(F.col("from_url")), normal_form(F.col("to_url"))))
     joined = components(edges)

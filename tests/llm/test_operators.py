@@ -231,6 +231,24 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0), urls.RULES).collect() == []
 
 
+def test_urls_of_any_link(spark):
+    """Tags in capitals, both tags in a page, several of one kind, and relative targets are edges."""
+    target = "http://a.example.com/de/1"
+    html = {
+        1: f'<META CONTENT="0; URL={target}" HTTP-EQUIV="REFRESH">', 2: f'<LINK REL="CANONICAL" HREF="{target}">',
+        3: f'<link rel="canonical" href="http://b.example.net/x"><meta http-equiv="refresh" content="0;url={target}">',
+        4: f'<link rel=canonical href=/y><link rel=canonical href="{target}">', 5: '<link rel="canonical" href="../q.html?k=1">', 6: '<link rel="canonical" href="?z=2">',
+        7: '<link rel="canonical" href="page2.html">', 8: '<base href="//a.example.com/de/x/"><link rel="canonical" href="../1">', 9: '<link rel="canonical" href="#top">', 10: "<p>canonical refresh</p>",
+    }
+    rows = [(i, f"http://h{i}.example.net/d/e/p", h) for i, h in html.items()] + [(0, target, ""), (11, "nothing", html[7])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(pages, urls.RULES).collect()}
+    assert got == {i: "block" if i in (0, 1, 2, 3, 4, 8) else "allow" for i in range(12)}
+    to = {r.page_id: r.to for r in pages.select("page_id", urls.linked_urls(urls.F.col("url"), urls.F.col("html")).alias("to")).collect()}
+    assert to[4] == ["http://h4.example.net/y", target] and to[9] == to[10] == to[11] == []
+    assert to[5] == ["http://h5.example.net/d/q.html?k=1"] and to[6] == ["http://h6.example.net/d/e/p?z=2"] and to[7] == ["http://h7.example.net/d/e/page2.html"]
+
+
 def test_sharding(spark):
     rng = random.Random(7)
     rows = [r for r in ODD if r[0] not in (7, 8)] + [(50 + k, "x" * rng.randrange(400), rng.choice(["a", "b", None])) for k in range(3000)]
