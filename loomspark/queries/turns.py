@@ -60,6 +60,11 @@ def message_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("user_id", "event_type", F.col("occurrence").cast("long").alias("occurrence"), "position", "content", "divergences")
 
 
+def message_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("snapshot"), F.unix_micros(F.col("ts").cast("timestamp")).alias("position"), "event_type", "props")
+    return order.merge_messages(e, "user_id", "snapshot", "position", "event_type", "props").select("user_id", "event_type", "occurrence", "position", F.col("props").alias("content"), "divergences")
+
+
 SOURCES = ["click", "purchase", "view", "signup", "error"]
 
 
@@ -179,6 +184,11 @@ WITH e AS (SELECT user_id, ts::DATE AS snapshot, epoch_us(ts) AS position, event
 n AS (SELECT *, row_number() OVER (PARTITION BY user_id, snapshot, event_type ORDER BY position) AS occurrence FROM e)
 SELECT user_id, event_type, occurrence, min(position) AS position, arg_max(props, (length(props), props)) AS content,
        count(DISTINCT props) - 1 AS divergences FROM n GROUP BY user_id, event_type, occurrence""",
+    "message_merge": """
+WITH e AS (SELECT user_id, ts::DATE AS snapshot, epoch_us(ts) AS position, event_type, props FROM events),
+n AS (SELECT *, row_number() OVER (PARTITION BY user_id, snapshot, event_type ORDER BY position) AS occurrence FROM e),
+f AS (SELECT *, first_value(props) OVER (PARTITION BY user_id, event_type, occurrence ORDER BY snapshot) AS kept FROM n)
+SELECT user_id, event_type, occurrence, arg_min(position, snapshot) AS position, min(kept) AS content, count(*) FILTER (props <> kept) AS divergences FROM f GROUP BY user_id, event_type, occurrence""",
     "source_roll_up": _ROLL,
     "session_readiness": f"""
 WITH r AS ({_ROLL})

@@ -344,3 +344,24 @@ def test_enrichment_uses_every_fact(spark, tmp_path):
     o.write.parquet(str(tmp_path / "orders.parquet"))
     got = {(r.state, r.differ): r.n for r in records.release_differences_all(spark, str(tmp_path)).collect()}
     assert got == {("missing", "o_orderstatus,cust"): 2, ("extra", "o_orderstatus,cust"): 2, ("different", "cust"): 1}
+
+
+def test_message_merge(spark):
+    """Fields of every snapshot come together, the first value stays on conflict, and filling isn't a divergence."""
+    m = lambda **x: json.dumps(x)
+    rows = [
+        ("g", 1, 0, "a", m(role="user", content="", meta={"x": 1}, status="unknown")), ("g", 2, 0, "a", m(content="hello", meta={"y": [2]}, status="done")),
+        ("g", 3, 0, "a", m(content=[{"text": "hello"}], meta={"x": 5})), ("g", 2, 1, "a", m(content="second")),
+        ("g", 1, 1, "b", m(content="one", n=1)), ("g", 2, 2, "b", m(content="a longer one", n=True)),
+        ("g", 1, 2, "c", m(calls=[{"arguments": '{"k": 1}'}])), ("g", 2, 3, "c", m(calls=[{"arguments": '{"k":1}', "id": "i"}])), ("g", 1, 3, "d", "plain"), ("g", 2, 4, "d", None),
+    ]
+    x = spark.createDataFrame(rows, "s string, snapshot int, p long, id string, content string")
+    got = {(r.id, r.occurrence): (r.p, _json(r.content), r.divergences) for r in order.merge_messages(x, "s", "snapshot", "p", "id", "content").collect()}
+    assert got == {
+        ("a", 1): (0, {"role": "user", "content": "hello", "meta": {"x": 1, "y": [2]}, "status": "done"}, 1), ("a", 2): (1, {"content": "second"}, 0),
+        ("b", 1): (1, {"content": "one", "n": 1}, 1), ("c", 1): (2, {"calls": [{"arguments": '{"k": 1}', "id": "i"}]}, 0), ("d", 1): (3, "plain", 1),
+    }
+
+
+def _json(text):
+    return json.loads(text) if text.startswith("{") else text
