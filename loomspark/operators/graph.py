@@ -73,19 +73,22 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 50) -> DataF
     raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
-def nearest_boundary(nodes: DataFrame, node: str, parent: str, value: str, boundary: str, most_depth: int = 64) -> DataFrame:
-    """The nearest ancestor's (or own) value; the walk stops at a boundary, whatever it holds.
+def nearest_boundary(nodes: DataFrame, node: str, parent: str, value: str, boundary: str) -> DataFrame:
+    """(node, inherited, cycle): the nearest ancestor's (or own) value; the walk stops at a boundary, whatever it holds.
 
     Doubling: each node keeps a pointer, the value found below it, and whether
-    it may go on. Cycles never find a value and end after ``log2(most_depth)`` rounds.
+    it may go on. A walk that is still open when its stride exceeds the number
+    of nodes is in or behind a cycle without values: no value, ``cycle`` true.
     """
     x = nodes.select(F.col(node).alias("node"), F.col(value).alias("v"), F.when(F.col(value).isNull() & ~F.coalesce(boundary, F.lit(False)), F.col(parent)).alias("at"))
-    for _ in range(max(1, (most_depth - 1).bit_length())):
+    n, stride = x.count(), 1
+    while stride <= n:
         step = x.select(F.col("node").alias("n2"), F.col("v").alias("v2"), F.col("at").alias("at2"))
         x = cut(x.join(step, x["at"] == step["n2"], "left").select("node", F.coalesce("v", "v2").alias("v"), F.when(F.coalesce("v", "v2").isNull(), F.col("at2")).alias("at")))
+        stride *= 2
         if x.where("at is not null").isEmpty():
             break
-    return x.select("node", F.col("v").alias("inherited"))
+    return x.select("node", F.col("v").alias("inherited"), F.col("at").isNotNull().alias("cycle"))
 
 
 def single_tree(edges: DataFrame, child: str, parent: str, priority: str) -> DataFrame:

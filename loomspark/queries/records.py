@@ -148,7 +148,7 @@ def turn_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def inherited_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _turn_nodes(spark, sf_dir).withColumns({"v": F.when((F.col("node") % 5) == 0, F.col("role")), "stop": (F.col("node") % 7) == 0})
-    return graph.nearest_boundary(n, "node", "parent", "v", "stop")
+    return graph.nearest_boundary(n, "node", "parent", "v", "stop").select("node", "inherited")
 
 
 def priority_parents(spark: SparkSession, sf_dir: str) -> DataFrame:

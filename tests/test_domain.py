@@ -365,3 +365,11 @@ def test_message_merge(spark):
 
 def _json(text):
     return json.loads(text) if text.startswith("{") else text
+
+
+def test_boundary_beyond_64_ancestors(spark):
+    """A value 300 ancestors away is found; a cycle without a value is marked, and what hangs from it too."""
+    rows = [(i, i - 1 if i else None, "v" if i == 0 else None, False) for i in range(301)] + [(1000, 1001, None, False), (1001, 1000, None, False), (1002, 1001, None, False), (1003, 9999, None, False)]
+    x = spark.createDataFrame(rows, "n long, p long, v string, b boolean")
+    got = {r.node: (r.inherited, r.cycle) for r in graph.nearest_boundary(x, "n", "p", "v", "b").collect()}
+    assert got == {i: ("v", False) for i in range(301)} | {1000: (None, True), 1001: (None, True), 1002: (None, True), 1003: (None, False)}
