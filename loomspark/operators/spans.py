@@ -72,7 +72,7 @@ def reconcile(rows: DataFrame, group: str, call: str, source: str, kind: str, na
 
 
 def integrity(spans: DataFrame, calls: DataFrame, results: DataFrame, links: DataFrame) -> DataFrame:
-    """One row of counts, each an anti-join or a conditional count, and ``runtime_complete`` (spans exist and all are zero).
+    """A27 in part (7 of the 13 sets, see the README): one row of counts, each an anti-join or a conditional count, and ``runtime_complete`` (spans exist and all are zero).
 
     ``spans`` (id, scope, open, conflict, failed), ``calls`` (id), ``results`` (id), ``links`` (from_id, to_id).
     """

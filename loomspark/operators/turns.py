@@ -75,7 +75,7 @@ def readiness(turns: DataFrame, keys: list[str], counters: list[str]) -> DataFra
 
 
 def dispositions(rows: DataFrame, producer: str, session: str, selected: str, key: str) -> DataFrame:
-    """Hit, other or pending by a row's session; pending rows of a producer that ever hit count as hit_by_producer.
+    """A9 in part (4 of the 7 dispositions): hit, other or pending by a row's session; pending rows of a producer that ever hit count as hit_by_producer.
 
     Two passes: whether a producer ever hits is an aggregate, joined back on the producer.
     """
