@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, table
+from .common import Recent, ship, slices, table
 
 #: Fixed value: the public splitting pattern of this kind of vocabulary. \s is spelled out.
 _S = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
@@ -39,7 +39,7 @@ def byte_symbols() -> dict[str, int]:
 class ByteBPE:
     """A byte-level BPE vocabulary in the tokenizers library's JSON format."""
 
-    def __init__(self, path: str, keep: int = 200_000):
+    def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, symbol = spec["model"], byte_symbols()
@@ -67,13 +67,15 @@ class ByteBPE:
                 inside[x << 8 | y] = True
         self.inside = inside.tobytes()
         self.find = regex.compile(PATTERN).findall
-        self.pieces: dict[str, bytes] = {}
-        self.fragments: dict[bytes, list[int]] = {}
-        self.keep = keep
+        self.forget()
         self.blob = np.frombuffer(b"".join(self.token), np.uint8)
         self.length = np.array([len(t) for t in self.token], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)[:-1]])
 
+    def forget(self) -> None:
+        """Drop what is known of recent pieces and fragments."""
+        self.pieces, self.fragments = Recent(self._piece), Recent(self._merged, 8 << 20)
+
     def cuts(self, piece: bytes) -> list[bytes]:
         """The fragments of a pre-token between its certain cuts."""
         inside, out, at = self.inside, [], 0
@@ -117,20 +119,8 @@ class ByteBPE:
     def _piece(self, piece: str) -> bytes:
         ids: list[int] = []
         for f in self.cuts(piece.encode("utf-8", "surrogatepass")):
-            got = self.fragments.get(f)
-            if got is None:
-                got = self._merged(f)
-                if len(f) <= 128:
-                    if len(self.fragments) >= self.keep:
-                        self.fragments.clear()
-                    self.fragments[f] = got
-            ids += got
-        out = np.array(ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            if len(self.pieces) >= self.keep:
-                self.pieces.clear()
-            self.pieces[piece] = out
-        return out
+            ids += self.fragments[f] if len(f) <= 128 else self._merged(f)
+        return np.array(ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. Strings of special tokens become their ids."""
@@ -140,7 +130,7 @@ class ByteBPE:
             if k % 2:
                 out.append(np.array([self.special[part]], "<u4").tobytes())
             elif part:
-                out += [pieces.get(p) or self._piece(p) for p in self.find(part)]
+                out += [pieces[p] if len(p) <= 64 else self._piece(p) for p in self.find(part)]
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -155,41 +145,41 @@ class ByteBPE:
 
 
 @lru_cache(2)
-def _load(path: str) -> ByteBPE:
-    return ByteBPE(path)
+def _load(path: str | None) -> ByteBPE:
+    return ByteBPE(path or default_path())
 
 
-def _appended(df: DataFrame, source: str, target: str, kind: T.DataType, arrow: pa.DataType, each, path: str) -> DataFrame:
-    if target in df.columns:
-        raise ValueError(f"column {target} is there already")
+def _appended(df: DataFrame, source: str, target: str, kind: T.DataType, arrow: pa.DataType, each, path: str | None) -> DataFrame:
     ship(df.sparkSession)
+    df = df.drop(target)
     # a wide row's other columns pass through as they are
     schema = T.StructType([*df.schema.fields, T.StructField(target, kind)])
+    at = [c.lower() for c in df.columns].index(source.lower())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _load(path)
-        for b in batches:
-            at = b.schema.get_field_index(source)
-            for lo in range(0, b.num_rows, 500):
-                x = b.slice(lo, 500)
-                out = pa.array([each(bpe, v) for v in x.column(at).to_pylist()], arrow)
-                yield pa.RecordBatch.from_arrays([*x.columns, out], names=[*x.schema.names, target])
+        for x in slices(batches):
+            out = pa.array([each(bpe, v.as_py()) for v in x.column(at)], arrow)
+            yield pa.RecordBatch.from_arrays([*x.columns, out], names=[*x.schema.names, target])
+        bpe.forget()
 
     return df.mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with a binary column of ids (little-endian, unsigned, 32 bits each).
 
-    Null and empty texts give no ids (an empty value). Texts of any length
-    are encoded whole. All other columns, of whatever name, are kept; one
-    already named like the new column is an error. Rows and order don't matter.
+    ``path`` is that of the vocabulary on the executors; without one each of
+    them looks up ``default_path`` for itself. Null and empty texts give no
+    ids (an empty value). Texts of any length are encoded whole. All other
+    columns, of whatever name, are kept, but one already named like the new
+    column, in any case, is replaced. Repeated rows fare alike; an empty table gives no rows.
     """
     return _appended(df, text, ids, T.BinaryType(), pa.binary(), lambda bpe, v: bpe.encode(v or ""), path)
 
 
-def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``df`` with the text that its ids stand for; null and empty ids give the empty text."""
+def decode(df: DataFrame, path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """``df`` with the text that its ids stand for; null and empty ids give the empty text. Columns as in ``encode``."""
     return _appended(df, ids, text, T.StringType(), pa.string(), lambda bpe, v: bpe.decode(v or b""), path)
 
 
@@ -199,7 +189,8 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def digests(docs: DataFrame, path: str) -> DataFrame:
+def digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id with the number of its tokens, and the digests of its ids and of what they decode to."""
     x = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
     return x.select(
         "doc_id",
@@ -210,4 +201,4 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digests(table(spark, sf_dir, "documents"), default_path())
+    return digests(table(spark, sf_dir, "documents"))
