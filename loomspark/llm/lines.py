@@ -1,12 +1,13 @@
 """Line dedup with a sharded minimal perfect hash.
 
-Distinct line hashes that occur in at least two documents go to shards of
-bounded size. Each shard is a minimal perfect hash (levels of bit arrays: a
+Distinct line hashes that occur in at least two documents go, with the number
+of these documents, to shards of bounded size. Each shard is a minimal perfect hash (levels of bit arrays: a
 key that is alone at its position sets the bit, the others go on to the next
 level; the index is the rank of the bit) over three arrays: fingerprint, count
 and first document. Documents send 128-bit hashes of their lines, not lines,
-to probe the arrays; shards that very common lines burden are copied as
-often as their load needs, so that no task takes all probes of one line.
+to probe the arrays: a line goes if the fingerprint is its own, the count
+says enough documents, and the first of them is another. Shards are copied as
+often as the lines that probe them need, so that no task takes all probes of one line.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import SPACES, ship, table, written
+from .common import SPACES, fresh, ship, slices, table, written
 
-#: Keys in a shard on average; probes of repeated lines that one copy of a shard takes; shortest key in code points.
+#: Keys in a shard on average; lines that probe one copy of a shard; shortest key in code points.
 SHARD_KEYS, COPY_LOAD, SHORTEST = 65_536, 100_000, 10
 NO_ID = (1 << 63) - 1
 _STRIP = SPACES.encode()
@@ -117,7 +118,7 @@ def line_hashes(docs: DataFrame) -> DataFrame:
     arrow = pa.schema([("k", pa.int64()), ("th", pa.int64()), ("idx", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             cols: tuple[list, ...] = ([], [], [], [], [])
             k, th, text = (b.column(i) for i in range(3))
             for i in range(b.num_rows):
@@ -135,7 +136,7 @@ def line_hashes(docs: DataFrame) -> DataFrame:
 
 
 def build_shards(repeated: DataFrame, n_shards: int) -> DataFrame:
-    """Repeated line hashes (h1, h2, n, first) to one row of arrays for each shard."""
+    """Repeated line hashes (h1, h2, n documents, first) to one row of arrays for each shard."""
     schema = "shard int, perfect binary, prints binary, counts binary, firsts binary"
 
     def one(pdf):
@@ -154,16 +155,16 @@ def build_shards(repeated: DataFrame, n_shards: int) -> DataFrame:
     return repeated.withColumn("shard", F.pmod("h1", F.lit(n_shards)).cast("int")).groupBy("shard").applyInPandas(one, schema)
 
 
-def probe(hashes: DataFrame, arrays: DataFrame) -> DataFrame:
-    """Lines (k, th, idx, h1, h2, shard, copy) that the arrays (with copy) know from a smaller document."""
-    nulls = [F.lit(None).cast("binary").alias(c) for c in ("perfect", "prints", "firsts")]
+def probe(hashes: DataFrame, arrays: DataFrame, fewest_docs: int) -> DataFrame:
+    """Lines (k, th, idx, h1, h2, shard, copy) that the arrays (with copy) know from enough documents and a smaller one."""
+    nulls = [F.lit(None).cast("binary").alias(c) for c in ("perfect", "prints", "counts", "firsts")]
     lines = hashes.select("shard", "copy", F.lit(1).alias("kind"), "k", "th", "idx", "h1", "h2", *nulls)
-    tables = arrays.select("shard", "copy", F.lit(0).alias("kind"), *[F.lit(0).cast(t).alias(c) for c, t in (("k", "long"), ("th", "long"), ("idx", "int"), ("h1", "long"), ("h2", "long"))], "perfect", "prints", "firsts")
+    tables = arrays.select("shard", "copy", F.lit(0).alias("kind"), *[F.lit(0).cast(t).alias(c) for c, t in (("k", "long"), ("th", "long"), ("idx", "int"), ("h1", "long"), ("h2", "long"))], "perfect", "prints", "counts", "firsts")
     arrow = pa.schema([("k", pa.int64()), ("th", pa.int64()), ("idx", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, mph, prints, firsts = None, None, None, None
-        for b in batches:
+        held, mph, prints, counts, firsts = None, None, None, None, None
+        for b in slices(batches):
             shard, copy, kind, k, th, idx, h1, h2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(8))
             edges = np.flatnonzero((np.diff(shard) != 0) | (np.diff(copy) != 0) | (np.diff(kind) != 0)) + 1
             out: list[list] = [[], [], []]
@@ -173,11 +174,11 @@ def probe(hashes: DataFrame, arrays: DataFrame) -> DataFrame:
                 if kind[lo] == 0:
                     held = (shard[lo], copy[lo])
                     mph = PerfectHash.load(b.column(8)[lo].as_py())
-                    prints, firsts = (np.frombuffer(b.column(i)[lo].as_py(), np.int64) for i in (9, 10))
+                    prints, counts, firsts = (np.frombuffer(b.column(i)[lo].as_py(), t) for i, t in ((9, np.int64), (10, np.uint32), (11, np.int64)))
                 elif held == (shard[lo], copy[lo]):
                     at = mph.index(_unsigned(h1[lo:hi]))
                     hit = at >= 0
-                    hit[hit] = (prints[at[hit]] == h2[lo:hi][hit]) & (firsts[at[hit]] < k[lo:hi][hit])
+                    hit[hit] = (prints[at[hit]] == h2[lo:hi][hit]) & (counts[at[hit]] >= fewest_docs) & (firsts[at[hit]] < k[lo:hi][hit])
                     for c, v in zip(out, (k, th, idx), strict=True):
                         c.append(v[lo:hi][hit])
             if out[0]:
@@ -187,39 +188,44 @@ def probe(hashes: DataFrame, arrays: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "k long, th long, idx int")
 
 
-def dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS, copy_load: int = COPY_LOAD) -> DataFrame:
+def dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS, copy_load: int = COPY_LOAD, fewest_docs: int = 2) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines`` and ``n_dropped`` added.
 
     A line's key is the line without white space at its ends, A-Z lowered.
-    Keys of ten code points or more found in two documents or more lose
-    all their lines but those in the document of the smallest id. Null and
-    empty texts are one empty line. Rows of one id are one document: their
-    common lines are no repeats. A null id counts as larger than any other.
-    Repeated rows fare alike. An empty table gives no rows. All other
-    columns are kept; one named like a new column is an error.
+    Keys of ten code points or more found in ``fewest_docs`` documents (two
+    at least) lose all their lines but those in the document of the smallest
+    id. Null and empty texts are one empty line; lines of any length count
+    whole. Rows of one id are one document: their common lines are no
+    repeats. A null id counts as larger than any other. Repeated rows fare
+    alike. An empty table gives no rows. All other columns are kept, but one
+    that is already named like a new column, in any case, is replaced.
     """
     ship(docs.sparkSession)
-    if clash := {"kept_text", "n_lines", "n_dropped", "_k", "_th", "_rk", "_rth", "_drops"} & {*docs.columns}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
-    keyed = [F.coalesce("doc_id", F.lit(NO_ID)).alias("k"), F.xxhash64("text").alias("th")]
-    hashes = written(line_hashes(docs.select(*keyed, "text")), "line-hashes")
-    found = hashes.groupBy("h1", "h2").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.count("*").alias("n"))
-    repeated = written(found.where("first < last").drop("last"), "line-repeats")
+    new = ["kept_text", "n_lines", "n_dropped"]
+    docs = docs.drop(*new)
+    _k, _th, _drops, _rk, _rth = fresh(docs, "_k", "_th", "_drops", "_rk", "_rth")
+    keyed = [F.coalesce("doc_id", F.lit(NO_ID)), F.xxhash64("text")]
+    hashes = written(line_hashes(docs.select(keyed[0].alias("k"), keyed[1].alias("th"), "text")), "line-hashes")
+    found = hashes.select("h1", "h2", "k").distinct().groupBy("h1", "h2").agg(F.min("k").alias("first"), F.count("*").alias("n"))
+    repeated = written(found.where("n > 1"), "line-repeats")
     n_shards = max(1, -(-repeated.count() // shard_keys))
+    shard = F.pmod("h1", F.lit(n_shards)).cast("int").alias("shard")
     arrays = written(build_shards(repeated, n_shards), "line-arrays")
-    load = repeated.groupBy(F.pmod("h1", F.lit(n_shards)).cast("int").alias("shard")).agg(F.ceil(F.sum("n") / copy_load).cast("int").alias("copies"))
-    sent = hashes.withColumn("shard", F.pmod("h1", F.lit(n_shards)).cast("int")).join(load, "shard")
+    load = hashes.groupBy(shard).agg(F.ceil(F.count("*") / copy_load).cast("int").alias("copies"))
+    load = written(load.join(arrays.select("shard"), "shard", "left_semi"), "line-loads")
+    sent = hashes.withColumn("shard", shard).join(load, "shard")
     sent = sent.withColumn("copy", F.pmod(F.xxhash64("k", "idx"), F.col("copies")).cast("int"))
     copied = arrays.join(load, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    drops = probe(sent, copied).groupBy("k", "th").agg(F.collect_set("idx").alias("_drops")).toDF("_rk", "_rth", "_drops")
+    drops = probe(sent, copied, fewest_docs).groupBy("k", "th").agg(F.collect_set("idx").alias(_drops)).toDF(_rk, _rth, _drops)
     keep = docs.columns
-    whole = docs.withColumns({"_k": keyed[0], "_th": keyed[1]})
-    joined = whole.join(drops, (F.col("_k") == F.col("_rk")) & (F.col("_th") == F.col("_rth")), "left").select(*keep, "_drops")
-    schema = T.StructType([*docs.schema.fields, T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    whole = docs.withColumns({_k: keyed[0], _th: keyed[1]})
+    joined = whole.join(drops, (F.col(_k) == F.col(_rk)) & (F.col(_th) == F.col(_rth)), "left").select(*keep, _drops)
+    schema = T.StructType([*docs.schema.fields, T.StructField(new[0], T.StringType()), *[T.StructField(c, T.LongType()) for c in new[1:]]])
+    at = [c.lower() for c in keep].index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, drops = b.column(keep.index("text")), b.column(len(keep))
+        for b in slices(batches):
+            texts, drops = b.column(at), b.column(len(keep))
             kept, n, lost = [], [], []
             for i in range(b.num_rows):
                 lines, gone = (texts[i].as_py() or "").split("\n"), drops[i].as_py()
@@ -229,8 +235,8 @@ def dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS, copy_load: int = COPY_L
                     gone = {*gone}
                     lines = [x for j, x in enumerate(lines) if j not in gone]
                 kept.append("\n".join(lines))
-            new = [pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(lost, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], *new], names=[*keep, "kept_text", "n_lines", "n_dropped"])
+            cols = [pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(lost, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], *cols], names=[*keep, *new])
 
     return joined.mapInArrow(run, schema)
 
