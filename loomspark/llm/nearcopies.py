@@ -8,10 +8,10 @@ Documents of equal shingle sets are one node from the start. A bucket never yiel
 1. every member of a bucket is paired with the bucket's least member;
 2. in buckets that still hold several components, the members outside the
    largest are held against all others where they lie, in blocks of bounded
-   size, and only pairs that link two components are given out.
+   bytes, and only pairs that link two components are given out.
 
 Each candidate is first held against the signatures (one byte a minimum), far
-below the threshold, then confirmed on the full shingle sets. Components are
+below the threshold, then confirmed on the full shingle sets before it joins anything. Components are
 found by alternating large-star and small-star.
 """
 
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, written
+from .common import ship, slices, table, written
 from .components import components
 
 WIDTH, BANDS, PER_BAND, THRESHOLD = 5, 48, 6, 75
@@ -34,15 +34,14 @@ HASHES = BANDS * PER_BAND
 LEAST_AGREEMENT = THRESHOLD / 100 - 5 * (THRESHOLD / 100 * (1 - THRESHOLD / 100) / HASHES) ** 0.5
 #: Members that one copy of a leader's text is held against.
 COPY_LOAD = 2000
-#: Members of a bucket that meet in one task: outside its largest component, and all.
-OUTSIDE, INSIDE = 1000, 10_000
+#: Shingles (8 bytes each) of a bucket's members that meet in one task: outside its largest component, and of all.
+OUTSIDE, INSIDE = 400_000, 4_000_000
 
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _B = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 _P = _rng.integers(0, 1 << 62, (WIDTH + 1, WIDTH), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _Q = _rng.integers(0, 1 << 62, PER_BAND, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_words: dict[bytes, int] = {}
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -56,14 +55,7 @@ def shingles(text: str | None) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z, and the six white spaces
     if not words:
         return np.empty(0, np.uint64)
-    if len(_words) > 300_000:
-        _words.clear()
-    known, ids = _words, np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = known.get(w)
-        if h is None:
-            h = known[w] = xxhash.xxh3_64_intdigest(w)
-        ids[i] = h
+    ids = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     width = min(WIDTH, len(words))
     n = len(words) - width + 1
     x = np.full(n, width, np.uint64)
@@ -99,7 +91,7 @@ def sketch(docs: DataFrame) -> DataFrame:
     fields = [("doc_id", pa.int64()), ("th", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sig", pa.binary()), ("keys", pa.list_(pa.int64()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             n, s1, s2, sig, keys = [], [], [], [], []
             for t in b.column(2):
                 s = shingles(t.as_py())
@@ -122,7 +114,7 @@ def _agreeing(pairs: DataFrame) -> DataFrame:
     """Of (a, b, sig_a, sig_b) the pairs whose signatures agree far enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for x in batches:
+        for x in slices(batches):
             sides = [np.frombuffer(b"".join(x.column(i).to_pylist()), np.uint8).reshape(-1, HASHES) for i in (2, 3)]
             same = (sides[0] == sides[1]).mean(axis=1)
             ok = pa.array((same - 1 / 256) / (1 - 1 / 256) >= LEAST_AGREEMENT)
@@ -144,7 +136,7 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, base = None, None
-        for x in batches:
+        for x in slices(batches):
             out_a, out_b = [], []
             a, copy, b, text = (x.column(i) for i in range(4))
             for i in range(x.num_rows):
@@ -183,7 +175,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     found = checked(_sized(members.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("lead.node").alias("b"), F.col("lead.n").alias("nb"))), "near1")
     of = written(components(found), "near1-components")
     x = members.select("key", "node", "n").join(of, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    more = written(_confirmed(written(_between(x, nodes, docs), "near2-pairs"), nodes, docs), "near2-links")
+    more = written(_between(x, nodes, docs), "near2-links")
     # the links between components join these; only labels take part
     side = lambda c: of.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     labels = more.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"))
@@ -196,11 +188,12 @@ def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     """Members (key, node, n, c) to pairs (a, b) that link different components c of one bucket.
 
     In a bucket of several components, every member outside the largest
-    is held against all. Tasks get blocks of at most OUTSIDE such members and
-    INSIDE others, with signatures and sets; only the pairs that link two
-    components are given out, one for each two components of a block.
+    is held against all. Tasks get blocks of such members with OUTSIDE
+    shingles or so and of others with INSIDE, with signatures and full sets,
+    on which a pair is confirmed before it counts; only the pairs that link
+    two components are given out, one for each two components of a block.
     """
-    by = members.groupBy("key", "c").agg(F.count("*").alias("m")).groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("all"), F.max(F.struct("m", "c")).alias("top"))
+    by = members.groupBy("key", "c").agg(F.sum("n").alias("m")).groupBy("key").agg(F.count("*").alias("cs"), F.sum("m").alias("all"), F.max(F.struct("m", "c")).alias("top"))
     by = by.where("cs > 1").select("key", F.col("top.c").alias("main"), F.ceil((F.col("all") - F.col("top.m")) / OUTSIDE).cast("int").alias("blocks"), F.ceil(F.col("all") / INSIDE).cast("int").alias("chunks"))
     open_ = written(members.join(by, "key"), "near2-open")
     needed = open_.select("node").distinct()
@@ -210,7 +203,7 @@ def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     pick = lambda c: F.pmod(F.xxhash64("node", F.lit(c)), F.col(c)).cast("int")
     outside = open_.where("c != main").select("key", "node", "n", "c", F.lit(0).alias("role"), pick("blocks").alias("block"), F.explode(numbers("chunks")).alias("chunk"))
     every = open_.select("key", "node", "n", "c", F.lit(1).alias("role"), F.explode(numbers("blocks")).alias("block"), pick("chunks").alias("chunk"))
-    rows = outside.union(every).join(sets, "node").select("key", "block", "chunk", "role", "node", "n", "c", "sig", "set32")
+    rows = outside.union(every).join(sets, "node").select("key", "block", "chunk", "role", "node", "n", "c", "sig", "shingles")
 
     def solve(group: list[list]) -> list[tuple[int, int]]:
         role, node, n, c = (np.array(group[k], np.int64) for k in (3, 4, 5, 6))
@@ -223,14 +216,14 @@ def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
                 x = same[x]
             return x
 
-        found = []
+        found: list[tuple[int, int]] = []
         for i in out.tolist():
             near = inner[(c[inner] != c[i]) & (100 * n[inner] >= THRESHOLD * n[i]) & (100 * n[i] >= THRESHOLD * n[inner])]
             near = near[((sigs[near] == sigs[i]).mean(axis=1) - 1 / 256) / (1 - 1 / 256) >= LEAST_AGREEMENT]
             if not len(near):
                 continue
-            own = np.frombuffer(group[8][i], np.uint32)
-            others = [np.frombuffer(group[8][j], np.uint32) for j in near.tolist()]
+            own = np.frombuffer(group[8][i], np.uint64)
+            others = [np.frombuffer(group[8][j], np.uint64) for j in near.tolist()]
             flat = np.concatenate(others)
             at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
             sizes = np.array([len(o) for o in others])
@@ -249,7 +242,7 @@ def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
             pairs = solve(group) if group[0] else []
             return pa.RecordBatch.from_arrays([pa.array([int(p[k]) for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-        for x in batches:
+        for x in slices(batches):
             for row in zip(*(col.to_pylist() for col in x.columns), strict=True):
                 if row[:3] != held:
                     yield give()
@@ -263,15 +256,15 @@ def _between(members: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
 
 
 def _sets(keys: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, d, h, sig) to node, sig and set32: the shingles as sorted 32-bit hashes."""
+    """(node, d, h, sig) to node, sig and shingles: the full set."""
     joined = docs.join(keys, (docs["doc_id"] == keys["d"]) & (docs["th"] == keys["h"])).select("node", "sig", "text").dropDuplicates(["node"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [np.unique((shingles(t.as_py()) >> np.uint64(32)).astype(np.uint32)).tobytes() for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())], names=["node", "sig", "set32"])
+        for b in slices(batches):
+            sets = [shingles(t.as_py()).tobytes() for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sets, pa.binary())], names=["node", "sig", "shingles"])
 
-    return joined.mapInArrow(run, "node long, sig binary, set32 binary")
+    return joined.mapInArrow(run, "node long, sig binary, shingles binary")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
