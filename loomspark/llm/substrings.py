@@ -19,6 +19,7 @@ hashes of their strings instead, which finds the same repeats.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ship, table, written
+from .common import fresh, ship, slices, table, written
 
 SPAN, GRAM = 200, 32
 WINDOW = SPAN - GRAM + 1
@@ -38,20 +39,33 @@ NO_ID = (1 << 63) - 1
 END = 0xFF
 
 _rng = np.random.default_rng(64)
-_BYTE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_rng.integers(0, 1 << 62)) * 2 + 1
-_power: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Two polynomial hashes, so that equality of strings has 128 bits: values of bytes and base of each.
+_BYTE = [_rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2)]
+_BASE = [int(_rng.integers(0, 1 << 62)) * 2 + 1 for _ in range(2)]
 
 
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    if len(_power[0]) < n:
-        n = max(n, 2 * len(_power[0]), 1 << 16)
-        for k, b in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(n, b, np.uint64)
-            x[0] = 1
-            _power[k] = np.multiply.accumulate(x)
-    return _power
+@lru_cache(2)
+def _kept_powers(which: int) -> list[np.ndarray]:
+    return _made_powers(which, 1 << 16)
+
+
+def _made_powers(which: int, n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse."""
+    out = []
+    for b in (_BASE[which], pow(_BASE[which], -1, 1 << 64)):
+        x = np.full(n, b, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out
+
+
+def _sums(which: int, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of a text's polynomial, and the powers that shift a difference of them to the front."""
+    n = len(data)
+    up, down = _kept_powers(which) if n < 1 << 16 else _made_powers(which, n + 1)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[which][np.frombuffer(data, np.uint8)] * up[:n], out=sums[1:])
+    return sums, down
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -69,13 +83,11 @@ def _sliding(x: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def anchors(data: bytes) -> tuple[np.ndarray, ...] | None:
-    """Of a text: hash of each anchor, hash of its context, first and last start of the strings that it is the anchor of."""
+    """Of a text: hash of each anchor, two hashes of its context, first and last start of the strings that it is the anchor of."""
     n = len(data)
     if n < SPAN:
         return None
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[np.frombuffer(data, np.uint8)] * up[:n], out=sums[1:])
+    sums, down = _sums(0, data)
     m = n - GRAM + 1
     grams = _mixed((sums[GRAM:] - sums[:m]) * down[:m])
     # the place goes into the low bits, so that the first of the least is found with it
@@ -85,8 +97,10 @@ def anchors(data: bytes) -> tuple[np.ndarray, ...] | None:
     first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
     last = np.append(first[1:] - 1, len(at) - 1)
     chosen = at[first]
-    context = _mixed((sums[last + SPAN] - sums[first]) * down[first] + (last - first).astype(np.uint64))
-    return grams[chosen].view(np.int64), context.view(np.int64), first.astype(np.int32), last.astype(np.int32)
+    context = []
+    for sums, down in ((sums, down), _sums(1, data)):
+        context.append(_mixed((sums[last + SPAN] - sums[first]) * down[first] + (last - first).astype(np.uint64)).view(np.int64))
+    return grams[chosen].view(np.int64), *context, first.astype(np.int32), last.astype(np.int32)
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -191,15 +205,15 @@ def _runs(x: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _anchor_rows(docs: DataFrame) -> DataFrame:
-    names = ["h", "c", "k", "th", "s", "t"]
+    names = ["h", "c", "c2", "k", "th", "s", "t"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             out: list[list] = [[] for _ in names]
             for k, th, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 if found := anchors((text.as_py() or "").encode("utf-8", "surrogatepass")):
                     n = len(found[0])
-                    for c, v in zip(out, (found[0], found[1], np.full(n, k), np.full(n, th), found[2], found[3]), strict=True):
+                    for c, v in zip(out, (*found[:3], np.full(n, k), np.full(n, th), *found[3:]), strict=True):
                         c.append(v)
                 if len(out[0]) >= 1000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
@@ -207,7 +221,7 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
-    return docs.mapInArrow(run, "h long, c long, k long, th long, s int, t int")
+    return docs.mapInArrow(run, "h long, c long, c2 long, k long, th long, s int, t int")
 
 
 def _contexts(needed: DataFrame, docs: DataFrame) -> DataFrame:
@@ -219,7 +233,7 @@ def _contexts(needed: DataFrame, docs: DataFrame) -> DataFrame:
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for lo in range(0, b.num_rows, 200):
                 out: list[list] = [[] for _ in names]
                 for row in b.slice(lo, 200).to_pylist():
@@ -247,7 +261,7 @@ def _sorted_repeats(contexts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
-        for b in batches:
+        for b in slices(batches):
             for row in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
                 if size >= SORT_BYTES and row[0] != rows[-1][0]:
                     yield solve(rows)
@@ -263,28 +277,24 @@ def _sorted_repeats(contexts: DataFrame) -> DataFrame:
 
 def _grouped_repeats(contexts: DataFrame) -> DataFrame:
     """The same for anchors of very many contexts: strings of equal hashes, grouped."""
-    names = ["w", "v", "k", "th", "i"]
+    names = ["w", "w2", "v", "k", "th", "i"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             for lo in range(0, b.num_rows, 500):
                 out: list[list] = [[] for _ in names]
                 for h, k, th, s, data in zip(*(b.slice(lo, 500).column(i).to_pylist() for i in range(5)), strict=True):
-                    n = len(data)
-                    up, down = _powers(n + 1)
-                    sums = np.zeros(n + 1, np.uint64)
-                    np.cumsum(_BYTE[np.frombuffer(data, np.uint8)] * up[:n], out=sums[1:])
-                    m = n - SPAN + 1
-                    w = _mixed((sums[SPAN:] - sums[:m]) * down[:m]).view(np.int64)
-                    # equal strings have their anchor at the same place, from the end of the context
-                    for c, v in zip(out, (w, np.full(m, h), np.full(m, k), np.full(m, th), np.arange(s, s + m, dtype=np.int32)), strict=True):
+                    m, w = len(data) - SPAN + 1, []
+                    for sums, down in (_sums(0, data), _sums(1, data)):
+                        w.append(_mixed((sums[SPAN:] - sums[:m]) * down[:m]).view(np.int64))
+                    for c, v in zip(out, (*w, np.full(m, h), np.full(m, k), np.full(m, th), np.arange(s, s + m, dtype=np.int32)), strict=True):
                         c.append(v)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=names)
 
-    x = contexts.select("h", "k", "th", "s", "context").mapInArrow(run, "w long, v long, k long, th long, i int")
-    counts = x.groupBy("w", "v").agg(F.count("*").alias("n")).where("n > 1").select("w", "v")
-    return x.join(counts, ["w", "v"]).select("k", "th", F.col("i").alias("s"), (F.col("i") + SPAN).alias("e"))
+    x = contexts.select("h", "k", "th", "s", "context").mapInArrow(run, "w long, w2 long, v long, k long, th long, i int")
+    counts = x.groupBy("w", "w2", "v").agg(F.count("*").alias("n")).where("n > 1").select("w", "w2", "v")
+    return x.join(counts, ["w", "w2", "v"]).select("k", "th", F.col("i").alias("s"), (F.col("i") + SPAN).alias("e"))
 
 
 def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
@@ -293,10 +303,10 @@ def repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     # written, so that both sides of the join are plain exchanges, which adaptive execution can split
     several = written(found.groupBy("h").agg(F.count("*").alias("total")).where("total > 1").select("h"), "spans-several")
     found = written(found.join(several, "h"), "spans-anchors")
-    kinds = found.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("k", "th", "s", "t")).alias("rep"))
+    kinds = found.groupBy("h", "c", "c2").agg(F.count("*").alias("n"), F.min(F.struct("k", "th", "s", "t")).alias("rep"))
     kinds = written(kinds, "spans-kinds")
     per_anchor = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    whole = found.join(kinds.where("n > 1").select("h", "c"), ["h", "c"]).select("k", "th", "s", (F.col("t") + SPAN).alias("e"))
+    whole = found.join(kinds.where("n > 1").select("h", "c", "c2"), ["h", "c", "c2"]).select("k", "th", "s", (F.col("t") + SPAN).alias("e"))
     contexts = written(_contexts(kinds.join(per_anchor, "h"), docs), "spans-contexts")
     mixed = _sorted_repeats(contexts.where(F.col("kinds") <= hot))
     rest = _grouped_repeats(contexts.where(F.col("kinds") > hot))
@@ -310,25 +320,26 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     in the same text too. A text is its UTF-8 bytes; null is empty; texts
     below 200 bytes keep all, longer ones are searched whole. A repeated row is another
     document, so it and the first lose all (of 200 bytes or more); null ids
-    are ids. An empty table gives no rows. All other columns are kept; one
-    named like a new column is an error.
+    are ids. An empty table gives no rows. All other columns are kept,
+    but one that is already named like a new column, in any case, is replaced.
     """
     ship(docs.sparkSession)
-    if clash := {"kept", "spans", "n_bytes", "_k", "_th", "_rk", "_rth", "_ranges"} & {*docs.columns}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
-    keys = {"_k": F.coalesce("doc_id", F.lit(NO_ID)), "_th": F.xxhash64("text")}
-    found = repeats(docs.select(keys["_k"].alias("k"), keys["_th"].alias("th"), "text"), hot)
-    ranges = found.groupBy("k", "th").agg(F.collect_set(F.struct("s", "e")).alias("_ranges")).toDF("_rk", "_rth", "_ranges")
+    docs = docs.drop("kept", "spans", "n_bytes")
+    _k, _th, _ranges, _rk, _rth = fresh(docs, "_k", "_th", "_ranges", "_rk", "_rth")
+    keys = {_k: F.coalesce("doc_id", F.lit(NO_ID)), _th: F.xxhash64("text")}
+    found = repeats(docs.select(keys[_k].alias("k"), keys[_th].alias("th"), "text"), hot)
+    ranges = found.groupBy("k", "th").agg(F.collect_set(F.struct("s", "e")).alias(_ranges)).toDF(_rk, _rth, _ranges)
     keep = docs.columns
-    joined = docs.withColumns(keys).join(ranges, (F.col("_k") == F.col("_rk")) & (F.col("_th") == F.col("_rth")), "left").select(*keep, "_ranges")
+    at = [c.lower() for c in keep].index("text")
+    joined = docs.withColumns(keys).join(ranges, (F.col(_k) == F.col(_rk)) & (F.col(_th) == F.col(_rth)), "left").select(*keep, _ranges)
     span = T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("spans", span), T.StructField("n_bytes", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
-        for b in batches:
+        for b in slices(batches):
             kept, spans, sizes = [], [], []
-            for text, ranges in zip(b.column(keep.index("text")), b.column(len(keep)).to_pylist(), strict=True):
+            for text, ranges in zip(b.column(at), b.column(len(keep)).to_pylist(), strict=True):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 merged: list[list[int]] = []
                 for s, e in sorted((r["s"], r["e"]) for r in ranges or ()):
