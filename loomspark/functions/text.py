@@ -16,6 +16,24 @@ CN_ID = r"(^|[^0-9.])([0-9]{17}[0-9Xx])([^0-9]|$)"
 PHONE = r"\b1[3-9][0-9]{9}\b"
 PHONE_SPACED = r"\b1[3-9][0-9]{2}[ -]?[0-9]{4}[ -]?[0-9]{4}\b"
 LANDLINE = r"\b0[0-9]{2,3}[ -]?[0-9]{7,8}\b"
+PERSON = r"(?:(?:姓名|名字|联系人|收件人|客户|患者)\s*[:：]\s*\p{IsHan}{2,4}|我叫\s*\p{IsHan}{2,4})"
+ADDRESS = r"(?:地址|住址|收货地址|家庭住址|工作地址)\s*[:：]?\s*[^,，;；。\n]{4,80}"
+#: The order in which free text is masked; the identity card comes last, with what stands around it.
+MASKED_PATTERNS = [EMAIL, PHONE, PHONE_SPACED, LANDLINE, BEARER, API_KEY, ACCESS_KEY, PERSON, ADDRESS]
+ENVIRONMENT = r"(?i)(?:/[a-z0-9_.-]+/|[a-z]:\\|localhost|127\.0\.0\.1|:[0-9]{2,5}\b|\.[a-z0-9]{1,8}\b)"
+TOOL_STATUSES = {
+    "success": ["success", "succeeded", "completed", "complete", "ok"],
+    "error": ["error", "errored", "failed", "failure"],
+    "cancelled": ["cancel", "cancelled", "canceled"],
+    "timeout": ["timeout", "timed_out"],
+}
+TERMINAL_STATUSES = {
+    "completed": ["success", "succeeded", "completed", "complete", "ok"],
+    "failed": ["error", "errored", "failed", "failure"],
+    "cancelled": ["cancel", "cancelled", "canceled", "abort", "aborted", "abandoned"],
+    "terminated": ["terminate", "terminated", "closed"],
+}
+MASK, BASE64_MASK = "<|mask_privacy|>", "<base64-excluded>"
 INJECTION = (
     r"(?i)(?:\b(?:ignore|disregard|override)\s+(?:all\s+)?(?:the\s+)?(?:previous|prior|above|system|developer)\s+instructions?\b"
     r"|\b(?:jailbreak|do\s+anything\s+now|dan\s+mode|prompt\s+injection)\b"
@@ -50,9 +68,6 @@ MODEL_VERSIONS = {
 TRACEPARENT = r"^([0-9a-fA-F]{2})-([0-9a-fA-F]{32})-([0-9a-fA-F]{16})-([0-9a-fA-F]{2})$"
 # ---------------------------------------------------------------------------------------------
 
-MASK = "[MASKED]"
-
-
 def present(c: Column) -> Column:
     """Blank counts as missing."""
     return F.when(F.trim(c) != "", c)
@@ -60,10 +75,10 @@ def present(c: Column) -> Column:
 
 def mask_patterns(c: Column, mask: str = MASK) -> Column:
     """P12 on free text: every secret or personal pattern becomes the mask."""
-    c = F.regexp_replace(c, CN_ID, "$1" + mask.replace("$", r"\$") + "$3")
-    for p in (BEARER, API_KEY, ACCESS_KEY, EMAIL, PHONE, PHONE_SPACED, LANDLINE):
-        c = F.regexp_replace(c, p, mask)
-    return c
+    plain = mask.replace("\\", r"\\").replace("$", r"\$")
+    for p in MASKED_PATTERNS:
+        c = F.regexp_replace(c, p, plain)
+    return F.regexp_replace(c, CN_ID, f"$1{plain}$3")
 
 
 def is_injection(c: Column) -> Column:
@@ -72,9 +87,16 @@ def is_injection(c: Column) -> Column:
 
 
 def scrub_base64(c: Column) -> tuple[Column, Column]:
-    """P14 on strings: data urls (``;base64,`` within 128 characters) are cut; also the bytes that went."""
-    cut = F.instr(F.substring(c, 1, 128), ";base64,") > 0
-    return F.when(cut, F.lit("[base64]")).otherwise(c), F.when(cut, F.octet_length(c)).otherwise(0).cast("long")
+    """P14 on strings: data urls (``;base64,`` in any case within 128 bytes) are cut; also the bytes that went, those of the payload."""
+    cut = F.instr(F.lower(F.substring(c.cast("binary"), 1, 128).cast("string")), ";base64,") > 0
+    at = F.instr(c, ";base64,")
+    payload = F.when(at > 0, F.substring(c, at + 8, F.length(c))).otherwise(c)
+    return F.when(cut, F.lit(BASE64_MASK)).otherwise(c), F.when(cut, F.octet_length(payload)).otherwise(0).cast("long")
+
+
+def has_environment_signal(c: Column) -> Column:
+    """Whether a text names a path, host, port or file ending."""
+    return F.coalesce(c.rlike(ENVIRONMENT), F.lit(False))
 
 
 def normal_event(c: Column) -> Column:
@@ -170,22 +192,64 @@ def stable_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(prefix + "-"), F.sha2(F.concat_ws("\0", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256))
 
 
+def _status(c: Column, names: dict[str, list[str]], rest: str) -> Column:
+    low, out = F.lower(F.trim(c)), F.lit(rest)
+    for status, words in names.items():
+        out = F.when(low.isin(words), status).otherwise(out)
+    return out
+
+
 def tool_status(c: Column) -> Column:
-    """A tool's status to completed, failed, cancelled or running; null where unknown."""
-    s = normal_event(c)
-    return (
-        F.when(s.isin("completed", "complete", "success", "succeeded", "ok", "done"), "completed")
-        .when(s.isin("failed", "failure", "error", "errored", "timeout", "timed_out", "denied", "rejected"), "failed")
-        .when(s.isin("cancelled", "canceled", "aborted", "interrupted"), "cancelled")
-        .when(s.isin("running", "in_progress", "started", "pending"), "running")
-    )
+    """A tool's status: success, error, cancelled, timeout or unknown."""
+    return _status(c, TOOL_STATUSES, "unknown")
+
+
+def terminal_status(c: Column) -> Column:
+    """A session's or node's last status: completed, failed, cancelled, terminated or incomplete."""
+    return _status(c, TERMINAL_STATUSES, "incomplete")
 
 
 def process_header(c: Column) -> Column:
-    """Struct (exit_code, session) of a process report; only what stands above ``Output:`` counts."""
-    head = F.substring_index(c, "Output:", 1)
-    code = F.regexp_extract(head, r"(?i)exit(?:ed with)? code:?\s*(-?\d+)", 1).try_cast("int")
-    return F.struct(code.alias("exit_code"), F.regexp_extract(head, r"(?i)session id:?\s*(\S+)", 1).alias("session"))
+    """Struct (state, exit_code, session_id, success) of a process report, or null.
+
+    Only lines above the first that is ``Output:`` count; there must be such
+    a line, a wall time above it, and exactly one outcome.
+    """
+    lines = F.split(c, r"\r?\n")
+    end = F.array_position(lines, "Output:")
+    head = F.when(end > 0, F.slice(lines, 1, (end - 1).cast("int")))
+    numbers = lambda pattern, kind: F.array_compact(F.transform(F.filter(head, lambda x: x.rlike(pattern)), lambda x: F.regexp_extract(x, pattern, 1).try_cast(kind)))
+    codes, ids = numbers(r"^Process exited with code ([+-]?\d+)$", "int"), numbers(r"^Process running with session ID ([+-]?\d+)$", "long")
+    timed = F.exists(head, lambda x: x.startswith("Wall time: ") & x.endswith(" seconds"))
+    exited, code = F.size(codes) == 1, F.get(codes, 0)
+    found = F.struct(F.when(exited, "exited").otherwise("running").alias("state"), code.alias("exit_code"), F.get(ids, 0).alias("session_id"), F.when(exited, code == 0).alias("success"))
+    return F.when(timed & (F.size(codes) + F.size(ids) == 1), found)
+
+
+def prefix_bytes(c: Column, most: int) -> Column:
+    """The longest prefix of at most ``most`` UTF-8 bytes that cuts no character."""
+    raw = F.substring(c.cast("binary"), 1, most)
+    back = F.array(*[F.substring(c.cast("binary"), 1, most - k) for k in range(min(4, most + 1))])
+    whole = F.filter(back, lambda x: F.is_valid_utf8(x.cast("string")))
+    return F.when(F.octet_length(c) <= most, c).otherwise(F.coalesce(F.get(whole, 0), raw).cast("string"))
+
+
+def without_controls(c: Column, most: int = 160, otherwise: str = "<unnamed>") -> Column:
+    """A name for diagnostics: longer ones, and those with control characters, give way to a placeholder."""
+    return F.when((F.octet_length(c) <= most) & ~c.rlike(r"\p{Cc}"), c).otherwise(otherwise)
+
+
+def started_at(finished: Column, duration_ms: Column) -> Column:
+    """The time that a duration before another was."""
+    return F.timestamp_millis(F.unix_millis(finished) - duration_ms)
+
+
+def period(ts: Column, kind: str) -> Column:
+    """Struct (start, end): the day, week (from Monday), month or year that holds a time, the end exclusive."""
+    start = F.date_trunc(kind, ts)
+    months = {"month": 1, "year": 12}
+    after = F.timestamp_add("MONTH", F.lit(months[kind]), start) if kind in months else F.timestamp_add("DAY", F.lit(7 if kind == "week" else 1), start)
+    return F.struct(start.alias("start"), after.alias("end"))
 
 
 def safe_identifier(c: Column) -> Column:

@@ -16,12 +16,21 @@ from pyspark.sql import types as T
 # --- fixed values: usage aliases ---------------------------------------------------------------
 USAGE = {
     "input_tokens": ["input_tokens", "prompt_tokens", "inputTokens", "promptTokens"],
+    "cached_input_tokens": ["cached_input_tokens", "cache_read_input_tokens", "input_tokens_details.cached_tokens", "cache_read_tokens", "cacheReadTokens"],
+    "cache_creation_input_tokens": ["cache_creation_input_tokens", "cache_write_input_tokens", "cache_write_tokens", "cache_creation_tokens", "cacheCreateTokens"],
     "output_tokens": ["output_tokens", "completion_tokens", "outputTokens", "completionTokens"],
-    "total_tokens": ["total_tokens", "totalTokens"],
-    "cache_read_tokens": ["cache_read_input_tokens", "cache_read_tokens", "cached_tokens"],
+    "reasoning_tokens": ["reasoning_tokens", "reasoning_output_tokens", "output_tokens_details.reasoning_tokens"],
+    "total_tokens": ["total_tokens", "totalTokens", "allTokens"],
 }
-SENSITIVE_KEYS = ["password", "passwd", "secret", "token", "api_key", "apikey", "authorization", "cookie", "email", "phone", "mobile", "address", "id_card"]
-BASE64_KEYS = ["image_url", "data", "b64_json", "file_data"]
+#: Names of keys whose values are masked, as they are without anything but letters and digits, in lower case.
+SENSITIVE_KEYS = [
+    "authorization", "cookie", "setcookie", "proxyauthorization", "xapikey", "xauthtoken", "password", "secret", "apikey", "accesstoken", "refreshtoken",
+    "phone", "phonenumber", "mobilephone", "telephone", "tel", "mobile", "email", "emailaddress",
+    "address", "streetaddress", "shippingaddress", "billingaddress", "homeaddress", "workaddress", "postaladdress",
+    "idcard", "identitycard", "idnumber", "nationalid", "passport", "passportnumber", "bankcard", "creditcard", "ssn",
+    "fullname", "firstname", "lastname", "givenname", "familyname", "personname", "contactname", "recipientname", "customername", "patientname", "realname", "username",
+]
+BASE64_KEYS = ["b64_json", "base64", "image_base64", "audio_base64"]
 # -----------------------------------------------------------------------------------------------
 
 
@@ -73,22 +82,27 @@ def attributes(rows: DataFrame, keys: list[str], attrs: str) -> DataFrame:
     )
 
 
-def _walk(value, leaf, key=None):
+def _walk(value, leaf, key=None, whole=None):
+    """Leaves rewritten by ``leaf(key, value)``; ``whole(key)`` may replace a value of any kind by something that isn't None."""
     if isinstance(value, dict):
-        return {k: _walk(v, leaf, k) for k, v in value.items()}
+        out = {}
+        for k, v in value.items():
+            put = whole(k) if whole else None
+            out[k] = _walk(v, leaf, k, whole) if put is None else put
+        return out
     if isinstance(value, list):
-        return [_walk(v, leaf, key) for v in value]
+        return [_walk(v, leaf, key, whole) for v in value]
     return leaf(key, value)
 
 
-def rewritten(leaf):
+def rewritten(leaf, whole=None):
     """A Pandas UDF that rewrites all leaves of JSON texts, to any depth; texts that aren't JSON become null."""
 
     @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         def one(t):
             try:
-                return None if t is None else json.dumps(_walk(json.loads(t), leaf), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+                return None if t is None else json.dumps(_walk(json.loads(t), leaf, None, whole), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
             except ValueError:
                 return None
 
@@ -97,35 +111,36 @@ def rewritten(leaf):
     return run
 
 
-def mask_json(c: Column, mask: str = "[MASKED]") -> Column:
-    """P12, recursive: values of sensitive keys go whole, other strings by pattern."""
-    import re
+def mask_json(c: Column, mask: str | None = None) -> Column:
+    """P12, recursive: values of sensitive keys go whole, whatever they are; other strings by pattern."""
+    import regex
 
     from . import text
 
-    patterns = [re.compile(p) for p in (text.BEARER, text.API_KEY, text.ACCESS_KEY, text.EMAIL, text.PHONE, text.PHONE_SPACED, text.LANDLINE)]
-    card = re.compile(text.CN_ID)
-    sensitive = {k.replace("_", "") for k in SENSITIVE_KEYS}
+    mask = text.MASK if mask is None else mask
+    patterns = [regex.compile(p.replace(r"\p{IsHan}", r"\p{Han}")) for p in text.MASKED_PATTERNS]
+    card, sensitive = regex.compile(text.CN_ID), {*SENSITIVE_KEYS}
+    plain = lambda k: "".join(x for x in k if x.isascii() and x.isalnum()).lower()
 
     def leaf(key, v):
-        if key is not None and key.lower().replace("_", "").replace("-", "") in sensitive and v not in (None, ""):
-            return mask
         if isinstance(v, str):
-            v = card.sub(lambda m: m[1] + mask + m[3], v)
             for p in patterns:
-                v = p.sub(mask, v)
+                v = p.sub(lambda _: mask, v)
+            v = card.sub(lambda m: m[1] + mask + m[3], v)
         return v
 
-    return rewritten(leaf)(c)
+    return rewritten(leaf, lambda k: mask if plain(k) in sensitive else None)(c)
 
 
 def scrub_json(c: Column) -> Column:
-    """P14, recursive: base64 payloads of known keys or data urls are cut."""
-    keys = {*BASE64_KEYS}
+    """P14, recursive: strings of known keys and data urls are cut."""
+    from . import text
+
+    keys, mask = {*BASE64_KEYS}, text.BASE64_MASK
 
     def leaf(key, v):
-        if isinstance(v, str) and (";base64," in v[:128] or key in keys and len(v) > 256 and " " not in v):
-            return "[base64]"
+        if isinstance(v, str) and (key is not None and key.lower() in keys or b";base64," in v.encode("utf-8", "surrogatepass")[:128].lower()):
+            return mask
         return v
 
     return rewritten(leaf)(c)

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` into ``spark.checkpoint.dir``; a folder of our own only where none is named."""
-    sc = df.sparkSession.sparkContext
+def shared(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only in local mode, where none is named."""
+    sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="loomspark-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``checkpoint()`` into the shared folder."""
+    shared(df.sparkSession)
     return df.checkpoint()

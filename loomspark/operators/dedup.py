@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .checkpoint import cut
+
 
 def idempotent(rows: DataFrame, key: str | list[str], digest: str) -> DataFrame:
     """A2: one row an id: ``n`` rows, ``status`` accepted, duplicate (same bytes) or conflict (different bytes)."""
@@ -31,9 +33,20 @@ def contiguous(needle: Column, haystack: Column) -> Column:
     return F.when(F.size(needle) == 0, True).when(last < 0, False).otherwise(F.exists(starts, lambda i: F.slice(haystack, i, F.size(needle)) == needle))
 
 
+#: Parts that a group is ordered in before its winners meet.
+SALTS = 64
+
+
 def winners(rows: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each group by a total order, with its rank 1 rows only."""
-    return rows.withColumn("_r", F.row_number().over(W.partitionBy(*group).orderBy(*order))).where("_r = 1").drop("_r")
+    """The first row of each group by a total order.
+
+    A group's parts, dealt by hash of the row, are ordered first, then their winners, so no task orders a large group.
+    """
+    names = rows.columns
+    x = rows.withColumn("_salt", F.pmod(F.xxhash64(*names), F.lit(SALTS)))
+    for keys in ([*group, "_salt"], group):
+        x = x.withColumn("_r", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")
+    return x.select(*names)
 
 
 def snapshots(rows: DataFrame, key: str, group: str, parts: str, order: list[Column], digest: str = "digest") -> DataFrame:
@@ -44,28 +57,39 @@ def snapshots(rows: DataFrame, key: str, group: str, parts: str, order: list[Col
     repeat: the same content was kept in another group; divergent: kept, but
     not the group's winner; kept: the winner.
 
-    Snapshots of one group meet in one task only as pairs of distinct
-    contents that share their first part, through an equi-join.
+    Keys are distinct. A snapshot is held against those that share its part
+    which is rarest in the group, not against all that share any; arrays meet only then.
     """
-    x = rows.withColumn("_order", F.row_number().over(W.partitionBy(group, digest).orderBy(*order)))
-    distinct = x.where("_order = 1")
-    longer = distinct.select(F.col(group).alias("_g"), F.col(parts).alias("_whole"), F.col(digest).alias("_d"), F.explode(F.array_distinct(parts)).alias("_first"))
-    needle = distinct.select(key, group, parts, digest, F.get(parts, F.lit(0)).alias("_f"))
-    pairs = needle.join(longer, (F.col(group) == F.col("_g")) & (F.col("_f") == F.col("_first")))
-    inside = pairs.where((F.col(digest) != F.col("_d")) & (F.size("_whole") > F.size(parts)) & contiguous(F.col(parts), F.col("_whole"))).select(key).distinct()
-    inside = inside.withColumn("_inside", F.lit(True))
-    y = x.join(inside, key, "left")
-    left = (F.col("_order") == 1) & F.col("_inside").isNull()
-    y = y.withColumn("_rank", F.sum(left.cast("int")).over(W.partitionBy(group).orderBy(*order, key).rowsBetween(W.unboundedPreceding, 0)))
-    y = y.withColumn("_first_group", F.min(F.when(left & (F.col("_rank") == 1), F.col(group))).over(W.partitionBy(digest)))
+    by = list(order) + [F.asc(key)]
+    slim = rows.drop(parts)
+    firsts = winners(slim, [group, digest], by).select(F.col(key).alias("_k")).withColumn("_is_first", F.lit(True))
+    x = cut(rows.join(firsts, rows[key] == firsts["_k"], "left").drop("_k"))
+    distinct = x.where("_is_first").select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(parts).alias("p"), F.size(parts).alias("n"))
+    lines = cut(distinct.select("g", "k", "n", F.explode(F.array_distinct("p")).alias("part")))
+    often = lines.groupBy("g", "part").agg(F.count("*").alias("often"))
+    rarest = lines.join(often, ["g", "part"]).where("often > 1").groupBy("g", "k", "n").agg(F.min_by("part", F.struct("often", "part")).alias("part"), F.count("*").alias("shared"), F.min("often").alias("often"))
+    # a snapshot with a part that no other has is no run of another
+    whole = lines.groupBy("k").agg(F.count("*").alias("all"))
+    rarest = rarest.join(whole, "k").where("shared = all").drop("shared", "all", "often")
+    holders = lines.select("g", "part", F.col("k").alias("k2"), F.col("n").alias("n2"))
+    pairs = rarest.join(holders, ["g", "part"]).where("k != k2 and n2 > n").select("k", "k2")
+    arrays = distinct.select("k", "p")
+    met = pairs.join(arrays, "k").join(arrays.select(F.col("k").alias("k2"), F.col("p").alias("p2")), "k2")
+    inside = met.where(contiguous(F.col("p"), F.col("p2"))).select(F.col("k").alias("_i")).distinct().withColumn("_inside", F.lit(True))
+    y = cut(x.join(inside, x[key] == inside["_i"], "left").drop("_i", parts))
+    left = y.where("_is_first and _inside is null")
+    best = cut(winners(left.drop("_is_first", "_inside"), [group], by).select(F.col(key).alias("_w"), F.col(digest).alias("_d"), F.col(group).alias("_g")))
+    first_group = best.groupBy("_d").agg(F.min("_g").alias("_first_group"))
+    z = y.join(best.select("_w"), y[key] == best["_w"], "left").join(first_group, y[digest] == first_group["_d"], "left")
     status = (
-        F.when(F.col("_order") > 1, "exact")
+        F.when(F.col("_is_first").isNull(), "exact")
         .when(F.col("_inside").isNotNull(), "subset")
-        .when(F.col("_rank") > 1, "divergent")
+        .when(F.col("_w").isNull(), "divergent")
         .when(F.col(group) != F.col("_first_group"), "repeat")
         .otherwise("kept")
     )
-    return y.select(*rows.columns, status.alias("status"))
+    judged = z.select(F.col(key).alias("_j"), status.alias("status"))
+    return rows.join(judged, rows[key] == judged["_j"]).drop("_j")
 
 
 def conservation(statuses: DataFrame, status: str = "status") -> DataFrame:

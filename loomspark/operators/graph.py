@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from .checkpoint import cut
 
 
-def walk(nodes: DataFrame, node: str, parent: str, most_rounds: int = 40) -> DataFrame:
+def walk(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """(node, root, depth, state): root reached, unresolved (a parent is missing) or cycle.
 
     ``root`` is the last node that the walk reached, ``depth`` its distance;
@@ -24,15 +24,15 @@ def walk(nodes: DataFrame, node: str, parent: str, most_rounds: int = 40) -> Dat
     x = x.join(known, x["up"] == known["k"], "left")
     # at: where the walk stands; open: whether it may go on from there
     x = x.select("node", F.coalesce("k", "node").alias("at"), F.when(F.col("k").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), (F.col("up").isNotNull() & F.col("k").isNull()).alias("lost"))
-    total = None
-    for k in range(most_rounds):
+    total, k = None, 0
+    while True:
         step = x.select(F.col("node").alias("n2"), F.col("at").alias("at2"), F.col("depth").alias("d2"), F.col("lost").alias("l2"))
         x = x.join(step, x["at"] == step["n2"]).select("node", F.col("at2").alias("at"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("lost") | F.col("l2")).alias("lost"))
         x = cut(x)
         now = x.agg(F.sum("depth"), F.count("*")).first()
         if now[0] == total or now[0] is None or (1 << k) > now[1]:
             break  # nothing moved, or only cycles still do
-        total = now[0]
+        total, k = now[0], k + 1
     # a walk that stands on a node which itself moves on is in a cycle
     stops = x.where("node = at and depth = 0").select(F.col("node").alias("stop"))
     y = x.join(stops, x["at"] == stops["stop"], "left")
@@ -53,14 +53,14 @@ def shape(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     )
 
 
-def components(edges: DataFrame, a: str, b: str, most_rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component), the least node reachable, by label propagation with pointer jumping."""
     e = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).alias("x"), F.col(b).alias("y"))
     e = cut(e.union(e.select("y", "x")).distinct())
     label = e.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("c"))
     label = cut(label)
     total = None
-    for _ in range(most_rounds):
+    while True:  # labels only fall, so a fixed point comes
         # the least label among neighbours, then the label of one's label
         near = e.join(label.select(F.col("node").alias("y"), "c"), "y").groupBy("x").agg(F.min("c").alias("m"))
         x = label.join(near, label["node"] == near["x"]).select("node", F.least("c", "m").alias("c"))
@@ -70,7 +70,6 @@ def components(edges: DataFrame, a: str, b: str, most_rounds: int = 50) -> DataF
         if now == total:
             return label.select("node", F.col("c").alias("component"))
         total = now
-    raise RuntimeError(f"no fixed point after {most_rounds} rounds")
 
 
 def nearest_boundary(nodes: DataFrame, node: str, parent: str, value: str, boundary: str) -> DataFrame:
@@ -123,6 +122,43 @@ def task_graph(sessions: DataFrame, root: str, session: str, parent: str) -> Dat
     return g.withColumn("complete", F.col("root_present") & (F.col("unresolved") == 0))
 
 
+def runtime_scopes(rows: DataFrame, captures: DataFrame, calls: DataFrame, key: str) -> DataFrame:
+    """(key, scope_kind, scope): what a record belongs to, by the first rule that gives an answer.
+
+    Rows (namespace, task_session_id, root_turn_id, session_id, turn_id,
+    thread_id, parent_thread_id, call_id, is_lifecycle) are of a task; of
+    their root turn; of a session, if they are its lifecycle; of the only
+    root turn of their session and call; of the only one of their thread; if
+    they have a parent thread, of its only root turn or of none; of their own
+    turn. ``captures`` (namespace, thread_id, root_turn_id) and ``calls``
+    (session_id, call_id, root_turn_id) tell the root turns; where there are several, the rule gives none.
+    """
+    def only(df: DataFrame, keys: list[str], out: str) -> DataFrame:
+        filled = df.where(F.coalesce(F.trim("root_turn_id") != "", F.lit(False)))
+        g = filled.groupBy(*keys).agg(F.min("root_turn_id").alias("_lo"), F.max("root_turn_id").alias("_hi"))
+        return g.where("_lo = _hi").select(*[F.col(k).alias(f"_{out}_{k}") for k in keys], F.col("_lo").alias(out))
+
+    blank = lambda c: F.when(F.trim(c) != "", F.col(c))
+    x = rows.withColumns({c: blank(c) for c in ("task_session_id", "root_turn_id", "session_id", "turn_id", "thread_id", "parent_thread_id", "call_id")})
+    by_call, by_thread, by_parent = only(calls, ["session_id", "call_id"], "of_call"), only(captures, ["namespace", "thread_id"], "of_thread"), only(captures, ["namespace", "thread_id"], "of_parent")
+    x = x.join(by_call, (F.col("session_id") == F.col("_of_call_session_id")) & (F.col("call_id") == F.col("_of_call_call_id")), "left")
+    x = x.join(by_thread, F.col("namespace").eqNullSafe(F.col("_of_thread_namespace")) & (F.col("thread_id") == F.col("_of_thread_thread_id")), "left")
+    x = x.join(by_parent, F.col("namespace").eqNullSafe(F.col("_of_parent_namespace")) & (F.col("parent_thread_id") == F.col("_of_parent_thread_id")), "left")
+    scope = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("scope"))
+    nothing = F.lit(None).cast("struct<kind:string,scope:string>")
+    found = (
+        F.when(F.col("task_session_id").isNotNull(), scope("task", "task_session_id"))
+        .when(F.col("root_turn_id").isNotNull(), scope("turn", "root_turn_id"))
+        .when(F.coalesce("is_lifecycle", F.lit(False)) & F.col("session_id").isNotNull(), scope("session", "session_id"))
+        .when(F.col("of_call").isNotNull(), scope("turn", "of_call"))
+        .when(F.col("of_thread").isNotNull(), scope("turn", "of_thread"))
+        .when(F.col("of_parent").isNotNull(), scope("turn", "of_parent"))
+        .when(F.col("parent_thread_id").isNotNull(), nothing)
+        .when(F.col("turn_id").isNotNull(), scope("turn", "turn_id"))
+    )
+    return x.select(key, found.alias("s")).select(key, F.col("s.kind").alias("scope_kind"), F.col("s.scope").alias("scope"))
+
+
 def unique_scope(rows: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
     """The value where a key has exactly one."""
     return rows.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi")).where("_lo = _hi").select(*keys, F.col("_lo").alias(out))

@@ -74,10 +74,11 @@ def parents(nodes: DataFrame, node: str, parent: str) -> DataFrame:
 
 def coverage(a: DataFrame, b: DataFrame, key: str, refs: str) -> DataFrame:
     """Full join of two views of the same turns; they agree where both exist, counts are equal and references meet."""
-    x = a.groupBy(key).agg(F.count("*").alias("n_a"), F.flatten(F.collect_list(refs)).alias("_ra"))
-    y = b.groupBy(key).agg(F.count("*").alias("n_b"), F.flatten(F.collect_list(refs)).alias("_rb"))
-    j = x.join(y, key, "full")
-    agree = (F.col("n_a") == F.col("n_b")) & F.arrays_overlap("_ra", "_rb")
+    x, y = (d.groupBy(key).agg(F.count("*").alias(n)) for d, n in ((a, "n_a"), (b, "n_b")))
+    one = lambda d: d.select(key, F.explode(refs).alias("_ref")).distinct()
+    meet = one(a).join(one(b), [key, "_ref"], "left_semi").select(key).distinct().withColumn("_meet", F.lit(True))
+    j = x.join(y, key, "full").join(meet, key, "left")
+    agree = (F.col("n_a") == F.col("n_b")) & F.col("_meet")
     return j.select(key, F.coalesce("n_a", F.lit(0)).alias("n_a"), F.coalesce("n_b", F.lit(0)).alias("n_b"), F.coalesce(agree, F.lit(False)).alias("agrees"))
 
 

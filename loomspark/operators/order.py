@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -31,24 +33,30 @@ def epochs(events: DataFrame, group: list[str], kind: str, order: list[str]) ->
 
 
 def collapse(events: DataFrame, group: list[str], event: str, at_ms: str, key: str, within_ms: int = 2000) -> DataFrame:
-    """Drop an event within ``within_ms`` of the last *kept* row if that is the same event.
+    """Drop an event within ``within_ms`` of the last *kept* row, before or after it, if that is the same event.
 
-    What is dropped depends on what was kept, so this is a fold; a group is
-    held in one task, as its events must be seen in order.
+    Rows count in order of arrival (``key``); one without a time is kept, and
+    so is the next. What is dropped depends on what was kept, so this is a
+    fold; each group's rows stream by in order, and only the last kept one is held.
     """
-    schema = events.schema
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([at_ms, key], kind="stable")
-        keep, last, when = [], None, None
-        for e, t in zip(pdf[event], pdf[at_ms], strict=True):
-            dup = e == last and when is not None and abs(t - when) <= within_ms
-            keep.append(not dup)
-            if not dup:
-                last, when = e, t
-        return pdf[keep]
-
-    return events.groupBy(*group).applyInPandas(fold, schema)
+    names, where = events.columns, [events.columns.index(g) for g in group]
+    e, at = events.columns.index(event), events.columns.index(at_ms)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, when = None, None, None
+        for b in batches:
+            keep = []
+            for row in zip(*(b.column(i).to_pylist() for i in (*where, e, at)), strict=True):
+                g, name, t = row[:-2], row[-2], row[-1]
+                if g != held:
+                    held, last, when = g, None, None
+                same = name == last and t is not None and when is not None and abs(t - when) <= within_ms
+                keep.append(not same)
+                if not same:
+                    last, when = name, t
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return events.repartition(*group).sortWithinPartitions(*group, key).select(*names).mapInArrow(fold, events.schema)
 
 
 def previous(rows: DataFrame, group: list[str], order: list[str], value: str, out: str) -> DataFrame:

@@ -1,7 +1,8 @@
-"""Greedy packing by bytes: an order-dependent recurrence, folded in one task a group."""
+"""Greedy packing by bytes, a recurrence over all rows of a group, in three passes over blocks of rows."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,27 +14,76 @@ from .checkpoint import cut
 OVERHEAD, FILL = 2048, 0.9
 
 
+def _summary(need: np.ndarray, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's rows: bytes up to each; from a batch that begins at each, how many batches begin after it and what the last of them holds."""
+    n, ends = len(need), np.cumsum(need)
+    after = np.maximum(np.searchsorted(ends, ends - need + limit, "right"), np.arange(n) + 1)  # where the next batch begins
+    more, used = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for i in range(n - 1, -1, -1):
+        j = after[i]
+        if j < n:
+            more[i], used[i] = more[j] + 1, used[j]
+        else:
+            used[i] = ends[-1] - ends[i] + need[i]
+    return ends, more, used
+
+
 def pack(rows: DataFrame, group: str, order: str, size: str, most: int, overhead: int = OVERHEAD, fill: float = FILL) -> DataFrame:
     """``batch`` (from 0): as many rows, in order, as fit into ``fill`` of ``most`` bytes with ``overhead`` each; one at least.
 
-    Only order, size and group travel to the fold; a batch index depends on all rows before.
+    Orders are distinct within a group. A batch index depends on all rows
+    before, but a block of rows only on how many bytes the batch holds that
+    is open where the block begins. So rows are dealt into ranges once; each
+    block states, for every row that may be the first to begin a batch in
+    it, how many batches follow and what the last one holds (short, as only
+    the first ``most`` bytes of a block can); these statements are folded by
+    group; then each block numbers its rows.
     """
-    limit = most * fill
+    limit, integer = most * fill, T.LongType()
     slim = rows.select(group, order, F.col(size).cast("long").alias(size))
-    schema = T.StructType([*slim.schema.fields, T.StructField("batch", T.LongType())])
+    x = cut(slim.repartitionByRange(group, order).withColumn("_block", F.spark_partition_id()))
+    kind, names = slim.schema[group], slim.columns
+
+    def state(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        ends, more, used = _summary(pdf[size].to_numpy(np.int64) + overhead, limit)
+        first = int(np.searchsorted(ends, limit, "right")) + 1  # no batch that is open before lets more rows in
+        at = np.arange(min(first, len(ends)))
+        out = pd.DataFrame({"upto": ends[at], "more": more[at], "used": used[at], "total": ends[-1]})
+        return out.assign(**{group: pdf[group].iloc[0], "_block": pdf["_block"].iloc[0]})
+
+    fields = [T.StructField(n, integer) for n in ("upto", "more", "used", "total")]
+    stated = cut(x.groupBy(group, "_block").applyInPandas(state, T.StructType([*fields, kind, T.StructField("_block", T.IntegerType())])))
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        entry, base, held, batch = [], [], 0, 0
+        blocks = pdf.sort_values(["_block", "upto"]).groupby("_block", sort=True)
+        for _, b in blocks:
+            entry.append(held)
+            base.append(batch)
+            at = int(np.searchsorted(b["upto"].to_numpy() + held, limit, "right")) if held else 0
+            if at < len(b):  # this row begins a batch (the first of all isn't counted as one)
+                batch += int(b["more"].iloc[at]) + (1 if held else 0)
+                held = int(b["used"].iloc[at])
+            else:
+                held += int(b["total"].iloc[0])
+        return pd.DataFrame({group: pdf[group].iloc[0], "_block": [k for k, _ in blocks], "_held": entry, "_base": base})
+
+    entries = stated.groupBy(group).applyInPandas(fold, T.StructType([kind, T.StructField("_block", T.IntegerType()), T.StructField("_held", integer), T.StructField("_base", integer)]))
+
+    def number(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(order, kind="stable")
-        out, batch, used = [], 0, 0
-        for s in pdf[size]:
-            need = int(s) + overhead
-            if used and used + need > limit:
-                batch, used = batch + 1, 0
-            used += need
+        held, batch, out = int(pdf["_held"].iloc[0]), int(pdf["_base"].iloc[0]), []
+        for need in pdf[size].to_numpy(np.int64) + overhead:
+            if held and held + need > limit:
+                batch, held = batch + 1, 0
+            held += int(need)
             out.append(batch)
-        return pdf.assign(batch=out)
+        return pdf[names].assign(batch=out)
 
-    return slim.groupBy(group).applyInPandas(fold, schema)
+    joined = x.withColumn("_g", F.col(group)).drop(group).join(entries.withColumnRenamed(group, "_h"), F.col("_g").eqNullSafe(F.col("_h")) & (x["_block"] == entries["_block"]))
+    joined = joined.select(F.col("_g").alias(group), order, size, x["_block"], "_held", "_base")
+    return joined.groupBy(group, "_block").applyInPandas(number, T.StructType([*slim.schema.fields, T.StructField("batch", integer)]))
 
 
 def parts(rows: DataFrame, order: list[str], size: str, target: int) -> DataFrame:

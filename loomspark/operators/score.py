@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import MODEL_VERSIONS
+
 # --- fixed values: the seventeen gates, their weights and the profile's thresholds ---
 GATES = [
     "required_fields", "message_roles", "first_message_role", "system_prompt", "effective_turns", "structured_tool_calls",
@@ -18,7 +20,11 @@ WEIGHTS = {
     "structured_tool_calls": 10, "machine_turn_ratio": 10, "effective_turns": 15, "tool_definitions": 15, "tool_pairing_after_open_tail": 15,
 }
 ROLES = ["system", "user", "assistant", "tool"]
-BAD_DOMAINS = ["roleplay", "gui"]
+BAD_DOMAINS = ["roleplay", "gui", "gui_only", "embedding", "embeddings", "translation", "pure_translation", "ordinary_qa", "general_qa", "error_request", "error_only", "no_tool", "no_tools"]
+#: Vendor of a version pattern, least major and minor, names of its provider; in the order in which they are tried.
+ELIGIBLE = [("gpt", 5, 5, ["openai"]), ("claude", 4, 6, ["anthropic"]), ("deepseek", 4, 0, ["deepseek"]), ("glm", 5, 2, ["zhipu", "glm"]), ("kimi", 3, 0, ["moonshot", "kimi"])]
+#: Names that exclude a model, and those that need a higher version of its vendor.
+NEVER_ELIGIBLE, HIGHER = ["haiku"], {"sonnet": (5, 0)}
 # -------------------------------------------------------------------------------------
 
 
@@ -93,13 +99,28 @@ def reasons(assessed: DataFrame) -> DataFrame:
     return assessed.select(F.explode("failures").alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def eligible_model(vendor_version: Column, least: dict[str, tuple[int, int]]) -> Column:
-    """Version thresholds by vendor; an unknown vendor is not eligible."""
+def eligible_model(model: Column, provider: Column) -> Column:
+    """Whether a model is of a vendor and version that count, and its provider is that vendor's.
+
+    The first vendor in order whose version suffices decides, as a name may fit several patterns.
+    """
+    name, by = F.lower(F.coalesce(model, F.lit(""))), F.lower(F.coalesce(provider, F.lit("")))
     out = F.lit(False)
-    for vendor, (major, minor) in least.items():
-        v = vendor_version
-        out = out | ((v["vendor"] == vendor) & ((v["major"] > major) | ((v["major"] == major) & (v["minor"] >= minor))))
-    return F.coalesce(out, F.lit(False))
+    for vendor, major, minor, providers in reversed(ELIGIBLE):
+        pattern = MODEL_VERSIONS[vendor]
+        number = lambda k, p=pattern: F.coalesce(F.regexp_extract(name, p, k).try_cast("long"), F.lit(0))
+        least = lambda a, b: name.rlike(pattern) & ((number(1) > a) | ((number(1) == a) & (number(2) >= b)))  # noqa: B023, E731
+        ok = least(major, minor)
+        if vendor == "claude":
+            for word in NEVER_ELIGIBLE:
+                ok = ok & ~name.contains(word)
+            for word, (a, b) in HIGHER.items():
+                ok = ok & (~name.contains(word) | least(a, b))
+        known = F.lit(False)
+        for p in providers:
+            known = known | by.contains(p)
+        out = F.when(ok, known).otherwise(out)
+    return out
 
 
 def rewards(rows: DataFrame, group: str, kind: str, reward: str) -> DataFrame:

@@ -71,29 +71,67 @@ def reconcile(rows: DataFrame, group: str, call: str, source: str, kind: str, na
     )
 
 
-def integrity(spans: DataFrame, calls: DataFrame, results: DataFrame, links: DataFrame) -> DataFrame:
-    """A27 in part (7 of the 13 sets, see the README): one row of counts, each an anti-join or a conditional count, and ``runtime_complete`` (spans exist and all are zero).
+#: The thirteen sets that must be empty.
+INTEGRITY_SETS = [
+    "unscoped_spans", "open_spans", "conflicting_spans", "uncaptured_results", "quality_failures", "unresolved_parent_calls", "unresolved_parent_spans",
+    "calls_without_results", "calls_without_execution", "executions_without_calls", "results_without_calls", "unlinked_interactions", "unknown_endpoints",
+]
 
-    ``spans`` (id, scope, open, conflict, failed), ``calls`` (id), ``results`` (id), ``links`` (from_id, to_id).
+
+def integrity_sets(spans: DataFrame, calls: DataFrame, results: DataFrame, interactions: DataFrame, links: DataFrame, parents_required: bool = True) -> DataFrame:
+    """(set, id): every member of the thirteen sets, each a filter or an anti-join.
+
+    ``spans`` (id, scope, container, open, conflict, uncaptured, quality_failure, parent_id, call_id, parent_call_id; containers
+    are roots whose own state is judged elsewhere), ``calls`` (call_id, abandoned), ``results`` (call_id), ``interactions``
+    (id), ``links`` (from_id, to_id). A call that its client abandoned, or that was cut off upstream, is required only if it
+    has a result or an execution.
     """
-    s = spans.agg(
-        F.count("*").alias("spans"), F.count_if(F.col("scope").isNull()).alias("unscoped"), F.count_if("open").alias("open"),
-        F.count_if("conflict").alias("conflicting"), F.count_if("failed").alias("failed"),
-    )
-    ids = spans.select("id").union(calls.select("id")).union(results.select("id")).distinct()
-    ends = links.select(F.col("from_id").alias("id")).union(links.select("to_id"))
-    count = lambda df, n: df.agg(F.count("*").alias(n))
-    rest = [
-        count(calls.join(results.select("id"), "id", "left_anti"), "calls_without_results"),
-        count(results.join(calls.select("id"), "id", "left_anti"), "results_without_calls"),
-        count(ends.join(ids, "id", "left_anti"), "unknown_endpoints"),
-    ]
-    for r in rest:
-        s = s.crossJoin(r)  # one row by one row
-    zero = F.lit(True)
-    for c in ["unscoped", "open", "conflicting", "failed", "calls_without_results", "results_without_calls", "unknown_endpoints"]:
-        zero = zero & (F.col(c) == 0)
-    return s.withColumn("runtime_complete", (F.col("spans") > 0) & zero)
+    executed = spans.where(F.col("call_id").isNotNull()).select("call_id").distinct()
+    answered = results.select("call_id").distinct()
+    seen = executed.union(answered).distinct().withColumn("_seen", F.lit(True))
+    named = calls.groupBy("call_id").agg(F.bool_and(F.coalesce("abandoned", F.lit(False))).alias("abandoned"))
+    required = named.join(seen, "call_id", "left").where(~F.col("abandoned") | F.col("_seen").isNotNull()).select("call_id")
+    ids = spans.select("id").union(interactions.select("id")).union(named.select("call_id")).distinct()
+    ends = links.select(F.col("from_id").alias("id")).union(links.select("to_id")).where("id is not null")
+    as_id = lambda df: df.select(F.col("call_id").alias("id"))
+    of = lambda df, c: df.where(F.col(c).isNotNull()).select("id", F.col(c).alias("_of"))
+    found = {
+        "unscoped_spans": spans.where("scope is null"),
+        "open_spans": spans.where("open and not container"),
+        "conflicting_spans": spans.where("conflict and not container"),
+        "uncaptured_results": spans.where("uncaptured"),
+        "quality_failures": spans.where("quality_failure"),
+        "unresolved_parent_calls": of(spans, "parent_call_id").join(named.select(F.col("call_id").alias("_of")), "_of", "left_anti"),
+        "unresolved_parent_spans": of(spans, "parent_id").join(spans.select(F.col("id").alias("_of")), "_of", "left_anti").where(F.lit(parents_required)),
+        "calls_without_results": as_id(required.join(answered, "call_id", "left_anti")),
+        "calls_without_execution": as_id(required.join(executed, "call_id", "left_anti")),
+        "executions_without_calls": as_id(executed.join(named, "call_id", "left_anti")),
+        "results_without_calls": as_id(answered.join(named, "call_id", "left_anti")),
+        "unlinked_interactions": interactions.join(ends, "id", "left_anti"),
+        "unknown_endpoints": ends.join(ids, "id", "left_anti"),
+    }
+    out = None
+    for name in INTEGRITY_SETS:
+        part = found[name].select(F.lit(name).alias("set"), F.col("id").cast("string").alias("id")).distinct()
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def integrity(spans: DataFrame, calls: DataFrame, results: DataFrame, interactions: DataFrame, links: DataFrame, parents_required: bool = True) -> DataFrame:
+    """One row: spans, the size of each of the thirteen sets, and ``runtime_complete``: there are spans and all sets are empty."""
+    n = spans.agg(F.count("*").alias("spans"))
+    sets = integrity_sets(spans, calls, results, interactions, links, parents_required)
+    sizes = sets.agg(*[F.count_if(F.col("set") == s).alias(s) for s in INTEGRITY_SETS], F.count("*").alias("_all"))
+    return n.crossJoin(sizes).withColumn("runtime_complete", (F.col("spans") > 0) & (F.col("_all") == 0)).drop("_all")  # one row by one row
+
+
+def roots(spans: DataFrame, scope: str, kind: str, terminal: str) -> DataFrame:
+    """A27, ``root_complete``: one row: task roots, scopes with other than one root, roots that aren't terminal, and whether all is well."""
+    r = spans.where(F.col(kind).isin("task_root", "scope_root"))
+    per = r.where(F.col(kind) == "scope_root").groupBy(scope).agg(F.count("*").alias("n")).agg(F.count_if(F.col("n") != 1).alias("ambiguous_scopes"))
+    lost = spans.where(F.col(scope).isNotNull()).select(scope).distinct().join(r.where(F.col(kind) == "scope_root").select(scope).distinct(), scope, "left_anti").agg(F.count("*").alias("rootless_scopes"))
+    x = r.agg(F.count_if(F.col(kind) == "task_root").alias("task_roots"), F.count_if(~F.coalesce(F.col(terminal), F.lit(False))).alias("open_roots")).crossJoin(per).crossJoin(lost)  # one row each
+    return x.withColumn("root_complete", (F.col("task_roots") == 1) & (F.col("ambiguous_scopes") == 0) & (F.col("rootless_scopes") == 0) & (F.col("open_roots") == 0))
 
 
 def session_header(rows: DataFrame, group: str, order: list[str], models: list[str], ts: str, prompt: str) -> DataFrame:
@@ -112,15 +150,28 @@ def profile_view(messages: Column, excluded: Column) -> Column:
     return F.transform(keep, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["call_ids"].alias("call_ids")))
 
 
-def legacy_reason(model: Column, request: Column, agent: Column, endpoint: Column) -> Column:
-    """Why a usage row is left out, or null; the order of the rules decides."""
-    low = lambda c: F.lower(F.coalesce(c, F.lit("")))
-    return (
-        F.when(F.exists(F.split(low(model), r"\s+"), lambda x: x.startswith("legacy")), "legacy_model")
-        .when(low(request).startswith("legacy-"), "legacy_request_id")
-        .when(low(agent).startswith("legacy-relay"), "legacy_user_agent")
-        .when(low(endpoint).contains("legacy-import"), "legacy_import_endpoint")
-    )
+# --- fixed values: codes in the order in which they are tried, and the beginnings or parts that give them ---
+LEGACY_CODES = ["legacy_model", "legacy_request_id", "legacy_user_agent", "legacy_import_endpoint", "mechanical_monitor"]
+LEGACY_MODEL, LEGACY_REQUEST, LEGACY_AGENT, LEGACY_ENDPOINT = "legacy", "legacy-", "legacy-relay", "legacy-import"
+# -------------------------------------------------------------------------------------------------------------
+
+
+def legacy_reason(model: Column, request: Column, agent: Column, endpoint: Column, key_name: Column | None = None, user: Column | None = None, email: Column | None = None, monitor_key: str | None = None, monitor_user: str | None = None) -> Column:
+    """Why a usage row is left out, or null; the order of the rules decides.
+
+    The rule on mechanical monitors applies where their key's or user's name is given.
+    """
+    low = lambda c: F.lower(F.coalesce(c if c is not None else F.lit(""), F.lit("")))
+    tests = [F.exists(F.split(low(model), r"\s+"), lambda x: x.startswith(LEGACY_MODEL)), low(request).startswith(LEGACY_REQUEST), low(agent).startswith(LEGACY_AGENT), low(endpoint).contains(LEGACY_ENDPOINT)]
+    monitor = F.lit(False)
+    if monitor_key:
+        monitor = monitor | (low(key_name) == monitor_key.lower())
+    if monitor_user:
+        monitor = monitor | (low(user) == monitor_user.lower()) | low(email).startswith(monitor_user.lower() + "-")
+    out = F.lit(None).cast("string")
+    for code, test in reversed([*zip(LEGACY_CODES, [*tests, monitor], strict=True)]):
+        out = F.when(test, code).otherwise(out)
+    return out
 
 
 def gateway_linked(request: Column, usage_request: Column, outcome: Column) -> Column:

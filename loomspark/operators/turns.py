@@ -11,39 +11,55 @@ from ..functions.text import normal_event
 # --- fixed values: event names by what they need ---
 EXEMPT = ["codex.conversation_starts", "codex.startup_phase", "codex.websocket_connect", "codex.websocket_request", "codex.auth_recovery", "codex.agent_communication", "codex.session", "session"]
 BUSINESS = ["codex.sse_event", "codex.tool_result", "codex.tool_decision", "codex.sandbox_outcome", "codex.user_prompt", "codex.turn_ttft", "codex.turn_cost"]
-CORRECTIONS = ["that's wrong", "that is wrong", "not what i asked", "try again", "you made a mistake", "incorrect"]
-MACHINE_PREFIXES = ["heartbeat", "cron:", "no_reply", "[harness]"]
-ACKS = ["ok", "okay", "yes", "continue", "go on", "thanks"]
+CORRECTIONS = ["不对", "不是", "改成", "重新", "等等", "补充", "actually", "instead", "wrong", "not what", "change it", "correction"]
+ACKS = ["ok", "okay", "yes", "y", "好的", "收到", "确认", "继续", "嗯", "是"]
+HARNESS_KINDS = ["harness", "meta_injection", "tool_result_carrier"]
+MACHINE_KINDS = ["heartbeat", "cron", "no_reply"]
+MACHINE_WORD, MACHINE_PREFIXES = "heartbeat", ["cron:", "[cron]"]
 PUNCTUATION_ONLY = r"^[\p{P}\p{S}\s]+$"
 # ---------------------------------------------------
 
 
-def event_scope(name: Column, process_scoped: Column, session_scoped: Column) -> Column:
-    """What an event must be attributed to: process, session or turn; business events always to a turn."""
-    return F.when(name.isin(BUSINESS), "turn").when(process_scoped, "process").when(session_scoped, "session").when(name.isin(EXEMPT), "exempt").otherwise("turn")
+def event_scope(name: Column, process_scoped: Column, session_scoped: Column, strict: bool = False) -> Column:
+    """What an event must be attributed to: process, session or turn.
 
+    A business event needs a turn; under process scope that is a
+    contradiction: ``conflict``, or an error when ``strict``.
+    """
+    business = name.isin(BUSINESS)
+    conflict = F.raise_error(F.lit("a turn's business event in process scope")).cast("string") if strict else F.lit("conflict")
+    return F.when(business & process_scoped, conflict).when(business, "turn").when(process_scoped, "process").when(session_scoped, "session").when(name.isin(EXEMPT), "exempt").otherwise("turn")
 
-def wire_evidence(status: Column, turn: Column, session: Column, header_session: Column) -> Column:
-    """Struct (turn_scoped, http_success, identity_conflict)."""
-    conflict = session.isNotNull() & header_session.isNotNull() & (session != header_session)
-    return F.struct(turn.isNotNull().alias("turn_scoped"), F.coalesce(status.between(200, 299), F.lit(False)).alias("http_success"), conflict.alias("identity_conflict"))
 
+def wire_evidence(record_type: Column, status: Column, sessions: list[Column], turns: list[Column], conflict_fields: Column) -> Column:
+    """Struct (turn_scoped, http_success, identity_conflict), all false for anything but API snapshots.
 
-def user_class(text: Column, before: Column) -> Column:
-    """A user message as human, repeat, punctuation, ack or machine; ``before`` is the user text before it."""
-    low = F.lower(F.trim(text))
-    machine = low.startswith(MACHINE_PREFIXES[0])
-    for p in MACHINE_PREFIXES[1:]:
-        machine = machine | low.startswith(p)
-    return (
-        F.when(machine, "machine")
-        .when(text.rlike(PUNCTUATION_ONLY), "punctuation")
-        .when(low.isin(ACKS), "ack")
-        .when(F.coalesce(F.trim(text) == F.trim(before), F.lit(False)), "repeat")
-        .otherwise("human")
+    ``sessions`` and ``turns`` are the fields of which one must be present;
+    ``conflict_fields`` is the array of fields whose evidence disagrees.
+    """
+    some = lambda cs: F.coalesce(*[F.when(F.trim(c) != "", F.lit(True)) for c in cs], F.lit(False))
+    api = F.coalesce(record_type == "api_snapshot", F.lit(False))
+    conflict = F.coalesce(F.exists(conflict_fields, lambda f: f.startswith("traceContext.")), F.lit(False))
+    return F.struct(
+        (api & some(sessions) & some(turns) & ~conflict).alias("turn_scoped"),
+        (api & F.coalesce((status >= 200) & (status < 300), F.lit(False))).alias("http_success"),
+        (api & conflict).alias("identity_conflict"),
     )
 
 
+def user_class(text: Column, before: Column, kind: Column | None = None) -> Column:
+    """A user message as harness, machine or human; ``before`` is the user text before it, ``kind`` the label that it carries.
+
+    Labels come first. Empty, punctuation only, acknowledgements, repeats and what cron jobs and heartbeats say are machine.
+    """
+    label = F.lower(F.coalesce(kind if kind is not None else F.lit(""), F.lit("")))
+    low = F.lower(F.trim(F.coalesce(text, F.lit(""))))
+    machine = (low == "") | low.rlike(PUNCTUATION_ONLY) | low.isin(ACKS) | F.coalesce(F.trim(text) == F.trim(before), F.lit(False)) | low.contains(MACHINE_WORD)
+    for p in MACHINE_PREFIXES:
+        machine = machine | low.startswith(p)
+    return F.when(label.isin(HARNESS_KINDS), "harness").when(label.isin(MACHINE_KINDS), "machine").when(machine, "machine").otherwise("human")
+
+
 def is_correction(text: Column) -> Column:
     low, out = F.lower(text), F.lit(False)
     for p in CORRECTIONS:
@@ -74,16 +90,33 @@ def readiness(turns: DataFrame, keys: list[str], counters: list[str]) -> DataFra
     return g.withColumn("ready", ok)
 
 
-def dispositions(rows: DataFrame, producer: str, session: str, selected: str, key: str) -> DataFrame:
-    """A9 in part (4 of the 7 dispositions): hit, other or pending by a row's session; pending rows of a producer that ever hit count as hit_by_producer.
+def dispositions(rows: DataFrame, key: str, producer: str, session: str, turn: str, related: str, requires_turn: str, process: str, selected: Column) -> DataFrame:
+    """(key, producer, disposition): which of seven a record is, as seen from the ``selected`` session.
 
-    Two passes: whether a producer ever hits is an aggregate, joined back on the producer.
+    process_level, turn_assigned, session_level, unscoped_turn, other_session
+    and unknown_session by the row; of the unscoped and unknown those of a
+    named producer that never referenced the session are ambient. A record
+    without a session whose ``related`` sessions hold the selected one is
+    ambiguous, and counts as a reference. Two passes: what a producer
+    references is an aggregate, joined back on the producer.
     """
-    first = F.when(F.col(session) == F.col(selected), "hit").when(F.col(session).isNotNull(), "other").otherwise("pending")
-    x = rows.withColumn("_first", first)
-    ever = x.groupBy(producer).agg(F.max((F.col("_first") == "hit").cast("int")).alias("_ever"))
-    x = x.join(ever, producer)
-    return x.select(key, producer, F.when((F.col("_first") == "pending") & (F.col("_ever") == 1), "hit_by_producer").otherwise(F.col("_first")).alias("disposition"))
+    inside = F.coalesce(F.col(session) == selected, F.lit(False))
+    ambiguous = F.col(session).isNull() & F.coalesce(F.array_contains(related, selected), F.lit(False))
+    needs = F.coalesce(F.col(requires_turn), F.lit(False))
+    first = (
+        F.when(F.coalesce(F.col(process), F.lit(False)), "process_level")
+        .when(inside & F.col(turn).isNotNull(), "turn_assigned")
+        .when(inside & ~needs, "session_level")
+        .when((inside | ambiguous) & needs, "unscoped_turn")
+        .when(F.col(session).isNotNull(), "other_session")
+        .otherwise("unknown_session")
+    )
+    x = rows.select(key, producer, first.alias("_first"), (inside | ambiguous).alias("_knows"))
+    knowing = x.where(F.col("_knows") & F.col(producer).isNotNull()).select(F.col(producer).alias("_p")).distinct().withColumn("_hit", F.lit(True))
+    x = x.join(knowing, x[producer] == knowing["_p"], "left")
+    pending = F.col("_first").isin("unscoped_turn", "unknown_session")
+    ambient = pending & F.col(producer).isNotNull() & F.col("_hit").isNull()
+    return x.select(key, producer, F.when(ambient, "ambient").otherwise(F.col("_first")).alias("disposition"))
 
 
 def scoped(rows: DataFrame, namespace: str, selected: Column) -> DataFrame:
@@ -91,12 +124,14 @@ def scoped(rows: DataFrame, namespace: str, selected: Column) -> DataFrame:
     return rows.withColumn("scope", F.when(F.col(namespace).isNull(), "unscoped").when(F.col(namespace) == selected, "selected").otherwise("other"))
 
 
-def freshness(rows: DataFrame, keys: list[str], source: str, ts: str, as_of: Column, within: dict[str, int], default_s: int = 300) -> DataFrame:
-    """T4 in batch: last time per source, its age, and fresh, stale or missing."""
+def freshness(rows: DataFrame, keys: list[str], source: str, ts: str, as_of: Column, expected: list[str], within: dict[str, int], default_s: int = 300) -> DataFrame:
+    """T4 in batch: for each key and expected source the last time, its age, and fresh, stale or missing."""
     limit = F.lit(default_s)
     for s, sec in within.items():
         limit = F.when(F.col(source) == s, F.lit(sec)).otherwise(limit)
-    g = rows.groupBy(*keys, source).agg(F.max(ts).alias("last_seen"))
+    seen = rows.groupBy(*keys, source).agg(F.max(ts).alias("last_seen"))
+    every = rows.select(*keys).distinct().withColumn(source, F.explode(F.array(*map(F.lit, expected))))
+    g = every.join(seen, [*keys, source], "left")
     age = F.unix_seconds(as_of) - F.unix_seconds(F.col("last_seen").cast("timestamp"))
     return g.select(*keys, source, "last_seen", age.alias("age_s"), F.when(F.col("last_seen").isNull(), "missing").when(age > limit, "stale").otherwise("fresh").alias("state"))
 

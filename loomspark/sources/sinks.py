@@ -52,11 +52,16 @@ def publish(spark: SparkSession, target: str, write: Callable[[str], None], veri
         write(staging)
         if not verify(staging):
             raise ValueError(f"{target}: what was written doesn't verify")
-        to = jvm.org.apache.hadoop.fs.Path(target)
-        if replace:
-            fs.delete(to, True)
+        to, old = jvm.org.apache.hadoop.fs.Path(target), jvm.org.apache.hadoop.fs.Path(target.rstrip("/") + ".previous")
+        if fs.exists(to):  # kept until the new one is in its place
+            fs.delete(old, True)
+            if not fs.rename(to, old):
+                raise OSError(f"cannot move {target} aside")
         if not fs.rename(s, to):
+            if fs.exists(old):
+                fs.rename(old, to)
             raise OSError(f"cannot rename {staging}")
+        fs.delete(old, True)
     finally:
         fs.delete(s, True)
 
@@ -96,6 +101,8 @@ def commit_last(spark: SparkSession, objects: DataFrame, key: str, content: str,
 def archive(spark: SparkSession, rows: DataFrame, payload: str, target: str) -> DataFrame:
     """K6: content-addressed segments: distinct payloads under their hash, the checkpoint last. Returns the checkpoint."""
     x = rows.select(F.sha2(payload, 256).alias("sha256"), F.octet_length(payload).cast("long").alias("bytes"), payload).dropDuplicates(["sha256"])
+    if exists(spark, f"{target}/segments"):  # running it again adds only what isn't there
+        x = x.join(spark.read.parquet(f"{target}/segments").select("sha256"), "sha256", "left_anti").select(*x.columns)
     x.write.mode("append").parquet(f"{target}/segments")
     checkpoint = spark.read.parquet(f"{target}/segments").agg(F.count_distinct("sha256").alias("segments"), F.sum("bytes").alias("bytes"))
     checkpoint.coalesce(1).write.mode("overwrite").json(f"{target}/checkpoint")

@@ -20,11 +20,12 @@ def accept(rows: DataFrame, key: str, ts: str, late: str = "1 hour") -> DataFram
     return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
 
 
-def judge(rows: DataFrame, key: str, digest: str, idle_ms: int | None = 3_600_000) -> DataFrame:
+def judge(rows: DataFrame, key: str, digest: str, idle_ms: int | None = None) -> DataFrame:
     """T2 in full: accepted, duplicate or conflict for every arrival, against all before and within the batch.
 
-    State a key: the digest first seen, dropped after ``idle_ms`` without an
-    arrival; None keeps it for good, and lets an ``availableNow`` run end.
+    State a key: the digest first seen, kept for good, which alone is exact.
+    With ``idle_ms`` it is dropped after that time without an arrival, and a
+    later duplicate counts as accepted.
     """
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
