@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import analytics, records, spans, turns
+from . import analytics, records, spans, turns, wire
 
-_MODULES = [turns, records, analytics, spans]
+_MODULES = [turns, records, analytics, spans, wire]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, values
 from ..operators import usage
+from ..operators.checkpoint import shared
 from ..sources import jsonl, sinks
 from ..streaming import ingest
 from .common import table
@@ -41,9 +42,8 @@ def finite_means(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def uptime_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").where("user_id < 40")
-    seconds = F.unix_seconds(F.col("ts").cast("timestamp"))
-    return usage.uptime(e, seconds, F.col("event_type") != "error", 1704067200 - 5 * 32400, 32400, 100)
+    """``uptime_buckets_all`` under its first name."""
+    return uptime_buckets_all(spark, sf_dir)
 
 
 def uptime_buckets_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,8 +100,7 @@ def local_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def masked_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    masked = F.regexp_replace(F.col("text"), text.EMAIL, text.MASK)
-    return d.select("doc_id", F.sha2(masked, 256).alias("masked"), text.is_injection(F.col("text")).alias("injection"))
+    return d.select("doc_id", F.sha2(text.mask_patterns(F.col("text")), 256).alias("masked"), text.is_injection(F.col("text")).alias("injection"))
 
 
 def json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,10 +223,16 @@ def streamed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = spark.readStream.schema(schema).parquet(path)
     e = source.withColumns({"ts": F.col("ts").cast("timestamp"), "value": _cents("value")})
     x = ingest.tumbling(e, "ts", "6 hours", "1 hour", "event_type")
-    name = f"w{uuid.uuid4().hex}"
-    q = x.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
+    at = f"{shared(spark)}/windows-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, epoch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{at}/epoch={epoch:08d}")
+
+    q = x.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{at}-checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name).select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "n", "total")
+    last = spark.read.parquet(at).groupBy("window", "event_type").agg(F.max_by(F.struct("n", "total"), "epoch").alias("v"))
+    return last.select(F.date_format("window.start", "yyyy-MM-dd HH:mm").alias("start"), "event_type", "v.n", "v.total")
+
 
 
 _LEVELS = """
@@ -236,6 +241,14 @@ UNION ALL SELECT 'month', NULL, strftime(ts, '%Y-%m'), count(*), sum(round(value
 UNION ALL SELECT 'all', NULL, NULL, count(*), sum(round(value * 100)::BIGINT)::BIGINT FROM events"""
 _TUMBLING = """
 SELECT strftime(time_bucket(INTERVAL 6 HOUR, ts), '%Y-%m-%d %H:%M') AS start, event_type, count(*) AS n, sum(round(value * 100)::BIGINT)::BIGINT AS total FROM events GROUP BY ALL"""
+
+
+def _masked(c: str) -> str:
+    for p in text.MASKED_PATTERNS:
+        c = f"regexp_replace({c}, '{p}', '{text.MASK}', 'g')".replace(r"\p{IsHan}", r"\p{Han}")
+    return f"regexp_replace({c}, '{text.CN_ID}', '\\1{text.MASK}\\3', 'g')"
+
+
 SQL = {
     "model_stats": """
 SELECT p_brand, count(*) AS requests, sum(l_quantity)::BIGINT AS tokens, count(*) FILTER (l_returnflag <> 'R') AS succeeded
@@ -244,11 +257,6 @@ FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand""",
     "p95_by_type": "SELECT event_type, quantile_disc(value, 0.95) AS p95, quantile_disc(value, 0.5) AS p50 FROM events GROUP BY event_type",
     "finite_means": """
 SELECT user_id, coalesce(round(avg(CASE WHEN event_type <> 'error' AND user_id % 9 <> 0 THEN round(value * 100)::BIGINT END), 4), -1)::DOUBLE AS mean FROM events GROUP BY user_id""",
-    "uptime_buckets": """
-WITH b AS (SELECT floor((floor(epoch(ts)) - (1704067200 - 162000)) / 32400)::BIGINT AS bucket, event_type <> 'error' AS ok FROM events WHERE user_id < 40),
-g AS (SELECT bucket, count(*) AS n, count(*) FILTER (ok) AS good FROM b GROUP BY bucket)
-SELECT r.bucket, coalesce(n, 0) AS n, coalesce(good, 0) AS good, CASE WHEN n IS NULL THEN 'empty' WHEN good / n >= 0.97 THEN 'up' WHEN good / n >= 0.90 THEN 'degraded' ELSE 'down' END AS status
-FROM (SELECT range AS bucket FROM range(100)) r LEFT JOIN g ON r.bucket = g.bucket""",
     "uptime_buckets_all": """
 WITH b AS (SELECT floor((floor(epoch(ts)) - (1704067200 - 162000)) / 900)::BIGINT AS bucket, NOT (event_type = 'error' AND round(value * 100)::BIGINT % 3 = 0) AS ok FROM events),
 g AS (SELECT bucket, count(*) AS n, count(*) FILTER (ok) AS good FROM b GROUP BY bucket)
@@ -270,9 +278,7 @@ WITH p AS (SELECT doc_id, n_chars FROM documents ORDER BY doc_id LIMIT 50 OFFSET
 SELECT doc_id, n_chars FROM s WHERE b <= 60000 OR n = 1""",
     "incremental_page": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 950 ORDER BY o_orderkey LIMIT 200",
     "local_days": "SELECT strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1",
-    "masked_documents": r"""
-SELECT doc_id, sha256(regexp_replace(text, '(?i)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b', '[MASKED]', 'g')) AS masked,
-  regexp_matches(text, '(?i)(?:\b(?:ignore|disregard|override)\s+(?:all\s+)?(?:the\s+)?(?:previous|prior|above|system|developer)\s+instructions?\b|\b(?:jailbreak|do\s+anything\s+now|dan\s+mode|prompt\s+injection)\b)') AS injection FROM documents""",
+    "masked_documents": f"SELECT doc_id, sha256({_masked('text')}) AS masked, regexp_matches(text, '{text.INJECTION}') AS injection FROM documents",
     "json_paths": "SELECT event_type, sum((props->>'$.k')::BIGINT)::BIGINT AS total, count(props->>'$.k') AS n FROM events GROUP BY event_type",
     "canonical_fingerprints": """SELECT event_id, sha256('{"a":{"k":' || (props->>'$.k') || '},"z":1}') AS fingerprint FROM events""",
     "usage_aliases": """
@@ -315,4 +321,5 @@ g AS (SELECT user_id, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM l
 SELECT user_id, count(*) AS sessions, max(n) AS longest FROM c GROUP BY user_id""",
     "streamed_windows": _TUMBLING,
 }
+SQL["uptime_buckets"] = SQL["uptime_buckets_all"]
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -35,10 +35,18 @@ def reconciled_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def runtime_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o, li, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
-    s = c.select((F.col("c_custkey") + 10**9).alias("id"), F.when(F.col("c_nationkey") > 2, F.col("c_nationkey")).alias("scope"), (F.col("c_acctbal") < 0).alias("open"), F.lit(False).alias("conflict"), (F.col("c_mktsegment") == "BUILDING").alias("failed"))
-    links = o.select(F.col("o_orderkey").alias("from_id"), (F.col("o_custkey") + 10**9).alias("to_id"))
-    return spans.integrity(s, o.select(F.col("o_orderkey").alias("id")), li.select(F.col("l_orderkey").alias("id")).where("id % 5 != 0").distinct(), links)
+    """Orders as calls, line items as results, customers as spans, nations as interactions; all thirteen sets by size."""
+    o, li, c, n = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer", "nation"))
+    k = F.col("c_custkey")
+    s = c.select(
+        F.concat(F.lit("s"), k).alias("id"), F.when(F.col("c_nationkey") > 2, F.col("c_nationkey")).alias("scope"), (k % 10 == 0).alias("container"), (F.col("c_acctbal") < 0).alias("open"), (k % 4 == 0).alias("conflict"),
+        (k % 9 == 0).alias("uncaptured"), (F.col("c_mktsegment") == "BUILDING").alias("quality_failure"), F.when(k % 3 == 0, F.concat(F.lit("s"), k + 1)).alias("parent_id"),
+        F.when(k % 2 == 0, F.concat(F.lit("c"), k)).alias("call_id"), F.when(k % 5 == 0, F.concat(F.lit("c"), k)).alias("parent_call_id"),
+    )
+    calls = o.select(F.concat(F.lit("c"), "o_orderkey").alias("call_id"), (F.col("o_orderkey") % 6 == 0).alias("abandoned"))
+    results = li.select(F.concat(F.lit("c"), F.when(F.col("l_orderkey") % 7 == 0, -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))).alias("call_id"))
+    links = o.select(F.concat(F.lit("c"), "o_orderkey").alias("from_id"), F.concat(F.lit("s"), "o_custkey").alias("to_id")).union(n.where("n_nationkey % 2 = 0").select(F.concat(F.lit("i"), "n_nationkey"), F.lit("nowhere")))
+    return spans.integrity(s, calls, results, n.select(F.concat(F.lit("i"), "n_nationkey").alias("id")), links)
 
 
 def session_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,7 +59,7 @@ def session_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legacy_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     model = F.when(F.col("user_id") % 4 == 0, F.concat(F.lit("gpt Legacy-"), F.col("event_type"))).otherwise("gpt")
-    r = spans.legacy_reason(model, F.when(F.col("user_id") % 5 == 0, "LEGACY-1"), F.col("event_type"), F.when(F.col("user_id") % 7 == 0, "/legacy-import/x"))
+    r = spans.legacy_reason(model, F.when(F.col("user_id") % 5 == 0, "LEGACY-1"), F.col("event_type"), F.when(F.col("user_id") % 7 == 0, "/legacy-import/x"), F.when(F.col("user_id") % 11 == 0, "Monitor"), None, F.when(F.col("user_id") % 13 == 0, "Probe-1@x"), "monitor", "probe")
     return e.groupBy(F.coalesce(r, F.lit("kept")).alias("reason")).agg(F.count("*").alias("n"))
 
 
@@ -71,14 +79,20 @@ WITH p AS (SELECT user_id, floor(value / 40)::BIGINT AS call, event_id % 3 AS so
   min(event_type) AS a, max(event_type) AS b, min(props) AS c, max(props) AS d FROM events GROUP BY ALL)
 SELECT user_id, call, count(*) AS sources, count(*) FILTER (s > 1) AS duplicate_starts, count(*) FILTER (t > 1) AS duplicate_ends, min(a) <> max(b) AS name_mismatch, min(c) <> max(d) AS argument_mismatch FROM p GROUP BY ALL""",
     "runtime_integrity": """
-WITH r AS (SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_orderkey % 5 <> 0),
-s AS (SELECT count(*) AS spans, count(*) FILTER (c_nationkey <= 2) AS unscoped, count(*) FILTER (c_acctbal < 0) AS open, 0::BIGINT AS conflicting, count(*) FILTER (c_mktsegment = 'BUILDING') AS failed FROM customer)
-SELECT s.*, (SELECT count(*) FROM orders WHERE o_orderkey NOT IN (SELECT id FROM r)) AS calls_without_results, (SELECT count(*) FROM r WHERE id NOT IN (SELECT o_orderkey FROM orders)) AS results_without_calls,
-  (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS unknown_endpoints, false AS runtime_complete FROM s""",
+WITH r AS (SELECT DISTINCT CASE WHEN l_orderkey % 7 = 0 THEN -l_orderkey ELSE l_orderkey END AS id FROM lineitem),
+e AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 2 = 0),
+q AS (SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 6 <> 0 OR o_orderkey IN (SELECT id FROM r) OR o_orderkey IN (SELECT id FROM e)),
+s AS (SELECT count(*) AS spans, count(*) FILTER (c_nationkey <= 2) AS unscoped_spans, count(*) FILTER (c_acctbal < 0 AND c_custkey % 10 <> 0) AS open_spans, count(*) FILTER (c_custkey % 4 = 0 AND c_custkey % 10 <> 0) AS conflicting_spans,
+  count(*) FILTER (c_custkey % 9 = 0) AS uncaptured_results, count(*) FILTER (c_mktsegment = 'BUILDING') AS quality_failures,
+  count(*) FILTER (c_custkey % 5 = 0 AND c_custkey NOT IN (SELECT o_orderkey FROM orders)) AS unresolved_parent_calls, count(*) FILTER (c_custkey % 3 = 0 AND c_custkey + 1 NOT IN (SELECT c_custkey FROM customer)) AS unresolved_parent_spans FROM customer)
+SELECT s.*, (SELECT count(*) FROM q WHERE id NOT IN (SELECT id FROM r)) AS calls_without_results, (SELECT count(*) FROM q WHERE id NOT IN (SELECT id FROM e)) AS calls_without_execution,
+  (SELECT count(*) FROM e WHERE id NOT IN (SELECT o_orderkey FROM orders)) AS executions_without_calls, (SELECT count(*) FROM r WHERE id NOT IN (SELECT o_orderkey FROM orders)) AS results_without_calls,
+  (SELECT count(*) FROM nation WHERE n_nationkey % 2 <> 0) AS unlinked_interactions,
+  1 + (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)) AS unknown_endpoints, false AS runtime_complete FROM s""",
     "session_headers": """
 SELECT conv_id, coalesce(min(CASE WHEN turn % 3 = 2 THEN role END), min(role)) AS model, min(turn) AS created_at, max(turn) AS ended_at,
   coalesce(arg_max(sha256(text), turn) FILTER (role = 'system'), '') AS system_prompt, count(DISTINCT text) FILTER (role = 'system') > 1 AS prompt_conflict FROM conversations GROUP BY conv_id""",
     "legacy_reasons": """
-SELECT CASE WHEN user_id % 4 = 0 THEN 'legacy_model' WHEN user_id % 5 = 0 THEN 'legacy_request_id' WHEN user_id % 7 = 0 THEN 'legacy_import_endpoint' ELSE 'kept' END AS reason, count(*) AS n FROM events GROUP BY 1""",
+SELECT CASE WHEN user_id % 4 = 0 THEN 'legacy_model' WHEN user_id % 5 = 0 THEN 'legacy_request_id' WHEN user_id % 7 = 0 THEN 'legacy_import_endpoint' WHEN user_id % 11 = 0 OR user_id % 13 = 0 THEN 'mechanical_monitor' ELSE 'kept' END AS reason, count(*) AS n FROM events GROUP BY 1""",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

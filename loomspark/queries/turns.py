@@ -84,14 +84,18 @@ def session_readiness(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context_dispositions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     session = F.when(F.col("event_type") == "error", None).otherwise(F.col("user_id") % 4)
-    x = e.select("event_id", F.col("user_id").alias("producer"), session.alias("session"), F.lit(2).alias("selected"))
-    return turns.dispositions(x, "producer", "session", "selected", "event_id").groupBy("disposition").agg(F.count("*").alias("n"))
+    n = F.col("event_id")
+    x = e.select(
+        "event_id", F.when(n % 9 != 0, F.col("user_id")).alias("producer"), session.alias("session"), F.when(n % 3 == 0, F.lit("t")).alias("turn"),
+        F.when(n % 17 == 0, F.array(F.lit(2), F.lit(3))).otherwise(F.array().cast("array<int>")).alias("related"), (n % 2 == 0).alias("needs"), (n % 13 == 0).alias("process"),
+    )
+    return turns.dispositions(x, "event_id", "producer", "session", "turn", "related", "needs", "process", F.lit(2)).groupBy("disposition").agg(F.count("*").alias("n"))
 
 
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    x = turns.freshness(e, ["user_id"], "event_type", "ts", F.lit("2024-01-31").cast("timestamp"), {"signup": 5 * 86400, "click": 86400}, 2 * 86400)
-    return x.select("user_id", "event_type", "age_s", "state")
+    x = turns.freshness(e, ["user_id"], "event_type", "ts", F.lit("2024-01-31").cast("timestamp"), [*SOURCES, "hook"], {"signup": 5 * 86400, "click": 86400}, 2 * 86400)
+    return x.select("user_id", "event_type", F.coalesce("age_s", F.lit(-1)).alias("age_s"), "state")
 
 
 def event_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,6 +147,10 @@ def sequence_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.gaps(table(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_linenumber")
 
 
+def _listed(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
 _PREV = "lag(text) OVER (PARTITION BY conv_id ORDER BY turn)"
 _ROLL = """
 SELECT user_id, strftime(ts, '%Y-%m-%d') AS day,
@@ -164,12 +172,9 @@ FROM (SELECT conv_id, role, lead(role) OVER (PARTITION BY conv_id ORDER BY turn)
     "user_classes": rf"""
 WITH u AS (SELECT *, {_PREV} AS before, lower(trim(text)) AS low FROM conversations WHERE role = 'user'),
 c AS (SELECT conv_id,
-  CASE WHEN low LIKE 'heartbeat%' OR low LIKE 'cron:%' OR starts_with(low, 'no_reply') OR low LIKE '[harness]%' THEN 'machine'
-       WHEN regexp_matches(text, '^[\p{{P}}\p{{S}}\s]+$') THEN 'punctuation'
-       WHEN low IN ('ok','okay','yes','continue','go on','thanks') THEN 'ack'
-       WHEN trim(text) = trim(before) THEN 'repeat' ELSE 'human' END AS class,
-  (contains(low,'that''s wrong') OR contains(low,'that is wrong') OR contains(low,'not what i asked') OR contains(low,'try again')
-   OR contains(low,'you made a mistake') OR contains(low,'incorrect')) AS correction FROM u)
+  CASE WHEN low = '' OR regexp_matches(low, '^[\p{{P}}\p{{S}}\s]+$') OR low IN ({_listed(turns.ACKS)}) OR coalesce(trim(text) = trim(before), false) OR contains(low, 'heartbeat')
+    OR starts_with(low, 'cron:') OR starts_with(low, '[cron]') THEN 'machine' ELSE 'human' END AS class,
+  len(list_filter([{_listed(turns.CORRECTIONS)}], lambda w: contains(low, w))) > 0 AS correction FROM u)
 SELECT conv_id, class, count(*) AS n, count(*) FILTER (correction) AS corrections FROM c GROUP BY ALL""",
     "answered_turns": """
 WITH g AS (SELECT *, count(*) FILTER (role='user') OVER (PARTITION BY conv_id ORDER BY turn) AS o FROM conversations),
@@ -197,15 +202,19 @@ SELECT user_id, count(*) AS turns, count(*) FILTER (starts = 0) AS no_start, cou
   count(*) FILTER (starts = 0) = 0 AND count(*) FILTER (conflict) = 0 AND count(*) FILTER (missing <> '') = 0 AS ready
 FROM r GROUP BY user_id""",
     "context_dispositions": """
-WITH x AS (SELECT event_id, user_id AS p, CASE WHEN event_type = 'error' THEN NULL ELSE user_id % 4 END AS s FROM events),
-d AS (SELECT *, CASE WHEN s = 2 THEN 'hit' WHEN s IS NOT NULL THEN 'other' ELSE 'pending' END AS f FROM x),
-e AS (SELECT p, bool_or(f = 'hit') AS ever FROM d GROUP BY p)
-SELECT CASE WHEN f = 'pending' AND ever THEN 'hit_by_producer' ELSE f END AS disposition, count(*) AS n FROM d JOIN e USING (p) GROUP BY 1""",
+WITH x AS (SELECT event_id AS n, CASE WHEN event_id % 9 <> 0 THEN user_id END AS p, CASE WHEN event_type = 'error' THEN NULL ELSE user_id % 4 END AS s FROM events),
+d AS (SELECT *, coalesce(s = 2, false) AS inside, s IS NULL AND n % 17 = 0 AS vague FROM x),
+h AS (SELECT DISTINCT p FROM d WHERE (inside OR vague) AND p IS NOT NULL),
+f AS (SELECT d.*, h.p IS NOT NULL AS known, CASE WHEN n % 13 = 0 THEN 'process_level' WHEN inside AND n % 3 = 0 THEN 'turn_assigned' WHEN inside AND n % 2 <> 0 THEN 'session_level'
+  WHEN (inside OR vague) AND n % 2 = 0 THEN 'unscoped_turn' WHEN s IS NOT NULL THEN 'other_session' ELSE 'unknown_session' END AS k FROM d LEFT JOIN h ON d.p = h.p)
+SELECT CASE WHEN k IN ('unscoped_turn', 'unknown_session') AND p IS NOT NULL AND NOT known THEN 'ambient' ELSE k END AS disposition, count(*) AS n FROM f GROUP BY 1""",
     "source_freshness": """
-WITH g AS (SELECT user_id, event_type, epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(max(ts)))::BIGINT AS age_s FROM events GROUP BY ALL)
-SELECT user_id, event_type, age_s, CASE WHEN age_s > CASE event_type WHEN 'signup' THEN 432000 WHEN 'click' THEN 86400 ELSE 172800 END THEN 'stale' ELSE 'fresh' END AS state FROM g""",
+WITH s AS (SELECT unnest(['click', 'purchase', 'view', 'signup', 'error', 'hook']) AS event_type), u AS (SELECT DISTINCT user_id FROM events),
+g AS (SELECT user_id, event_type, epoch(TIMESTAMP '2024-01-31')::BIGINT - floor(epoch(max(ts)))::BIGINT AS age_s FROM events GROUP BY ALL)
+SELECT u.user_id, s.event_type, coalesce(age_s, -1) AS age_s, CASE WHEN age_s IS NULL THEN 'missing' WHEN age_s > CASE s.event_type WHEN 'signup' THEN 432000 WHEN 'click' THEN 86400 ELSE 172800 END THEN 'stale' ELSE 'fresh' END AS state
+FROM u CROSS JOIN s LEFT JOIN g ON g.user_id = u.user_id AND g.event_type = s.event_type""",
     "event_scopes": """
-SELECT CASE WHEN event_type = 'click' THEN 'turn' WHEN user_id % 7 = 0 THEN 'process' WHEN user_id % 5 = 0 THEN 'session'
+SELECT CASE WHEN event_type = 'click' AND user_id % 7 = 0 THEN 'conflict' WHEN event_type = 'click' THEN 'turn' WHEN user_id % 7 = 0 THEN 'process' WHEN user_id % 5 = 0 THEN 'session'
   WHEN event_type = 'view' THEN 'exempt' ELSE 'turn' END AS scope, count(*) AS n FROM events GROUP BY 1""",
     "telemetry_scope": """
 SELECT CASE WHEN n_chars <= 500 THEN 'unscoped' WHEN lang = 'en' THEN 'selected' ELSE 'other' END AS scope, count(*) AS n FROM documents GROUP BY 1""",
@@ -226,7 +235,7 @@ FROM k GROUP BY user_id, day""",
     "collapse_last_kept": """
 WITH RECURSIVE o AS (
   SELECT event_id, user_id, CASE WHEN event_type IN ('click','view') THEN 'browse' ELSE 'act' END AS event, epoch_ms(ts) AS at_ms,
-         row_number() OVER (PARTITION BY user_id ORDER BY epoch_ms(ts), event_id) AS n FROM events),
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
 w AS (
   SELECT user_id, n, event_id, event AS last, at_ms AS at, true AS kept FROM o WHERE n = 1
   UNION ALL
