@@ -8,8 +8,8 @@ and the block with that index is what the slot takes. What the draws of a
 source exceed or miss its quota by is settled between sources, so that the
 words taken meet the target to within half a block.
 
-All positions come from two-level prefix sums (hashed buckets, then rows),
-so no source, however large, is ever ordered in one task.
+All positions come from two-level prefix sums (hashed buckets or ranges, then
+rows), so neither a source's documents or shards nor the sources are ever ordered in one task.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table, word_count, written
+from .common import running, table, word_count, written
 
 #: Words in a block; slots in an output shard; buckets of the prefix sums; rounds of a permutation.
 BLOCK, SLOTS, BUCKETS, ROUNDS = 64, 8192, 4096, 10
@@ -39,16 +39,16 @@ def targets(per_source: DataFrame, weights: tuple[float, ...], share: float, mos
     to weight, the capped sources come first, so one running sum finds it.
     """
     n = len(weights)
-    w = F.element_at(F.array(*map(F.lit, weights)), ((F.row_number().over(W.orderBy("sk")) - 1) % n + 1).cast("int"))
-    x = per_source.withColumn("weight", w.cast("double")).withColumn("cap", F.col("source_size") * float(most))
+    x = running(per_source, ["sk"], {"rank": F.lit(1)}, "mix-rank")
+    w = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % n + 1).cast("int"))
+    x = x.withColumn("weight", w.cast("double")).withColumn("cap", F.col("source_size") * float(most)).drop("rank")
     x = x.withColumn("ratio", F.col("cap") / F.col("weight"))
-    order = W.orderBy("ratio", "sk")
-    before = F.coalesce(F.sum("cap").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
-    rest = F.sum("weight").over(order.rowsBetween(W.currentRow, W.unboundedFollowing))
-    everything = F.sum("source_size").over(W.partitionBy())
-    x = x.withColumn("level", (everything * float(share) - before) / rest)
-    x = x.withColumn("level", F.min(F.when(F.col("ratio") >= F.col("level"), F.struct("ratio", "sk", "level"))).over(W.partitionBy())["level"])
-    return x.select("sk", "source_size", "weight", F.least("cap", F.col("weight") * F.col("level")).alias("target"))
+    x = written(running(x, ["ratio", "sk"], {"capped": F.col("cap"), "lighter": F.col("weight")}, "mix-level"), "mix-capped")
+    totals = x.agg(F.sum("source_size").alias("everything"), F.sum("weight").alias("weights"))
+    x = x.crossJoin(totals).withColumn("level", (F.col("everything") * float(share) - F.col("capped")) / (F.col("weights") - F.col("lighter")))  # one row
+    least = x.where("ratio >= level").agg(F.min(F.struct("ratio", "sk", "level"))["level"].alias("least"))
+    x = x.drop("level").crossJoin(least)  # one row
+    return x.select("sk", "source_size", "weight", F.least("cap", F.col("weight") * F.col("least")).alias("target"))
 
 
 def in_interval(points: DataFrame, at: str, intervals: DataFrame, lo: str, hi: str, total: int) -> DataFrame:
@@ -106,12 +106,8 @@ def slots(per_source: DataFrame, seed: int, block: int = BLOCK, per_shard: int =
     spark = per_source.sparkSession
     s = per_source.where("source_size > 0").withColumn("n_blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
     s = s.withColumn("quota", F.round(F.col("target") / F.col("source_size") * F.col("n_blocks")).cast("long"))
-    s = written(
-        s.withColumn("hi", F.sum("quota").over(W.orderBy("sk").rowsBetween(W.unboundedPreceding, 0)))
-        .withColumn("lo", F.col("hi") - F.col("quota"))
-        .select("sk", "n_blocks", "quota", "lo", "hi"),
-        "mix-sources",
-    )
+    s = running(s.select("sk", "n_blocks", "quota"), ["sk"], {"lo": F.col("quota")}, "mix-quota")
+    s = written(s.withColumn("hi", F.col("lo") + F.col("quota")), "mix-sources")
     total = int(s.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0])
     drawn = spark.range(total).select(
         "id",
@@ -121,17 +117,16 @@ def slots(per_source: DataFrame, seed: int, block: int = BLOCK, per_shard: int =
     drawn = in_interval(drawn, "u", s.select("sk", "lo", "hi"), "lo", "hi", total).select("id", "shard", "sk")
     drawn = written(drawn, "mix-drawn")
     counts = drawn.groupBy("sk", "shard").agg(F.count("*").alias("n"))
-    by_source = W.partitionBy("sk").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.select("sk", "shard", F.coalesce(F.sum("n").over(by_source), F.lit(0)).alias("base"))
+    counts = written(running(counts, ["sk", "shard"], {"at": F.col("n")}, "mix-counts"), "mix-bases")
+    counts = counts.join(counts.groupBy("sk").agg(F.min("at").alias("first")), "sk").select("sk", "shard", (F.col("at") - F.col("first")).alias("base"))
     rank = F.row_number().over(W.partitionBy("sk", "shard").orderBy("id"))
     indexed = drawn.join(counts, ["sk", "shard"]).select("id", "shard", "sk", (F.col("base") + rank - 1).alias("j"))
 
     # settle: draws beyond a quota go to the sources that fell short of theirs
     tally = s.join(drawn.groupBy("sk").agg(F.count("*").alias("d")), "sk", "left").withColumn("d", F.coalesce("d", F.lit(0)))
     over, under = F.greatest(F.col("d") - F.col("quota"), F.lit(0)), F.greatest(F.col("quota") - F.col("d"), F.lit(0))
-    run = W.orderBy("sk").rowsBetween(W.unboundedPreceding, 0)
-    tally = tally.withColumn("over_lo", F.sum(over).over(run) - over).withColumn("hi", F.sum(under).over(run)).withColumn("lo", F.col("hi") - under)
-    tally = tally.select("sk", "n_blocks", "quota", "d", "over_lo", "lo", "hi")
+    tally = running(tally.select("sk", "n_blocks", "quota", "d"), ["sk"], {"over_lo": over, "lo": under}, "mix-tally")
+    tally = written(tally.withColumn("hi", F.col("lo") + under), "mix-settled")
     indexed = indexed.join(tally.select("sk", "quota", "over_lo", "n_blocks"), "sk")
     kept = indexed.where("j < quota").select("id", "shard", "sk", "j", "n_blocks")
     surplus = indexed.where("j >= quota").select("id", "shard", (F.col("over_lo") + F.col("j") - F.col("quota")).alias("g"))
