@@ -1,10 +1,13 @@
 """URL filters that follow redirects and canonical links.
 
-Host and path rules judge a url first; the longest rule that fits wins. Urls
-that no rule fits take over the decision of their aliases: urls of one normal
-form are one node, redirects and canonical links are edges between nodes, and
-within a connected component a block spreads to all aliases unless one of
-them is explicitly allowed.
+Host and path rules judge a url first; the longest rule that fits wins. Rules
+are a table of any size, found by equal keys: a url's host and its parent
+domains meet the rules' hosts, which tell the lengths of their paths, and its
+path, cut to these lengths, meets the rules' paths. Urls that no rule fits
+take over the decision of their aliases: urls of one normal form are one
+node, redirects and canonical links are edges between nodes, and within a
+connected component a block spreads to all aliases unless one of them is
+explicitly allowed.
 """
 
 from __future__ import annotations
@@ -12,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, table, written
+from .common import SPACES, ascii_lower, table, written
 from .components import components
 
-#: (verdict, host, path); most rules that one list may hold, as it becomes one expression.
+#: Entities that urls in attributes hold, the ampersand last.
+ENTITIES = [("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&#38;", "&"), ("&amp;", "&")]
+#: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-MOST_RULES = 2000
 
 
 def _rest(url: Column) -> Column:
@@ -34,15 +38,29 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(_rest(url), r"(?s)^[^/?#]*([^?#]*)", 1)
 
 
-def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
-    """A struct (rule, verdict), null where no rule fits. The longest wins, of equals the first by text."""
-    if len(rules) > MOST_RULES:
-        raise ValueError(f"more than {MOST_RULES} rules")
-    found = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), [-ord(c) for c in r[1] + r[2]])):
-        fits = ((host == rule_host) | host.endswith("." + rule_host)) & path.startswith(rule_path)
-        found = F.when(fits, F.struct(F.lit(rule_host + rule_path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
-    return found
+def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFrame:
+    return spark.createDataFrame([(v, h, p) for v, h, p in rules], "verdict string, host string, path string")
+
+
+def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """Distinct (host, path) to the rule that fits and is longest: rule and verdict; those that no rule fits don't appear.
+
+    A rule fits its host and all subdomains where the path starts with the
+    rule's. Of equally long rules the first by text wins, of equal ones the
+    first by verdict (allow). Rules without a host or a path fit nothing.
+    """
+    r = rules.where("host is not null and path is not null and verdict is not null").select(
+        F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "verdict", F.length("path").alias("length")
+    )
+    lengths = r.groupBy("rule_host").agg(F.collect_set("length").alias("lengths"))
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    x = urls.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes)).join(lengths, "rule_host")
+    x = x.withColumn("length", F.explode(F.filter("lengths", lambda n: n <= F.length("path")))).drop("lengths")
+    x = x.withColumn("rule_path", F.substring("path", F.lit(1), F.col("length"))).join(r, ["rule_host", "rule_path", "length"])
+    rule = F.concat("rule_host", "rule_path")
+    best = F.min_by(F.struct(rule.alias("rule"), "verdict"), F.struct(-F.length(rule), rule, "verdict"))
+    return x.groupBy("host", "path").agg(best.alias("found")).select("host", "path", "found")
 
 
 def normal_form(url: Column) -> Column:
@@ -65,32 +83,53 @@ def resolve(base: Column, ref: Column) -> Column:
     return F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref).when(ref.startswith("//"), F.concat(F.lit("http:"), ref)).when(given, on_host)
 
 
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, quoted or not, with the common entities decoded; empty if there is none."""
+    at = rf"(?is)^<\w+(?:\s+[^\s=>\"'/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?|[\s/])*?\s+{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
+    value = F.concat(*[F.regexp_extract(tag, at, k) for k in (1, 2, 3)])
+    for entity, char in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(char))
+    return F.btrim(value, F.lit(SPACES))
+
+
 def linked_urls(url: Column, html: Column) -> Column:
-    """The targets of all canonical links and refreshes of a page, relative ones resolved against its base or else its url."""
-    html = F.coalesce(html, F.lit(""))
-    tags = lambda pattern, target: F.transform(F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
-    canonical = tags(r"(?is)<link\b[^>]*\bcanonical\b[^>]*>", r"(?is)\bhref\s*=\s*[\"']?([^\"'>\s]+)")
-    refresh = tags(r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh[^>]*>", r"(?is)\burl\s*=\s*[\"']?([^\"'>\s;]+)")
-    own = F.regexp_extract(html, r"(?is)<base\b[^>]*?\bhref\s*=\s*[\"']?([^\"'>\s]+)", 1)
-    to = lambda base: F.transform(F.concat(canonical, refresh), lambda x: resolve(base, x))
+    """The targets of all canonical links and refreshes of a page, relative ones resolved against its base or else its url.
+
+    A link is canonical if that is one of the words of its ``rel``, in any
+    case. Tags within comments are none.
+    """
+    html = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", "")
+    tags = lambda name: F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/])(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>"), F.lit(0))
+    is_canonical = lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical")
+    is_refresh = lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh"
+    refresh = lambda t: F.regexp_extract(_attribute(t, "content"), r"(?is)^\s*[\d.]*\s*[;,\s]\s*url\s*=\s*[\"']?([^\"'\s]+)", 1)
+    canonical = F.transform(F.filter(tags("link"), is_canonical), lambda t: _attribute(t, "href"))
+    moved = F.transform(F.filter(tags("meta"), is_refresh), refresh)
+    own = F.get(F.transform(tags("base"), lambda t: _attribute(t, "href")), 0)
+    to = lambda base: F.transform(F.concat(canonical, moved), lambda x: resolve(base, x))
     bound = F.transform(F.array(F.coalesce(resolve(url, own), url)), to)  # so that the base is found once a page, not once a link
     return F.array_distinct(F.array_compact(F.get(bound, 0)))
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFrame | None = None) -> DataFrame:
+def judge(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
     """One row a page: page_id, host, path, rule (null where none fits), verdict (allow or block).
 
-    ``redirects`` (from_url, to_url) adds edges to those found in ``html``.
-    A null url, or one without ``://``, has empty host and path, fits no
-    rule, has no aliases and is allowed. Null or empty html has no links; a
-    page of any length is searched whole. Every row is judged, repeated
-    rows and ids too. Without rules all is allowed. An empty table gives no
-    rows. Other columns are not looked at.
+    ``rules`` (verdict, host, path) may be of any number. ``redirects``
+    (from_url, to_url) adds edges to those found in ``html``. A null url, or
+    one without ``://``, has empty host and path, fits no rule, has no
+    aliases and is allowed. Null or empty html has no links; a page of any
+    length is searched whole. Every row is judged, repeated rows and ids
+    too. Without rules all is allowed. An empty table gives no rows. Other
+    columns are not looked at.
     """
     url = F.col("url")
     host, path = host_of(url), path_of(url)
-    x = pages.select("page_id", host.alias("host"), path.alias("path"), normal_form(url).alias("node"), F.transform(linked_urls(url, F.col("html")), normal_form).alias("to"))
-    x = written(x.withColumn("found", rule_for(F.col("host"), F.col("path"), rules)), "url-pages")
+    # html without any such tag, most of it, needs no search
+    html = F.when(F.col("html").rlike(r"(?i)<(link|meta)[\s/]"), F.col("html"))
+    x = pages.select("page_id", host.alias("host"), path.alias("path"), normal_form(url).alias("node"), F.transform(linked_urls(url, html), normal_form).alias("to"))
+    x = written(x, "url-pages")
+    found = matched(x, rules)
+    x = written(x.join(found, ["host", "path"], "left"), "url-ruled")
     edges = x.where("node is not null").select(F.col("node").alias("a"), F.explode("to").alias("b")).where("b is not null")
     if redirects is not None:
         edges = edges.union(redirects.select(normal_form(F.col("from_url")), normal_form(F.col("to_url"))))
@@ -101,7 +140,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
     of = joined.withColumnRenamed("node", "n")
     decided = decided.join(of, decided["node"] == of["n"], "left").select(F.coalesce("component", "node").alias("component"), "allowed", "blocked")
     decided = decided.groupBy("component").agg(F.max("allowed").alias("allowed"), F.max("blocked").alias("blocked"))
-    spread = decided.where("blocked and not allowed").select("component", F.lit("block").alias("spread"))
+    spread = written(decided.where("blocked and not allowed").select("component", F.lit("block").alias("spread")), "url-spread")
     open_ = x.where("found is null")
     open_ = open_.join(of, open_["node"] == of["n"], "left").withColumn("component", F.coalesce("component", "node")).join(spread, "component", "left")
     none = F.lit(None).cast("string")
@@ -111,7 +150,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], redirects: DataFr
 
 
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages"), RULES)
+    return judge(table(spark, sf_dir, "pages"), rules_table(spark, RULES))
 
 
 _NORMAL = r"""
