@@ -6,8 +6,8 @@ cells of two versions leaves their difference, and peeling (a cell that holds
 one digest gives it away, which empties other cells) recovers the digests
 that differ. If the fingerprints themselves don't peel, larger sketches do:
 the digests are dealt into tables of six or so on average, and each table
-that fails is built again twice as large with other hashes. All of it are
-SQL expressions on arrays.
+that fails is built again twice as large with other hashes, until it peels.
+All of it are SQL expressions on arrays.
 """
 
 from __future__ import annotations
@@ -16,12 +16,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import table
+from .common import table, written
 
-#: Cells in each third of a fingerprint; sizes of the thirds of larger tables, tried in turn; digests a table; words a paragraph piece.
-THIRD, LARGER, PER_TABLE, PIECE = 8, (7, 14, 28, 64), 6, 32
-ROUNDS = 12
-MOST_BUCKETS, BUCKET_ROWS = 1000, 2048
+#: Cells in each third of a fingerprint and of the first larger tables; digests a table; words a paragraph piece.
+THIRD, LARGER, PER_TABLE, PIECE = 8, 7, 6, 32
+#: Rounds of peeling; doublings after which a table counts as an error (each attempt fails with a small probability, so some ten suffice for all corpora).
+ROUNDS, DOUBLINGS = 12, 20
+NO_ID = (1 << 63) - 1
 
 
 def digests(text: Column) -> Column:
@@ -39,8 +40,8 @@ def _check(k: Column) -> Column:
     return F.xxhash64(k, F.lit("check"))
 
 
-def _placed(k: Column, n: Column, third: int, seed: int) -> Column:
-    at = [(F.pmod(F.xxhash64(k, F.lit(seed * 3 + t)), F.lit(third)) + t * third).cast("int").alias(f"i{t}") for t in range(3)]
+def _placed(k: Column, n: Column, third: Column, seed: Column) -> Column:
+    at = [(F.pmod(F.xxhash64(k, seed * 3 + t), third) + t * third).cast("int").alias(f"i{t}") for t in range(3)]
     return F.struct(k.alias("k"), n.alias("n"), _check(k).alias("h"), *at)
 
 
@@ -52,23 +53,26 @@ def _cell(n: Column, k: Column, h: Column) -> Column:
     return F.struct(n.alias("n"), k.alias("k"), h.alias("h"))
 
 
-def cells(placed: Column, third: int) -> Column:
+def cells(placed: Column, third: Column) -> Column:
     """The cells of signed, placed digests."""
     zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
     add = lambda a, r: _cell(a["n"] + r["n"], a["k"].bitwiseXOR(r["k"]), a["h"].bitwiseXOR(r["h"]))
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * third - 1)), lambda c: F.aggregate(F.filter(placed, lambda r: _hit(r, c)), zero, add))
+    return F.transform(F.sequence(F.lit(0), (3 * third - 1).cast("int")), lambda c: F.aggregate(F.filter(placed, lambda r: _hit(r, c)), zero, add))
 
 
 def sketch(keys: Column, third: int = THIRD, seed: int = 0) -> Column:
-    return _let(F.transform(keys, lambda k: _placed(k, F.lit(1), third, seed)), lambda p: cells(p, third))
+    return _let(F.transform(keys, lambda k: _placed(k, F.lit(1), F.lit(third), F.lit(seed))), lambda p: cells(p, F.lit(third)))
 
 
 def subtracted(a: Column, b: Column) -> Column:
     return F.zip_with(a, b, lambda x, y: _cell(x["n"] - y["n"], x["k"].bitwiseXOR(y["k"]), x["h"].bitwiseXOR(y["h"])))
 
 
-def peeled(diff: Column, third: int, seed: int) -> Column:
-    """Number of digests recovered from cells, or null where some are left over."""
+_FOUND = "array<struct<k:bigint,n:int>>"
+
+
+def peeled(diff: Column, third: Column, seed: Column) -> Column:
+    """The digests recovered from cells, with 1 for the first side and -1 for the second; null where some are left over."""
 
     def step(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda x: (F.abs(x["n"]) == 1) & (x["h"] == _check(x["k"])))
@@ -77,24 +81,28 @@ def peeled(diff: Column, third: int, seed: int) -> Column:
 
         def then(rs: Column) -> Column:
             rest = F.transform(state["cells"], lambda x, c: F.aggregate(F.filter(rs, lambda r: _hit(r, c)), x, less))
-            return F.when(F.size(rs) == 0, state).otherwise(F.struct(rest.alias("cells"), (state["found"] + F.size(rs)).alias("found")))
+            new = F.transform(rs, lambda r: F.struct(r["k"].alias("k"), r["n"].alias("n")))
+            return F.when(F.size(rs) == 0, state).otherwise(F.struct(rest.alias("cells"), F.concat(state["found"], new).alias("found")))
 
         return _let(found, then)
 
-    start = F.struct(diff.alias("cells"), F.lit(0).alias("found"))
+    start = F.struct(diff.alias("cells"), F.array().cast(_FOUND).alias("found"))
     end = F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, step)
     left = lambda s: F.exists(s["cells"], lambda x: (x["n"] != 0) | (x["k"] != 0) | (x["h"] != 0))
     return _let(end, lambda s: F.when(~left(s), s["found"]))
 
 
 def _table(a: Column, b: Column) -> Column:
-    """Number of digests in which two small sets differ, by ever larger tables; the last resort compares the sets."""
+    """The digests in which two small sets differ, by ever larger tables: an attempt is made only where those before failed."""
 
-    def attempt(third: int, seed: int) -> Column:
+    def attempt(doubled: Column) -> Column:
+        third, seed = F.lit(LARGER) * F.call_function("shiftleft", F.lit(1), doubled), doubled + 1
         placed = F.concat(F.transform(a, lambda k: _placed(k, F.lit(1), third, seed)), F.transform(b, lambda k: _placed(k, F.lit(-1), third, seed)))
         return _let(placed, lambda p: peeled(cells(p, third), third, seed))
 
-    return F.coalesce(*[attempt(t, s + 1) for s, t in enumerate(LARGER)], F.size(F.array_except(a, b)) + F.size(F.array_except(b, a)))
+    last = F.raise_error(F.lit("a table didn't peel")).cast(_FOUND)
+    tried = F.aggregate(F.sequence(F.lit(0), F.lit(DOUBLINGS)), F.lit(None).cast(_FOUND), lambda got, i: F.when(got.isNotNull(), got).otherwise(attempt(i)))
+    return _let(tried, lambda t: F.when(t.isNotNull(), t).otherwise(last))
 
 
 def _dealt(keys: Column, parts: Column, shift: int, part: Column) -> Column:
@@ -102,17 +110,25 @@ def _dealt(keys: Column, parts: Column, shift: int, part: Column) -> Column:
 
 
 def difference(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """Number of digests in one of two sets only. In two levels of parts, so that long texts cost little more a digest."""
+    """The digests in one of two sets only, as an array of (k, n), n telling the side. In two levels of parts, so that long texts cost little more a digest."""
     total = F.size(a) + F.size(b)
     parts = F.ceil(F.sqrt(F.ceil(total / PER_TABLE))).cast("long")
 
     def inner(p: Column) -> Column:
         sides = F.struct(_dealt(a, parts, 8, p).alias("a"), _dealt(b, parts, 8, p).alias("b"))
         one = lambda s: lambda q: _let(F.struct(_dealt(s["a"], parts, 29, q).alias("a"), _dealt(s["b"], parts, 29, q).alias("b")), lambda t: _table(t["a"], t["b"]))
-        return _let(sides, lambda s: F.aggregate(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), one(s)), F.lit(0), lambda x, y: x + y))
+        return _let(sides, lambda s: F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), one(s))))
+
+    large = F.flatten(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), inner))
+    small = peeled(subtracted(sketch_a, sketch_b), F.lit(THIRD), F.lit(0))
+    # more differing digests than cells never peel
+    fits = F.abs(F.size(a) - F.size(b)) <= 3 * THIRD
+    return F.when(total == 0, F.array().cast(_FOUND)).otherwise(F.coalesce(F.when(fits, small), large))
 
-    large = F.aggregate(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), inner), F.lit(0), lambda x, y: x + y)
-    return F.when(total == 0, F.lit(0)).otherwise(F.coalesce(peeled(subtracted(sketch_a, sketch_b), THIRD, 0), large))
+
+def side(found: Column, n: int) -> Column:
+    """The digests of one side of a difference: 1 for the first, -1 for the second."""
+    return F.transform(F.filter(found, lambda x: x["n"] == n), lambda x: x["k"])
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -126,52 +142,67 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.when(x["n"] == 0, F.lit("")).otherwise(part(x))), "-")
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """(k, th, head, quarter) to distinct (k, th) with copies, next_k, next_th, and of the one before: prev_k, prev_th, prev_quarter.
+
+    The order is by k, then by the head of the text; the last is followed by
+    the first. Short rows only are sorted, in ranges as many as the shuffle has partitions.
+    """
+    keys = docs.groupBy("k", "th").agg(F.min("head").alias("head"), F.min("quarter").alias("quarter"), F.count("*").cast("int").alias("copies"))
+    x = written(keys.repartitionByRange("k", "head", "th").withColumn("p", F.spark_partition_id()), "next-ranges")
+    me, order = F.struct("k", "th", "quarter"), F.struct("k", "head", "th")
+    ends = x.groupBy("p").agg(F.min_by(me, order).alias("first"), F.max_by(me, order).alias("last"))
+    w = W.orderBy("p")  # one row a range
+    every = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    ends = ends.select("p", F.coalesce(F.lead("first").over(w), F.first("first").over(every)).alias("after"), F.coalesce(F.lag("last").over(w), F.last("last").over(every)).alias("before"))
+    within = W.partitionBy("p").orderBy("k", "head", "th")
+    x = x.withColumn("lead", F.lead(me).over(within)).withColumn("lag", F.lag(me).over(within)).join(ends, "p")
+    x = x.withColumn("next", F.coalesce("lead", "after")).withColumn("prev", F.coalesce("lag", "before"))
+    return x.select("k", "th", "copies", F.col("next.k").alias("next_k"), F.col("next.th").alias("next_th"), F.col("prev.k").alias("prev_k"), F.col("prev.th").alias("prev_th"), F.col("prev.quarter").alias("prev_quarter"))
+
+
 def with_next(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, ...) with ``next``, a struct of the next document's columns in ascending order of ids; after the last comes the first.
+    """(doc_id, text) to doc_id, text, its digests a, and of the next document in ascending order of ids the digests b and as much of its text as an edit takes (``patch``).
 
-    Ids are dealt into ranges, and a range's last row takes the first of the
-    next range that isn't empty. Null ids come last; rows of one id go by text.
+    Null ids come last; rows of one id go by the first 32 characters of the
+    text. Of rows that are wholly equal each is followed by another, the last
+    by the next document. Texts are exchanged once; of next documents only
+    the beginnings and digests travel.
     """
-    rows = docs.count()
-    n = max(1, min(MOST_BUCKETS, rows // BUCKET_ROWS))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted({*map(int, bounds)}) if n > 1 else []
-    limits = F.array(*[F.lit(b).cast("long") for b in bounds]) if bounds else F.array().cast("array<bigint>")
-    bucket = F.when(F.col("doc_id").isNull(), len(bounds)).otherwise(F.size(F.filter(limits, lambda b: b < F.col("doc_id"))))
-    x = docs.withColumn("bucket", bucket).withColumn("row", F.struct(*[c for c in docs.columns if c != "doc_id"]))
-    x = x.select("doc_id", "bucket", "row")
-    # at most MOST_BUCKETS + 1 rows
-    key = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("row.text").alias("text"))
-    firsts = x.groupBy("bucket").agg(F.min_by("row", key).alias("first"))
-    order = W.orderBy("bucket")
-    firsts = firsts.select("bucket", F.coalesce(F.lead("first").over(order), F.first("first").over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("after"))
-    lead = F.lead("row").over(W.partitionBy("bucket").orderBy(F.col("doc_id").asc_nulls_last(), "row.text"))
-    x = x.withColumn("lead", lead).join(firsts, "bucket", "left")
-    return x.select("doc_id", "row", F.coalesce("lead", "after").alias("next"))
+    quarter = F.floor(F.length("text") / 4).cast("int")
+    x = docs.withColumns({"k": F.coalesce("doc_id", F.lit(NO_ID)), "th": F.xxhash64("text"), "quarter": quarter})
+    order = written(in_order(x.select("k", "th", F.substring("text", 1, 32).alias("head"), "quarter")), "next-order")
+    x = x.join(order, ["k", "th"]).withColumn("a", digests(F.col("text")))
+    x = x.withColumn("copy", F.row_number().over(W.partitionBy("k", "th").orderBy("k")))
+    sent = x.where("copy = 1").select(F.col("prev_k").alias("k"), F.col("prev_th").alias("th"), F.substring("text", F.lit(1), F.col("prev_quarter")).alias("patch"), F.col("a").alias("b"))
+    own = F.col("copy") < F.col("copies")
+    return x.join(sent, ["k", "th"]).select(
+        "doc_id", "text", "a", "quarter",
+        F.when(own, F.substring("text", F.lit(1), F.col("quarter"))).otherwise(F.col("patch")).alias("patch"), F.when(own, F.col("a")).otherwise(F.col("b")).alias("b"),
+    )
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    """One row a document, with its fingerprint, that of its edited text, and both likenesses.
+    """One row a document, with its fingerprint, that of its edited text, both likenesses, and the paragraph digests that the edit took (``edited_lost``) and brought (``edited_gained``).
 
     Null texts count as empty; texts of any length count whole. Every row is
-    a document, repeated rows and ids too; of equal ids the lesser text comes
-    first. The only row of a table is its own next. An empty table gives no
-    rows. Other columns are not looked at.
+    a document, repeated rows and ids too; of equal ids the text whose first
+    32 characters are lesser comes first. The only row of a table is its own
+    next. An empty table gives no rows. Other columns are not looked at.
     """
     x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    x = with_next(x).select("doc_id", F.col("row.text").alias("text"), F.col("next.text").alias("next"))
-    x = x.withColumn("n_chars", F.length("text").cast("long"))
-    quarter = F.floor(F.col("n_chars") / 4).cast("int")
-    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - quarter), F.substring("next", F.lit(1), quarter))
+    x = with_next(x).withColumn("n_chars", F.length("text").cast("long"))
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - F.col("quarter")), F.col("patch"))
     x = x.withColumn("edited", edited)
-    x = x.select("doc_id", "n_chars", F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"), *[digests(F.col(c)).alias(d) for c, d in (("text", "a"), ("edited", "e"), ("next", "b"))])
+    x = x.select("doc_id", "n_chars", F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"), "a", digests(F.col("edited")).alias("e"), "b")
     x = x.withColumns({f"s{c}": sketch(F.col(c)) for c in "aeb"})
     col = F.col
     x = x.withColumns({"de": difference(col("a"), col("e"), col("sa"), col("se")), "db": difference(col("a"), col("b"), col("sa"), col("sb"))})
     return x.select(
         "doc_id", "n_chars", "edited_sha256",
         as_text(col("sa")).alias("fingerprint"), as_text(col("se")).alias("edited_fingerprint"),
-        likeness(col("a"), col("e"), col("de")).alias("near_edited"), likeness(col("a"), col("b"), col("db")).alias("near_next"),
+        likeness(col("a"), col("e"), F.size("de")).alias("near_edited"), likeness(col("a"), col("b"), F.size("db")).alias("near_next"),
+        side(col("de"), 1).alias("edited_lost"), side(col("de"), -1).alias("edited_gained"),
     )
 
 
