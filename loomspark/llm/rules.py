@@ -1,27 +1,37 @@
 """Quality rules: base statistics of every text, then robust multivariate outliers.
 
-For each language and source a minimum-covariance-determinant estimate is
-found by concentration steps: from coordinatewise medians, the three quarters
-of rows that lie nearest give the next mean and covariance, a fixed number
-of times. A document goes if the Mahalanobis distance of its transformed
-statistics is beyond the cut. Statistics are rounded to 1/1024, so quantiles
-are exact, their state is small, and sums don't depend on the order of rows.
+For each language and source, for each language and for all documents a
+minimum-covariance-determinant estimate is found: from several starts
+(coordinatewise medians, and small subsets that a hash picks) concentration
+steps take the three quarters of rows that lie nearest as the next mean and
+covariance; after two steps the starts of the least determinants go on until
+their determinant falls no further, and the least of all is the estimate. An
+estimate from few rows says little, so that of a language and source leans
+on the language's, and that on the one of all documents, by a weight of
+LEAN rows at every size. A document goes if the Mahalanobis distance of its
+transformed statistics is beyond the cut. Statistics are rounded to 1/1024,
+so quantiles are exact, their state is small, and sums don't depend on the order of rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import SPACES, WORD, table, written
 
 P = 5
-#: Share of rows in the concentrated half; steps; least standard deviation in each dimension; fewest rows a group's own estimate needs.
-INNER, STEPS, FLOOR, FEWEST = 0.75, 3, (0.08, 0.5, 0.5, 0.5, 0.35), 200
+#: Share of rows in the concentrated part; starts, rows in a picked subset, steps before the best starts are chosen, how many of these.
+INNER, STARTS, SUBSET, FIRST, BEST = 0.75, 8, 12, 2, 2
+#: Added standard deviation in each dimension, far below the data's own where that isn't zero; rows that the estimate of the level above weighs.
+FLOOR, LEAN = (0.02, 0.25, 0.02, 0.02, 0.02), 50
 #: Cut of squared distances (chi-squared with five degrees of freedom, 0.9999); what the covariance of the inner
 #: three quarters is short of, under a normal distribution of five dimensions.
 CUT, CONSISTENCY = 25.74, 1.41
 TICK = 1024.0
+#: Words that a rate is smoothed by, so that short texts don't stray; usual characters a word and rates (per word) of marks, capitals and short words.
+SMOOTH, USUAL = 100.0, (5.0, 0.15, 0.1, 0.3)
 
 
 def word_list(text: Column) -> Column:
@@ -55,27 +65,32 @@ def base_statistics(docs: DataFrame) -> DataFrame:
         F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
-        F.regexp_count("text", F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_capitals"),
-        F.regexp_count("text", F.lit(r"[!?;]")).cast("long").alias("n_marks"),
-        F.size("lines").cast("long").alias("n_lines"),
+        F.regexp_count("text", F.lit(r"[.,;:]")).cast("long").alias("n_marks"),
+        F.regexp_count("text", F.lit(r"(?<![^\x20\x09-\x0D])\p{Lu}")).cast("long").alias("n_capitals"),
+        F.size(F.filter("words", lambda w: F.length(w) <= 3)).cast("long").alias("n_short"),
         ((F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))).alias("base_failed"),
     )
 
 
 def vector(x: DataFrame) -> DataFrame:
-    """z0 to z4: logarithms of word length and of rates of symbols, capitals and marks; the share of repeated lines."""
-    rate = lambda a, b: F.log1p(100 * F.col(a) / F.greatest(F.col(b), F.lit(1)))
-    z = [F.log1p(F.col("word_chars") / F.greatest("n_words", F.lit(1))), rate("n_symbols", "n_words"), rate("n_capitals", "n_words"), rate("n_marks", "n_words"), F.col("n_dup_lines") / F.greatest("n_lines", F.lit(1))]
+    """z0 to z4: logarithms of word length and of the smoothed rates of symbols, marks, capitals and short words."""
+    n = F.col("n_words")
+    rate = lambda c, usual: F.log((F.col(c) + usual * SMOOTH) / (n + SMOOTH))
+    z = [rate("word_chars", USUAL[0]), F.log1p(100 * F.col("n_symbols") / (n + SMOOTH)), *[rate(c, u) for c, u in zip(("n_marks", "n_capitals", "n_short"), USUAL[1:], strict=True)]]
     return x.withColumns({f"z{k}": F.floor(c * TICK) / TICK for k, c in enumerate(z)})
 
 
-def _quantile(c: Column, q: float) -> Column:
-    """Exact, over values in 1/1024ths, of which there are few."""
-    return F.percentile(F.round(c * TICK) / TICK, F.lit(q))
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+MEANS, COVS, ROOTS = [f"m{i}" for i in range(P)], [f"cov{i}{j}" for i, j in PAIRS], [f"r{i}{j}" for i, j in PAIRS]
 
 
-def _inverse_root(x: DataFrame) -> DataFrame:
-    """Of cov{i}{j}: r{i}{j}, the inverse of its lower Cholesky factor."""
+def _quantile(c: str, q: float) -> Column:
+    """The least value that a share q of the rows doesn't exceed; exact, over whole ticks, of which there are few."""
+    return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY {c})")
+
+
+def _with_roots(x: DataFrame) -> DataFrame:
+    """Of cov{i}{j}: r{i}{j}, the inverse of its lower Cholesky factor, and ``logdet``, the logarithm of its determinant."""
     for i in range(P):
         for j in range(i + 1):
             s = F.col(f"cov{i}{j}")
@@ -88,7 +103,8 @@ def _inverse_root(x: DataFrame) -> DataFrame:
             for k in range(j, i):
                 s = s - F.col(f"l{i}{k}") * F.col(f"r{k}{j}")
             x = x.withColumn(f"r{i}{j}", s / F.col(f"l{i}{i}"))
-    return x
+    x = x.withColumn("logdet", sum((2 * F.log(f"l{i}{i}") for i in range(P)), F.lit(0.0)))
+    return x.drop(*[f"l{i}{j}" for i, j in PAIRS])
 
 
 def _distance() -> Column:
@@ -99,50 +115,82 @@ def _distance() -> Column:
     return total
 
 
+def _moments(x: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, means and covariances (made consistent, with the floors) of the rows of each group, written, with roots and determinants."""
+    z = [F.col(f"z{i}") for i in range(P)]
+    sums = x.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.sum(z[i]).alias(f"t{i}") for i in range(P)], *[F.sum(z[i] * z[j]).alias(f"q{i}{j}") for i, j in PAIRS])
+    mean = [F.col(f"t{i}") / F.col("_n") for i in range(P)]
+    cov = [(CONSISTENCY * (F.col(f"q{i}{j}") / F.col("_n") - mean[i] * mean[j]) + F.lit(FLOOR[i] ** 2 if i == j else 0.0)).alias(f"cov{i}{j}") for i, j in PAIRS]
+    return written(_with_roots(written(sums.select(*keys, *[m.alias(f"m{i}") for i, m in enumerate(mean)], *cov), "rules-moments")), "rules-roots")
+
+
+def _starts(x: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(g, z0 ...) to the first estimates: start 0 from medians and their deviations, the others from subsets of SUBSET rows or so."""
+    mid = written(x.groupBy("g").agg(*[_quantile(f"z{i}", 0.5).alias(f"m{i}") for i in range(P)]), "rules-medians")
+    off = x.join(mid, "g").select("g", *MEANS, *[F.abs(F.col(f"z{i}") - F.col(f"m{i}")).alias(f"o{i}") for i in range(P)])
+    spread = off.groupBy("g", *MEANS).agg(*[_quantile(f"o{i}", 0.5).alias(f"s{i}") for i in range(P)])
+    cov = [(F.greatest(F.col(f"s{i}") * 1.4826, F.lit(FLOOR[i])) ** 2 if i == j else F.lit(0.0)).alias(f"cov{i}{j}") for i, j in PAIRS]
+    middle = _with_roots(written(spread.select("g", F.lit(0).alias("s"), *MEANS, *cov), "rules-middle"))
+    picked = x.join(sizes, "g").withColumn("s", F.explode(F.array(*map(F.lit, range(1, STARTS)))))
+    picked = picked.where(F.pmod(F.xxhash64("s", *[f"z{i}" for i in range(P)]), F.col("rows")) < SUBSET)
+    return middle.unionByName(_moments(picked, ["g", "s"]))
+
+
+def _step(x: DataFrame, par: DataFrame) -> DataFrame:
+    """One concentration step of each estimate (g, s): the moments of the INNER share of rows that lie nearest."""
+    at = x.join(par.select("g", "s", *MEANS, *ROOTS), "g").withColumn("d", F.floor(F.log1p(_distance()) * TICK))
+    at = at.select("g", "s", "d", *[f"z{i}" for i in range(P)])
+    cut = written(at.groupBy("g", "s").agg(_quantile("d", INNER).alias("cut")), "rules-cut")
+    return _moments(at.join(cut, ["g", "s"]).where("d <= cut"), ["g", "s"])
+
+
 def estimates(x: DataFrame) -> DataFrame:
-    """(g, z0 ...) to one row a group: g, m{i} and r{i}{j}, of the minimum-covariance-determinant estimate."""
-    names = [f"m{i}" for i in range(P)] + [f"r{i}{j}" for i in range(P) for j in range(i + 1)]
-    par = written(x.groupBy("g").agg(*[_quantile(F.col(f"z{i}"), 0.5).alias(f"m{i}") for i in range(P)]), "rules-start")
-    mad = [_quantile(F.abs(F.col(f"z{i}") - F.col(f"m{i}")), 0.5).alias(f"s{i}") for i in range(P)]
-    start = x.join(par, "g").groupBy("g").agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(P)], *mad)
-    unit = {f"r{i}{j}": 1 / F.greatest(F.col(f"s{i}") * 1.4826, F.lit(FLOOR[i])) if i == j else F.lit(0.0) for i in range(P) for j in range(i + 1)}
-    par = written(start.withColumns(unit).select("g", *names), "rules-mad")
-    near = lambda par: x.join(par, "g").withColumn("d", F.log1p(_distance()))
-    for step in range(STEPS):
-        at = near(par)
-        cut = at.groupBy("g").agg(_quantile(F.col("d"), INNER).alias("cut"))
-        inner = at.join(written(cut, "rules-cut"), "g").where("d <= cut + 1e-3")
-        z = [F.col(f"z{i}") for i in range(P)]
-        sums = inner.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(z[i]).alias(f"t{i}") for i in range(P)], *[F.sum(z[i] * z[j]).alias(f"q{i}{j}") for i in range(P) for j in range(i + 1)])
-        mean, square = [F.col(f"t{i}") / F.col("n") for i in range(P)], lambda i, j: F.col(f"q{i}{j}") / F.col("n")
-        cov = [(CONSISTENCY * (square(i, j) - mean[i] * mean[j]) + F.lit(FLOOR[i] ** 2 if i == j else 0.0)).alias(f"cov{i}{j}") for i in range(P) for j in range(i + 1)]
-        par = sums.select("g", *[m.alias(f"m{i}") for i, m in enumerate(mean)], *cov)
-        par = written(_inverse_root(written(par, "rules-cov")).select("g", *names), f"rules-step{step}")
-    return par
-
-
-def judge(docs: DataFrame, cut: float = CUT, fewest: int = FEWEST) -> DataFrame:
+    """(g, z0 ...) to one row a group: g, rows, m{i} and cov{i}{j} of the minimum-covariance-determinant estimate."""
+    sizes = written(x.groupBy("g").agg(F.count("*").alias("rows")), "rules-sizes")
+    par = _starts(x, sizes)
+    for _ in range(FIRST):
+        par = _step(x, par)
+    ranked = par.withColumn("_at", F.row_number().over(W.partitionBy("g").orderBy("logdet", "s")))
+    held = written(ranked.where(F.col("_at") <= BEST).drop("_at").withColumn("open", F.lit(True)), "rules-held")
+    while not (going := held.where("open")).isEmpty():
+        new = _step(x, going).select("g", "s", *[F.col(c).alias(f"n_{c}") for c in (*MEANS, *COVS, *ROOTS, "logdet")])
+        both = held.join(new, ["g", "s"], "left").withColumn("open", F.coalesce(F.col("n_logdet") < F.col("logdet") - 1e-9, F.lit(False)))
+        held = written(both.select("g", "s", *[F.when(F.col("open"), F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in (*MEANS, *COVS, *ROOTS, "logdet")], "open"), "rules-held")
+    best = held.withColumn("_at", F.row_number().over(W.partitionBy("g").orderBy("logdet", "s"))).where("_at = 1")
+    return best.join(sizes, "g").select("g", "rows", *MEANS, *COVS)
+
+
+def _leaning(low: DataFrame, up: DataFrame) -> DataFrame:
+    """Estimates (g, above, rows, ...) drawn towards those of the level above (g, ...), which weigh LEAN rows."""
+    names = [*MEANS, *COVS]
+    up = up.select(F.col("g").alias("above"), *[F.col(c).alias(f"u_{c}") for c in names])
+    mixed = [((F.col("rows") * F.col(c) + LEAN * F.col(f"u_{c}")) / (F.col("rows") + LEAN)).alias(c) for c in names]
+    return written(low.join(up, "above").select("g", *mixed), "rules-leaning")
+
+
+def judge(docs: DataFrame, cut: float = CUT) -> DataFrame:
     """One row a document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance.
 
     Documents that fail the base rules go; of the rest those go whose
-    squared distance exceeds ``cut``. Groups (language and source, null a
-    value like another) of fewer than ``fewest`` such documents are judged
-    by the common estimate of all these small groups. Null, empty and blank
-    texts have no words and fail. Every row is judged, repeated rows and ids
-    too; equal rows are estimates' data as often as they occur. Least
-    standard deviations keep groups of equal texts from rejecting every
-    other. An empty table gives no rows. Other columns are not looked at.
+    squared distance from their language's and source's estimate exceeds
+    ``cut``. A null language or source is a value like another. Null, empty
+    and blank texts have no words and fail; texts of any length count whole.
+    Every row is judged, repeated rows and ids too; equal rows are
+    estimates' data as often as they occur, and have equal verdicts. A
+    distance of exactly ``cut`` is kept. An empty table gives no rows. Other
+    columns are not looked at.
     """
     rows = written(base_statistics(docs), "rules-rows")
-    z = vector(rows.where("not base_failed"))
-    group = F.concat_ws("|", F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit("-")), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("-")))
-    z = z.withColumn("own", group)
-    sizes = z.groupBy("own").agg(F.count("*").alias("members"))
-    z = z.join(sizes, "own").withColumn("g", F.when(F.col("members") >= fewest, F.col("own")).otherwise("*"))
-    z = written(z.drop("own", "members", "lang", "source"), "rules-vectors")
-    par = written(estimates(z.select("g", *[f"z{i}" for i in range(P)])), "rules-estimates")
+    name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-"))
+    z = vector(rows.where("not base_failed")).withColumns({"lang": F.concat(F.lit("1"), name("lang")), "own": F.concat(F.lit("2"), name("lang"), F.lit("|"), name("source"))})
+    z = written(z.drop("source"), "rules-vectors")
+    names = [f"z{i}" for i in range(P)]
+    levels = written(estimates(z.select(F.explode(F.array(F.lit("0"), "lang", "own")).alias("g"), *names)), "rules-estimates")
+    langs = _leaning(levels.where("g like '1%'").withColumn("above", F.lit("0")), levels)
+    own = levels.join(z.select("own", "lang").distinct().toDF("g", "above"), "g")
+    par = written(_with_roots(_leaning(own, langs)).select(F.col("g").alias("own"), *MEANS, *ROOTS), "rules-final")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = z.join(par, "g").select(*columns, _distance().alias("distance"))
+    judged = z.join(par, "own").select(*columns, _distance().alias("distance"))
     judged = judged.select(*columns, (F.col("distance") <= cut).alias("kept"), "distance")
     return judged.union(rows.where("base_failed").select(*columns, F.lit(False), F.lit(None).cast("double")))
 
