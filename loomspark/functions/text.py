@@ -120,13 +120,17 @@ def reason_code(c: Column) -> Column:
     return out.otherwise("conversion_error")
 
 
-def protocol_shape(path: Column, request: Column, response: Column) -> Column:
-    """P10: struct (family, endpoint, transport) of a call; bodies are JSON or SSE text. Order is semantic."""
+def protocol_shape(path: Column, request: Column, response: Column, streamed: Column | None = None, kind: Column | None = None) -> Column:
+    """P10: struct (family, endpoint, transport) of a call; bodies are JSON or SSE text, ``streamed`` and ``kind`` what the capture says itself. Order is semantic."""
     low, req, res = F.lower(F.coalesce(path, F.lit(""))), F.try_parse_json(request), F.try_parse_json(response)
     has = lambda v, k: F.coalesce(~F.isnull(F.try_variant_get(v, f"$.{k}", "variant")), F.lit(False))
     body = F.coalesce(response, F.lit(""))
     sse = body.rlike(r"(?m)^\s*data:")
     stream = F.coalesce(F.try_variant_get(req, "$.stream", "boolean"), F.lit(False)) | sse
+    if streamed is not None:
+        stream = stream | F.coalesce(streamed, F.lit(False))
+    if kind is not None:
+        stream = stream | F.coalesce(kind == "sse", F.lit(False))
     anthropic = F.contains(low, F.lit("/v1/messages")) | F.contains(low, F.lit("anthropic")) | has(req, "anthropic_version") | has(req, "system") | body.contains("message_start") | body.contains("content_block_start")
     chat = F.contains(low, F.lit("chat/completions")) | has(res, "choices")
     responses = low.endswith("/responses") | has(req, "input") | has(res, "output") | body.contains("response.created") | body.contains("response.completed")

@@ -100,6 +100,13 @@ def alternating(rows: DataFrame, group: list[str], order: list[str], kind: str)
     return g.select(*group, (F.col("_all") & (F.col("_n") % 2 == 0)).alias("alternates"), F.expr("_n div 2").alias("operations"))
 
 
+def latest_status(rows: DataFrame, group: list[str], order: list[str], status: str, priority: list[str], out: str) -> DataFrame:
+    """Per group the last status of the first kind in ``priority`` that occurs at all; other kinds come after them."""
+    rank = F.array_position(F.array(*map(F.lit, priority)), F.col(status))
+    x = rows.where(F.col(status).isNotNull()).withColumn("_p", F.when(rank > 0, -rank).otherwise(-len(priority) - 1))
+    return x.groupBy(*group).agg(F.max_by(status, F.struct("_p", *order)).alias(out))
+
+
 def latest(rows: DataFrame, group: list[str], order: list[str], value: Column, out: str) -> DataFrame:
     """The last value that isn't null."""
     return rows.where(value.isNotNull()).groupBy(*group).agg(F.max_by(value, F.struct(*order)).alias(out))

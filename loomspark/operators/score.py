@@ -89,9 +89,10 @@ def reassess(assessed: DataFrame, names: list[str], weights: dict[str, float]) -
     return assessed.where((again != F.col("score")) | (F.col("eligible") != (F.size("failures") == 0)) | unknown)
 
 
-def summary(assessed: DataFrame) -> DataFrame:
-    """A10: one row of counts and the mean score, three places."""
-    return assessed.agg(F.count("*").alias("sessions"), F.count_if("eligible").alias("eligible"), F.round(F.avg("score"), 3).alias("mean_score"))
+def summary(assessed: DataFrame, tokens: list[str] = ()) -> DataFrame:
+    """A10: one row of counts, the mean score, three places, and sums of token columns."""
+    sums = [F.coalesce(F.sum(t), F.lit(0)).alias(t) for t in tokens]
+    return assessed.agg(F.count("*").alias("sessions"), F.count_if("eligible").alias("eligible"), F.round(F.avg("score"), 3).alias("mean_score"), *sums)
 
 
 def reasons(assessed: DataFrame) -> DataFrame:

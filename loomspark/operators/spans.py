@@ -59,15 +59,14 @@ def native_consistency(rows: DataFrame, keys: list[str], arguments: str, output:
     )
 
 
-def reconcile(rows: DataFrame, group: str, call: str, source: str, kind: str, name: str, arguments: str) -> DataFrame:
-    """Per call: sources, duplicate starts and ends, and whether names and arguments agree between sources."""
-    per = rows.groupBy(group, call, source).agg(
-        F.count_if(F.col(kind) == "start").alias("s"), F.count_if(F.col(kind) == "terminal").alias("t"),
-        F.min(name).alias("n_lo"), F.max(name).alias("n_hi"), F.min(arguments).alias("a_lo"), F.max(arguments).alias("a_hi"),
-    )
+def reconcile(rows: DataFrame, group: str, call: str, source: str, kind: str, name: str, arguments: str, schema: str | None = None) -> DataFrame:
+    """Per call: sources, duplicate starts and ends, and whether names, arguments and schemas agree between sources."""
+    compared = {"name": name, "argument": arguments} | ({"schema": schema} if schema else {})
+    bounds = [f(c).alias(f"_{k}_{e}") for k, c in compared.items() for f, e in ((F.min, "lo"), (F.max, "hi"))]
+    per = rows.groupBy(group, call, source).agg(F.count_if(F.col(kind) == "start").alias("s"), F.count_if(F.col(kind) == "terminal").alias("t"), *bounds)
     return per.groupBy(group, call).agg(
         F.count("*").alias("sources"), F.count_if(F.col("s") > 1).alias("duplicate_starts"), F.count_if(F.col("t") > 1).alias("duplicate_ends"),
-        (F.min("n_lo") != F.max("n_hi")).alias("name_mismatch"), (F.min("a_lo") != F.max("a_hi")).alias("argument_mismatch"),
+        *[(F.min(f"_{k}_lo") != F.max(f"_{k}_hi")).alias(f"{k}_mismatch") for k in compared],
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .graph import components
 
@@ -51,6 +52,17 @@ def daily(rows: DataFrame, day: Column, first: str, last: str, values: dict[str,
     return days.join(g, "day", "left")
 
 
+def channel_health(rows: DataFrame, channel: str, model: str, latency: str, ok: Column, tokens: str) -> tuple[DataFrame, DataFrame]:
+    """Per channel totals, share of success, mean and 95th percentile of finite latencies; and its models ranked by requests, tokens and name."""
+    x = rows.select(channel, model, F.col(latency).cast("double").alias("_l"), ok.alias("_ok"), F.col(tokens).alias("_t"))
+    finite = F.when(~F.isnan("_l") & (F.abs("_l") != float("inf")), F.col("_l"))
+    x = x.withColumn("_f", finite)
+    totals = x.groupBy(channel).agg(F.count("*").alias("requests"), F.count_if("_ok").alias("succeeded"), F.sum("_t").alias("tokens"), F.avg("_f").alias("mean_latency"), nearest_rank("_f", 0.95).alias("p95_latency"))
+    per = x.groupBy(channel, model).agg(F.count("*").alias("requests"), F.sum("_t").alias("tokens"))
+    rank = F.row_number().over(W.partitionBy(channel).orderBy(F.desc("requests"), F.desc("tokens"), model))
+    return totals, per.withColumn("rank", rank)
+
+
 def settle(rows: DataFrame, key: str, ids: str, fields: list[str], order: str) -> DataFrame:
     """A4: rows that share any id settle once: first present value by order; disagreement is a conflict.
 

@@ -32,6 +32,17 @@ def strict(rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return rows.where(ok.cast("boolean"))
 
 
+def selected(rows: DataFrame, session: tuple[str, str] | None = None, task: tuple[str, str] | None = None) -> DataFrame:
+    """The rows of one session or of one task, given as (column, value); both at once, neither, and nothing found are errors."""
+    if (session is None) == (task is None):
+        raise ValueError("give a session or a task, not both")
+    column, value = session or task
+    found = rows.where(F.col(column) == value)
+    if found.isEmpty():
+        raise LookupError(f"no row has {column} = {value}")
+    return found
+
+
 def set_equal(a: DataFrame, b: DataFrame) -> DataFrame:
     """U4: one row: how many rows are only in a, only in b, and whether the sets are equal."""
     x, y = a.distinct().withColumn("_s", F.lit(1)), b.distinct().withColumn("_s", F.lit(2))
@@ -40,7 +51,15 @@ def set_equal(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def monotone(rows: DataFrame, baseline: DataFrame, key: str, counters: list[str]) -> DataFrame:
-    """V6: counters that fell below their baseline."""
-    j = rows.join(baseline.select(key, *[F.col(c).alias(f"_b_{c}") for c in counters]), key)
-    fell = F.array_compact(F.array(*[F.when(F.col(c) < F.col(f"_b_{c}"), F.lit(c)) for c in counters]))
+    """V6: counters that fell below their baseline; a key that isn't there any more has lost all that it had."""
+    j = baseline.select(key, *[F.col(c).alias(f"_b_{c}") for c in counters]).join(rows.select(key, *counters), key, "left")
+    fell = F.array_compact(F.array(*[F.when(F.coalesce(F.col(c), F.lit(0)) < F.col(f"_b_{c}"), F.lit(c)) for c in counters]))
     return j.select(key, F.array_join(fell, ",").alias("fell")).where("fell != ''")
+
+
+def blocking(rows: DataFrame, baseline: DataFrame, key: str, counters: list[str], rules: dict[str, Column]) -> DataFrame:
+    """V6: (key, reasons): why a key may not go on: rules that it breaks and counters that fell; keys without a reason don't appear."""
+    _, bad = contract(rows, rules)
+    broken = bad.select(key, F.explode("violations").alias("reason"))
+    fell = monotone(rows, baseline, key, counters).select(key, F.explode(F.split("fell", ",")).alias("c")).select(key, F.concat(F.lit("fell:"), "c"))
+    return broken.union(fell).groupBy(key).agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("reasons"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sse, text, values
-from ..operators import graph, identity, score, session_metrics, spans, turns, verify
+from ..operators import graph, identity, order, runtime_graph, score, session_metrics, spans, turns, usage, verify
 from ..operators.checkpoint import shared
 from ..sources import jsonl, sinks
 from ..streaming import ingest
@@ -296,6 +296,49 @@ def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.crossJoin(bad.agg(F.count("*").alias("broken")))  # one row by one row
 
 
+def runtime_graphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as traces: a user's message starts a turn, which the assistant's next message ends."""
+    c = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("trace"), F.col("turn").cast("int").alias("seq"), "role")
+    none = F.lit(None).cast("string")
+    turn = F.when(F.col("role") == "user", F.col("seq")).otherwise(F.col("seq") - 1).cast("string")
+    said = c.where("role in ('user', 'assistant')").select("trace", "seq", F.when(F.col("role") == "user", "codex_turn_started").otherwise("codex_turn_ended").alias("event"), turn.alias("id"), F.lit("ok").alias("status"), F.lit("th").alias("thread_id"), none.alias("turn_id"), none.alias("cell_id"), none.alias("parent_id"))
+    ends = [("rollout_started", -2, None), ("thread_started", -1, "th"), ("thread_ended", 1000, "th"), ("rollout_ended", 1001, None)]
+    traces, out = c.select("trace").distinct(), said
+    for event, seq, i in ends:
+        out = out.unionByName(traces.select("trace", F.lit(seq).alias("seq"), F.lit(event).alias("event"), F.lit(i).cast("string").alias("id"), F.lit("ok").alias("status"), none.alias("thread_id"), none.alias("turn_id"), none.alias("cell_id"), none.alias("parent_id")))
+    return runtime_graph.summary(out, traces.select("trace", F.col("trace").alias("session"), F.lit("t").alias("task_id"))).select("session", "events", "nodes", "edges", "roots", "open", "unresolved", "conflicts", "dangling", "complete")
+
+
+def channel_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumn("tokens", F.col("event_id") % 100)
+    _, ranked = usage.channel_health(e, "user_id", "event_type", "value", F.col("event_type") != "error", "tokens")
+    return ranked
+
+
+def channel_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").withColumns({"tokens": F.col("event_id") % 100, "ms": F.when(F.col("event_id") % 10 == 0, F.lit(float("nan"))).otherwise(F.round(F.col("value") * 100))})
+    totals, _ = usage.channel_health(e, "user_id", "event_type", "ms", F.col("event_type") != "error", "tokens")
+    return totals.withColumn("mean_latency", F.round("mean_latency", 4))
+
+
+def latest_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return order.latest_status(e, ["user_id"], ["event_id"], "event_type", ["error", "purchase"], "status")
+
+
+def blocking_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    now = s.where("s_suppkey % 10 != 0").select("s_suppkey", (F.col("s_suppkey") % 7).alias("calls"), "s_acctbal")
+    return verify.blocking(now, s.select("s_suppkey", (F.col("s_suppkey") % 6).alias("calls")), "s_suppkey", ["calls"], {"in_credit": F.col("s_acctbal") >= 0})
+
+
+def dated_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each year packed into archives of at most 60,000 bytes with their overhead: 26 to each."""
+    o = table(spark, sf_dir, "orders")
+    rows = o.select(F.year("o_orderdate").alias("d"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".json")).alias("n"), F.lit("0123456789").alias("c"), F.col("o_orderkey").alias("o"))
+    return sinks.dated_packages(rows, "d", "n", "c", "o", 60_000).select("date", "file", "files")
+
+
 _MESSAGES = """
 m AS (SELECT conv_id, turn, role, text, role = 'assistant' AND turn % 3 = 1 AS calls FROM conversations),
 u AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS o FROM m),
@@ -392,6 +435,28 @@ SELECT count(*) AS n, sum(c_custkey)::BIGINT AS keys, 0::BIGINT AS changed, coun
     "judged_stream": """
 SELECT 'accepted' AS status, count(DISTINCT l_partkey % 500) AS n FROM lineitem UNION ALL SELECT 'duplicate', count(*) - count(DISTINCT l_partkey % 500) FROM lineitem""",
     "upserted_stream": "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey",
+    "runtime_graphs": """
+WITH c AS (SELECT conv_id::VARCHAR AS session, turn, role FROM conversations),
+n AS (SELECT session, role = 'user' AS u, CASE WHEN role = 'user' THEN turn ELSE turn - 1 END AS id FROM c WHERE role IN ('user', 'assistant')),
+g AS (SELECT session, id, bool_or(u) AS started, bool_or(NOT u) AS ended FROM n GROUP BY ALL),
+t AS (SELECT session, count(*) AS k, count(*) FILTER (started) AS s, count(*) FILTER (started AND NOT ended) AS o, count(*) FILTER (NOT started) AS l FROM g GROUP BY session),
+a AS (SELECT session, count(*) FILTER (role IN ('user', 'assistant')) AS e FROM c GROUP BY session)
+SELECT a.session, e + 4 AS events, coalesce(k, 0) + 2 AS nodes, coalesce(s, 0) + 1 AS edges, 1 AS roots, coalesce(o, 0) AS open, coalesce(l, 0) AS unresolved, 0 AS conflicts, 0 AS dangling, coalesce(o, 0) = 0 AND coalesce(l, 0) = 0 AS complete
+FROM a LEFT JOIN t USING (session)""",
+    "channel_models": """
+WITH g AS (SELECT user_id, event_type, count(*) AS requests, sum(event_id % 100)::BIGINT AS tokens FROM events GROUP BY ALL)
+SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY requests DESC, tokens DESC, event_type) AS rank FROM g""",
+    "channel_health": """
+WITH x AS (SELECT *, CASE WHEN event_id % 10 <> 0 THEN round(value * 100) END AS ms FROM events)
+SELECT user_id, count(*) AS requests, count(*) FILTER (event_type <> 'error') AS succeeded, sum(event_id % 100)::BIGINT AS tokens, round(avg(ms), 4) AS mean_latency, quantile_disc(ms, 0.95) AS p95_latency FROM x GROUP BY user_id""",
+    "latest_statuses": """
+SELECT user_id, arg_max(event_type, (CASE event_type WHEN 'error' THEN 2 WHEN 'purchase' THEN 1 ELSE 0 END, event_id)) AS status FROM events GROUP BY user_id""",
+    "blocking_reasons": """
+WITH x AS (SELECT s_suppkey, CASE WHEN CASE WHEN s_suppkey % 10 = 0 THEN 0 ELSE s_suppkey % 7 END < s_suppkey % 6 THEN ',fell:calls' ELSE '' END || CASE WHEN s_suppkey % 10 <> 0 AND s_acctbal < 0 THEN ',in_credit' ELSE '' END AS r FROM supplier)
+SELECT s_suppkey, substr(r, 2) AS reasons FROM x WHERE r <> ''""",
+    "dated_batches": """
+WITH x AS (SELECT year(o_orderdate) AS d, (row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1) // 26 AS b FROM orders)
+SELECT d::VARCHAR AS date, 'batch_' || lpad(b::VARCHAR, 5, '0') || '.tar.gz' AS file, count(*) AS files FROM x GROUP BY d, b""",
     "envelope_records": "SELECT 2 * count(*) FILTER (o_orderkey % 9 <> 0) AS records, (2 * sum(o_custkey) FILTER (o_orderkey % 9 <> 0))::BIGINT AS traces, count(*) FILTER (o_orderkey % 9 = 0) AS broken FROM orders",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 
 #: Names under which usage logs wrap their rows; names of sealed and open segments.
 WRAPPERS = ["items", "usage_logs", "usageLogs", "logs", "data"]
-SEGMENT = r"([a-z0-9-]+)-(\d{8,20})\.ndjson$"
+SEGMENT, OPEN_SEGMENT = r"([a-z0-9-]+)-(\d{8,20})\.ndjson$", r"\.open$"
 
 
 def discover(spark: SparkSession, roots: list[str], pattern: str = "*.{jsonl,ndjson,jsonl.gz,ndjson.gz}", exclude: str | None = None) -> DataFrame:
@@ -67,9 +67,11 @@ def tolerant(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def strict(found: DataFrame) -> DataFrame:
-    """S3: parsed rows; a malformed line raises, with its path."""
-    v = F.try_parse_json("line")
-    bad = F.raise_error(F.concat(F.lit("malformed JSON in "), F.col("path"))).cast("boolean")
+    """S3: parsed rows; a malformed line raises, with its path and, where lines are ``numbered``, its number."""
+    v, where = F.try_parse_json("line"), [F.lit("malformed JSON in "), F.col("path")]
+    if "line_no" in found.columns:
+        where += [F.lit(" line "), F.col("line_no").cast("string")]
+    bad = F.raise_error(F.concat(*where)).cast("boolean")
     return found.where(F.when(v.isNull(), bad).otherwise(F.lit(True))).select("path", v.alias("v"))
 
 
@@ -91,12 +93,17 @@ def usage_values(text: DataFrame, column: str = "value") -> DataFrame:
 
 
 def segments(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(path, shard, number) of sealed segments by name, and where a shard's numbers skip or a name is no segment's."""
-    x = files.select("path", F.regexp_extract("path", SEGMENT, 1).alias("shard"), F.regexp_extract("path", SEGMENT, 2).try_cast("long").alias("number"))
-    good = x.where("shard != ''")
+    """(path, shard, number) of sealed segments by name; and problems: a shard's numbers skip, an open segment isn't empty, a name is no segment's.
+
+    Empty open segments (``length`` 0, where that column is there) are neither.
+    """
+    length = F.col("length") if "length" in files.columns else F.lit(1)
+    x = files.select("path", F.regexp_extract("path", SEGMENT, 1).alias("shard"), F.regexp_extract("path", SEGMENT, 2).try_cast("long").alias("number"), F.col("path").rlike(OPEN_SEGMENT).alias("open"), length.alias("length"))
+    good = x.where("shard != '' and not open").select("path", "shard", "number")
     before = F.lag("number").over(W.partitionBy("shard").orderBy("number"))
     gap = good.withColumn("after", before).where(F.col("number") - F.col("after") != 1).select("path", F.lit("gap").alias("problem"))
-    return good, gap.union(x.where("shard = ''").select("path", F.lit("name")))
+    left = x.where("open and length > 0").select("path", F.lit("open"))
+    return good, gap.union(left).union(x.where("shard = '' and not open").select("path", F.lit("name")))
 
 
 def checked(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -146,7 +146,28 @@ def packages(rows: DataFrame, package: str, name: str, content: str, order: str)
     return x.repartition("package").sortWithinPartitions("package", "o", "name").mapInArrow(run, "package string, archive binary, files long")
 
 
-def otlp(spans: DataFrame, trace: str, span: str, parent: str, name: str, start_ns: Column, end_ns: Column) -> DataFrame:
-    """K9: one OTLP span a row, as JSON text."""
-    body = F.struct(F.col(trace).alias("traceId"), F.col(span).alias("spanId"), F.col(parent).alias("parentSpanId"), F.col(name).alias("name"), start_ns.cast("string").alias("startTimeUnixNano"), end_ns.cast("string").alias("endTimeUnixNano"))
+def dated_packages(rows: DataFrame, date: str, name: str, content: str, order: str, most: int) -> DataFrame:
+    """K8: (date, file, archive, files): a date's rows, in order, packed greedily into archives of at most ``most`` bytes, numbered from 0."""
+    from ..operators.packing import pack
+
+    x = rows.select(F.col(date).cast("string").alias("date"), F.col(order).alias("o"), F.col(name).alias("n"), F.col(content).alias("c"))
+    batches = pack(x.withColumn("size", F.octet_length("c").cast("long")), "date", "o", "size", most).select(F.col("date").alias("_d"), F.col("o").alias("_o"), "batch")
+    y = x.join(batches, (x["date"] == batches["_d"]) & (x["o"] == batches["_o"]))
+    file = F.format_string("batch_%05d.tar.gz", F.col("batch"))
+    y = y.select(F.concat("date", F.lit("/"), file).alias("p"), "n", "c", "o")
+    out = packages(y, "p", "n", "c", "o")
+    return out.select(F.split("package", "/")[0].alias("date"), F.split("package", "/")[1].alias("file"), "archive", "files")
+
+
+def otlp(spans: DataFrame, trace: str, span: str, parent: str, name: str, start_ns: Column, end_ns: Column, attributes: str | None = None, resource: dict[str, str] | None = None, scope: str | None = None) -> DataFrame:
+    """K9: one OTLP span a row, as JSON text; ``attributes`` is a map of strings, ``resource`` and ``scope`` wrap the span."""
+    listed = lambda m: F.transform(F.map_entries(m), lambda e: F.struct(e["key"].alias("key"), F.struct(e["value"].alias("stringValue")).alias("value")))
+    fields = [F.col(trace).alias("traceId"), F.col(span).alias("spanId"), F.col(parent).alias("parentSpanId"), F.col(name).alias("name"), start_ns.cast("string").alias("startTimeUnixNano"), end_ns.cast("string").alias("endTimeUnixNano")]
+    if attributes:
+        fields.append(listed(F.col(attributes)).alias("attributes"))
+    body = F.struct(*fields)
+    if resource is not None or scope is not None:
+        named = F.create_map(*[F.lit(v) for kv in (resource or {}).items() for v in kv]) if resource else F.lit(None).cast("map<string,string>")
+        inner = F.struct(F.struct(F.lit(scope).alias("name")).alias("scope"), F.array(body).alias("spans"))
+        body = F.struct(F.array(F.struct(F.struct(listed(named).alias("attributes")).alias("resource"), F.array(inner).alias("scopeSpans"))).alias("resourceSpans"))
     return spans.select(F.to_json(body).alias("value"))

@@ -552,3 +552,103 @@ def test_boundary_beyond_64_ancestors(spark):
     x = spark.createDataFrame(rows, "n long, p long, v string, b boolean")
     got = {r.node: (r.inherited, r.cycle) for r in graph.nearest_boundary(x, "n", "p", "v", "b").collect()}
     assert got == {i: ("v", False) for i in range(301)} | {1000: (None, True), 1001: (None, True), 1002: (None, True), 1003: (None, False)}
+
+
+def test_runtime_graph(spark):
+    """All eight relations, an open turn, a conflicting tool, an end without a start, and a whole trace."""
+    from loomspark.operators import runtime_graph as rg
+
+    names = ["trace", "seq", "event", "id", "status", "thread_id", "turn_id", "cell_id", "parent_id"]
+    row = lambda t, s, e, **x: (t, s, e, *[x.get(c) for c in names[3:]])
+    whole = [
+        ("rollout_started", {}), ("thread_started", {"id": "th"}), ("thread_started", {"id": "sub", "parent_id": "th"}), ("codex_turn_started", {"id": "tu", "thread_id": "th"}), ("inference_started", {"id": "i", "turn_id": "tu"}),
+        ("inference_completed", {"id": "i"}), ("code_cell_started", {"id": "c", "turn_id": "tu"}), ("tool_call_started", {"id": "n", "turn_id": "tu", "cell_id": "c"}), ("tool_call_started", {"id": "d", "turn_id": "tu", "cell_id": "other"}),
+        ("tool_call_runtime_started", {"id": "d"}), ("tool_call_runtime_ended", {"id": "d", "status": "ok"}), ("tool_call_ended", {"id": "d", "status": "success"}), ("tool_call_ended", {"id": "n", "status": "cancelled"}),
+        ("code_cell_ended", {"id": "c", "status": "ok"}), ("compaction_request_started", {"id": "k", "turn_id": "tu"}), ("compaction_request_completed", {"id": "k"}), ("agent_result_observed", {"id": "sub", "parent_id": "th"}),
+        ("thread_ended", {"id": "sub", "status": "ok"}), ("codex_turn_ended", {"id": "tu", "status": "ok"}), ("thread_ended", {"id": "th", "status": "ok"}), ("rollout_ended", {"status": "ok"}),
+    ]
+    bad = [
+        ("rollout_started", {}), ("codex_turn_started", {"id": "tu", "thread_id": "th"}), ("tool_call_started", {"id": "d", "turn_id": "tu"}), ("tool_call_runtime_ended", {"id": "d", "status": "failed"}), ("tool_call_ended", {"id": "d", "status": "ok"}),
+        ("thread_ended", {"id": "late", "status": "ok"}), ("something_new", {"id": "x"}), ("rollout_ended", {"status": "ok"}),
+    ]
+    rows = [row("A", s, e, **x) for s, (e, x) in enumerate(whole)] + [row("B", s, e, **x) for s, (e, x) in enumerate(bad)]
+    ev = spark.createDataFrame(rows, "trace string, seq int, event string, id string, status string, thread_id string, turn_id string, cell_id string, parent_id string")
+    got = {(r.relation, r.source.id, r.target.id) for r in rg.edges(ev.where("trace = 'A'")).collect()}
+    assert got == {
+        ("contains", "A", "th"), ("contains", "th", "sub"), ("activates", "th", "tu"), ("samples", "tu", "i"), ("executes_code", "tu", "c"), ("nested_tool", "c", "n"), ("dispatches_tool", "tu", "d"), ("compacts", "tu", "k"), ("agent_result", "sub", "th"),
+    }
+    n = {(r.trace, r.id): r for r in rg.nodes(ev).collect()}
+    assert n["A", "n"].disposition == "abandoned" and n["A", "d"].status == "completed" and not n["A", "d"].conflict
+    assert n["B", "tu"].open and n["B", "tu"].disposition == "open_tail" and n["B", "d"].conflict and n["B", "late"].unresolved
+    tasks = spark.createDataFrame([("A", "s1", "t"), ("B", "s2", "t"), ("C", "s3", "t")], "trace string, session string, task_id string")
+    s = {r.session: r for r in rg.summary(ev, tasks).collect()}
+    assert s["s1"].complete and (s["s1"].nodes, s["s1"].edges, s["s1"].roots) == (9, 9, 1)
+    assert not s["s2"].complete and (s["s2"].open, s["s2"].unresolved, s["s2"].conflicts, s["s2"].dangling, s["s2"].unknown) == (1, 1, 1, 1, 1)
+    assert not s["s3"].complete and s["s3"].events == 0
+
+
+def test_selectors_and_line_numbers(spark, tmp_path):
+    rows = spark.createDataFrame([("s1", "t1"), ("s1", "t2"), ("s2", "t2")], "s string, t string")
+    assert verify.selected(rows, session=("s", "s1")).count() == 2 and verify.selected(rows, task=("t", "t2")).count() == 2
+    for both in ({"session": ("s", "s1"), "task": ("t", "t1")}, {}):
+        with pytest.raises(ValueError):
+            verify.selected(rows, **both)
+    with pytest.raises(LookupError):
+        verify.selected(rows, session=("s", "none"))
+    (tmp_path / "a.jsonl").write_text('{"x": 1}\n\nbad\n')
+    with pytest.raises(Exception, match=r"a\.jsonl line 3"):
+        jsonl.strict(jsonl.numbered(spark, [str(tmp_path)])).collect()
+    files = spark.createDataFrame([("d/s-00000001.ndjson", 9), ("d/s-00000002.open", 0), ("d/r-00000001.open", 5)], "path string, length long")
+    good, bad = jsonl.segments(files)
+    assert good.count() == 1 and [(r.path, r.problem) for r in bad.collect()] == [("d/r-00000001.open", "open")]
+
+
+def test_whole_otlp_spans(spark):
+    df = spark.createDataFrame([("t", "s", None, "n", {"k": "v"})], "t string, s string, p string, n string, a map<string,string>")
+    body = json.loads(sinks.otlp(df, "t", "s", "p", "n", F.lit(1), F.lit(2), "a", {"service.name": "x"}, "scope").first().value)
+    r = body["resourceSpans"][0]
+    assert r["resource"]["attributes"] == [{"key": "service.name", "value": {"stringValue": "x"}}] and r["scopeSpans"][0]["scope"] == {"name": "scope"}
+    assert r["scopeSpans"][0]["spans"][0] == {"traceId": "t", "spanId": "s", "name": "n", "startTimeUnixNano": "1", "endTimeUnixNano": "2", "attributes": [{"key": "k", "value": {"stringValue": "v"}}]}
+
+
+def test_packing_over_many_blocks_is_the_plain_fold(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(g, k, rng.choice([0, 3, 10, 40, 90, 95, 400])) for g in ("a", "b", None) for k in range(700)]
+    df = spark.createDataFrame(rows, "g string, k int, s long")
+    want, state = {}, {}
+    for g, k, s in rows:
+        batch, used = state.get(g, (0, 0))
+        if used and used + s + 5 > 90:
+            batch, used = batch + 1, 0
+        state[g] = (batch, used + s + 5)
+        want[g, k] = batch
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert {(r.g, r.k): r.batch for r in packing.pack(df, "g", "k", "s", 100, 5, 0.9).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_snapshots_against_a_plain_search(spark):
+    import random
+
+    rng = random.Random(6)
+    rows = [(k, rng.choice("gh"), [rng.choice("abcd") for _ in range(rng.randrange(1, 7))]) for k in range(150)]
+    df = spark.createDataFrame([(k, g, p, "".join(p), len(p)) for k, g, p in rows], "id int, g string, parts array<string>, digest string, n int")
+    got = {r.id: r.status for r in dedup.snapshots(df, "id", "g", "parts", [F.desc("n"), F.asc("id")]).collect()}
+    order, want, kept = sorted(rows, key=lambda r: (-len(r[2]), r[0])), {}, {}
+    for g in "gh":
+        mine, seen = [r for r in order if r[1] == g], {}
+        for k, _, p in mine:
+            text = "".join(p)
+            want[k] = "exact" if text in seen else "subset" if any(text in "".join(q) and len(q) > len(p) for _, _, q in mine) else "divergent" if g in kept else "kept"
+            seen.setdefault(text, k)
+            if want[k] == "kept":
+                kept[g] = (text, k)
+    if "g" in kept and "h" in kept and kept["g"][0] == kept["h"][0]:
+        want[kept["h"][1]] = "repeat"
+    assert got == want
