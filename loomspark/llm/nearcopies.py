@@ -306,3 +306,20 @@ def near_copies(docs: DataFrame) -> DataFrame:
 
 def op8_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"))
+
+
+#: Every pair of documents by the shingles that they share: for small tables.
+SQL8 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * k >= 75 * (nx.c + ny.c - k)),
+e AS (SELECT x AS a, y AS b FROM l UNION SELECT y, x FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+c AS (SELECT a AS doc_id, least(a, min(b)) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(n.c, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id, coalesce(c.component_id, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""

@@ -16,4 +16,4 @@ QUERIES = {
     "op9_bpe": bpe.op9_bpe,
     "op10_sharding": sharding.op10_sharding,
 }
-SQL: dict[str, str] = {"op3_line_dedup": lines.SQL3, "op7_url_filters": urls.SQL7}
+SQL: dict[str, str] = {"op3_line_dedup": lines.SQL3, "op7_url_filters": urls.SQL7, "op8_near_copies": nearcopies.SQL8}

@@ -172,13 +172,14 @@ _BLOCKS = ", ".join(f"'{h}{p}'" for v, h, p in RULES if v == "block")
 SQL7 = rf"""
 WITH RECURSIVE u AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html FROM pages),
 l AS (SELECT *, {_REST.format(url="url")} AS rest,
-  regexp_extract(regexp_extract(html, '(?is)<link[^>]*canonical[^>]*>', 0), '(?is)href\s*=\s*["'']?([^"''>\s]+)', 1) AS c,
-  regexp_extract(regexp_extract(html, '(?is)<meta[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>', 0), '(?is)url\s*=\s*["'']?([^"''>\s;]+)', 1) AS r FROM u),
+  list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\s[^>]*>'), lambda t: regexp_matches(t, '(?is)\srel\s*=\s*(["''][^"'']*\bcanonical\b[^"'']*["'']|canonical[\s/>])')), lambda t: regexp_extract(t, '(?is)\shref\s*=\s*["'']?([^"''>\s]+)', 1)),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\s[^>]*>'), lambda t: regexp_matches(t, '(?is)\shttp-equiv\s*=\s*["'']?refresh["''\s/>]')), lambda t: regexp_extract(t, '(?is)[;,\s]\s*url\s*=\s*["'']?([^"''>\s]+)', 1))) AS links FROM u),
 p AS (SELECT *, {_HOST.format(rest="rest")} AS host, {_PATH.format(rest="rest")} AS path, {_form("rest")} AS node,
-  CASE WHEN contains(html, 'anonical') AND c <> '' THEN c WHEN contains(html, 'efresh') AND r <> '' THEN r END AS link FROM l),
-j AS (SELECT *, CASE {_CASES} END AS rule,
-  CASE WHEN starts_with(link, '//') THEN 'http:' || link WHEN starts_with(link, '/') THEN 'http://' || host || link ELSE link END AS target FROM p),
-t AS (SELECT node, {_REST.format(url="target")} AS trest FROM j WHERE target IS NOT NULL),
+  list_filter(links, lambda t: t <> '') AS targets FROM l),
+j AS (SELECT *, CASE {_CASES} END AS rule FROM p),
+g AS (SELECT node, host, replace(unnest(targets), '&amp;', '&') AS link FROM j),
+t AS (SELECT node, {_REST.format(url="target")} AS trest FROM (SELECT node, CASE WHEN starts_with(link, '//') THEN 'http:' || link WHEN starts_with(link, '/') THEN 'http://' || host || link ELSE link END AS target FROM g)),
 e AS (SELECT DISTINCT node AS a, {_form("trest")} AS b FROM t),
 s AS (SELECT a, b FROM e WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM e WHERE a IS NOT NULL AND b IS NOT NULL),
 reach AS (SELECT a, b FROM s UNION SELECT reach.a, s.b FROM reach JOIN s ON reach.b = s.a),

@@ -58,3 +58,42 @@ def test_stages(spark, folder):
     assert Counter(tuple(r) for r in out[5].collect()) == want
     assert np.isclose(sum(copies[d] * share[d][1] for d in share), 1.5 * sum(s for _, s in share.values()), rtol=0.15)
     assert Counter(tuple(r) for r in corpus_pipeline.run(spark, folder).collect()) == want
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def unlabelled(spark, tmp_path_factory):
+    at = tmp_path_factory.mktemp("odd")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(at / "labels.parquet"))
+    return str(at)
+
+
+def test_odd_rows(spark, unlabelled):
+    """Nulls in every column, empty and very long texts, ties, repeated rows and clashing columns, stage by stage."""
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \t\n", "en", "a", 3), (None, "a line that is long enough\nx", "en", None, 5), (4, "a line that is long enough\nx", None, "a", 5),
+        (4, "a line that is long enough\nx", None, "a", 5), (5, "w " * 60_000, "en", "b", 7), (6, "y" * 100_000, "en", "b", 7), (7, "one two three four five six", "en", "b", 7), (8, "ONE two three four five six", "en", "b", 7),
+    ]
+    docs = spark.createDataFrame([(*r, "s", 0, "k") for r in rows], SCHEMA + ", _score string, N_LINES int, _gone string")
+    got = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        got.append(stage(spark, got[-1], unlabelled))
+        if len(got) < 6:
+            assert got[-1].columns == corpus_pipeline.COLUMNS, name
+            got[-1] = got[-1].cache()
+    view = lambda k: sorted(((r.doc_id, r.text) for r in got[k].collect()), key=str)
+    assert view(1) == sorted([(r[0], r[1]) for r in rows], key=str)  # without labels all stay
+    lines = {(d, t) for d, t in view(2)}
+    assert {(1, ""), (2, ""), (3, " \t\n"), (4, "a line that is long enough\nx"), (None, "x"), (8, "")} <= lines and len(view(2)) == 10
+    assert view(3) == view(2)  # what is left has no near copies, and empty texts are none
+    assert {d for d, _ in view(4)} <= {None, 4, 5, 6, 7} and all(t and t.strip() for _, t in view(4))
+    assert Counter(d for d, _ in view(4))[4] % 2 == 0  # repeated rows are kept equally often
+    assert sorted(r.doc_id or -1 for r in got[5].collect()) == sorted(d or -1 for d, _ in view(4))
+
+
+def test_no_rows(spark, unlabelled):
+    docs = spark.createDataFrame([], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, unlabelled).collect() == []
