@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sse, text, values
-from ..operators import graph, identity, order, runtime_graph, score, session_metrics, spans, turns, usage, verify
+from ..operators import bodies, graph, identity, order, runtime_graph, score, session_metrics, spans, turns, usage, verify
 from ..operators.checkpoint import shared
 from ..sources import jsonl, sinks
 from ..streaming import ingest
@@ -339,6 +339,23 @@ def dated_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.dated_packages(rows, "d", "n", "c", "o", 60_000).select("date", "file", "files")
 
 
+def body_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as request bodies, read back as messages: what the system says comes first, as one."""
+    c = table(spark, sf_dir, "conversations")
+    item = F.struct("turn", F.struct(F.col("role"), F.array(F.struct(F.lit("input_text").alias("type"), F.col("text").alias("text"))).alias("content")).alias("m"))
+    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", F.to_json(item["m"]).alias("j")))).alias("l"))
+    body = F.concat(F.lit('{"input": ['), F.array_join(F.transform("l", lambda x: x["j"]), ","), F.lit("]}"))
+    x = bodies.request_messages(g.select("conv_id", body.alias("body")), "conv_id", "body")
+    return x.select("conv_id", F.col("position").cast("long").alias("position"), "role", F.sha2("content", 256).alias("content"))
+
+
+def defined_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey").cast("string")
+    body = F.concat(F.lit('{"tools": [{"type": "namespace", "name": "n'), (F.col("s_suppkey") % 3).cast("string"), F.lit('", "tools": [{"name": "t'), k, F.lit('"}, {"type": "namespace", "name": "functions", "tools": [{"function": {"name": "deep"}}]}]}, {"name": "plain"}]}'))
+    return bodies.tool_definitions(s.select("s_suppkey", body.alias("body")), "s_suppkey", "body").select("s_suppkey", "name", "definition_key")
+
+
 _MESSAGES = """
 m AS (SELECT conv_id, turn, role, text, role = 'assistant' AND turn % 3 = 1 AS calls FROM conversations),
 u AS (SELECT *, sum(CASE WHEN role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS o FROM m),
@@ -435,6 +452,14 @@ SELECT count(*) AS n, sum(c_custkey)::BIGINT AS keys, 0::BIGINT AS changed, coun
     "judged_stream": """
 SELECT 'accepted' AS status, count(DISTINCT l_partkey % 500) AS n FROM lineitem UNION ALL SELECT 'duplicate', count(*) - count(DISTINCT l_partkey % 500) FROM lineitem""",
     "upserted_stream": "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY o_custkey",
+    "body_messages": """
+WITH p AS (SELECT conv_id, trim(text) AS t, min(turn) AS i FROM conversations WHERE role IN ('system', 'developer') AND trim(text) <> '' GROUP BY ALL),
+q AS (SELECT conv_id, -1 AS pos, 'system' AS role, string_agg(t, chr(10) || chr(10) ORDER BY i) AS content FROM p GROUP BY conv_id),
+m AS (SELECT * FROM q UNION ALL SELECT conv_id, turn, role, text FROM conversations WHERE role IN ('user', 'assistant', 'tool') AND text <> '')
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) - 1 AS position, role, sha256(content) AS content FROM m""",
+    "defined_tools": """
+SELECT s_suppkey, 't' || s_suppkey AS name, '["n' || (s_suppkey % 3) || '","t' || s_suppkey || '"]' AS definition_key FROM supplier
+UNION ALL SELECT s_suppkey, 'deep', '["n' || (s_suppkey % 3) || '","functions","deep"]' FROM supplier UNION ALL SELECT s_suppkey, 'plain', '["plain"]' FROM supplier""",
     "runtime_graphs": """
 WITH c AS (SELECT conv_id::VARCHAR AS session, turn, role FROM conversations),
 n AS (SELECT session, role = 'user' AS u, CASE WHEN role = 'user' THEN turn ELSE turn - 1 END AS id FROM c WHERE role IN ('user', 'assistant')),

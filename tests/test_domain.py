@@ -652,3 +652,54 @@ def test_snapshots_against_a_plain_search(spark):
     if "g" in kept and "h" in kept and kept["g"][0] == kept["h"][0]:
         want[kept["h"][1]] = "repeat"
     assert got == want
+
+
+def test_bodies_to_messages(spark):
+    from loomspark.operators import bodies
+
+    request = {
+        "instructions": "be brief", "system": [{"type": "text", "text": "be brief"}],
+        "input": [
+            {"role": "developer", "content": "use tools"}, {"role": "user", "content": [{"type": "input_text", "text": "a"}, {"type": "input_text", "text": "b"}]},
+            {"type": "function_call", "call_id": "c1", "namespace": "fs", "name": "read", "arguments": '{"p": 1}'}, {"type": "custom_tool_call", "id": "c2", "namespace": "functions", "name": "patch", "input": "x"},
+            {"type": "function_call_output", "call_id": "c1", "output": {"ok": 1}, "status": "completed"}, {"type": "reasoning", "summary": []}, {"type": "additional_tools", "tools": []}, {"type": "message", "content": "plain"},
+        ],
+    }
+    split = {"messages": [{"role": "user", "content": [{"type": "text", "text": "see"}, {"type": "tool_result", "tool_use_id": "t", "content": "out", "is_error": True}, {"type": "text", "text": "then"}, {"type": "tool_use", "id": "u", "name": "n", "input": {"k": 1}}]}]}
+    rows = spark.createDataFrame([("r", json.dumps(request)), ("s", json.dumps(split)), ("t", json.dumps({"input": "hello"})), ("bad", "{")], "id string, body string")
+    got = {}
+    for m in bodies.request_messages(rows, "id", "body", F.col("id") == "s").orderBy("id", "position").collect():
+        got.setdefault(m.id, []).append((m.role, m.content, [tuple(c) for c in m.tool_calls], m.tool_call_id, m.status))
+    assert got["r"] == [
+        ("system", "be brief\n\nuse tools", [], None, None), ("user", "a\nb", [], None, None), ("assistant", "", [("c1", "fs.read", '{"p": 1}')], None, None), ("assistant", "", [("c2", "patch", '{"input":"x"}')], None, None),
+        ("tool", '{"ok":1}', [], "c1", "completed"), ("user", "plain", [], None, None),
+    ]
+    assert got["s"] == [("user", "see", [], None, None), ("tool", "out", [], "t", "error"), ("user", "then", [("u", "n", '{"k":1}')], None, None)]
+    assert got["t"] == [("user", "hello", [], None, None)] and "bad" not in got
+    answers = {
+        "chat": {"choices": [{"message": {"role": "assistant", "content": "hi", "tool_calls": [{"id": "c", "function": {"name": "f", "arguments": "{}"}}]}}]},
+        "claude": {"role": "assistant", "content": [{"type": "text", "text": "a"}, {"type": "tool_use", "id": "u", "name": "n", "input": {}}]}, "bare": {"content": "x"},
+        "responses": {"output": [{"type": "reasoning"}, {"type": "message", "content": [{"type": "output_text", "text": "m"}]}, {"type": "function_call", "call_id": "k", "name": "g", "arguments": "{}"}]},
+    }
+    rows = spark.createDataFrame([(k, json.dumps(v)) for k, v in answers.items()], "id string, body string")
+    got = {}
+    for m in bodies.response_messages(rows, "id", "body").orderBy("id", "position").collect():
+        got.setdefault(m.id, []).append((m.role, m.content, [tuple(c) for c in m.tool_calls]))
+    assert got == {
+        "chat": [("assistant", "hi", [("c", "f", "{}")])], "claude": [("assistant", "a", [("u", "n", "{}")])], "bare": [("assistant", "x", [])], "responses": [("assistant", "m", []), ("assistant", "", [("k", "g", "{}")])],
+    }
+
+
+def test_tool_definitions(spark):
+    from loomspark.operators import bodies
+
+    body = {
+        "tools": [
+            {"type": "function", "name": "plain", "parameters": {}}, {"type": "function", "function": {"name": "inner", "namespace": "ns"}}, {"type": "function", "name": " "},
+            {"type": "namespace", "name": "a", "tools": [{"name": "x"}, {"type": "namespace", "name": "a", "tools": [{"name": "y"}, {"name": "z", "namespace": "a"}]}]},
+            {"type": "namespace", "name": "functions", "tools": [{"name": "w"}]}, {"name": "both", "parameters": {}, "definitions": [{"name": "child"}]}, {"name": "only_holder", "tools": [{"name": "c2"}]},
+        ],
+        "input": [{"type": "additional_tools", "tools": [{"name": "late"}]}, {"type": "message", "tools": [{"name": "no"}]}],
+    }
+    got = {r.definition_key for r in bodies.tool_definitions(spark.createDataFrame([("k", json.dumps(body)), ("n", "{}")], "id string, body string"), "id", "body").collect()}
+    assert got == {'["plain"]', '["ns","inner"]', '["a","x"]', '["a","a","y"]', '["a","a","z"]', '["w"]', '["both"]', '["child"]', '["c2"]', '["late"]'}
