@@ -22,7 +22,6 @@ from .common import table, written
 THIRD, LARGER, PER_TABLE, PIECE = 8, 7, 6, 32
 #: Rounds of peeling; doublings after which a table counts as an error (each attempt fails with a small probability, so some ten suffice for all corpora).
 ROUNDS, DOUBLINGS = 12, 20
-NO_ID = (1 << 63) - 1
 
 
 def digests(text: Column) -> Column:
@@ -142,23 +141,26 @@ def as_text(s: Column) -> Column:
     return F.array_join(F.transform(s, lambda x: F.when(x["n"] == 0, F.lit("")).otherwise(part(x))), "-")
 
 
+KEY = ["nul", "k", "th"]
+
+
 def in_order(docs: DataFrame) -> DataFrame:
-    """(k, th, head, quarter) to distinct (k, th) with copies, next_k, next_th, and of the one before: prev_k, prev_th, prev_quarter.
+    """(nul, k, th, head, quarter) to distinct (nul, k, th) with copies, the key of the next as n_nul, n_k, n_th, and of the one before as p_nul, p_k, p_th, with its quarter.
 
-    The order is by k, then by the head of the text; the last is followed by
-    the first. Short rows only are sorted, in ranges as many as the shuffle has partitions.
+    The order is by k, nulls last, then by the head of the text; the last is
+    followed by the first. Short rows only are sorted, in ranges as many as the shuffle has partitions.
     """
-    keys = docs.groupBy("k", "th").agg(F.min("head").alias("head"), F.min("quarter").alias("quarter"), F.count("*").cast("int").alias("copies"))
-    x = written(keys.repartitionByRange("k", "head", "th").withColumn("p", F.spark_partition_id()), "next-ranges")
-    me, order = F.struct("k", "th", "quarter"), F.struct("k", "head", "th")
+    keys = docs.groupBy(*KEY).agg(F.min("head").alias("head"), F.min("quarter").alias("quarter"), F.count("*").cast("int").alias("copies"))
+    along = ["nul", "k", "head", "th"]
+    x = written(keys.repartitionByRange(*along).withColumn("p", F.spark_partition_id()), "next-ranges")
+    me, order = F.struct(*KEY, "quarter"), F.struct(*along)
     ends = x.groupBy("p").agg(F.min_by(me, order).alias("first"), F.max_by(me, order).alias("last"))
     w = W.orderBy("p")  # one row a range
     every = w.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    ends = ends.select("p", F.coalesce(F.lead("first").over(w), F.first("first").over(every)).alias("after"), F.coalesce(F.lag("last").over(w), F.last("last").over(every)).alias("before"))
-    within = W.partitionBy("p").orderBy("k", "head", "th")
-    x = x.withColumn("lead", F.lead(me).over(within)).withColumn("lag", F.lag(me).over(within)).join(ends, "p")
-    x = x.withColumn("next", F.coalesce("lead", "after")).withColumn("prev", F.coalesce("lag", "before"))
-    return x.select("k", "th", "copies", F.col("next.k").alias("next_k"), F.col("next.th").alias("next_th"), F.col("prev.k").alias("prev_k"), F.col("prev.th").alias("prev_th"), F.col("prev.quarter").alias("prev_quarter"))
+    ends = ends.select("p", F.coalesce(F.lag("last").over(w), F.last("last").over(every)).alias("before"))
+    within = W.partitionBy("p").orderBy(*along)
+    x = x.withColumn("lag", F.lag(me).over(within)).join(ends, "p").withColumn("prev", F.coalesce("lag", "before"))
+    return x.select(*KEY, "copies", *[F.col(f"prev.{c}").alias(f"p_{c}") for c in (*KEY, "quarter")])
 
 
 def with_next(docs: DataFrame) -> DataFrame:
@@ -166,18 +168,18 @@ def with_next(docs: DataFrame) -> DataFrame:
 
     Null ids come last; rows of one id go by the first 32 characters of the
     text. Of rows that are wholly equal each is followed by another, the last
-    by the next document. Texts are exchanged once; of next documents only
-    the beginnings and digests travel.
+    by the next document. Texts are exchanged once, and both sides of the
+    last join read that exchange; of next documents only the beginnings and digests travel.
     """
+    x = docs.select(F.col("doc_id").isNull().alias("nul"), F.coalesce("doc_id", F.lit(0)).alias("k"), F.xxhash64("text").alias("th"), "text")
     quarter = F.floor(F.length("text") / 4).cast("int")
-    x = docs.withColumns({"k": F.coalesce("doc_id", F.lit(NO_ID)), "th": F.xxhash64("text"), "quarter": quarter})
-    order = written(in_order(x.select("k", "th", F.substring("text", 1, 32).alias("head"), "quarter")), "next-order")
-    x = x.join(order, ["k", "th"]).withColumn("a", digests(F.col("text")))
-    x = x.withColumn("copy", F.row_number().over(W.partitionBy("k", "th").orderBy("k")))
-    sent = x.where("copy = 1").select(F.col("prev_k").alias("k"), F.col("prev_th").alias("th"), F.substring("text", F.lit(1), F.col("prev_quarter")).alias("patch"), F.col("a").alias("b"))
+    order = written(in_order(x.select(*KEY, F.substring("text", 1, 32).alias("head"), quarter.alias("quarter"))), "next-order")
+    x = x.join(order, KEY).withColumn("copy", F.row_number().over(W.partitionBy(*KEY).orderBy("copies")))
+    sent = x.where("copy = 1").select(*[F.col(f"p_{c}").alias(c) for c in KEY], F.substring("text", F.lit(1), F.col("p_quarter")).alias("patch"), digests(F.col("text")).alias("b"))
+    x = x.select(*KEY, "text", "copy", "copies").withColumn("a", digests(F.col("text"))).withColumn("quarter", quarter)
     own = F.col("copy") < F.col("copies")
-    return x.join(sent, ["k", "th"]).select(
-        "doc_id", "text", "a", "quarter",
+    return x.join(sent, KEY).select(
+        F.when(~F.col("nul"), F.col("k")).alias("doc_id"), "text", "a", "quarter",
         F.when(own, F.substring("text", F.lit(1), F.col("quarter"))).otherwise(F.col("patch")).alias("patch"), F.when(own, F.col("a")).otherwise(F.col("b")).alias("b"),
     )
 
@@ -207,4 +209,4 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint(table(spark, sf_dir, "documents"))
+    return fingerprint(table(spark, sf_dir, "documents")).drop("edited_lost", "edited_gained")
