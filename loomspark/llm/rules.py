@@ -124,36 +124,53 @@ def _moments(x: DataFrame, keys: list[str]) -> DataFrame:
     return written(_with_roots(written(sums.select(*keys, *[m.alias(f"m{i}") for i, m in enumerate(mean)], *cov), "rules-moments")), "rules-roots")
 
 
-def _starts(x: DataFrame, sizes: DataFrame) -> DataFrame:
+#: Bytes of parameters up to which they are broadcast; a row's bytes; salts of a join beyond that.
+SMALL, ROW, SALTS = 8 << 20, 400, 64
+
+
+def _beside(x: DataFrame, par: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """Rows with the parameters of their group, of which there are ``groups``.
+
+    Few enough are broadcast; others are copied to salts, so that the rows of a large group don't meet in one task.
+    """
+    if groups * STARTS * ROW <= SMALL:
+        return x.join(F.broadcast(par), keys)
+    salt = F.pmod(F.xxhash64(*[f"z{i}" for i in range(P)]), F.lit(SALTS))
+    copied = par.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return x.withColumn("_salt", salt).join(copied, [*keys, "_salt"]).drop("_salt")
+
+
+def _starts(x: DataFrame, sizes: DataFrame, groups: int) -> DataFrame:
     """(g, z0 ...) to the first estimates: start 0 from medians and their deviations, the others from subsets of SUBSET rows or so."""
     mid = written(x.groupBy("g").agg(*[_quantile(f"z{i}", 0.5).alias(f"m{i}") for i in range(P)]), "rules-medians")
-    off = x.join(mid, "g").select("g", *MEANS, *[F.abs(F.col(f"z{i}") - F.col(f"m{i}")).alias(f"o{i}") for i in range(P)])
+    off = _beside(x, mid, ["g"], groups).select("g", *MEANS, *[F.abs(F.col(f"z{i}") - F.col(f"m{i}")).alias(f"o{i}") for i in range(P)])
     spread = off.groupBy("g", *MEANS).agg(*[_quantile(f"o{i}", 0.5).alias(f"s{i}") for i in range(P)])
     cov = [(F.greatest(F.col(f"s{i}") * 1.4826, F.lit(FLOOR[i])) ** 2 if i == j else F.lit(0.0)).alias(f"cov{i}{j}") for i, j in PAIRS]
     middle = _with_roots(written(spread.select("g", F.lit(0).alias("s"), *MEANS, *cov), "rules-middle"))
-    picked = x.join(sizes, "g").withColumn("s", F.explode(F.array(*map(F.lit, range(1, STARTS)))))
+    picked = _beside(x, sizes, ["g"], groups).withColumn("s", F.explode(F.array(*map(F.lit, range(1, STARTS)))))
     picked = picked.where(F.pmod(F.xxhash64("s", *[f"z{i}" for i in range(P)]), F.col("rows")) < SUBSET)
     return middle.unionByName(_moments(picked, ["g", "s"]))
 
 
-def _step(x: DataFrame, par: DataFrame) -> DataFrame:
+def _step(x: DataFrame, par: DataFrame, groups: int) -> DataFrame:
     """One concentration step of each estimate (g, s): the moments of the INNER share of rows that lie nearest."""
-    at = x.join(par.select("g", "s", *MEANS, *ROOTS), "g").withColumn("d", F.floor(F.log1p(_distance()) * TICK))
+    at = _beside(x, par.select("g", "s", *MEANS, *ROOTS), ["g"], groups).withColumn("d", F.floor(F.log1p(_distance()) * TICK))
     at = at.select("g", "s", "d", *[f"z{i}" for i in range(P)])
     cut = written(at.groupBy("g", "s").agg(_quantile("d", INNER).alias("cut")), "rules-cut")
-    return _moments(at.join(cut, ["g", "s"]).where("d <= cut"), ["g", "s"])
+    return _moments(_beside(at, cut, ["g", "s"], groups).where("d <= cut"), ["g", "s"])
 
 
 def estimates(x: DataFrame) -> DataFrame:
     """(g, z0 ...) to one row a group: g, rows, m{i} and cov{i}{j} of the minimum-covariance-determinant estimate."""
     sizes = written(x.groupBy("g").agg(F.count("*").alias("rows")), "rules-sizes")
-    par = _starts(x, sizes)
+    groups = sizes.count()
+    par = _starts(x, sizes, groups)
     for _ in range(FIRST):
-        par = _step(x, par)
+        par = _step(x, par, groups)
     ranked = par.withColumn("_at", F.row_number().over(W.partitionBy("g").orderBy("logdet", "s")))
     held = written(ranked.where(F.col("_at") <= BEST).drop("_at").withColumn("open", F.lit(True)), "rules-held")
     while not (going := held.where("open")).isEmpty():
-        new = _step(x, going).select("g", "s", *[F.col(c).alias(f"n_{c}") for c in (*MEANS, *COVS, *ROOTS, "logdet")])
+        new = _step(x, going, groups).select("g", "s", *[F.col(c).alias(f"n_{c}") for c in (*MEANS, *COVS, *ROOTS, "logdet")])
         both = held.join(new, ["g", "s"], "left").withColumn("open", F.coalesce(F.col("n_logdet") < F.col("logdet") - 1e-9, F.lit(False)))
         held = written(both.select("g", "s", *[F.when(F.col("open"), F.col(f"n_{c}")).otherwise(F.col(c)).alias(c) for c in (*MEANS, *COVS, *ROOTS, "logdet")], "open"), "rules-held")
     best = held.withColumn("_at", F.row_number().over(W.partitionBy("g").orderBy("logdet", "s"))).where("_at = 1")
@@ -190,7 +207,7 @@ def judge(docs: DataFrame, cut: float = CUT) -> DataFrame:
     own = levels.join(z.select("own", "lang").distinct().toDF("g", "above"), "g")
     par = written(_with_roots(_leaning(own, langs)).select(F.col("g").alias("own"), *MEANS, *ROOTS), "rules-final")
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    judged = z.join(par, "own").select(*columns, _distance().alias("distance"))
+    judged = _beside(z, par, ["own"], par.count()).select(*columns, _distance().alias("distance"))
     judged = judged.select(*columns, (F.col("distance") <= cut).alias("kept"), "distance")
     return judged.union(rows.where("base_failed").select(*columns, F.lit(False), F.lit(None).cast("double")))
 

@@ -456,3 +456,10 @@ def test_counts_decide(spark):
     rows = [(1, "held by three docs\nheld by two docs"), (2, "held by three docs\nheld by two docs"), (3, "held by three docs\nx"), (4, "only in this id ok"), (4, "only in this id ok")]
     got = {(r.doc_id, r.n_dropped, r.kept_text) for r in lines.dedup(frame(spark, rows), fewest_docs=3).collect()}
     assert got == {(1, 0, rows[0][1]), (2, 1, "held by two docs"), (3, 1, "x"), (4, 0, rows[3][1])}
+
+
+def test_salted_parameters_meet_the_same_rows(spark):
+    rows = spark.createDataFrame([("g" if k % 3 else "h", *[float(k + i) for i in range(5)]) for k in range(50)], "g string, z0 double, z1 double, z2 double, z3 double, z4 double")
+    par = spark.createDataFrame([("g", 1), ("h", 2)], "g string, s int")
+    few, many = (sorted(tuple(r) for r in rules._beside(rows, par, ["g"], n).collect()) for n in (2, 10**9))
+    assert few == many and len(few) == 50 and "_salt" not in rules._beside(rows, par, ["g"], 10**9).columns
