@@ -12,6 +12,6 @@ from ..test_queries import SF, normal
 @pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_query(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     assert normal(registry.QUERIES[name](spark, str(SF)).toPandas()) == normal(c.sql(registry.SQL[name]).df())
