@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, collocations, fingerprints, lines, mixing, nearcopies, quality, rules, sharding, substrings, urls
+from . import bpe, chat, collocations, fingerprints, lines, mixing, nearcopies, negatives, quality, rules, sharding, substrings, urls
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_near_copies": nearcopies.op8_near_copies,
     "op9_bpe": bpe.op9_bpe,
     "op10_sharding": sharding.op10_sharding,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op12_chat": chat.op12_chat,
     "op13_collocations": collocations.op13_collocations,
 }
-SQL: dict[str, str] = {"op3_line_dedup": lines.SQL3, "op7_url_filters": urls.SQL7, "op8_near_copies": nearcopies.SQL8, "op12_chat": chat.SQL12, "op13_collocations": collocations.SQL13}
+SQL: dict[str, str] = {"op3_line_dedup": lines.SQL3, "op7_url_filters": urls.SQL7, "op8_near_copies": nearcopies.SQL8, "op11_hard_negatives": negatives.SQL11, "op12_chat": chat.SQL12, "op13_collocations": collocations.SQL13}
