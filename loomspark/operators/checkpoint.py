@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,3 +24,10 @@ def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the shared folder."""
     shared(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as Parquet in the shared folder: its lineage ends there, and later reads see statistics and take only the columns they need."""
+    path = f"{shared(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

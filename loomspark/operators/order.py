@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,7 +117,7 @@ def first_seen(rows: DataFrame, group: list[str], order: list[str], value: str,
 def fold_messages(rows: DataFrame, group: str, position: str, identity: str, content: str) -> DataFrame:
     """A3 without its deep merge: snapshots of one conversation, the k-th occurrence of an identity in any snapshot is one message.
 
-    ``merge_messages`` merges by fields. Expressible by windows: occurrences are numbered within their snapshot,
+    ``messages.merge_messages`` merges by fields. Expressible by windows: occurrences are numbered within their snapshot,
     equal numbers meet, the longest content stays, different ones count as divergences.
     ``rows`` has (group, ``snapshot``, position, identity, content).
     """
@@ -130,89 +128,3 @@ def fold_messages(rows: DataFrame, group: str, position: str, identity: str, con
         F.max_by(content, F.struct(F.length(content), F.col(content))).alias("content"),
         (F.count_distinct(content) - 1).alias("divergences"),
     )
-
-
-def _parsed(text: str | None):
-    """A JSON value; text that isn't JSON is a string."""
-    def refuse(name: str):
-        raise ValueError(name)
-
-    try:
-        return None if text is None else json.loads(text, parse_constant=refuse)
-    except ValueError:
-        return text
-
-
-def _same(a, b) -> bool:
-    """Equal as JSON: 1, 1.0 and true are three values."""
-    return json.dumps(a, sort_keys=True) == json.dumps(b, sort_keys=True)
-
-
-def _content_text(v) -> list[str]:
-    if isinstance(v, str):
-        return [v]
-    inner = v if isinstance(v, list) else [v[f] for f in ("text", "content", "output_text", "input_text") if f in v] if isinstance(v, dict) else []
-    return [t for x in inner for t in _content_text(x)]
-
-
-def _arguments(a: str, b: str) -> str | None:
-    """The preferred one of two equivalent argument texts, or null."""
-    x, y = (_parsed(t) for t in (a, b))
-    one = lambda v: v.get("input") if isinstance(v, dict) and len(v) == 1 else None
-    if x is not a and y is not b and _same(x, y) or one(x) == b:  # text that isn't JSON comes back itself
-        return a
-    return b if one(y) == a else None
-
-
-def merge_value(a, b, field: str | None = None):
-    """``b`` merged into ``a``: (value, conflict). Empty and missing fields are filled, the first value stays on conflict."""
-    if _same(a, b) or field == "content" and "\n".join(_content_text(a)) == "\n".join(_content_text(b)):
-        return a, False
-    both = isinstance(a, str) and isinstance(b, str)
-    if field == "source" and both and a.startswith("codex_rollout.") and b.startswith("codex_rollout."):
-        return a, False
-    if field == "arguments" and both and (kept := _arguments(a, b)) is not None:
-        return kept, False
-    empty = lambda v: v is None or v in ("", [], {})
-    if empty(a) and not empty(b):
-        return b, False
-    if isinstance(a, dict) and isinstance(b, dict):
-        out, conflict = dict(a), False
-        for k, v in b.items():
-            out[k], c = merge_value(out[k], v, k) if k in out else (v, False)
-            conflict |= c
-        return out, conflict
-    if isinstance(a, list) and isinstance(b, list) and len(a) == len(b):
-        pairs = [merge_value(x, y, field) for x, y in zip(a, b, strict=True)]
-        return [v for v, _ in pairs], any(c for _, c in pairs)
-    if field == "status" and both and a == "unknown" and b != "unknown":
-        return b, False
-    return a, True
-
-
-def merge_messages(rows: DataFrame, group: str, snapshot: str, position: str, identity: str, content: str) -> DataFrame:
-    """A3: the k-th occurrence of an identity in any snapshot is one message, merged field by field in snapshot order.
-
-    ``content`` is JSON. One row a message: group, identity, occurrence, the snapshot and position where it is first seen
-    (the order of the merged list), content, and divergences: later copies that conflict. Content that nothing was merged
-    into keeps its bytes. A message's copies are held in one task, as what is kept depends on the copies before.
-    """
-    n = F.row_number().over(W.partitionBy(group, snapshot, identity).orderBy(position))
-    x = rows.select(group, identity, n.cast("long").alias("occurrence"), snapshot, position, content)
-    t = x.schema
-    schema = f"`{group}` {t[group].dataType.simpleString()}, `{identity}` {t[identity].dataType.simpleString()}, occurrence long, `{snapshot}` {t[snapshot].dataType.simpleString()}, `{position}` {t[position].dataType.simpleString()}, `{content}` string, divergences long"
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([snapshot, position], kind="stable")
-        texts = [v if isinstance(v, str) else None for v in pdf[content]]
-        first = value = _parsed(texts[0])
-        conflicts = 0
-        for text in texts[1:]:
-            value, c = merge_value(value, _parsed(text))
-            conflicts += c
-        out = pdf.head(1).copy()
-        out[content] = texts[0] if _same(first, value) else json.dumps(value, ensure_ascii=False)
-        out["divergences"] = conflicts
-        return out
-
-    return x.groupBy(group, identity, "occurrence").applyInPandas(fold, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..operators import order, turns
+from ..operators import messages, order, turns
 from .common import table
 
 
@@ -62,7 +62,7 @@ def message_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("snapshot"), F.unix_micros(F.col("ts").cast("timestamp")).alias("position"), "event_type", "props")
-    return order.merge_messages(e, "user_id", "snapshot", "position", "event_type", "props").select("user_id", "event_type", "occurrence", "position", F.col("props").alias("content"), "divergences")
+    return messages.merge_messages(e, "user_id", "snapshot", "position", "event_type", "props").select("user_id", "event_type", "occurrence", "position", F.col("props").alias("content"), "divergences")
 
 
 SOURCES = ["click", "purchase", "view", "signup", "error"]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomspark.functions import sse, text, values
-from loomspark.operators import dedup, graph, identity, joins, order, packing, score, turns, usage, verify
+from loomspark.operators import dedup, graph, identity, joins, messages, order, packing, score, turns, usage, verify
 from loomspark.plans import release as plans
 from loomspark.sources import jsonl, sinks
 from loomspark.streaming import ingest
@@ -533,13 +533,44 @@ def test_message_merge(spark):
         ("g", 3, 0, "a", m(content=[{"text": "hello"}], meta={"x": 5})), ("g", 2, 1, "a", m(content="second")),
         ("g", 1, 1, "b", m(content="one", n=1)), ("g", 2, 2, "b", m(content="a longer one", n=True)),
         ("g", 1, 2, "c", m(calls=[{"arguments": '{"k": 1}'}])), ("g", 2, 3, "c", m(calls=[{"arguments": '{"k":1}', "id": "i"}])), ("g", 1, 3, "d", "plain"), ("g", 2, 4, "d", None),
+        # lists of other lengths conflict, as do kinds; what is below a refused value isn't taken
+        ("g", 1, 5, "e", m(x=[1, 2], y={"k": "v"})), ("g", 2, 5, "e", m(x=[1, 2, 3], y=["k"])), ("g", 3, 5, "e", m(x=[1, None], y={"z": 0})),
+        # empty values are filled by the first that isn't, even of another kind; two kinds of empty conflict
+        ("g", 1, 6, "f", m(a=None, b={}, c=[], d="")), ("g", 2, 6, "f", m(a={"q": 1}, b=[2], c="s", d=None)),
+        # arguments as text and wrapped; recorded sources; a known status stays
+        ("g", 1, 7, "h", m(arguments="ls", source="codex_rollout.a", status="done")), ("g", 2, 7, "h", m(arguments='{"input": "ls"}', source="codex_rollout.b", status="unknown")), ("g", 3, 7, "h", m(arguments="pwd", source="other")),
+        # alike content adds nothing; other content fills by items
+        ("g", 1, 8, "i", m(content=[{"text": "t"}])), ("g", 2, 8, "i", m(content=[{"text": "t", "extra": 1}])), ("g", 3, 8, "i", m(content=[{"text": "u", "more": 2}])),
+        # deep, with odd names, untouched bytes, repeated rows
+        ("g", 1, 9, "j", m(a={"b/~": {"c": [{"d": [[1]]}]}})), ("g", 2, 9, "j", m(a={"b/~": {"c": [{"d": [[1]], "e\"": "é"}]}})), ("g", 1, 10, "k", '{"b": 1,  "a": 1.50}'), ("g", 2, 10, "k", '{"a": 1.50, "b": 1}'),
+        (None, None, None, None, "[]"), (None, None, None, None, "[]"),
     ]
     x = spark.createDataFrame(rows, "s string, snapshot int, p long, id string, content string")
-    got = {(r.id, r.occurrence): (r.p, _json(r.content), r.divergences) for r in order.merge_messages(x, "s", "snapshot", "p", "id", "content").collect()}
+    got = {(r.id, r.occurrence): (r.p, _json(r.content), r.divergences) for r in messages.merge_messages(x, "s", "snapshot", "p", "id", "content").collect()}
     assert got == {
         ("a", 1): (0, {"role": "user", "content": "hello", "meta": {"x": 1, "y": [2]}, "status": "done"}, 1), ("a", 2): (1, {"content": "second"}, 0),
         ("b", 1): (1, {"content": "one", "n": 1}, 1), ("c", 1): (2, {"calls": [{"arguments": '{"k": 1}', "id": "i"}]}, 0), ("d", 1): (3, "plain", 1),
+        ("e", 1): (5, {"x": [1, 2], "y": {"k": "v", "z": 0}}, 2), ("f", 1): (6, {"a": {"q": 1}, "b": [2], "c": "s", "d": ""}, 1),
+        ("h", 1): (7, {"arguments": '{"input": "ls"}', "source": "codex_rollout.a", "status": "done"}, 2), ("i", 1): (8, {"content": [{"text": "t", "more": 2}]}, 1),
+        ("j", 1): (9, {"a": {"b/~": {"c": [{"d": [[1]], "e\"": "é"}]}}}, 0), ("k", 1): (10, {"a": 1.5, "b": 1}, 0),
+        (None, 1): (None, "[]", 0), (None, 2): (None, "[]", 0),
     }
+    kept = {r.id: r.content for r in messages.merge_messages(x, "s", "snapshot", "p", "id", "content").collect()}
+    assert kept["k"] == '{"b": 1,  "a": 1.50}'
+    assert messages.merge_messages(x.where("false"), "s", "snapshot", "p", "id", "content").collect() == []
+
+
+def test_message_identities(spark):
+    m = lambda **x: json.dumps(x)
+    rows = [
+        (m(role="system", id="x"), "role:system"), (m(role="tool", tool_call_id="c1", id="x"), "tool-result:c1"), (m(role="tool", id="x"), "message:x"),
+        (m(role="assistant", tool_calls=[{"id": "b"}, {"id": "a"}], id="x"), "tool-call:a\0b"), (m(role="assistant", tool_calls=[{"id": "b"}, {}], message_id="y"), "message:y"),
+        (m(role="assistant", tool_calls=[], id="z"), "message:z"), (m(id=5), None), (m(content="b", role="user"), None), ("plain", None), (None, None),
+    ]
+    x = spark.createDataFrame(rows, "j string, want string").withColumn("got", messages.identity_of(messages.as_variant(F.col("j"))))
+    for r in x.collect():
+        assert r.got == r.want if r.want else r.got.startswith("content:") and len(r.got) == 72
+    assert len({r.got for r in x.collect()}) == len(rows)
 
 
 def _json(text):
