@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import sse, text, values
 from ..operators import bodies, graph, identity, order, runtime_graph, score, session_metrics, spans, turns, usage, verify
 from ..operators.checkpoint import shared
+from ..plans import verified
 from ..sources import jsonl, sinks
 from ..streaming import ingest
 from .common import table
@@ -256,6 +257,38 @@ def published_release(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("n", "keys", F.lit(clean).cast("long").alias("changed"), F.lit(wrote[0]).cast("long").alias("objects"), F.lit(wrote[1]).cast("long").alias("again"), F.lit(kept).cast("long").alias("segments")).crossJoin(checkpoint.select(F.col("bytes").cast("long").alias("bytes")))  # one row each
 
 
+RELEASE_GATES = {"long_enough": 60.0, "plain": 40.0}
+
+
+def _assessed(x: DataFrame) -> DataFrame:
+    """Sessions (key, content) with what a release records of them."""
+    t = F.col("content.text")
+    checks = {"long_enough": F.length(t) >= 300, "plain": ~t.contains("|")}
+    return score.assess(x, checks, RELEASE_GATES).withColumns({"fingerprint": F.sha2(t, 256), "tokens": F.length(t).cast("long")})
+
+
+def verified_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A release of the documents that somebody changed: what verification finds, by check. As it was before, nothing is found."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    once = d.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.min_by("lang", "doc_id").alias("lang"))
+    n, kept = d.count(), once.select(F.concat(F.lit("s"), k).alias("key"), F.struct("text", "lang").alias("content"), k)
+    good, at = _assessed(kept), _scratch(spark)
+    divergent = spark.createDataFrame([], verified.DIVERGENT)
+    removed = {"exact_duplicates": n - once.count()}
+    verified.write_release(good, divergent, removed, 100.0, f"{at}/good", 1 << 20)
+    totals = verified.totals_of(good, divergent)
+    tampered = good.withColumn("content", F.when(k % 23 == 1, F.col("content").withField("text", F.concat("content.text", F.lit("x")))).otherwise(F.col("content")))
+    tampered = tampered.withColumns({"score": F.when(k % 23 == 4, 99.0).otherwise(F.col("score")), "tokens": F.when(k % 23 == 5, F.col("tokens") + 1).otherwise(F.col("tokens"))})
+    tampered = tampered.withColumn("fingerprint", F.when(k % 23 == 7, "zz").otherwise(F.col("fingerprint")))
+    tampered = tampered.where(k % 23 != 2).union(tampered.where(k % 23 == 3))
+    reports = tampered.where(k % 23 != 10).withColumns({"decision": F.when(F.col("eligible") != (k % 23 == 6), "eligible").otherwise("rejected"), "tokens": F.when(k % 23 == 9, 0).otherwise(F.col("tokens"))})
+    verified.write_release(tampered.where(k % 23 != 8), divergent, removed, 100.0, f"{at}/bad", 1 << 20, totals, reports)
+    content = kept.schema["content"].dataType
+    found = [verified.verify_release(spark, f"{at}/{x}", content, _assessed, RELEASE_GATES).select(F.lit(x).alias("release"), "check") for x in ("good", "bad")]
+    return found[0].union(found[1]).groupBy("release", "check").agg(F.count("*").alias("n"))
+
+
 def package_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     rows = s.select((F.col("s_nationkey")).alias("p"), F.col("s_suppkey").alias("o"), F.concat(F.col("s_suppkey").cast("string"), F.lit(".json")).alias("n"), F.lit("{}").alias("c"))
@@ -447,6 +480,27 @@ SELECT CASE WHEN s_suppkey % 7 = 0 THEN 'missing' WHEN s_suppkey % 5 = 0 THEN 'e
     "published_release": """
 SELECT count(*) AS n, sum(c_custkey)::BIGINT AS keys, 0::BIGINT AS changed, count(DISTINCT c_mktsegment) AS objects, 0::BIGINT AS again, count(DISTINCT c_mktsegment) AS segments,
   (SELECT sum(length(m))::BIGINT FROM (SELECT DISTINCT c_mktsegment AS m FROM customer)) AS bytes FROM customer""",
+    "verified_release": """
+WITH o AS (SELECT text, min(doc_id) AS k FROM documents GROUP BY text),
+a AS (SELECT text, length(text) AS n, k % 23 AS t, (CASE WHEN length(text) >= 300 THEN 60 ELSE 0 END) + (CASE WHEN NOT contains(text, '|') THEN 40 ELSE 0 END) AS score FROM o WHERE text IS NOT NULL),
+b AS (SELECT *, score = 100 AS ok, CASE WHEN t IN (2, 10) THEN 0 WHEN t = 3 THEN 2 ELSE 1 END AS r, CASE WHEN t IN (2, 8) THEN 0 WHEN t = 3 THEN 2 ELSE 1 END AS s, CASE WHEN t = 9 THEN 0 ELSE n + (t = 5)::INT END AS rn, n + (t = 5)::INT AS sn FROM a),
+reasons AS (SELECT count(*) FILTER (n < 300) AS was, coalesce(sum(r) FILTER (n < 300), 0) AS is_ FROM b
+  UNION ALL SELECT count(*) FILTER (contains(text, '|')), coalesce(sum(r) FILTER (contains(text, '|')), 0) FROM b),
+f AS (
+  SELECT 'assessment_differs' AS "check", count(*) AS n FROM b WHERE ok AND t IN (1, 4, 5, 7)
+  UNION ALL SELECT 'not_eligible', count(*) FROM b WHERE ok AND t = 4
+  UNION ALL SELECT 'duplicate_content', count(*) FILTER (t = 3) + (count(*) FILTER (t = 7) > 1)::INT FROM b WHERE ok
+  UNION ALL SELECT 'report_inconsistent', count(*) FROM b WHERE t = 4
+  UNION ALL SELECT 'decision_differs', count(*) FROM b WHERE t = 6
+  UNION ALL SELECT 'invalid_fingerprint', count(*) FROM b WHERE t = 7
+  UNION ALL SELECT 'duplicate_report', count(*) FILTER (t = 3) + (count(*) FILTER (t = 7) > 1)::INT FROM b
+  UNION ALL SELECT 'report_without_session', count(*) FROM b WHERE ok AND t = 8
+  UNION ALL SELECT 'session_without_report', count(*) FROM b WHERE ok AND t = 10
+  UNION ALL SELECT 'report_differs', count(*) FROM b WHERE ok AND t = 9
+  UNION ALL SELECT 'total_differs', (count(*) <> sum(r))::INT + (count(*) FILTER (ok) <> sum(r) FILTER (ok))::INT + (sum(n) <> sum(r * rn))::INT + (sum(n) FILTER (ok) <> sum(r * rn) FILTER (ok))::INT
+    + (SELECT (count(*) FILTER (was <> is_) > 0)::INT FROM reasons) FROM b
+  UNION ALL SELECT 'session_total_differs', (count(*) FILTER (ok) <> sum(s) FILTER (ok))::INT + (sum(n) FILTER (ok) <> sum(s * sn) FILTER (ok))::INT FROM b)
+SELECT 'bad' AS release, "check", n::BIGINT AS n FROM f WHERE n > 0""",
     "package_files": "SELECT s_nationkey::VARCHAR AS package, count(*) AS files, true AS filled FROM supplier GROUP BY s_nationkey",
     "otlp_spans": "SELECT o_orderkey AS span, o_custkey AS trace, '2' AS ended FROM orders",
     "judged_stream": """
