@@ -1,17 +1,9 @@
-"""Server-sent events: frames, counters, and messages rebuilt from streams.
-
-Clean input is split by expressions. Recovery of frames without separators and
-the rebuilding of messages depend on all frames before, so they are Pandas UDFs.
-"""
+"""Server-sent events as expressions: frames of clean input, the model named last. ``operators.streams`` recovers frames and rebuilds messages."""
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def frames(body: Column) -> Column:
@@ -21,131 +13,6 @@ def frames(body: Column) -> Column:
     return F.transform(blocks, lambda b: F.struct(line(b, "event:").alias("event"), line(b, "data:").alias("data")))
 
 
-def parse(body: str | None) -> tuple[list[dict], int, bool]:
-    """Frames with recovery, the number of malformed ones, and whether ``[DONE]`` was seen."""
-    found, bad, done, data, event = [], 0, False, "", None
-
-    def flush():
-        nonlocal bad, done, data, event
-        if data.strip() == "[DONE]":
-            done = True
-        elif data:
-            try:
-                found.append({"event": event, "data": json.loads(data)})
-            except ValueError:
-                bad += 1
-        data, event = "", None
-
-    for line in (body or "").splitlines():
-        if line.startswith("event:"):
-            if data:
-                flush()  # a separator is missing
-            event = line[6:].strip()
-        elif line.startswith("data:"):
-            part = line[5:].lstrip()
-            if data:
-                try:
-                    json.loads(data)
-                    flush_first = True
-                except ValueError:
-                    flush_first = data.strip() == "[DONE]"
-                if flush_first:
-                    flush()
-            data = f"{data}\n{part}" if data else part
-        elif not line.strip():
-            flush()
-    flush()
-    return found, bad, done
-
-
-def _responses(events: list[dict]) -> dict:
-    items: dict[int, tuple[bool, dict]] = {}
-    conflicts, last = 0, None
-    for e in events:
-        kind = e["data"].get("type") or e["event"]
-        at = e["data"].get("output_index", len(items))
-        if kind == "response.output_item.added" and not items.get(at, (False,))[0]:
-            items[at] = (False, e["data"].get("item", {}))
-        elif kind == "response.output_item.done":
-            if at in items and items[at][0] and items[at][1] != e["data"].get("item"):
-                conflicts += 1
-            items[at] = (True, e["data"].get("item", {}))
-        elif kind in ("response.completed", "response.incomplete", "response.failed"):
-            conflicts += last is not None
-            last = e["data"].get("response", {})
-    out = dict(last or {})
-    out["output"] = out.get("output") or [items[k][1] for k in sorted(items)]
-    return {"message": out, "conflicts": conflicts, "terminal": last is not None}
-
-
-def _chat(events: list[dict]) -> dict:
-    head, choices, usage = {}, {}, None
-    for e in events:
-        d = e["data"]
-        for k in ("id", "model", "created"):
-            head.setdefault(k, d[k]) if d.get(k) is not None else None
-        usage = d.get("usage") or usage
-        for c in d.get("choices", []):
-            m = choices.setdefault(c.get("index", 0), {"role": "assistant", "content": "", "reasoning_content": "", "tool_calls": {}, "finish_reason": None})
-            delta = c.get("delta", {})
-            for k in ("content", "reasoning_content"):
-                m[k] += delta.get(k) or ""
-            m["role"] = delta.get("role") or m["role"]
-            m["finish_reason"] = c.get("finish_reason") or m["finish_reason"]
-            for t in delta.get("tool_calls", []):
-                call = m["tool_calls"].setdefault(t.get("index", 0), {"id": None, "name": "", "arguments": ""})
-                call["id"] = t.get("id") or call["id"]
-                call["name"] += t.get("function", {}).get("name") or ""
-                call["arguments"] += t.get("function", {}).get("arguments") or ""
-    out = [m | {"tool_calls": [m["tool_calls"][i] for i in sorted(m["tool_calls"])]} for _, m in sorted(choices.items())]
-    return {"message": head | {"choices": out, "usage": usage}, "conflicts": 0, "terminal": all(m["finish_reason"] for m in out) and bool(out)}
-
-
-def _anthropic(events: list[dict]) -> dict:
-    head, blocks, usage, stop = {}, {}, {}, None
-    for e in events:
-        d, kind = e["data"], e["data"].get("type") or e["event"]
-        if kind == "message_start":
-            head = {k: d["message"].get(k) for k in ("id", "model", "role")}
-            usage |= d["message"].get("usage") or {}
-        elif kind == "content_block_start":
-            blocks[d["index"]] = dict(d["content_block"], _json="")
-        elif kind == "content_block_delta" and d.get("index") in blocks:
-            b, x = blocks[d["index"]], d.get("delta", {})
-            for k in ("text", "thinking"):
-                if k in x:
-                    b[k] = (b.get(k) or "") + x[k]
-            b["_json"] += x.get("partial_json", "")
-        elif kind == "message_delta":
-            usage |= d.get("usage") or {}
-            stop = d.get("delta", {}).get("stop_reason") or stop
-    for b in blocks.values():
-        text = b.pop("_json")
-        if text:
-            b["input"] = json.loads(text)
-    return {"message": head | {"content": [blocks[k] for k in sorted(blocks)], "usage": usage, "stop_reason": stop}, "conflicts": 0, "terminal": stop is not None}
-
-
-_REBUILT = T.StructType(
-    [T.StructField("message", T.StringType())]
-    + [T.StructField(n, T.IntegerType()) for n in ("frames", "malformed", "conflicts")]
-    + [T.StructField(n, T.BooleanType()) for n in ("done", "terminal")]
-)
-
-
-@F.pandas_udf(_REBUILT)
-def rebuilt(body: pd.Series, shape: pd.Series) -> pd.DataFrame:
-    """A streamed body of shape responses, chat_completions or messages to its whole message, as JSON."""
-    build = {"responses": _responses, "chat_completions": _chat, "messages": _anthropic}
-    rows = []
-    for b, s in zip(body, shape, strict=True):
-        events, bad, done = parse(b)
-        events = [e for e in events if isinstance(e["data"], dict)]
-        out = build[s](events) if s in build else {"message": None, "conflicts": 0, "terminal": False}
-        rows.append([json.dumps(out["message"], sort_keys=True, ensure_ascii=False), len(events), bad, out["conflicts"], done, out["terminal"]])
-    return pd.DataFrame(rows, columns=["message", "frames", "malformed", "conflicts", "done", "terminal"])
-
-
 def last_model(body: Column) -> Column:
     """The last non-empty model named in a stream."""
     found = F.filter(F.regexp_extract_all(body, F.lit(r'"model"\s*:\s*"([^"]*)"'), F.lit(1)), lambda m: m != "")

@@ -65,6 +65,12 @@ def any_value(v: Column) -> Column:
     )
 
 
+def whole_json(text: Column) -> Column:
+    """The VARIANT of a text that is one JSON value and nothing else, or null; the parser by itself takes a value that something follows."""
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+
+
 def attributes(rows: DataFrame, keys: list[str], attrs: str) -> DataFrame:
     """Attribute list (JSON text of ``[{key, value}]``) to a map for each of ``keys``.
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.values import whole_json
 from .checkpoint import written
 
 #: Where a message's text is, in this order; how recorded sources begin; a status that says nothing.
@@ -22,7 +23,7 @@ TEXT_FIELDS, RECORDED, UNKNOWN = ["text", "content", "output_text", "input_text"
 
 def as_variant(text: Column) -> Column:
     """JSON, or what isn't JSON as a string; null is JSON's null."""
-    return F.coalesce(F.try_parse_json(text), text.cast("variant"), F.parse_json(F.lit("null")))
+    return F.coalesce(whole_json(text), text.cast("variant"), F.parse_json(F.lit("null")))
 
 
 def is_kind(v: Column, kind: str) -> Column:
@@ -62,11 +63,11 @@ def _judged(x: DataFrame) -> DataFrame:
     x = x.withColumn("json", F.when(~held, F.to_json(v)))
     text = F.when(F.col("kind") == "string", v.cast("string"))
     # two texts of arguments are alike if they are equal as JSON, or one is the other as its only field ``input``
-    parsed = F.try_parse_json(text)
+    parsed = whole_json(text)
     only = F.when(F.size(F.json_object_keys(text)) == 1, F.try_variant_get(parsed, "$.input", "variant"))
     wrapped = F.when(is_kind(only, "STRING"), only.cast("string"))
     raw = F.coalesce(wrapped, text)
-    arguments = F.coalesce(F.concat(F.lit("json "), F.to_json(F.try_parse_json(raw))), F.concat(F.lit("text "), raw))
+    arguments = F.coalesce(F.concat(F.lit("json "), F.to_json(whole_json(raw))), F.concat(F.lit("text "), raw))
     field = F.col("field")
     special = F.when(field == "content", F.concat(F.lit("content "), F.coalesce(text_of(v), F.lit("")))).when((field == "source") & text.startswith(RECORDED), RECORDED).when((field == "arguments") & text.isNotNull(), arguments)
     empty = F.col("json").isin("null", '""') | (F.col("kind") == "array 0") | (held & (F.to_json(v) == "{}"))

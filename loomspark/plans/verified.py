@@ -10,13 +10,14 @@ trees, totals summed. Everything found is a row: check, subject, detail.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.checkpoint import shared, written
 from ..operators.digests import differences
 from ..sources import session_parts, sinks
 
@@ -64,16 +65,15 @@ def _found(x: DataFrame, check: str | Column, subject: Column, detail: Column) -
     return x.select(check.alias("check"), subject.cast("string").alias("subject"), F.coalesce(detail.cast("string"), F.lit("")).alias("detail"))
 
 
-def file_findings(spark: SparkSession, folder: str) -> DataFrame:
+def file_findings(spark: SparkSession, folder: str, lines: DataFrame) -> DataFrame:
     """Parts that are not as the manifest says: missing or unlisted, listed twice or outside, other sizes, hashes, records or bytes, empty lines.
 
-    Parts are hashed whole, so they are below 2 GB, as their target is.
+    ``lines`` are those of ``lines_of``. Parts are hashed whole, so they are
+    below 2 GB, as their target is.
     """
     listed = session_parts.read_manifest(spark, folder)
-    name = lambda path: F.regexp_extract(path, r"([^/]+/[^/]+)$", 1)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/data").select(name(F.col("path")).alias("name"), F.col("length"), F.sha2("content", 256).alias("hash"))
-    text = spark.read.text(f"{folder}/data").select(name(F.col("_metadata.file_path")).alias("of"), "value")
-    counted = text.groupBy("of").agg(F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("plain"), F.count_if(F.trim("value") == "").alias("empty"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{folder}/data").select(_name(F.col("path")).alias("name"), F.col("length"), F.sha2("content", 256).alias("hash"))
+    counted = lines.groupBy("of").agg(F.count("*").alias("lines"), F.sum("plain").alias("plain"), F.count_if("empty").alias("empty"))
     # a file without any line has no row there
     j = listed.join(files, listed["file"] == files["name"], "full").join(counted, F.col("name") == F.col("of"), "left")
     both = F.col("file").isNotNull() & F.col("name").isNotNull()
@@ -81,20 +81,25 @@ def file_findings(spark: SparkSession, folder: str) -> DataFrame:
     checks = {
         "missing_file": F.col("name").isNull(), "unexpected_file": F.col("file").isNull(), "size_differs": other("bytes", "length"), "checksum_differs": both & (F.col("sha256") != F.col("hash")),
         "records_differ": other("records", "lines"), "bytes_differ": other("uncompressed_bytes", "plain"), "empty_line": F.coalesce(F.col("empty") > 0, F.lit(False)),
-        "unsafe_path": F.coalesce(F.col("file").startswith("/") | F.col("file").rlike(r"(^|/)\.\.(/|$)"), F.lit(False)),
+        "unsafe_path": F.coalesce(F.col("file").startswith("/") | F.col("file").rlike(r"(^|/)\.\.(/|$)"), F.lit(False)), "listed_twice": F.col("times") > 1,
     }
+    j = j.join(listed.groupBy(F.col("file").alias("_f")).agg(F.count("*").alias("times")), F.col("file") == F.col("_f"), "left")
     failed = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))
-    x = j.select(F.explode(failed).alias("check"), F.coalesce("file", "name").alias("subject"))
-    twice = listed.groupBy("file").count().where("count > 1")
-    return _found(x, F.col("check"), F.col("subject"), F.lit("")).union(_found(twice, "listed_twice", F.col("file"), F.col("count")))
+    return j.select(F.explode(failed).alias("check"), F.coalesce("file", "name").alias("subject"), F.lit("").alias("detail")).distinct()
 
 
-def lines_of(spark: SparkSession, folder: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """The rows of a folder's lines, and those that can't be read as such."""
-    x = spark.read.text(f"{folder}/data").where(F.trim("value") != "")
-    parsed = x.select("value", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}).alias("r"))
-    bad = F.col("r").isNull() | F.col("r._bad").isNotNull()
-    return parsed.where(~bad).select("r.*").drop("_bad"), parsed.where(bad)
+def _name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+/[^/]+)$", 1)
+
+
+def lines_of(spark: SparkSession, folder: str, schema: T.StructType, more: Callable[[DataFrame], DataFrame] = lambda x: x, drop: tuple[str, ...] = ()) -> DataFrame:
+    """A folder's lines, read once and written: of (file), plain (bytes), empty, bad (the line's begin, where it can't be read), and its fields without ``drop``; ``more`` adds columns before."""
+    text = spark.read.text(f"{folder}/data").select("value", _name(F.col("_metadata.file_path")).alias("of"))
+    parsed = text.withColumn("r", F.from_json("value", T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]), {"columnNameOfCorruptRecord": "_bad"}))
+    empty = F.trim("value") == ""
+    bad = ~empty & (F.col("r").isNull() | F.col("r._bad").isNotNull())
+    x = parsed.select("of", (F.octet_length("value") + 1).cast("long").alias("plain"), empty.alias("empty"), F.when(bad, F.substring("value", 1, 80)).alias("bad"), (~empty & ~bad).alias("_good"), *[F.when(~bad, F.col(f"r.{n}")).alias(n) for n in schema.fieldNames()])
+    return written(more(x).drop(*drop), "release-lines")
 
 
 def verify_release(spark: SparkSession, folder: str, content: T.DataType, again: Callable[[DataFrame], DataFrame], weights: dict[str, float]) -> DataFrame:
@@ -102,40 +107,48 @@ def verify_release(spark: SparkSession, folder: str, content: T.DataType, again:
 
     ``again`` takes sessions (key, content) and adds what should be recorded
     of them. ``weights`` are those of the gates, by which a report must be
-    consistent in itself.
+    consistent in itself. Every file is read twice: hashed, and parsed; the
+    rest works on what is recorded, without contents. Findings are written
+    check by check.
     """
     names = [f.name for f in RECORDED]
-    sessions, bad = lines_of(spark, f"{folder}/sessions", T.StructType([T.StructField("key", T.StringType()), T.StructField("content", content), *RECORDED.fields]))
-    reports, bad_reports = lines_of(spark, f"{folder}/reports", REPORT)
-    divergent, bad_divergent = lines_of(spark, f"{folder}/divergent", DIVERGENT)
-    said = json.loads(spark.read.option("wholetext", True).text(f"{folder}/{TOTALS}").first()[0])
-    out = []
-    for part in ("sessions", "reports", "divergent"):
-        out.append(_with_part(file_findings(spark, f"{folder}/{part}"), part))
-    for part, x in (("sessions", bad), ("reports", bad_reports), ("divergent", bad_divergent)):
-        out.append(_found(x, "unreadable_line", F.lit(part), F.substring("value", 1, 80)))
-    # sessions against their own content
-    made = again(sessions.select("key", "content", *[F.col(n).alias(f"_said_{n}") for n in names]))
     differ = F.array_compact(F.array(*[F.when(~F.col(n).eqNullSafe(F.col(f"_said_{n}")), F.lit(n)) for n in names]))
-    out.append(_found(made.where(F.size(differ) > 0), "assessment_differs", F.col("key"), F.array_join(differ, ",")))
+
+    def judged(x: DataFrame) -> DataFrame:
+        x = again(x.withColumnsRenamed({n: f"_said_{n}" for n in names})).withColumn("differ", F.when(F.col("_good"), F.array_join(differ, ",")))
+        return x.drop(*names).withColumnsRenamed({f"_said_{n}": n for n in names})
+
+    schema = T.StructType([T.StructField("key", T.StringType()), T.StructField("content", content), *RECORDED.fields])
+    all_lines = {"sessions": lines_of(spark, f"{folder}/sessions", schema, judged, ("content",)), "reports": lines_of(spark, f"{folder}/reports", REPORT), "divergent": lines_of(spark, f"{folder}/divergent", DIVERGENT)}
+    sessions, reports, divergent = (x.where("_good") for x in all_lines.values())
+    said = json.loads(spark.read.option("wholetext", True).text(f"{folder}/{TOTALS}").first()[0])
+    to = f"{shared(spark)}/findings-{uuid.uuid4().hex}"
+
+    def put(x: DataFrame) -> None:
+        x.write.mode("append").parquet(to)
+
+    for part, x in all_lines.items():
+        put(_with_part(file_findings(spark, f"{folder}/{part}", x), part).union(_found(x.where("bad is not null"), "unreadable_line", F.lit(part), F.col("bad"))))
+    # sessions against their own content, and among each other
     low = ~F.coalesce(F.col("eligible"), F.lit(False)) | (F.coalesce(F.col("score"), F.lit(-1.0)) < said["minimum"])
-    out.append(_found(sessions.where(low), "not_eligible", F.col("key"), F.col("score")))
     twice = lambda x: x.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("key").alias("key")).where("n > 1")
-    out.append(_found(twice(sessions), "duplicate_content", F.col("key"), F.col("n")))
+    put(_found(sessions.where("differ != ''"), "assessment_differs", F.col("key"), F.col("differ")).union(_found(sessions.where(low), "not_eligible", F.col("key"), F.col("score"))))
+    put(_found(twice(sessions), "duplicate_content", F.col("key"), F.col("n")))
     # reports in themselves
     due = sum((F.when(F.array_contains("failures", n), 0.0).otherwise(float(w)) for n, w in weights.items()), F.lit(0.0))
     whole = (F.col("score") == due) & (F.col("eligible") == (F.size("failures") == 0)) & (F.size(F.array_except("failures", F.array(*map(F.lit, weights)))) == 0)
-    out.append(_found(reports.where(~F.coalesce(whole, F.lit(False))), "report_inconsistent", F.col("key"), F.col("score")))
     decided = F.col("decision") == F.when(F.col("eligible"), "eligible").otherwise("rejected")
-    out.append(_found(reports.where(~F.coalesce(decided, F.lit(False))), "decision_differs", F.col("key"), F.col("decision")))
-    out.append(_found(reports.where(~F.coalesce(F.col("fingerprint").rlike(SHA256), F.lit(False))), "invalid_fingerprint", F.col("key"), F.col("fingerprint")))
-    out.append(_found(twice(reports), "duplicate_report", F.col("key"), F.col("n")))
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    faults = {"report_inconsistent": (no(whole), "score"), "decision_differs": (no(decided), "decision"), "invalid_fingerprint": (no(F.col("fingerprint").rlike(SHA256)), "fingerprint")}
+    failed = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(n).alias("check"), F.col(d).cast("string").alias("detail"))) for n, (c, d) in faults.items()]))
+    x = reports.select("key", F.explode(failed).alias("f"))
+    put(_found(x, F.col("f.check"), F.col("key"), F.col("f.detail")).union(_found(twice(reports), "duplicate_report", F.col("key"), F.col("n"))))
     fine = (F.col("candidate_count") >= 2) & (F.size("fingerprints") == F.col("candidate_count")) & F.forall("fingerprints", lambda f: F.coalesce(f.rlike(SHA256), F.lit(False))) & (F.col("reason") == DIVERGENT_REASON)
-    out.append(_found(divergent.where(~F.coalesce(fine, F.lit(False))), "divergent_inconsistent", F.col("key"), F.col("candidate_count")))
+    put(_found(divergent.where(no(fine)), "divergent_inconsistent", F.col("key"), F.col("candidate_count")))
     # reports against sessions
     d = differences(sessions.select("key", *names), reports.where("eligible").select("key", *names), ["key"])
     state = F.when(F.col("state") == "missing", "report_without_session").when(F.col("state") == "extra", "session_without_report").otherwise("report_differs")
-    out.append(_found(d, state, F.col("key"), F.col("differ")))
+    put(_found(d, state, F.col("key"), F.col("differ")))
     # totals
     got = totals_of(reports, divergent)
     wrong = [("total_differs", k, f"{said.get(k)} is {v}") for k, v in got.items() if said.get(k) != v]
@@ -145,8 +158,9 @@ def verify_release(spark: SparkSession, folder: str, content: T.DataType, again:
     wrong += [] if conserved else [("not_conserved", "records", str(said.get("records")))]
     status = "pass" if conserved and said.get("eligible") and not said.get("parse_failures") else "fail"
     wrong += [] if said.get("status") == status else [("status_differs", "status", f"{said.get('status')} is {status}")]
-    out.append(spark.createDataFrame(wrong, "check string, subject string, detail string"))  # as many as there are totals
-    return reduce(DataFrame.union, out)
+    schema = "check string, subject string, detail string"
+    put(spark.createDataFrame(wrong, schema))  # as many as there are totals
+    return spark.read.schema(schema).parquet(to)
 
 
 def _with_part(x: DataFrame, part: str) -> DataFrame:

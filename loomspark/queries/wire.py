@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sse, text, values
-from ..operators import bodies, graph, identity, order, runtime_graph, score, session_metrics, spans, turns, usage, verify
+from ..operators import bodies, graph, identity, order, runtime_graph, score, session_metrics, spans, streams, turns, usage, verify
 from ..operators.checkpoint import shared
 from ..plans import verified
 from ..sources import jsonl, sinks
@@ -176,8 +177,51 @@ def rebuilt_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     delta = lambda d: F.concat(F.lit('data: {"id":"i","model":"m","choices":[{"index":0,"delta":{"content":"'), d, F.lit('"}}]}\n\n'))
     body = F.concat(delta(F.col("o_orderstatus")), delta(F.col("o_orderkey").cast("string")), F.when(F.col("o_orderkey") % 3 == 0, "data: {bad\n\n").otherwise(""), F.when(F.col("o_orderkey") % 2 == 0, "data: [DONE]\n\n").otherwise(""))
-    r = o.select("o_orderkey", sse.rebuilt(body, F.lit("chat_completions")).alias("r"))
-    return r.select("o_orderkey", F.get_json_object("r.message", "$.choices[0].content").alias("content"), "r.frames", "r.malformed", "r.done")
+    r = streams.chat(o.select("o_orderkey", body.alias("body")), "o_orderkey", "body")
+    return r.select("o_orderkey", F.get_json_object("choices", "$[0].message.content").alias("content"), "frames", "malformed", "done")
+
+
+def _frame(x: Column) -> Column:
+    return F.concat(F.lit("data: "), F.to_json(x), F.lit("\n\n"))
+
+
+def anthropic_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts streamed as message blocks, each with a tool's input that breaks off in a third of them; a quarter of the streams has no end."""
+    c = table(spark, sf_dir, "conversations")
+    t, half = F.coalesce("text", F.lit("")), (F.length("text") / 2).cast("int")
+    struct = lambda **x: F.struct(*[(F.lit(v) if not isinstance(v, Column) else v).alias(k) for k, v in x.items()])
+    delta = lambda k, **x: _frame(struct(type="content_block_delta", index=F.lit(k), delta=struct(**x)))
+    body = F.concat(
+        _frame(struct(type="message_start", message=struct(id=F.concat(F.lit("m"), "conv_id"), role="assistant", usage=struct(input_tokens=F.length(t), output_tokens=1)))),
+        _frame(struct(type="content_block_start", index=1, content_block=struct(type="tool_use", id=F.concat(F.lit("t"), "turn"), name="f"))), _frame(struct(type="content_block_start", index=0, content_block=struct(type="text", text=""))),
+        delta(0, type="text_delta", text=F.substring(t, F.lit(1), half)), delta(1, type="input_json_delta", partial_json='{"role": "'), delta(0, type="text_delta", text=F.substring(t, half + 1, F.length(t))),
+        delta(1, type="input_json_delta", partial_json=F.when(F.col("turn") % 3 == 1, F.col("role")).otherwise(F.concat("role", F.lit('"}')))), _frame(struct(type="message_delta", delta=struct(stop_reason="end_turn"), usage=struct(output_tokens=F.col("turn") + 2))),
+        F.when(F.col("turn") % 4 == 3, F.lit("data: {cut")).otherwise(_frame(struct(type="message_stop"))),
+    )
+    x = streams.anthropic(c.select(F.struct("conv_id", "turn").alias("at"), body.alias("body")), "at", "body")
+    path = lambda p: F.get_json_object("content", p)
+    return x.select("at.conv_id", "at.turn", F.sha2(path("$[0].text"), 256).alias("text"), F.coalesce(path("$[1].input.role"), F.lit("")).alias("role"), F.array_join("truncated", ",").alias("truncated"), F.col("usage")["input_tokens"].cast("long").alias("input_tokens"), F.col("usage")["output_tokens"].cast("long").alias("output_tokens"), "frames", "malformed", "terminal")
+
+
+def responses_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as streams with one call, ended in eight ways: as told, without output, altered, dropped, broken off with and without a reason, twice, by an error."""
+    o = table(spark, sf_dir, "orders")
+    k, way = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 8
+    put = lambda text: F.concat(*[k if p == "KEY" else F.lit(p) for p in re.split("(KEY)", text)])
+    item = lambda arguments: f'{{"type":"function_call","id":"fcKEY","call_id":"cKEY","name":"f","arguments":"{arguments}"}}'
+    frame = lambda kind, rest: put(f'data: {{"type":"response.{kind}",{rest}}}\n\n')
+    added, done = frame("output_item.added", f'"output_index":0,"item":{item("")}'), frame("output_item.done", f'"output_index":0,"item":{item("KEY")}')
+    end = lambda rest="", kind="completed": frame(kind, f'"response":{{"id":"rKEY"{rest}}}')
+    told = end(f',"output":[{item("KEY")}]')
+    ways = [
+        F.concat(added, done, told), F.concat(done, end()), F.concat(done, end(f',"output":[{item("0KEY")}]')), F.concat(done, end(',"output":[]')), F.concat(added, end(',"output":[],"incomplete_details":{"reason":"length"}', "incomplete")),
+        F.concat(done, told, told), F.concat(added, F.lit("data: {cut")), F.concat(added, frame("error", '"message":"KEY"')),
+    ]
+    body = F.lit("")
+    for n, w in enumerate(ways):
+        body = F.when(way == n, w).otherwise(body)
+    x = streams.responses(o.select("o_orderkey", F.concat(frame("created", '"response":{"id":"rKEY"}'), body).alias("body")), "o_orderkey", "body")
+    return x.select("o_orderkey", "malformed", F.coalesce("outcome", F.lit("none")).alias("outcome"), F.coalesce(F.get_json_object("output", "$[0].arguments"), F.lit("-")).alias("arguments"), F.array_join("truncated", ",").alias("truncated"), F.get_json_object("response", "$.id").alias("id"), F.get("calls", F.lit(0))["call_id"].alias("call"), F.get("calls", F.lit(0))["start"].alias("start"))
 
 
 def profile_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -465,6 +509,16 @@ SELECT 'a' AS event, role AS data, count(*) AS n FROM conversations GROUP BY rol
 UNION ALL SELECT '', 'x' || chr(10) || 'y', count(*) FROM conversations WHERE turn % 2 = 0 HAVING count(*) > 0 UNION ALL SELECT '', '[DONE]', count(*) FROM conversations""",
     "rebuilt_streams": """
 SELECT o_orderkey, o_orderstatus || o_orderkey AS content, 2 AS frames, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 0 END AS malformed, o_orderkey % 2 = 0 AS done FROM orders""",
+    "anthropic_streams": """
+SELECT conv_id, turn, sha256(coalesce(text, '')) AS text, CASE WHEN turn % 3 = 1 THEN '' ELSE role END AS role, CASE WHEN turn % 3 = 1 THEN 't' || turn ELSE '' END AS truncated, length(coalesce(text, '')) AS input_tokens, turn + 2 AS output_tokens,
+  CASE WHEN turn % 4 = 3 THEN 8 ELSE 9 END AS frames, CASE WHEN turn % 4 = 3 THEN 1 ELSE 0 END AS malformed, turn % 4 <> 3 AS terminal FROM conversations""",
+    "responses_streams": """
+WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS w FROM orders)
+SELECT o_orderkey, CASE WHEN w IN (2, 3, 5, 6) THEN 1 ELSE 0 END AS malformed,
+  CASE w WHEN 4 THEN 'incomplete' WHEN 6 THEN 'none' WHEN 7 THEN 'failed' ELSE 'completed' END AS outcome,
+  CASE WHEN w IN (0, 1, 5) THEN o_orderkey::VARCHAR WHEN w = 2 THEN '0' || o_orderkey WHEN w IN (3, 4) THEN '-' ELSE '' END AS arguments,
+  CASE WHEN w = 4 THEN 'c' || o_orderkey ELSE '' END AS truncated, 'r' || o_orderkey AS id, 'c' || o_orderkey AS call,
+  length('data: {"type":"response.created","response":{"id":"r' || o_orderkey || '"}}') + 2 AS start FROM o""",
     "profile_views": """
 SELECT conv_id, count(*) FILTER (NOT (role = 'assistant' AND turn % 3 = 1 AND (turn % 4 = 1 OR text = ''))) AS messages, count(*) FILTER (role = 'assistant' AND turn % 3 <> 1) AS calls FROM conversations GROUP BY conv_id""",
     "gateway_links": "SELECT o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AS linked, count(*) AS n FROM orders GROUP BY 1",

@@ -108,12 +108,13 @@ class PartsWriter(DataSourceArrowWriter):
             parts.append(asdict(p) | {"file": name})
         with fs.open_output_stream(f"{root}/{MANIFEST}") as out:
             out.write(json.dumps({"records": sum(p["records"] for p in parts), "parts": parts}).encode())
-        self._clear(fs, root)
+        # also of failed runs, whose last tasks may have written after their abort
+        for x in fs.get_file_info(pafs.FileSelector(root)):
+            if x.base_name.startswith("_staging-"):
+                fs.delete_dir(x.path)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        self._clear(*self._fs())
-
-    def _clear(self, fs: pafs.FileSystem, root: str) -> None:
+        fs, root = self._fs()
         if fs.get_file_info(f"{root}/_staging-{self.run}").type != pafs.FileType.NotFound:
             fs.delete_dir(f"{root}/_staging-{self.run}")
 

@@ -389,20 +389,7 @@ def test_contracts(spark):
         verify.strict(rows, {"x": F.col("x") > 0}).collect()
 
 
-SSE = 'event: a\ndata: {"choices":[{"index":0,"delta":{"role":"assistant","content":"he"}}],"id":"i","model":"m"}\n\ndata: {"choices":[{"index":0,"delta":{"content":"y","tool_calls":[{"index":0,"id":"c","function":{"name":"f","arguments":"{}"}}]},"finish_reason":"stop"}],"usage":{"total_tokens":3}}\ndata: {bad\n\ndata: [DONE]\n\n'
-
-
-def test_streams(spark):
-    r = one(spark, sse.rebuilt(F.col("t"), F.lit("chat_completions")), t=SSE)
-    m = json.loads(r.message)
-    assert m["choices"][0]["content"] == "hey" and m["choices"][0]["tool_calls"][0]["name"] == "f" and m["usage"]["total_tokens"] == 3
-    assert (r.frames, r.malformed, r.done, r.terminal) == (2, 1, True, True)
-    body = 'data: {"type":"response.output_item.added","output_index":0,"item":{"t":0}}\n\ndata: {"type":"response.output_item.done","output_index":0,"item":{"t":1}}\n\ndata: {"type":"response.completed","response":{"id":"r","output":[]}}\n\n'
-    r = one(spark, sse.rebuilt(F.col("t"), F.lit("responses")), t=body)
-    assert json.loads(r.message)["output"] == [{"t": 1}] and r.terminal and r.conflicts == 0
-    body = 'data: {"type":"message_start","message":{"id":"m","model":"x","role":"assistant","usage":{"input_tokens":2}}}\n\ndata: {"type":"content_block_start","index":0,"content_block":{"type":"tool_use","name":"f"}}\n\ndata: {"type":"content_block_delta","index":0,"delta":{"partial_json":"{\\"a\\":1}"}}\n\ndata: {"type":"message_delta","delta":{"stop_reason":"tool_use"},"usage":{"output_tokens":4}}\n\n'
-    m = json.loads(one(spark, sse.rebuilt(F.col("t"), F.lit("messages")), t=body).message)
-    assert m["content"][0]["input"] == {"a": 1} and m["usage"] == {"input_tokens": 2, "output_tokens": 4}
+def test_frames_of_clean_streams(spark):
     assert [f.event for f in one(spark, sse.frames(F.col("t")), t="event: x\ndata: 1\ndata: 2\n\n\nevent: y\ndata: 3")] == ["x", "y"]
     assert one(spark, sse.last_model(F.col("t")), t='"model":"a" "model": "b" "model":""') == "b"
 
