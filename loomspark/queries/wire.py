@@ -13,7 +13,7 @@ from ..operators import bodies, graph, identity, order, runtime_graph, score, se
 from ..operators.checkpoint import shared
 from ..plans import verified
 from ..sources import jsonl, sinks
-from ..streaming import ingest
+from ..streaming import freshness, ingest
 from .common import table
 
 
@@ -364,6 +364,27 @@ def upserted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_latest(spark, f"{at}/out", "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
+FRESH_FOR = {"error": 12 * 86_400_000}
+
+
+def live_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three arrivals as a stream, some sent again a day later: each user's last verdict on their five kinds of event."""
+    e, at = table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("id"), "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")), _scratch(spark)
+    day = F.dayofmonth("ts")
+    for k in range(3):
+        again = e.where(day == 10 * k).withColumn("ts", F.col("ts") + F.expr("interval 1 day"))
+        e.where((F.least(F.floor((day - 1) / 10), F.lit(2))) == k).union(again).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    was = spark.conf.get(freshness.ROCKS[0], None)
+    spark.conf.set(*freshness.ROCKS)
+    try:
+        rows = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+        x = freshness.live(rows, "user_id", "event_type", "ts", "id", ["click", "purchase", "view", "signup", "error"], FRESH_FOR, 2 * 86_400_000, "2 days")
+        x.writeStream.outputMode("append").format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(freshness.ROCKS[0]) if was is None else spark.conf.set(freshness.ROCKS[0], was)
+    return spark.read.parquet(f"{at}/out").groupBy("key").agg(F.max_by(F.struct("status", "missing", "stale"), "at").alias("r")).select(F.col("key").cast("long").alias("user_id"), "r.*")
+
+
 def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     record = F.concat(F.lit('{"traceId": "'), F.col("o_custkey").cast("string"), F.lit('", "spanId": "s", "timeUnixNano": "1"}'))
@@ -590,6 +611,13 @@ SELECT s_suppkey, substr(r, 2) AS reasons FROM x WHERE r <> ''""",
     "dated_batches": """
 WITH x AS (SELECT year(o_orderdate) AS d, (row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1) // 26 AS b FROM orders)
 SELECT d::VARCHAR AS date, 'batch_' || lpad(b::VARCHAR, 5, '0') || '.tar.gz' AS file, count(*) AS files FROM x GROUP BY d, b""",
+    "live_freshness": """
+WITH l AS (SELECT user_id, event_type AS s, epoch_ms(max(ts)) AS last FROM events GROUP BY ALL),
+t AS (SELECT user_id, greatest(max(last), (SELECT max(last) FROM l) - 2 * 86400000) AS now FROM l GROUP BY user_id),
+x AS (SELECT t.user_id, e.s, e.k, l.last IS NULL AS missing, t.now > l.last + CASE WHEN e.s = 'error' THEN 12 ELSE 2 END * 86400000 AS stale
+  FROM t CROSS JOIN (SELECT unnest(['click', 'purchase', 'view', 'signup', 'error']) AS s, unnest([1, 2, 3, 4, 5]) AS k) e LEFT JOIN l ON l.user_id = t.user_id AND l.s = e.s)
+SELECT user_id, CASE WHEN count(*) FILTER (stale) > 0 THEN 'degraded' WHEN count(*) FILTER (missing) > 0 THEN 'partial' ELSE 'complete' END AS status,
+  coalesce(string_agg(s, ',' ORDER BY k) FILTER (missing), '') AS missing, coalesce(string_agg(s, ',' ORDER BY k) FILTER (stale), '') AS stale FROM x GROUP BY user_id""",
     "envelope_records": "SELECT 2 * count(*) FILTER (o_orderkey % 9 <> 0) AS records, (2 * sum(o_custkey) FILTER (o_orderkey % 9 <> 0))::BIGINT AS traces, count(*) FILTER (o_orderkey % 9 = 0) AS broken FROM orders",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}
