@@ -83,10 +83,16 @@ def resolve(base: Column, ref: Column) -> Column:
     return F.when(ref.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), ref).when(ref.startswith("//"), F.concat(F.lit("http:"), ref)).when(given, on_host)
 
 
+def attributes(tag: Column) -> Column:
+    """A tag's attributes as it has them, names with their values; each character is looked at once or twice, however long the tag is."""
+    return F.regexp_extract_all(tag, F.lit(r"(?s)[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+"), F.lit(0))
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    """The value of a tag's attribute, quoted or not, with the common entities decoded; empty if there is none."""
-    at = rf"(?is)^<\w+(?:\s+[^\s=>\"'/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?|[\s/])*?\s+{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    value = F.concat(*[F.regexp_extract(tag, at, k) for k in (1, 2, 3)])
+    """The value of the first attribute (of ``attributes``) of a name in any case, quoted or not, with the common entities decoded; empty if there is none."""
+    own = F.get(F.filter(tag, lambda a: a.rlike(rf"(?is)^{name}\s*+=")), 0)
+    value = F.regexp_extract(own, r"(?s)^[^=]*+=\s*+(.*)$", 1)
+    value = F.coalesce(F.when(value.rlike("^[\"']"), F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value), F.lit(""))
     for entity, char in ENTITIES:
         value = F.replace(value, F.lit(entity), F.lit(char))
     return F.btrim(value, F.lit(SPACES))
@@ -99,7 +105,7 @@ def linked_urls(url: Column, html: Column) -> Column:
     case. Tags within comments are none.
     """
     html = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?s)<!--.*?-->", "")
-    tags = lambda name: F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/])(?:\"[^\"]*\"|'[^']*'|[^\"'>])*>"), F.lit(0))
+    tags = lambda name: F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<{name}(?=[\s/])(?:[^\"'<>]++|\"[^\"]*+\"|'[^']*+')*+>"), F.lit(0)), attributes)
     is_canonical = lambda t: F.array_contains(F.split(F.lower(_attribute(t, "rel")), r"\s+"), "canonical")
     is_refresh = lambda t: F.lower(_attribute(t, "http-equiv")) == "refresh"
     refresh = lambda t: F.regexp_extract(_attribute(t, "content"), r"(?is)^\s*[\d.]*\s*[;,\s]\s*url\s*=\s*[\"']?([^\"'\s]+)", 1)

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -352,6 +353,21 @@ def test_urls_of_any_link(spark):
     assert to[5] == ["http://h5.example.net/d/q.html?k=1"] and to[6] == ["http://h6.example.net/d/e/p?z=2"] and to[7] == ["http://h7.example.net/d/e/page2.html"]
 
 
+def test_long_and_indented_tags(spark):
+    """Tags of any number of attributes, on lines of their own, of a megabyte, or of white space, are read in a time that grows with their length."""
+    indented = lambda n, more: "<meta" + "".join(f'\n        data-a{k}="v{k}"' for k in range(n)) + more + ">"
+    refresh = '\n        http-equiv="refresh"\n        content="0; url=/to"'
+    rows = [
+        (1, indented(12, "")), (2, indented(12, refresh)), (3, indented(60_000, refresh)), (4, "<link" + " " * 20_000 + ">"), (5, "<link" + " " * 1_000_000 + "rel=canonical" + "\n" * 20_000 + "href = '/x'>"),
+        (6, "<link rel='canonical' title=\"" + "a" * 1_000_000 + "\" href=/y>"), (7, "<link " * 20_000), (8, "<link rel=canonical/href=/z>"), (9, "<link/rel=canonical href='/w' href='/v'>"),
+    ]
+    df = spark.createDataFrame([(k, "http://h.net/a", h) for k, h in rows], "page_id long, url string, html string")
+    began = time.time()
+    got = {r.page_id: r.to for r in df.select("page_id", urls.linked_urls(urls.F.col("url"), urls.F.col("html")).alias("to")).collect()}
+    assert time.time() - began < 20
+    assert got == {1: [], 2: ["http://h.net/to"], 3: ["http://h.net/to"], 4: [], 5: ["http://h.net/x"], 6: ["http://h.net/y"], 7: [], 8: [], 9: ["http://h.net/w"]}
+
+
 def test_links_are_those_of_a_parser(spark):
     """Canonical links and refreshes as Python's own HTML parser sees them."""
     from html.parser import HTMLParser
