@@ -64,20 +64,20 @@ def legacy_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of a user as starts and ends of calls without ids of their parents: two fifths start, two fifths end, often of another call."""
-    e = table(spark, sf_dir, "events")
-    n = F.col("event_id")
+    """Turns of a conversation as starts and ends of calls without ids of their parents: two fifths start, two fifths end, often of another call."""
+    c = table(spark, sf_dir, "conversations")
+    n = F.col("conv_id") + F.col("turn") * F.col("turn")
     phase = F.when(n % 5 < 2, "start").when(n % 5 < 4, "end")
-    x = built_spans.nested(e.select(F.col("user_id").alias("scope"), n.alias("seq"), F.concat(F.lit("c"), (n % 2).cast("string")).alias("id"), phase.alias("phase")))
+    x = built_spans.nested(c.select(F.col("conv_id").alias("scope"), F.col("turn").alias("seq"), F.concat(F.lit("c"), (n % 3).cast("string")).alias("id"), phase.alias("phase")))
     known = {c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("depth", "started", "ended")}
     return x.withColumns(known | {"parent": F.coalesce("parent", F.lit(""))})
 
 
 def scope_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as turns of their customers' sessions: some unstarted, unended, ended twice or only seen on the wire; sessions start and end with each, but for every eleventh end."""
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    turn, session = F.concat(F.lit("t"), k.cast("string")), F.concat(F.lit("s"), F.col("o_custkey").cast("string"))
+    """Turns of conversations, which are sessions: some unstarted, unended, ended twice or only seen on the wire; sessions start and end with each, but for every eleventh end."""
+    o = table(spark, sf_dir, "conversations")
+    k = F.col("conv_id") * 1000 + F.col("turn")
+    turn, session = F.concat(F.lit("t"), k.cast("string")), F.concat(F.lit("s"), F.col("conv_id").cast("string"))
     seen = lambda kind, scope, n, event, status=None, record=None: F.struct(F.lit(kind).alias("scope_kind"), scope.alias("scope_id"), (8 * k + n).alias("seq"), (8 * k + n).alias("at"), F.lit(record).cast("string").alias("record"), F.lit(event).cast("string").alias("event"), F.lit(status).cast("string").alias("status"), session.alias("session_id"), F.concat(turn, F.lit(f"-{n}")).alias("capture_id"))
     all_ = [
         seen("session", session, 0, "session_start"), F.when(k % 3 != 0, seen("turn", turn, 1, "turn_start")), F.when(k % 5 == 0, seen("turn", turn, 2, None, None, "api_snapshot")), F.when(k % 4 != 0, seen("turn", turn, 3, "turn_end", "completed")),
@@ -88,10 +88,10 @@ def scope_roots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def call_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as model calls, whose ids recur; results of two thirds of them, executions of a seventh."""
-    li = table(spark, sf_dir, "lineitem")
-    k = F.col("l_orderkey") + F.col("l_linenumber")
-    x = li.select(F.col("l_suppkey").cast("string").alias("scope"), F.concat_ws("-", "l_orderkey", "l_linenumber").alias("call_id"), F.col("l_partkey").alias("seq"), F.col("l_partkey").alias("at"), F.concat(F.lit("f"), (F.col("l_partkey") % 3).cast("string")).alias("name"), F.col("l_returnflag").alias("arguments"), F.col("l_linestatus").alias("content"), k.alias("k"))
+    """Turns as model calls, whose ids recur in pairs; results of two thirds of them, executions of a seventh."""
+    c = table(spark, sf_dir, "conversations")
+    k, p = F.col("conv_id") + F.col("turn"), F.col("conv_id") * 3 + F.floor(F.col("turn") / 3)
+    x = c.select(F.col("conv_id").cast("string").alias("scope"), F.concat(F.lit("c"), F.floor(F.col("turn") / 2).cast("string")).alias("call_id"), F.col("turn").alias("seq"), F.col("turn").alias("at"), F.concat(F.lit("f"), (p % 4).cast("string")).alias("name"), F.when(F.col("turn") % 5 == 0, "x").otherwise("y").alias("arguments"), F.col("role").alias("content"), k.alias("k"))
     d = built_spans.dispatcher_spans(x, x.where("k % 3 != 0"), x.where("k % 7 = 0"))
     return d.select("scope", "call_id", "status", F.col("result").isNotNull().alias("answered"), "started_at", "state_conflict")
 
@@ -128,7 +128,7 @@ SELECT conv_id, coalesce(min(CASE WHEN turn % 3 = 2 THEN role END), min(role)) A
     "legacy_reasons": """
 SELECT CASE WHEN user_id % 4 = 0 THEN 'legacy_model' WHEN user_id % 5 = 0 THEN 'legacy_request_id' WHEN user_id % 7 = 0 THEN 'legacy_import_endpoint' WHEN user_id % 11 = 0 OR user_id % 13 = 0 THEN 'mechanical_monitor' ELSE 'kept' END AS reason, count(*) AS n FROM events GROUP BY 1""",
     "nested_calls": """
-WITH e AS (SELECT user_id AS scope, event_id AS seq, 'c' || (event_id % 2) AS id, CASE WHEN event_id % 5 < 2 THEN 1 ELSE -1 END AS d FROM events WHERE event_id % 5 < 4),
+WITH e AS (SELECT conv_id AS scope, turn AS seq, conv_id + turn * turn AS n, 'c' || (n % 3) AS id, CASE WHEN n % 5 < 2 THEN 1 ELSE -1 END AS d FROM conversations WHERE n % 5 < 4),
 s AS (SELECT *, sum(d) OVER (PARTITION BY scope ORDER BY seq) AS sum FROM e),
 l AS (SELECT *, least(0, coalesce(min(sum) OVER (PARTITION BY scope ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM s),
 k AS (SELECT *, sum - low + (d = -1)::INT AS depth FROM l WHERE sum >= low),
@@ -138,7 +138,7 @@ SELECT p.scope, p.depth::BIGINT AS depth, p.id, p.started, coalesce(p.ended, -1)
   CASE WHEN ended IS NULL THEN 'open' WHEN p.id <> e THEN 'crossing' ELSE 'closed' END AS state FROM p
 UNION ALL SELECT scope, -1, id, -1, seq, '', 'unopened' FROM l WHERE sum < low""",
     "scope_roots": """
-WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders),
+WITH o AS (SELECT conv_id * 1000 + turn AS k, conv_id AS c FROM conversations),
 t AS (SELECT *, (k % 3 <> 0)::INT AS a, (k % 5 = 0)::INT AS w, (k % 4 <> 0)::INT AS e, (k % 7 = 0)::INT AS x FROM o),
 turns AS (SELECT 'turn' AS scope_kind, 't' || k AS scope_id, 'turn' AS span_kind, CASE WHEN x = 1 THEN 'cancelled' WHEN e = 1 THEN 'completed' ELSE 'running' END AS status,
   CASE WHEN a = 1 THEN 8 * k + 1 WHEN w = 1 THEN 8 * k + 2 ELSE -1 END AS started_at, a + w > 0 AND e + x = 1 AS root_complete, e + x > 1 AS state_conflict, (a + w)::BIGINT AS starts, (e + x)::BIGINT AS ends, w::BIGINT AS wire_starts, true AS hangs,
@@ -149,8 +149,8 @@ g AS (SELECT c, count(*) FILTER (d = 1) AS starts, count(*) FILTER (d = -1) AS e
 sessions AS (SELECT 'session', 's' || c, 'task_root', CASE WHEN closed THEN 'completed' ELSE 'running' END, started_at, ends > 0 AND bad = 0 AND closed AS root_complete, bad > 0, starts, ends, 0::BIGINT, false, f FROM g)
 SELECT scope_kind, scope_id, span_kind, status, started_at, CASE WHEN root_complete THEN f ELSE -1 END AS finished_at, root_complete, state_conflict, starts, ends, wire_starts, hangs FROM (SELECT * FROM turns UNION ALL SELECT * FROM sessions)""",
     "call_spans": """
-WITH x AS (SELECT l_suppkey::VARCHAR AS scope, l_orderkey || '-' || l_linenumber AS call_id, l_partkey AS p, l_returnflag AS a, l_linestatus AS c, l_orderkey + l_linenumber AS k FROM lineitem),
-g AS (SELECT scope, call_id, count(*) AS n, count(DISTINCT p % 3) AS names, count(DISTINCT a) AS args, count(*) FILTER (k % 3 <> 0) AS r, count(DISTINCT c) FILTER (k % 3 <> 0) AS contents, min(p) AS started_at, bool_or(k % 7 = 0) AS ran FROM x GROUP BY ALL)
+WITH x AS (SELECT conv_id::VARCHAR AS scope, 'c' || (turn // 2) AS call_id, conv_id * 3 + turn // 3 AS p, turn, CASE WHEN turn % 5 = 0 THEN 'x' ELSE 'y' END AS a, role AS c, conv_id + turn AS k FROM conversations),
+g AS (SELECT scope, call_id, count(*) AS n, count(DISTINCT p % 4) AS names, count(DISTINCT a) AS args, count(*) FILTER (k % 3 <> 0) AS r, count(DISTINCT c) FILTER (k % 3 <> 0) AS contents, min(turn) AS started_at, bool_or(k % 7 = 0) AS ran FROM x GROUP BY ALL)
 SELECT scope, call_id, CASE WHEN r = 1 THEN 'completed' ELSE 'running' END AS status, r > 0 AS answered, started_at, n <> 1 OR r > 1 OR names <> 1 OR args <> 1 OR contents > 1 AS state_conflict FROM g WHERE NOT ran""",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -204,9 +204,9 @@ def anthropic_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as streams with one call, ended in eight ways: as told, without output, altered, dropped, broken off with and without a reason, twice, by an error."""
-    o = table(spark, sf_dir, "orders")
-    k, way = F.col("o_orderkey").cast("string"), F.col("o_orderkey") % 8
+    """Turns as streams with one call, ended in eight ways: as told, without output, altered, dropped, broken off with and without a reason, twice, by an error."""
+    o = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("call"))
+    k, way = F.col("call").cast("string"), F.col("call") % 8
     put = lambda text: F.concat(*[k if p == "KEY" else F.lit(p) for p in re.split("(KEY)", text)])
     item = lambda arguments: f'{{"type":"function_call","id":"fcKEY","call_id":"cKEY","name":"f","arguments":"{arguments}"}}'
     frame = lambda kind, rest: put(f'data: {{"type":"response.{kind}",{rest}}}\n\n')
@@ -220,8 +220,8 @@ def responses_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.lit("")
     for n, w in enumerate(ways):
         body = F.when(way == n, w).otherwise(body)
-    x = streams.responses(o.select("o_orderkey", F.concat(frame("created", '"response":{"id":"rKEY"}'), body).alias("body")), "o_orderkey", "body")
-    return x.select("o_orderkey", "malformed", F.coalesce("outcome", F.lit("none")).alias("outcome"), F.coalesce(F.get_json_object("output", "$[0].arguments"), F.lit("-")).alias("arguments"), F.array_join("truncated", ",").alias("truncated"), F.get_json_object("response", "$.id").alias("id"), F.get("calls", F.lit(0))["call_id"].alias("call"), F.get("calls", F.lit(0))["start"].alias("start"))
+    x = streams.responses(o.select(F.col("call").alias("of"), F.concat(frame("created", '"response":{"id":"rKEY"}'), body).alias("body")), "of", "body")
+    return x.select("of", "malformed", F.coalesce("outcome", F.lit("none")).alias("outcome"), F.coalesce(F.get_json_object("output", "$[0].arguments"), F.lit("-")).alias("arguments"), F.array_join("truncated", ",").alias("truncated"), F.get_json_object("response", "$.id").alias("id"), F.get("calls", F.lit(0))["call_id"].alias("call"), F.get("calls", F.lit(0))["start"].alias("start"))
 
 
 def profile_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -535,12 +535,12 @@ SELECT o_orderkey, o_orderstatus || o_orderkey AS content, 2 AS frames, CASE WHE
 SELECT conv_id, turn, sha256(coalesce(text, '')) AS text, CASE WHEN turn % 3 = 1 THEN '' ELSE role END AS role, CASE WHEN turn % 3 = 1 THEN 't' || turn ELSE '' END AS truncated, length(coalesce(text, '')) AS input_tokens, turn + 2 AS output_tokens,
   CASE WHEN turn % 4 = 3 THEN 8 ELSE 9 END AS frames, CASE WHEN turn % 4 = 3 THEN 1 ELSE 0 END AS malformed, turn % 4 <> 3 AS terminal FROM conversations""",
     "responses_streams": """
-WITH o AS (SELECT o_orderkey, o_orderkey % 8 AS w FROM orders)
-SELECT o_orderkey, CASE WHEN w IN (2, 3, 5, 6) THEN 1 ELSE 0 END AS malformed,
+WITH o AS (SELECT conv_id * 1000 + turn AS k, k % 8 AS w FROM conversations)
+SELECT k AS "of", CASE WHEN w IN (2, 3, 5, 6) THEN 1 ELSE 0 END AS malformed,
   CASE w WHEN 4 THEN 'incomplete' WHEN 6 THEN 'none' WHEN 7 THEN 'failed' ELSE 'completed' END AS outcome,
-  CASE WHEN w IN (0, 1, 5) THEN o_orderkey::VARCHAR WHEN w = 2 THEN '0' || o_orderkey WHEN w IN (3, 4) THEN '-' ELSE '' END AS arguments,
-  CASE WHEN w = 4 THEN 'c' || o_orderkey ELSE '' END AS truncated, 'r' || o_orderkey AS id, 'c' || o_orderkey AS call,
-  length('data: {"type":"response.created","response":{"id":"r' || o_orderkey || '"}}') + 2 AS start FROM o""",
+  CASE WHEN w IN (0, 1, 5) THEN k::VARCHAR WHEN w = 2 THEN '0' || k WHEN w IN (3, 4) THEN '-' ELSE '' END AS arguments,
+  CASE WHEN w = 4 THEN 'c' || k ELSE '' END AS truncated, 'r' || k AS id, 'c' || k AS call,
+  length('data: {"type":"response.created","response":{"id":"r' || k || '"}}') + 2 AS start FROM o""",
     "profile_views": """
 SELECT conv_id, count(*) FILTER (NOT (role = 'assistant' AND turn % 3 = 1 AND (turn % 4 = 1 OR text = ''))) AS messages, count(*) FILTER (role = 'assistant' AND turn % 3 <> 1) AS calls FROM conversations GROUP BY conv_id""",
     "gateway_links": "SELECT o_orderkey % 4 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0 AS linked, count(*) AS n FROM orders GROUP BY 1",
