@@ -157,8 +157,10 @@ def model_version(c: Column) -> Column:
 
 
 def header_map(headers: Column, keep: list[str], redact: list[str]) -> Column:
-    """A map of lowered header names, only those kept, redacted where told to."""
-    low = F.map_from_entries(F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value"))))
+    """A map of lowered header names, only those kept, redacted where told to. Of two spellings of a name the later one counts."""
+    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    names = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    low = F.map_from_arrays(names, F.transform(names, lambda n: F.element_at(F.filter(entries, lambda e: e["key"] == n), -1)["value"]))
     kept = F.map_filter(low, lambda k, _: k.isin(keep))
     return F.transform_values(kept, lambda k, v: F.when(k.isin(redact), "[REDACTED]").otherwise(v))
 

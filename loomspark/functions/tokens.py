@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import active
+
 
 @lru_cache(2)
 def _encoding(path: str, pattern: str):
@@ -22,6 +24,8 @@ def _encoding(path: str, pattern: str):
 def token_count(path: str, pattern: str):
     """A UDF from text to its number of tokens; null counts none."""
 
+    active()
+
     @F.pandas_udf(T.LongType())
     def run(texts: pd.Series) -> pd.Series:
         enc = _encoding(path, pattern)

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..shipping import active
+
 # --- fixed values: usage aliases ---------------------------------------------------------------
 USAGE = {
     "input_tokens": ["input_tokens", "prompt_tokens", "inputTokens", "promptTokens"],
@@ -88,28 +90,39 @@ def attributes(rows: DataFrame, keys: list[str], attrs: str) -> DataFrame:
     )
 
 
-def _walk(value, leaf, key=None, whole=None):
-    """Leaves rewritten by ``leaf(key, value)``; ``whole(key)`` may replace a value of any kind by something that isn't None."""
-    if isinstance(value, dict):
-        out = {}
-        for k, v in value.items():
-            put = whole(k) if whole else None
-            out[k] = _walk(v, leaf, k, whole) if put is None else put
-        return out
-    if isinstance(value, list):
-        return [_walk(v, leaf, key, whole) for v in value]
-    return leaf(key, value)
+def _walk(value, leaf, whole=None):
+    """Leaves rewritten by ``leaf(key, value)``, in order; ``whole(key)`` may replace a value of any kind by something that isn't None. By a stack of its own, so to any depth."""
+    out: list = [None]
+    todo = [(out, 0, None, value)]
+    while todo:
+        holder, at, key, v = todo.pop()
+        if isinstance(v, dict):
+            holder[at] = made = dict.fromkeys(v)
+            put = {k: whole(k) for k in v} if whole else {}
+            made.update({k: x for k, x in put.items() if x is not None})
+            todo += [(made, k, k, x) for k, x in reversed(v.items()) if put.get(k) is None]
+        elif isinstance(v, list):
+            holder[at] = made = [None] * len(v)
+            todo += [(made, i, key, x) for i, x in reversed(list(enumerate(v)))]
+        else:
+            holder[at] = leaf(key, v)
+    return out[0]
+
+
+#: What isn't JSON, or is nested deeper than the parser goes (some ten thousand levels).
+UNREADABLE = (ValueError, RecursionError)
 
 
 def rewritten(leaf, whole=None):
-    """A Pandas UDF that rewrites all leaves of JSON texts, to any depth; texts that aren't JSON become null."""
+    """A Pandas UDF that rewrites all leaves of JSON texts; texts that can't be read become null."""
+    active()
 
     @F.pandas_udf(T.StringType())
     def run(texts: pd.Series) -> pd.Series:
         def one(t):
             try:
-                return None if t is None else json.dumps(_walk(json.loads(t), leaf, None, whole), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
-            except ValueError:
+                return None if t is None else json.dumps(_walk(json.loads(t), leaf, whole), ensure_ascii=False, sort_keys=True, separators=(",", ":"))
+            except UNREADABLE:
                 return None
 
         return texts.map(one)
@@ -140,50 +153,81 @@ def mask_json(c: Column, mask: str | None = None) -> Column:
 
 def scrub_json(c: Column) -> Column:
     """P14, recursive: strings of known keys and data urls are cut."""
+    return scrubbed_json(c)["json"]
+
+
+def scrubbed_json(c: Column) -> Column:
+    """P14 with its account: the scrubbed JSON, and how many bytes of strings were cut; both null for texts that can't be read."""
     from . import text
 
+    active()
     keys, mask = {*BASE64_KEYS}, text.BASE64_MASK
 
-    def leaf(key, v):
-        if isinstance(v, str) and (key is not None and key.lower() in keys or b";base64," in v.encode("utf-8", "surrogatepass")[:128].lower()):
-            return mask
-        return v
+    @F.pandas_udf("json string, excluded long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        def one(t):
+            cut = 0
+
+            def leaf(key, v):
+                nonlocal cut
+                if isinstance(v, str) and (key is not None and key.lower() in keys or b";base64," in v.encode("utf-8", "surrogatepass")[:128].lower()):
+                    cut += len(v.encode("utf-8", "surrogatepass"))
+                    return mask
+                return v
 
-    return rewritten(leaf)(c)
+            try:
+                return (None, None) if t is None else (json.dumps(_walk(json.loads(t), leaf), ensure_ascii=False, sort_keys=True, separators=(",", ":")), cut)
+            except UNREADABLE:
+                return None, None
 
+        return pd.DataFrame([one(t) for t in texts], columns=["json", "excluded"]).astype({"excluded": "Int64"})
 
-@F.pandas_udf(T.StringType())
-def all_text(texts: pd.Series) -> pd.Series:
+    return run(c)
+
+
+def all_text(c: Column) -> Column:
     """All strings of a JSON text, in order, to any depth, joined by line feeds."""
+    active()
+    return _all_text(c)
+
 
+@F.pandas_udf(T.StringType())
+def _all_text(texts: pd.Series) -> pd.Series:
     def one(t):
         out: list[str] = []
         try:
             _walk(json.loads(t), lambda _, v: out.append(v) if isinstance(v, str) else None)
-        except (ValueError, TypeError):
+        except (*UNREADABLE, TypeError):
             return None
         return "\n".join(out)
 
     return texts.map(one)
 
 
-@F.pandas_udf(T.StringType())
-def nested_usage(texts: pd.Series) -> pd.Series:
+def nested_usage(c: Column) -> Column:
     """The first object named ``usage``, at any depth but below ``tool_usage``, as JSON."""
+    active()
+    return _nested_usage(c)
+
 
+@F.pandas_udf(T.StringType())
+def _nested_usage(texts: pd.Series) -> pd.Series:
     def find(v):
-        if isinstance(v, dict):
-            if isinstance(v.get("usage"), dict):
-                return v["usage"]
-            v = [x for k, x in v.items() if k != "tool_usage"]
-        if isinstance(v, list):
-            return next((f for x in v if (f := find(x)) is not None), None)
+        todo = [v]
+        while todo:
+            v = todo.pop()
+            if isinstance(v, dict):
+                if isinstance(v.get("usage"), dict):
+                    return v["usage"]
+                todo += [x for k, x in reversed(v.items()) if k != "tool_usage"]
+            elif isinstance(v, list):
+                todo += reversed(v)
         return None
 
     def one(t):
         try:
             found = find(json.loads(t))
-        except (ValueError, TypeError):
+        except (*UNREADABLE, TypeError):
             return None
         return None if found is None else json.dumps(found, sort_keys=True)
 

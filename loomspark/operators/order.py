@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..shipping import ship
+
 
 def epochs(events: DataFrame, group: list[str], kind: str, order: list[str]) -> DataFrame:
     """Lifecycle epochs. ``kind`` is start, terminal or null (no boundary).
@@ -37,6 +39,7 @@ def collapse(events: DataFrame, group: list[str], event: str, at_ms: str, key: s
     so is the next. What is dropped depends on what was kept, so this is a
     fold; each group's rows stream by in order, and only the last kept one is held.
     """
+    ship(events.sparkSession)
     names, where = events.columns, [events.columns.index(g) for g in group]
     e, at = events.columns.index(event), events.columns.index(at_ms)
 

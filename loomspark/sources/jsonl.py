@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from ..shipping import ship
 from pyspark.sql import Window as W
 
 #: Names under which usage logs wrap their rows; names of sealed and open segments.
@@ -39,6 +41,7 @@ def numbered(spark: SparkSession, roots: list[str], pattern: str = "*.{jsonl,ndj
 
 def zstd_lines(spark: SparkSession, roots: list[str], pattern: str = "*.zst", step: int = 1 << 22) -> DataFrame:
     """S1 for zstd, which Spark's text reader may lack: files as bytes, decompressed as a stream in Arrow batches."""
+    ship(spark)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(roots).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -721,3 +721,47 @@ def test_tool_definitions(spark):
     }
     got = {r.definition_key for r in bodies.tool_definitions(spark.createDataFrame([("k", json.dumps(body)), ("n", "{}")], "id string, body string"), "id", "body").collect()}
     assert got == {'["plain"]', '["ns","inner"]', '["a","x"]', '["a","a","y"]', '["a","a","z"]', '["w"]', '["both"]', '["child"]', '["c2"]', '["late"]'}
+
+
+def test_two_spellings_of_a_header(spark):
+    m = F.create_map(*map(F.lit, ["Accept", "a", "accept", "b", "X-Id", "1", "ACCEPT", "c", "Cookie", "s", "cookie", "t"]))
+    got = one(spark, text.header_map(m, ["accept", "cookie"], ["cookie"]))
+    assert got == {"accept": "c", "cookie": "[REDACTED]"}
+
+
+def test_deep_json(spark):
+    deep = lambda n: '{"a":' * n + '"user@example.org"' + "}" * n
+    x = spark.createDataFrame([(3000, deep(3000)), (50_000, deep(50_000)), (0, "{bad"), (1, None)], "k int, t string")
+    got = {r.k: (r.m, r.s, r.a, r.u) for r in x.select("k", values.mask_json(F.col("t")).alias("m"), values.scrub_json(F.col("t")).alias("s"), values.all_text(F.col("t")).alias("a"), values.nested_usage(F.col("t")).alias("u")).collect()}
+    assert "user@example.org" not in got[3000][0] and got[3000][0].startswith('{"a":{"a":') and got[3000][1] == deep(3000) and got[3000][2] == "user@example.org"
+    assert got[50_000] == got[0] == got[1] == (None, None, None, None)
+
+
+def test_bytes_cut_from_json(spark):
+    body = json.dumps({"data": "é" * 10, "url": "data:image/png;BASE64,xx", "keep": "k", "n": {"b64_json": ["aa", 5]}})
+    r = one(spark, values.scrubbed_json(F.col("t")), t=body)
+    assert json.loads(r.json)["keep"] == "k" and json.loads(r.json)["n"]["b64_json"][1] == 5
+    assert r.excluded == len("data:image/png;BASE64,xx") + 2 and "é" in r.json
+    assert tuple(one(spark, values.scrubbed_json(F.col("t")), t="{bad")) == (None, None)
+
+
+def test_workers_get_the_code(tmp_path):
+    """From another folder, where workers can't import the package, they get it from the driver."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+from loomspark.functions import values
+from loomspark.operators import order, packing
+x = spark.createDataFrame([("g", 1, '{{"a": "x@y.org"}}', "e", 5)], "g string, k int, t string, e string, at long")
+print("GOT", x.select(values.mask_json(F.col("t")).alias("m")).first().m, order.collapse(x, ["g"], "k", "e", "at").count(), packing.pack(x, "g", "k", "at", 100).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "GOT {" in out.stdout and out.stdout.split("GOT")[1].split()[-2:] == ["1", "1"], out.stderr[-2000:]
