@@ -13,7 +13,7 @@ from ..operators import bodies, graph, identity, order, runtime_graph, score, se
 from ..operators.checkpoint import shared, written
 from ..plans import verified
 from ..sources import jsonl, sinks
-from ..streaming import freshness, ingest
+from ..streaming import freshness, ingest, outbox
 from .common import table
 
 
@@ -360,9 +360,9 @@ def upserted_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders streamed into a table that keeps the newest row of each customer."""
     o, at = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderstatus"), _scratch(spark)
     o.write.parquet(f"{at}/in")
-    q = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in").writeStream.foreachBatch(ingest.upsert(f"{at}/out", "o_custkey", "o_orderkey")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
+    q = spark.readStream.schema(o.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in").writeStream.foreachBatch(outbox.upsert(f"{at}/out", "o_custkey", "o_orderkey", buckets=8, merge_after=2)).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    return ingest.read_latest(spark, f"{at}/out", "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus")
+    return outbox.read_latest(spark, f"{at}/out", "o_custkey", "o_orderkey").select("o_custkey", "o_orderkey", "o_orderstatus")
 
 
 FRESH_FOR = {"error": 12 * 86_400_000}

@@ -74,19 +74,3 @@ def records(batches: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     good = batches.where(v.isNotNull()).select(F.explode(F.from_json(column, "struct<resourceLogs:array<struct<scopeLogs:array<struct<logRecords:array<struct<traceId:string,spanId:string,timeUnixNano:string,attributes:string>>>>>>>").getField("resourceLogs")).alias("r"))
     good = good.select(F.explode("r.scopeLogs").alias("s")).select(F.explode("s.logRecords").alias("l")).select("l.*")
     return good, batches.where(v.isNull())
-
-
-def upsert(target: str, key: str, order: str):
-    """A ``foreachBatch`` sink that may run again: the newest row of each key, by anti-join and union."""
-
-    def write(df: DataFrame, epoch: int) -> None:
-        spark = df.sparkSession
-        path = f"{target}/epoch={epoch:08d}"
-        df.groupBy(key).agg(F.max_by(F.struct("*"), order).alias("r")).select("r.*").write.mode("overwrite").parquet(path)
-        spark.catalog.clearCache()
-
-    return write
-
-
-def read_latest(spark: SparkSession, target: str, key: str, order: str) -> DataFrame:
-    return spark.read.parquet(target).groupBy(key).agg(F.max_by(F.struct("*"), order).alias("r")).select("r.*")

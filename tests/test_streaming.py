@@ -4,8 +4,9 @@ import time
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from loomspark.streaming import freshness
+from loomspark.streaming import freshness, outbox
 
 HOURS = 3_600_000
 
@@ -62,3 +63,43 @@ def test_duplicates_refresh_nothing(rocks, tmp_path):
     got = [(r["at"], r.status, r.stale) for r in rocks.table("fresh2").where("key = 'k'").orderBy("at").collect()]
     # the copy of c1 at 2 h doesn't keep source a fresh beyond 3 h
     assert got == [(ms(0), "complete", ""), (ms(3) + 1, "degraded", "a"), (ms(5) + 1, "degraded", "a,b")]
+
+
+def test_outbox_is_merged(spark, tmp_path):
+    at, want = str(tmp_path), {}
+    put = outbox.upsert(at, "k", "n", buckets=4, merge_after=3)
+
+    def epoch(e, rows):
+        put(spark.createDataFrame(rows, "k string, n int, v string"), e)
+        for k, n, v in rows:
+            if k not in want or n >= want[k][0]:
+                want[k] = (n, v)
+        assert {r.k: (r.n, r.v) for r in outbox.read_latest(spark, at, "k", "n").collect()} == want
+
+    with pytest.raises(FileNotFoundError):
+        outbox.read_latest(spark, at, "k", "n")
+    epoch(0, [("a", 1, "a1"), ("a", 2, "a2"), ("b", 1, "b1"), (None, 1, "x")])
+    epoch(1, [("a", 1, "old"), ("c", 5, "c5")])
+    epoch(1, [("a", 1, "old"), ("c", 5, "c5")])  # runs again
+    assert outbox.ledger(spark, at)["upto"] == -1 and outbox.open_epochs(spark, at, -1) == [0, 1]
+    epoch(2, [("b", 1, "later"), (None, 2, "y")])  # merges
+    said = outbox.ledger(spark, at)
+    assert said["upto"] == 2 and outbox.open_epochs(spark, at, 2) == [] and len(set(said["versions"].values())) == 1
+    put(spark.createDataFrame([("a", 99, "late")], "k string, n int, v string"), 2)  # merged already: passed over
+    assert {r.k: (r.n, r.v) for r in outbox.read_latest(spark, at, "k", "n").collect()} == want
+    epoch(3, [("a", 9, "a9")])
+    assert outbox.merge(spark, at, "k", "n") and not outbox.merge(spark, at, "k", "n")
+    assert len(set(outbox.ledger(spark, at)["versions"].values())) == 2  # only the bucket that was touched is new
+    for e in (4, 5):
+        epoch(e, [(f"z{e}", e, "z")])
+        outbox.merge(spark, at, "k", "n")
+    (tmp_path / "base" / "version=00000009-dead").mkdir()  # of a merge that died
+    assert outbox.vacuum(spark, at) > 4
+    assert {r.k: (r.n, r.v) for r in outbox.read_latest(spark, at, "k", "n").collect()} == want
+    assert not (tmp_path / "base" / "version=00000009-dead").exists() and len(list((tmp_path / "ledger").glob("*.json"))) == 2
+
+
+def test_deliveries(spark):
+    rows = spark.createDataFrame([("a", "pending", 0, 5, 0), ("b", "pending", 1, 99, 0), ("c", "inflight", 2, 0, 7), ("d", "inflight", 1, 0, 50), ("e", "delivered", 1, 0, 0)], "k string, state string, attempts int, next_attempt_ms long, lease_until_ms long")
+    got = {r.k: (r.state, r.attempts, r.lease_until_ms) for r in outbox.claimed(rows, F.lit(10), 30).collect()}
+    assert got == {"a": ("inflight", 1, 40), "c": ("inflight", 3, 40)}
