@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .checkpoint import cut
+from .checkpoint import cut, written
 
 
 def walk(nodes: DataFrame, node: str, parent: str) -> DataFrame:
@@ -90,6 +90,41 @@ def nearest_boundary(nodes: DataFrame, node: str, parent: str, value: str, bound
     return x.select("node", F.col("v").alias("inherited"), F.col("at").isNotNull().alias("cycle"))
 
 
+def inherited_values(nodes: DataFrame, node: str, parent: str, value: str, boundary: str) -> DataFrame:
+    """G4 with contradictions: node, inherited, contradiction, explicit_conflict, cycle.
+
+    A node may have several rows: parents, values and boundaries of all of
+    them count. A node without a value or boundary takes the values of the
+    nearest ancestors that have one on every path; behind a boundary without
+    a value there is none. Two values that differ, of a node's own or by two
+    paths, are a contradiction and none is taken. ``explicit_conflict``: a
+    node without a boundary has a value, and its parents lead to another.
+
+    Pointer doubling over a lattice: what is known of a node is the least and
+    the greatest value found so far, and the ancestors where its walks stand;
+    joining two such is taking minima, maxima and the union. Walks that are
+    still open when the stride exceeds the number of nodes are in, or behind,
+    a cycle. Parents that aren't nodes end a walk; null nodes are passed over.
+    """
+    x = nodes.where(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(value).alias("v"), F.coalesce(boundary, F.lit(False)).alias("b"))
+    own = written(x.groupBy("node").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.bool_or("b").alias("b")), "ancestry")
+    up = written(x.where("parent is not null").select("node", F.col("parent").alias("at")).distinct(), "ancestry-parents")
+    walks = up.join(own.where("lo is null and not b").select("node"), "node", "left_semi")
+    known, n, stride = own.select("node", "lo", "hi"), own.count(), 1
+    while stride <= n and not walks.isEmpty():
+        there = walks.join(known.withColumnRenamed("node", "at"), "at").groupBy("node").agg(F.min("lo").alias("lo2"), F.max("hi").alias("hi2"))
+        more = walks.join(walks.select(F.col("node").alias("at"), F.col("at").alias("to")), "at").select("node", F.col("to").alias("at")).distinct()
+        known = written(known.join(there, "node", "left").select("node", F.least("lo", "lo2").alias("lo"), F.greatest("hi", "hi2").alias("hi")), "ancestry")
+        walks = written(more, "ancestry-walks")
+        stride *= 2
+    cyclic = walks.select("node").distinct().withColumn("cycle", F.lit(True))
+    above = up.join(known.withColumnRenamed("node", "at"), "at").groupBy("node").agg(F.min("lo").alias("plo"), F.max("hi").alias("phi"))
+    mine = own.select("node", F.col("lo").alias("mine"), "b")
+    x = known.join(cyclic, "node", "left").join(above, "node", "left").join(mine, "node")
+    against = ~F.col("b") & F.col("mine").isNotNull() & ((F.col("plo") != F.col("mine")) | (F.col("phi") != F.col("mine")))
+    return x.select("node", F.when(F.col("lo") == F.col("hi"), F.col("lo")).alias("inherited"), F.coalesce(F.col("lo") != F.col("hi"), F.lit(False)).alias("contradiction"), F.coalesce(against, F.lit(False)).alias("explicit_conflict"), F.coalesce("cycle", F.lit(False)).alias("cycle"))
+
+
 def single_tree(edges: DataFrame, child: str, parent: str, priority: str) -> DataFrame:
     """Child to the parent of highest priority; equal priorities with different parents are a conflict."""
     g = edges.groupBy(child, priority).agg(F.count_distinct(parent).alias("n"), F.min(parent).alias("parent"))

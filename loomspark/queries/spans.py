@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import built_spans, spans
+from ..operators import built_spans, graph, spans
 from .common import table
 
 
@@ -96,6 +96,18 @@ def call_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("scope", "call_id", "status", F.col("result").isNotNull().alias("answered"), "started_at", "state_conflict")
 
 
+def inherited_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns that hang from the turn before and the one three before, with values at every fifth, boundaries at every seventh and a few cycles: what each inherits."""
+    c = table(spark, sf_dir, "conversations")
+    t, k = F.col("turn"), F.col("conv_id") * 1000 + F.col("turn")
+    parents = F.array(F.when(t > 0, k - 1), F.when(t > 2, k - 3), F.when((t == 0) & (F.col("conv_id") % 10 == 3), k + 1))
+    value = F.when(t % 5 == 0, F.concat(F.lit("v"), F.floor(t / F.when(F.col("conv_id") % 2 == 0, 3).otherwise(100)).cast("string"))).cast("string")
+    value = F.when(F.col("conv_id") % 10 != 3, value)
+    x = c.select(k.alias("node"), F.explode(parents).alias("parent"), value.alias("v"), (t % 7 == 6).alias("b"))
+    x = graph.inherited_values(x, "node", "parent", "v", "b")
+    return x.withColumn("inherited", F.coalesce("inherited", F.lit("")))
+
+
 SQL = {
     "hook_lifecycles": """
 WITH x AS (SELECT CASE event_type WHEN 'signup' THEN 'session_start' WHEN 'click' THEN 'subagent_spawn' WHEN 'view' THEN 'tool_start' ELSE '' END AS lifecycle, user_id FROM events)
@@ -152,5 +164,16 @@ SELECT scope_kind, scope_id, span_kind, status, started_at, CASE WHEN root_compl
 WITH x AS (SELECT conv_id::VARCHAR AS scope, 'c' || (turn // 2) AS call_id, conv_id * 3 + turn // 3 AS p, turn, CASE WHEN turn % 5 = 0 THEN 'x' ELSE 'y' END AS a, role AS c, conv_id + turn AS k FROM conversations),
 g AS (SELECT scope, call_id, count(*) AS n, count(DISTINCT p % 4) AS names, count(DISTINCT a) AS args, count(*) FILTER (k % 3 <> 0) AS r, count(DISTINCT c) FILTER (k % 3 <> 0) AS contents, min(turn) AS started_at, bool_or(k % 7 = 0) AS ran FROM x GROUP BY ALL)
 SELECT scope, call_id, CASE WHEN r = 1 THEN 'completed' ELSE 'running' END AS status, r > 0 AS answered, started_at, n <> 1 OR r > 1 OR names <> 1 OR args <> 1 OR contents > 1 AS state_conflict FROM g WHERE NOT ran""",
+    "inherited_scopes": """
+WITH RECURSIVE n AS (SELECT conv_id * 1000 + turn AS k, turn AS t, conv_id AS c, turn % 7 = 6 AS b, CASE WHEN turn % 5 = 0 AND conv_id % 10 <> 3 THEN 'v' || (turn // CASE WHEN conv_id % 2 = 0 THEN 3 ELSE 100 END) END AS v FROM conversations),
+e AS (SELECT k, k - 1 AS p FROM n WHERE t > 0 UNION SELECT k, k - 3 FROM n WHERE t > 2 UNION SELECT k, k + 1 FROM n WHERE t = 0 AND c % 10 = 3),
+u AS (SELECT e.k, e.p FROM e JOIN n ON n.k = e.p),
+w AS (SELECT n.k, n.k AS at FROM n UNION SELECT w.k, u.p FROM w JOIN n ON n.k = w.at AND n.v IS NULL AND NOT n.b JOIN u ON u.k = w.at),
+f AS (SELECT w.k, min(n.v) AS lo, max(n.v) AS hi FROM w JOIN n ON n.k = w.at GROUP BY w.k),
+s AS (SELECT u.k, min(f.lo) AS lo, max(f.hi) AS hi FROM u JOIN f ON f.k = u.p GROUP BY u.k),
+o AS (SELECT DISTINCT w.k FROM w JOIN n ON n.k = w.at AND n.v IS NULL AND NOT n.b JOIN w l ON l.k = w.at JOIN u ON u.k = l.at AND u.p = w.at JOIN n m ON m.k = l.at AND m.v IS NULL AND NOT m.b)
+SELECT n.k AS node, CASE WHEN f.lo = f.hi THEN f.lo ELSE '' END AS inherited, coalesce(f.lo <> f.hi, false) AS contradiction,
+  coalesce(NOT n.b AND n.v IS NOT NULL AND (s.lo <> n.v OR s.hi <> n.v), false) AS explicit_conflict, o.k IS NOT NULL AS cycle
+FROM n JOIN f ON f.k = n.k LEFT JOIN s ON s.k = n.k LEFT JOIN o ON o.k = n.k""",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -765,3 +765,21 @@ print("GOT", x.select(values.mask_json(F.col("t")).alias("m")).first().m, order.
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "GOT {" in out.stdout and out.stdout.split("GOT")[1].split()[-2:] == ["1", "1"], out.stderr[-2000:]
+
+
+def test_contradictory_ancestors(spark):
+    """Paths that disagree are refused; boundaries end them; cycles and long chains are walked to their end."""
+    rows = [
+        ("a", None, "x", False), ("b", None, "y", False), ("c", "a", None, False), ("c", "b", None, False), ("d", "c", None, False), ("e", "a", None, False), ("e", "gone", None, False),
+        ("f", "e", None, True), ("g", "f", None, False), ("h", "a", "z", False), ("i", "a", "z", True), ("j", None, "p", False), ("j", None, "q", False), ("k", "j", None, False),
+        ("l", "m", None, False), ("m", "l", None, False), ("n", "l", None, False), ("n", "a", None, False), (None, "a", "w", False), ("o", "h", "z", False),
+    ]
+    rows += [(f"q{k}", f"q{k - 1}" if k else "a", None, False) for k in range(200)]
+    x = spark.createDataFrame(rows, "n string, p string, v string, b boolean")
+    got = {r.node: (r.inherited, r.contradiction, r.explicit_conflict, r.cycle) for r in graph.inherited_values(x, "n", "p", "v", "b").collect()}
+    want = {
+        "a": ("x", False, False, False), "b": ("y", False, False, False), "c": (None, True, False, False), "d": (None, True, False, False), "e": ("x", False, False, False), "f": (None, False, False, False), "g": (None, False, False, False),
+        "h": ("z", False, True, False), "i": ("z", False, False, False), "j": (None, True, False, False), "k": (None, True, False, False), "l": (None, False, False, True), "m": (None, False, False, True), "n": ("x", False, False, True), "o": ("z", False, False, False),
+    }
+    assert got == want | {f"q{k}": ("x", False, False, False) for k in range(200)}
+    assert graph.inherited_values(x.where("false"), "n", "p", "v", "b").collect() == []
