@@ -13,7 +13,7 @@ from ..operators import bodies, graph, identity, order, runtime_graph, score, se
 from ..operators.checkpoint import shared, written
 from ..plans import verified
 from ..sources import jsonl, sinks
-from ..streaming import freshness, ingest, outbox
+from ..streaming import derived, freshness, ingest, outbox
 from .common import table
 
 
@@ -386,6 +386,31 @@ def live_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{at}/out").groupBy("key").agg(F.max_by(F.struct("status", "missing", "stale"), "at").alias("r")).select(F.col("key").cast("long").alias("user_id"), "r.*")
 
 
+def derived_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three arrivals as telemetry: signups tell the spans of a user's other events, some of them ten days later; what is captured and what is a dead letter, by reason."""
+    e, at = table(spark, sf_dir, "events"), _scratch(spark)
+    n, day = F.col("event_id"), F.dayofmonth("ts")
+    is_span = F.col("event_type") == "signup"
+    kind = F.when(is_span, "span").when(n % 13 == 0, "odd").otherwise("record")
+    session = F.when(is_span, F.concat(F.lit("s"), (F.col("user_id") % 7).cast("string"))).when(n % 6 == 0, F.concat(F.lit("s"), (F.col("user_id") % 8).cast("string"))).otherwise(F.lit(" "))
+    turn = F.when(is_span | (n % 12 == 0), F.lit("t"))
+    rows = e.select(F.col("user_id").cast("string").alias("trace"), kind.alias("kind"), n.cast("string").alias("id"), F.concat(F.lit("p"), (n % 4).cast("string")).alias("span"), session.alias("session"), turn.alias("turn"), F.col("ts").cast("timestamp").alias("ts"), F.col("props").alias("payload"))
+    for k in range(3):
+        rows.where(F.least(F.floor((day - 1) / 10), F.lit(2)) == k).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    # the clock goes on after the last event, so that what waits is given up
+    rows.limit(1).withColumns({"trace": F.lit("clock"), "kind": F.lit("span"), "id": F.lit("clock"), "ts": F.lit("2024-06-01").cast("timestamp")}).coalesce(1).write.mode("append").parquet(f"{at}/in")
+    was = spark.conf.get(freshness.ROCKS[0], None)
+    spark.conf.set(*freshness.ROCKS)
+    try:
+        x = derived.derive(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in"), "ts", 30 * 86_400_000, "1 day")
+        x.writeStream.outputMode("append").foreachBatch(derived.split(f"{at}/captures", f"{at}/dead")).option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(freshness.ROCKS[0]) if was is None else spark.conf.set(freshness.ROCKS[0], was)
+    good, dead = spark.read.parquet(f"{at}/captures"), spark.read.parquet(f"{at}/dead")
+    x = good.select("trace", "session", F.lit("captured").alias("outcome")).union(dead.select("trace", F.lit("").alias("session"), "reason"))
+    return x.groupBy(F.col("trace").cast("long").alias("user_id"), "session", "outcome").agg(F.count("*").alias("n"))
+
+
 def envelope_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     record = F.concat(F.lit('{"traceId": "'), F.col("o_custkey").cast("string"), F.lit('", "spanId": "s", "timeUnixNano": "1"}'))
@@ -619,6 +644,13 @@ x AS (SELECT t.user_id, e.s, e.k, l.last IS NULL AS missing, t.now > l.last + CA
   FROM t CROSS JOIN (SELECT unnest(['click', 'purchase', 'view', 'signup', 'error']) AS s, unnest([1, 2, 3, 4, 5]) AS k) e LEFT JOIN l ON l.user_id = t.user_id AND l.s = e.s)
 SELECT user_id, CASE WHEN count(*) FILTER (stale) > 0 THEN 'degraded' WHEN count(*) FILTER (missing) > 0 THEN 'partial' ELSE 'complete' END AS status,
   coalesce(string_agg(s, ',' ORDER BY k) FILTER (missing), '') AS missing, coalesce(string_agg(s, ',' ORDER BY k) FILTER (stale), '') AS stale FROM x GROUP BY user_id""",
+    "derived_captures": """
+WITH e AS (SELECT user_id, event_id AS n, event_type = 'signup' AS is_span, 'p' || (event_id % 4) AS span FROM events),
+spans AS (SELECT DISTINCT user_id, span FROM e WHERE is_span),
+r AS (SELECT e.*, n % 13 = 0 AS odd, CASE WHEN n % 6 = 0 THEN 's' || (e.user_id % 8) END AS own, n % 12 = 0 AS turn, 's' || (e.user_id % 7) AS of, s.span IS NOT NULL AS known
+  FROM e LEFT JOIN spans s ON s.user_id = e.user_id AND s.span = e.span WHERE NOT is_span),
+o AS (SELECT user_id, CASE WHEN odd THEN 'unsupported_event' WHEN known AND own <> of THEN 'identity_conflict' WHEN known OR (own IS NOT NULL AND turn) THEN 'captured' ELSE 'unattributed' END AS outcome, coalesce(own, of) AS s FROM r)
+SELECT user_id, CASE WHEN outcome = 'captured' THEN s ELSE '' END AS session, outcome, count(*) AS n FROM o GROUP BY ALL""",
     "envelope_records": "SELECT 2 * count(*) FILTER (o_orderkey % 9 <> 0) AS records, (2 * sum(o_custkey) FILTER (o_orderkey % 9 <> 0))::BIGINT AS traces, count(*) FILTER (o_orderkey % 9 = 0) AS broken FROM orders",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from loomspark.streaming import freshness, outbox
+from loomspark.streaming import derived, freshness, outbox
 
 HOURS = 3_600_000
 
@@ -103,3 +103,25 @@ def test_deliveries(spark):
     rows = spark.createDataFrame([("a", "pending", 0, 5, 0), ("b", "pending", 1, 99, 0), ("c", "inflight", 2, 0, 7), ("d", "inflight", 1, 0, 50), ("e", "delivered", 1, 0, 0)], "k string, state string, attempts int, next_attempt_ms long, lease_until_ms long")
     got = {r.k: (r.state, r.attempts, r.lease_until_ms) for r in outbox.claimed(rows, F.lit(10), 30).collect()}
     assert got == {"a": ("inflight", 1, 40), "c": ("inflight", 3, 40)}
+
+
+def test_captures_find_their_spans(rocks, tmp_path):
+    """Spans that come before, with and after their records; conflicts; records whose span never comes; copies; errors that block."""
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    r = lambda i, span, session=None, turn=None, kind="record", t="t1", h=0: (t, kind, i, span, session, turn, at(h), f"raw {i}")
+    files = [
+        [r("s1", "a", "S", "T", "span"), r("1", "a"), r("2", "b"), r("3", None, "S", "T"), r("4", "a", "other"), r("5", "c"), r("6", "a", kind="odd"), r("7", "d", t="t2"), r("8", " ", " ", "T"), r("9", "e")],
+        [r("s2", "b", "S2", "T2", "span", h=1), r("1", "a", h=1), r("s3", "c", "S", None, "span", h=1), r("s4", "d", "S", "T", "span", t="t1", h=1), r("s5", "e", "X", "T", "span", h=1), r("s6", "e", "Y", "T", "span", h=1)],
+        [r("s7", "c", None, "T3", "span", h=2), r("clock", "z", "S", "T", "span", t="clock", h=90)],
+    ]
+    schema = "trace string, kind string, id string, span string, session string, turn string, ts timestamp, payload string"
+    for rows in files:
+        rocks.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    x = derived.derive(rocks.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), "ts", 10 * HOURS, "3 hours")
+    q = x.writeStream.foreachBatch(derived.split(f"{tmp_path}/good", f"{tmp_path}/dead")).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    good, dead = rocks.read.parquet(f"{tmp_path}/good"), rocks.read.parquet(f"{tmp_path}/dead")
+    assert sorted((x.id, x.session, x.turn, x.payload) for x in good.collect()) == [("1", "S", "T", "raw 1"), ("2", "S2", "T2", "raw 2"), ("3", "S", "T", "raw 3"), ("5", "S", "T3", "raw 5")]
+    assert sorted((x.id, x.reason) for x in dead.collect()) == [("4", "identity_conflict"), ("6", "unsupported_event"), ("7", "unattributed"), ("8", "unattributed"), ("9", "span_conflict")]
+    assert {b.trace: (b.reasons, b.errors) for b in derived.blocked(dead).collect()} == {"t1": ({"identity_conflict": 1, "unsupported_event": 1, "unattributed": 1, "span_conflict": 1}, 4), "t2": ({"unattributed": 1}, 1)}
