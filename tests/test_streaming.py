@@ -125,3 +125,62 @@ def test_captures_find_their_spans(rocks, tmp_path):
     assert sorted((x.id, x.session, x.turn, x.payload) for x in good.collect()) == [("1", "S", "T", "raw 1"), ("2", "S2", "T2", "raw 2"), ("3", "S", "T", "raw 3"), ("5", "S", "T3", "raw 5")]
     assert sorted((x.id, x.reason) for x in dead.collect()) == [("4", "identity_conflict"), ("6", "unsupported_event"), ("7", "unattributed"), ("8", "unattributed"), ("9", "span_conflict")]
     assert {b.trace: (b.reasons, b.errors) for b in derived.blocked(dead).collect()} == {"t1": ({"identity_conflict": 1, "unsupported_event": 1, "unattributed": 1, "span_conflict": 1}, 4), "t2": ({"unattributed": 1}, 1)}
+
+
+def test_usage_pages_restart(spark, tmp_path):
+    """Pages of four above the mark; late rows within the overlap are found; a restart loses and doubles nothing."""
+    from loomspark.sources import usage_pages
+
+    def put(ids):
+        spark.createDataFrame([(i, f"u{i}") for i in ids], "id long, u string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+
+    sizes = []
+
+    def sink(df, epoch):
+        rows = df.collect()
+        sizes.append(len(rows))
+        spark.createDataFrame([(r.id, r.u) for r in rows], "id long, u string").write.mode("overwrite").parquet(f"{tmp_path}/out/epoch={epoch}")
+        if fail and sum(sizes) > 6:
+            raise RuntimeError("lost")
+
+    def run():
+        x = usage_pages.usage_stream(spark, f"{tmp_path}/in", "id long, u string", "id", limit=4, overlap=3)
+        q = x.writeStream.foreachBatch(sink).option("checkpointLocation", f"{tmp_path}/cp").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+    fail = True
+    put([1, 2, 3, 5, 6, 7, 8, 9, 10, 11])
+    with pytest.raises(Exception, match="lost"):
+        run()
+    fail = False
+    put([4, 12])  # 4 is late: the page that broke off began at 5 and reads from 3 on
+    run()
+    put([13])
+    run()
+    got = sorted(r.id for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == list(range(1, 14)) and max(sizes) <= 5
+
+
+def test_jdbc_usage(spark, tmp_path):
+    """Usage with its owners out of a database, the next page after an id."""
+    from loomspark.sources import jsonl
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    options = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    put = lambda rows, schema, name: spark.createDataFrame(rows, schema).coalesce(1).write.format("jdbc").options(url=url, dbtable=name, **options).save()
+    put([(k, k % 3 if k % 4 else None, k % 2) for k in range(1, 9)], "`id` long, `account_id` long, `user_id` long", "usage_rows")
+    put([(0, "acc0"), (1, " "), (2, None)], "`id` long, `name` string", "accounts")
+    put([(0, "user0"), (1, "user1")], "`id` long, `name` string", "users")
+    got = [(r.id, r.owner) for r in jsonl.jdbc_usage(spark, url, "usage_rows", "accounts", "users", 2, 4, **options).collect()]
+    assert got == [(3, "acc0"), (4, "user0"), (5, "user1"), (6, "acc0")]
+
+
+def test_manifest_json(spark, tmp_path):
+    from loomspark.sources import jsonl
+
+    (tmp_path / "m.json").write_text('{\n "files": [\n {"name": "a", "bytes": 3}],\n "n": 1}')
+    r = jsonl.manifest_json(spark, f"{tmp_path}/m.json").first()
+    assert r.n == 1 and [tuple(sorted(f.asDict().items())) for f in r.files] == [(("bytes", 3), ("name", "a"))]
