@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import built_spans, graph, spans
+from ..operators import built_spans, graph, scenarios, spans
 from .common import table
 
 
@@ -108,6 +108,21 @@ def inherited_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.withColumn("inherited", F.coalesce("inherited", F.lit("")))
 
 
+def scenario_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as tool observations, two a turn: launches and polls of processes, some failed, some told twice in different ways."""
+    c = table(spark, sf_dir, "conversations")
+    t, s = F.col("turn"), F.col("conv_id")
+    launch, at = t % 2 == 0, F.floor(t / 2)
+    ended = ~launch & ((s + t) % 3 != 0)
+    seen = c.select(
+        s.alias("session"), F.floor(t / 4).alias("turn"), F.concat(F.lit("c"), F.when(s % 9 == 4, at).otherwise(t).cast("string")).alias("call_id"), F.when(launch, "exec_command").otherwise("write_stdin").alias("tool"), (t + 1).alias("seq"),
+        F.when(ended, "exited").otherwise("running").alias("state"), F.when(~ended, F.when(s % 5 == 0, 1).otherwise(at + 1)).alias("process"), F.when(ended, F.when((s + t) % 4 == 0, 1).otherwise(0)).alias("exit_code"), F.when(ended, (s + t) % 4 != 0).alias("success"), F.when(~launch, F.when(s % 5 == 0, 1).otherwise(at + 1)).alias("requested"), (s % 11 == 7).alias("truncated"),
+    )
+    turns = c.select(s.alias("session"), F.floor(t / 4).alias("turn"), F.when(F.col("role") == "assistant", 1).otherwise(0).alias("interactions"))
+    starts = c.where("turn = 0").select(s.alias("session"), F.when(s % 3 == 0, "resume").otherwise("startup").alias("source"))
+    return scenarios.evidence(c.select(s.alias("session")), turns, starts, seen)
+
+
 SQL = {
     "hook_lifecycles": """
 WITH x AS (SELECT CASE event_type WHEN 'signup' THEN 'session_start' WHEN 'click' THEN 'subagent_spawn' WHEN 'view' THEN 'tool_start' ELSE '' END AS lifecycle, user_id FROM events)
@@ -175,5 +190,14 @@ o AS (SELECT DISTINCT w.k FROM w JOIN n ON n.k = w.at AND n.v IS NULL AND NOT n.
 SELECT n.k AS node, CASE WHEN f.lo = f.hi THEN f.lo ELSE '' END AS inherited, coalesce(f.lo <> f.hi, false) AS contradiction,
   coalesce(NOT n.b AND n.v IS NOT NULL AND (s.lo <> n.v OR s.hi <> n.v), false) AS explicit_conflict, o.k IS NOT NULL AS cycle
 FROM n JOIN f ON f.k = n.k LEFT JOIN s ON s.k = n.k LEFT JOIN o ON o.k = n.k""",
+    "scenario_evidence": """
+WITH x AS (SELECT conv_id AS s, turn // 4 AS u, turn AS t, turn % 2 = 0 AS launch, turn // 2 AS a, turn % 2 = 1 AND (conv_id + turn) % 3 <> 0 AS ended, CASE WHEN conv_id % 5 = 0 THEN 1 ELSE turn // 2 + 1 END AS p, (conv_id + turn) % 4 = 0 AS bad, role FROM conversations),
+w AS (SELECT * FROM x WHERE s % 11 <> 7 AND (s % 9 <> 4 OR (SELECT count(*) FROM x y WHERE y.s = x.s AND y.u = x.u AND y.a = x.a) = 1)),
+l AS (SELECT s, u, p, min(t) AS t FROM w WHERE launch GROUP BY ALL HAVING count(*) = 1),
+d AS (SELECT DISTINCT l.s FROM l JOIN w ON w.s = l.s AND w.u = l.u AND w.p = l.p AND NOT w.launch AND w.ended AND w.t > l.t),
+g AS (SELECT s, count(DISTINCT u) FILTER (role = 'assistant') > 1 AS second_turn, bool_or(t = 0) AND s % 3 = 0 AS resume, s IN (SELECT s FROM w WHERE ended AND bad) AS failed_tool_process, s IN (SELECT s FROM d) AS delayed_write_stdin FROM x GROUP BY s)
+SELECT s AS session, second_turn, resume, failed_tool_process, delayed_write_stdin,
+  array_to_string(list_filter([CASE WHEN NOT second_turn THEN 'second_turn' END, CASE WHEN NOT resume THEN 'resume' END, CASE WHEN NOT failed_tool_process THEN 'failed_tool_process' END, CASE WHEN NOT delayed_write_stdin THEN 'delayed_write_stdin' END], lambda v: v IS NOT NULL), ',') AS missing,
+  second_turn AND resume AND failed_tool_process AND delayed_write_stdin AS complete FROM g""",
 }
 QUERIES = {k: (globals()[k], s) for k, s in SQL.items()}

@@ -783,3 +783,23 @@ def test_contradictory_ancestors(spark):
     }
     assert got == want | {f"q{k}": ("x", False, False, False) for k in range(200)}
     assert graph.inherited_values(x.where("false"), "n", "p", "v", "b").collect() == []
+
+
+def test_scenarios(spark):
+    """Each scenario matched, and near misses that aren't."""
+    from loomspark.operators import scenarios
+
+    run = lambda s, c, seq, tool="exec_command", process=7, t="t", **x: (s, t, c, tool, seq, x.get("state", "running"), process, x.get("code"), x.get("ok"), x.get("asked"), x.get("cut", False))
+    end = lambda s, c, seq, code=0, asked=7, t="t", **x: run(s, c, seq, "write_stdin", None, t, **({"state": "exited", "code": code, "ok": code == 0, "asked": asked} | x))
+    seen = [
+        run("all", "1", 1), end("all", "2", 2, 3), run("order", "1", 5), end("order", "2", 4), run("reused", "1", 1), run("reused", "2", 2), end("reused", "3", 3), run("turns", "1", 1), end("turns", "2", 2, t="u"), run("other", "1", 1), end("other", "2", 2, asked=8),
+        run("told", "1", 1), run("told", "1", 2), end("told", "2", 3), end("lies", "1", 1, 3, ok=True), run("cut", "1", 1, cut=True), end("cut", "2", 2, cut=True), run("zero", "1", 0), end("zero", "2", 2), run("same", "1", 1), run("same", "1", 1), end("same", "2", 2), (None,) * 11,
+    ]
+    schema = "session string, turn string, call_id string, tool string, seq long, state string, process long, exit_code long, success boolean, requested long, truncated boolean"
+    names = sorted({r[0] for r in seen if r[0]} | {"none"})
+    sessions = spark.createDataFrame([(n,) for n in names], "session string")
+    turns = spark.createDataFrame([("all", "t", 1), ("all", "u", 2), ("order", "t", 1), ("order", "u", 0), ("told", "t", 1), ("told", "t", 1)], "session string, turn string, interactions int")
+    starts = spark.createDataFrame([("all", "resume"), ("order", "startup"), ("told", None)], "session string, source string")
+    got = {r.session: r.missing for r in scenarios.evidence(sessions, turns, starts, spark.createDataFrame(seen, schema)).collect()}
+    most = "second_turn,resume,failed_tool_process"
+    assert got == {n: most + ",delayed_write_stdin" for n in names} | {"all": "", "same": most}
