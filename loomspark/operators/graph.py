@@ -105,6 +105,8 @@ def inherited_values(nodes: DataFrame, node: str, parent: str, value: str, bound
     joining two such is taking minima, maxima and the union. Walks that are
     still open when the stride exceeds the number of nodes are in, or behind,
     a cycle. Parents that aren't nodes end a walk; null nodes are passed over.
+    A node holds all ancestors at which its open walks stand: few where values
+    or boundaries are near, many under several parents without any.
     """
     x = nodes.where(F.col(node).isNotNull()).select(F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(value).alias("v"), F.coalesce(boundary, F.lit(False)).alias("b"))
     own = written(x.groupBy("node").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.bool_or("b").alias("b")), "ancestry")
