@@ -127,6 +127,26 @@ def test_captures_find_their_spans(rocks, tmp_path):
     assert {b.trace: (b.reasons, b.errors) for b in derived.blocked(dead).collect()} == {"t1": ({"identity_conflict": 1, "unsupported_event": 1, "unattributed": 1, "span_conflict": 1}, 4), "t2": ({"unattributed": 1}, 1)}
 
 
+def test_own_identity_waits_for_its_span(rocks, tmp_path):
+    """Records that name session and turn themselves: a span that contradicts them counts before as well as after; without one, or without its name, they stand."""
+    at = lambda h: datetime(2024, 1, 1) + timedelta(hours=h)
+    r = lambda i, span, session="S", turn="T", kind="record", h=0: ("t", kind, i, span, session, turn, at(h), f"raw {i}")
+    files = [
+        [r("s1", "a", kind="span"), r("1", "a", "X"), r("2", "b", "X"), r("3", "b"), r("4", "c"), r("5", None)],
+        [r("s2", "b", kind="span", h=1)],
+        [("clock", "span", "clock", "z", "S", "T", at(90), "")],
+    ]
+    schema = "trace string, kind string, id string, span string, session string, turn string, ts timestamp, payload string"
+    for rows in files:
+        rocks.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        time.sleep(0.05)
+    x = derived.derive(rocks.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in"), "ts", 10 * HOURS, "3 hours")
+    x.writeStream.foreachBatch(derived.split(f"{tmp_path}/good", f"{tmp_path}/dead")).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    good, dead = rocks.read.parquet(f"{tmp_path}/good"), rocks.read.parquet(f"{tmp_path}/dead")
+    assert sorted((x.id, x.session, x.turn) for x in good.collect()) == [("3", "S", "T"), ("4", "S", "T"), ("5", "S", "T")]
+    assert sorted((x.id, x.reason) for x in dead.collect()) == [("1", "identity_conflict"), ("2", "identity_conflict")]
+
+
 def test_usage_pages_restart(spark, tmp_path):
     """Pages of four above the mark; late rows within the overlap are found; a restart loses and doubles nothing."""
     from loomspark.sources import usage_pages
