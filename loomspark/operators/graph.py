@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .checkpoint import cut, written
+from .joins import known_as
 
 
 def walk(nodes: DataFrame, node: str, parent: str) -> DataFrame:
@@ -21,7 +22,7 @@ def walk(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """
     x = nodes.select(F.col(node).alias("node"), F.col(parent).alias("up"))
     known = x.select(F.col("node").alias("k")).distinct()
-    x = x.join(known, x["up"] == known["k"], "left")
+    x = x.join(known, known_as(x["up"], known["k"], x["node"]), "left")
     # at: where the walk stands; open: whether it may go on from there
     x = x.select("node", F.coalesce("k", "node").alias("at"), F.when(F.col("k").isNotNull(), 1).otherwise(0).cast("long").alias("depth"), (F.col("up").isNotNull() & F.col("k").isNull()).alias("lost"))
     total, k = None, 0
@@ -45,7 +46,7 @@ def shape(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """G1: each node as root, tip, inner or both, with whether its parent is known."""
     used = nodes.where(F.col(parent).isNotNull()).select(F.col(parent).alias("_u")).distinct()
     known = nodes.select(F.col(node).alias("_k")).distinct()
-    x = nodes.join(used, nodes[node] == used["_u"], "left").join(known, nodes[parent] == known["_k"], "left")
+    x = nodes.join(used, nodes[node] == used["_u"], "left").join(known, known_as(nodes[parent], known["_k"], nodes[node]), "left")
     return x.select(
         node, parent,
         F.col(parent).isNull().alias("is_root"), F.col("_u").isNull().alias("is_tip"),
@@ -83,7 +84,7 @@ def nearest_boundary(nodes: DataFrame, node: str, parent: str, value: str, bound
     n, stride = x.count(), 1
     while stride <= n:
         step = x.select(F.col("node").alias("n2"), F.col("v").alias("v2"), F.col("at").alias("at2"))
-        x = cut(x.join(step, x["at"] == step["n2"], "left").select("node", F.coalesce("v", "v2").alias("v"), F.when(F.coalesce("v", "v2").isNull(), F.col("at2")).alias("at")))
+        x = cut(x.join(step, known_as(x["at"], step["n2"], x["node"]), "left").select("node", F.coalesce("v", "v2").alias("v"), F.when(F.coalesce("v", "v2").isNull(), F.col("at2")).alias("at")))
         stride *= 2
         if x.where("at is not null").isEmpty():
             break
@@ -137,7 +138,7 @@ def single_tree(edges: DataFrame, child: str, parent: str, priority: str) -> Dat
 def verify_tree(tree: DataFrame, trace: str, node: str, parent: str) -> DataFrame:
     """V4: per trace: nodes, roots, unresolved parents, and whether it is one tree."""
     known = tree.select(F.col(trace).alias("_t"), F.col(node).alias("_k")).distinct()
-    x = tree.join(known, (tree[trace] == known["_t"]) & (tree[parent] == known["_k"]), "left")
+    x = tree.join(known, (tree[trace] == known["_t"]) & known_as(tree[parent], known["_k"], tree[node]), "left")
     g = x.groupBy(trace).agg(F.count("*").alias("nodes"), F.count_if(F.col(parent).isNull()).alias("roots"), F.count_if(F.col(parent).isNotNull() & F.col("_k").isNull()).alias("unresolved"))
     return g.withColumn("is_tree", (F.col("roots") == 1) & (F.col("unresolved") == 0))
 
@@ -154,7 +155,7 @@ def runtime_nodes(events: DataFrame, group: str, node: str, kind: str, status: s
 def task_graph(sessions: DataFrame, root: str, session: str, parent: str) -> DataFrame:
     """Per root: sessions, unresolved parents, and whether the root itself is there."""
     known = sessions.select(F.col(session).alias("_k")).distinct()
-    x = sessions.join(known, sessions[parent] == known["_k"], "left")
+    x = sessions.join(known, known_as(sessions[parent], known["_k"], sessions[session]), "left")
     g = x.groupBy(root).agg(F.count("*").alias("sessions"), F.count_if(F.col(parent).isNotNull() & F.col("_k").isNull()).alias("unresolved"), F.max(F.col(session) == F.col(root)).alias("root_present"))
     return g.withColumn("complete", F.col("root_present") & (F.col("unresolved") == 0))
 
@@ -178,9 +179,10 @@ def runtime_scopes(rows: DataFrame, captures: DataFrame, calls: DataFrame, key:
     blank = lambda c: F.when(F.trim(c) != "", F.col(c))
     x = rows.withColumns({c: blank(c) for c in ("task_session_id", "root_turn_id", "session_id", "turn_id", "thread_id", "parent_thread_id", "call_id")})
     by_call, by_thread, by_parent = only(calls, ["session_id", "call_id"], "of_call"), only(captures, ["namespace", "thread_id"], "of_thread"), only(captures, ["namespace", "thread_id"], "of_parent")
-    x = x.join(by_call, (F.col("session_id") == F.col("_of_call_session_id")) & (F.col("call_id") == F.col("_of_call_call_id")), "left")
-    x = x.join(by_thread, F.col("namespace").eqNullSafe(F.col("_of_thread_namespace")) & (F.col("thread_id") == F.col("_of_thread_thread_id")), "left")
-    x = x.join(by_parent, F.col("namespace").eqNullSafe(F.col("_of_parent_namespace")) & (F.col("parent_thread_id") == F.col("_of_parent_thread_id")), "left")
+    is_of = lambda c, out: known_as(F.col(c), F.col(out), F.col(key).cast("string"))
+    x = x.join(by_call, (F.col("session_id") == F.col("_of_call_session_id")) & is_of("call_id", "_of_call_call_id"), "left")
+    x = x.join(by_thread, F.col("namespace").eqNullSafe(F.col("_of_thread_namespace")) & is_of("thread_id", "_of_thread_thread_id"), "left")
+    x = x.join(by_parent, F.col("namespace").eqNullSafe(F.col("_of_parent_namespace")) & is_of("parent_thread_id", "_of_parent_thread_id"), "left")
     scope = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("scope"))
     nothing = F.lit(None).cast("struct<kind:string,scope:string>")
     found = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,11 @@ def conserve(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return out.withColumn("complete", F.col("missing") + F.col("without_key") + F.col("duplicate_keys") == 0)
 
 
+def known_as(column: Column, key: Column, own: Column) -> Column:
+    """The condition of a left join ``column = key`` whose rows without ``column`` go by ``own``, a spread value of the same type: none matches, and they don't meet in one task."""
+    return (F.coalesce(column, own) == key) & column.isNotNull()
+
+
 def missing(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(right.select(key).distinct(), key, "left_anti")
 
@@ -67,7 +72,7 @@ def relations(sides: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> DataFr
 def parents(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """Each node with whether its parent is known: root, resolved or unresolved."""
     known = nodes.select(F.col(node).alias("_p")).distinct()
-    x = nodes.join(known, nodes[parent] == known["_p"], "left")
+    x = nodes.join(known, known_as(nodes[parent], known["_p"], nodes[node]), "left")
     state = F.when(F.col(parent).isNull(), "root").when(F.col("_p").isNull(), "unresolved").otherwise("resolved")
     return x.select(*nodes.columns, state.alias("parent_state"))
 

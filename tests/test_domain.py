@@ -3,6 +3,7 @@
 import hashlib
 import json
 import tarfile
+from collections import Counter
 from io import BytesIO
 
 import pytest
@@ -132,6 +133,29 @@ def test_runtime_scopes(spark):
     }
 
 
+def test_rows_without_a_key_spread(spark):
+    """Left joins by keys that most rows lack: these rows don't meet in one task, and match nothing."""
+    from loomspark.operators import joins
+
+    was = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        most = lambda df: max(Counter(r["_part"] for r in df.withColumn("_part", F.spark_partition_id()).collect()).values())
+        none = F.when(F.col("id") < 0, F.lit("x"))
+        ids = spark.range(4000).withColumns({"namespace": F.lit("n"), "session_id": F.lit("s"), "turn_id": F.lit("t")} | {c: none for c in ("task_session_id", "root_turn_id", "thread_id", "parent_thread_id", "call_id")} | {"is_lifecycle": F.lit(False)})
+        # threads and calls that are called as rows are: these still match nothing
+        seen = spark.range(4000).select(F.lit("n").alias("namespace"), F.lit("s").alias("session_id"), F.col("id").cast("string").alias("thread_id"), F.col("id").cast("string").alias("call_id"), F.lit("r").alias("root_turn_id"))
+        x = graph.runtime_scopes(ids, seen, seen, "id")
+        assert most(x) < 2000 and x.where("scope_kind = 'turn' and scope = 't'").count() == 4000
+        nodes = spark.range(4000).select("id", F.when(F.col("id") == 7, F.col("id") - 1).when(F.col("id") == 8, F.lit(-1)).alias("parent"))
+        x = joins.parents(nodes, "id", "parent")
+        assert most(x) < 2000 and {r.parent_state: r["count"] for r in x.groupBy("parent_state").count().collect()} == {"root": 3998, "resolved": 1, "unresolved": 1}
+    finally:
+        for c, v in was.items():
+            spark.conf.set(c, v)
+
+
 def test_integrity_sets(spark):
     from loomspark.operators import spans
 
