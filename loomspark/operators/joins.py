@@ -51,9 +51,13 @@ def pair_calls(calls: DataFrame, results: DataFrame, group: str, call: str) -> D
 
 
 def definitions_complete(called: DataFrame, defined: DataFrame, group: str, name: str, complete: str) -> DataFrame:
-    """Per group: distinct called names, those whose definition is complete, and whether all are."""
-    d = defined.groupBy(group, name).agg(F.max(complete).alias("_ok"))
-    x = called.select(group, name).distinct().join(d, [group, name], "left")
+    """Per group: distinct called names, those whose definition is complete, and whether all are.
+
+    Calls and definitions meet in one aggregate, which holds each name once; a null group or name has no definition.
+    """
+    d = defined.where(F.col(group).isNotNull() & F.col(name).isNotNull()).select(group, name, F.lit(False).alias("_called"), F.col(complete).alias("_ok"))
+    every = called.select(group, name, F.lit(True).alias("_called"), F.lit(None).cast(d.schema["_ok"].dataType).alias("_ok")).union(d)
+    x = every.groupBy(group, name).agg(F.max("_called").alias("_called"), F.max("_ok").alias("_ok")).where("_called")
     out = x.groupBy(group).agg(F.count("*").alias("called"), F.count_if(F.coalesce("_ok", F.lit(False))).alias("complete"))
     return out.withColumn("all_complete", F.col("called") == F.col("complete"))
 

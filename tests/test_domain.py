@@ -156,6 +156,17 @@ def test_rows_without_a_key_spread(spark):
             spark.conf.set(c, v)
 
 
+def test_definitions_of_null_names(spark):
+    """A null name is called and has no definition, whatever is defined for null; calls and definitions meet without a join."""
+    from loomspark.operators import joins
+
+    called = spark.createDataFrame([("g", "a"), ("g", "a"), ("g", "b"), ("g", None), (None, "a"), ("h", "a")], "g string, n string")
+    defined = spark.createDataFrame([("g", "a", False), ("g", "a", True), ("g", None, True), (None, "a", True), ("h", "a", True), ("i", "a", True), ("g", "b", None)], "g string, n string, ok boolean")
+    x = joins.definitions_complete(called, defined, "g", "n", "ok")
+    assert {r.g: tuple(r)[1:] for r in x.collect()} == {"g": (3, 1, False), None: (1, 0, False), "h": (1, 1, True)}
+    assert "Join" not in x._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_integrity_sets(spark):
     from loomspark.operators import spans
 
