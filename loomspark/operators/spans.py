@@ -77,6 +77,10 @@ INTEGRITY_SETS = [
 ]
 
 
+#: What is said of an id in ``integrity_sets``; a call is kept unless it is abandoned.
+CALL, KEPT, EXECUTED, ANSWERED, NODE, INTERACTION, END = (1 << k for k in range(7))
+
+
 def integrity_sets(spans: DataFrame, calls: DataFrame, results: DataFrame, interactions: DataFrame, links: DataFrame, parents_required: bool = True) -> DataFrame:
     """(set, id): every member of the thirteen sets, each a filter or an anti-join.
 
@@ -85,35 +89,36 @@ def integrity_sets(spans: DataFrame, calls: DataFrame, results: DataFrame, inter
     (id), ``links`` (from_id, to_id). A call that its client abandoned, or that was cut off upstream, is required only if it
     has a result or an execution.
     """
-    executed = spans.where(F.col("call_id").isNotNull()).select("call_id").distinct()
-    answered = results.select("call_id").distinct()
-    seen = executed.union(answered).distinct().withColumn("_seen", F.lit(True))
-    named = calls.groupBy("call_id").agg(F.bool_and(F.coalesce("abandoned", F.lit(False))).alias("abandoned"))
-    required = named.join(seen, "call_id", "left").where(~F.col("abandoned") | F.col("_seen").isNotNull()).select("call_id")
-    ids = spans.select("id").union(interactions.select("id")).union(named.select("call_id")).distinct()
-    ends = links.select(F.col("from_id").alias("id")).union(links.select("to_id")).where("id is not null")
-    as_id = lambda df: df.select(F.col("call_id").alias("id"))
-    of = lambda df, c: df.where(F.col(c).isNotNull()).select("id", F.col(c).alias("_of"))
-    found = {
-        "unscoped_spans": spans.where("scope is null"),
-        "open_spans": spans.where("open and not container"),
-        "conflicting_spans": spans.where("conflict and not container"),
-        "uncaptured_results": spans.where("uncaptured"),
-        "quality_failures": spans.where("quality_failure"),
-        "unresolved_parent_calls": of(spans, "parent_call_id").join(named.select(F.col("call_id").alias("_of")), "_of", "left_anti"),
-        "unresolved_parent_spans": of(spans, "parent_id").join(spans.select(F.col("id").alias("_of")), "_of", "left_anti").where(F.lit(parents_required)),
-        "calls_without_results": as_id(required.join(answered, "call_id", "left_anti")),
-        "calls_without_execution": as_id(required.join(executed, "call_id", "left_anti")),
-        "executions_without_calls": as_id(executed.join(named, "call_id", "left_anti")),
-        "results_without_calls": as_id(answered.join(named, "call_id", "left_anti")),
-        "unlinked_interactions": interactions.join(ends, "id", "left_anti"),
-        "unknown_endpoints": ends.join(ids, "id", "left_anti"),
+    of = lambda df, c, m: df.select(F.col(c).cast("string").alias("id"), (F.lit(m) if isinstance(m, int) else m).alias("m"))
+    named = of(calls, "call_id", F.when(F.coalesce("abandoned", F.lit(False)), CALL).otherwise(CALL | KEPT))
+    ends = links.select(F.explode(F.array("from_id", "to_id")).alias("id")).where("id is not null")
+    # all that is said of an id meets in one aggregate, one number an id; a null id is said to be there and never found
+    said = named.union(of(spans.where("call_id is not null"), "call_id", EXECUTED)).union(of(results, "call_id", ANSWERED)).union(of(spans, "id", NODE)).union(of(interactions, "id", NODE | INTERACTION)).union(of(ends, "id", END))
+    ids = said.groupBy("id").agg(F.bit_or("m").alias("m"))
+    is_ = lambda m: F.col("m").bitwiseAND(m) != 0
+    found = lambda m: is_(m) & F.col("id").isNotNull()
+    required = is_(KEPT) | (is_(CALL) & found(EXECUTED | ANSWERED))
+    of_ids = {
+        "calls_without_results": required & ~found(ANSWERED),
+        "calls_without_execution": required & ~found(EXECUTED),
+        "executions_without_calls": is_(EXECUTED) & ~found(CALL),
+        "results_without_calls": is_(ANSWERED) & ~found(CALL),
+        "unlinked_interactions": is_(INTERACTION) & ~found(END),
+        "unknown_endpoints": is_(END) & ~found(NODE | CALL),
     }
-    out = None
-    for name in INTEGRITY_SETS:
-        part = found[name].select(F.lit(name).alias("set"), F.col("id").cast("string").alias("id")).distinct()
-        out = part if out is None else out.unionByName(part)
-    return out
+    of_spans = {
+        "unscoped_spans": F.col("scope").isNull(),
+        "open_spans": F.col("open") & ~F.col("container"),
+        "conflicting_spans": F.col("conflict") & ~F.col("container"),
+        "uncaptured_results": F.col("uncaptured"),
+        "quality_failures": F.col("quality_failure"),
+    }
+    members = lambda df, sets: df.select(F.explode(F.array_compact(F.array(*[F.when(c, name) for name, c in sets.items()]))).alias("set"), F.col("id").cast("string").alias("id"))
+    parent = lambda c, known, name: spans.where(F.col(c).isNotNull()).join(known.select(F.col(known.columns[0]).alias("_of")), F.col(c) == F.col("_of"), "left_anti").select(F.lit(name).alias("set"), F.col("id").cast("string").alias("id"))
+    spoilt = members(spans, of_spans).union(parent("parent_call_id", calls.select("call_id"), "unresolved_parent_calls"))
+    if parents_required:
+        spoilt = spoilt.union(parent("parent_id", spans.select("id"), "unresolved_parent_spans"))
+    return members(ids, of_ids).union(spoilt.distinct())
 
 
 def integrity(spans: DataFrame, calls: DataFrame, results: DataFrame, interactions: DataFrame, links: DataFrame, parents_required: bool = True) -> DataFrame:

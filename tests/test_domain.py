@@ -167,6 +167,23 @@ def test_definitions_of_null_names(spark):
     assert "Join" not in x._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_integrity_of_null_ids(spark):
+    """Null ids match nothing; the sets of calls and endpoints come from one aggregate: the only joins left look for parents."""
+    from loomspark.operators import spans
+
+    s = "id string, scope string, container boolean, open boolean, conflict boolean, uncaptured boolean, quality_failure boolean, parent_id string, call_id string, parent_call_id string"
+    rows = [("a", "x", False, False, False, False, False, None, None, None), ("a", "x", False, False, False, False, False, "a", "c1", "c1")]
+    calls = spark.createDataFrame([(None, False), ("c1", True), ("c1", False), ("c2", True), ("c3", True)], "call_id string, abandoned boolean")
+    results = spark.createDataFrame([(None,), ("c2",), ("c9",)], "call_id string")
+    inter, links = spark.createDataFrame([("i",), (None,)], "id string"), spark.createDataFrame([("i", "c9"), (None, "c3"), ("a", None)], "from_id string, to_id string")
+    x = spans.integrity_sets(spark.createDataFrame(rows, s), calls, results, inter, links)
+    assert sorted(map(tuple, x.collect()), key=str) == sorted([
+        ("calls_without_results", None), ("calls_without_results", "c1"), ("calls_without_execution", None), ("calls_without_execution", "c2"),
+        ("results_without_calls", None), ("results_without_calls", "c9"), ("unlinked_interactions", None), ("unknown_endpoints", "c9"),
+    ], key=str)
+    assert x._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 2
+
+
 def test_integrity_sets(spark):
     from loomspark.operators import spans
 
