@@ -129,10 +129,14 @@ def inherited_values(nodes: DataFrame, node: str, parent: str, value: str, bound
 
 
 def single_tree(edges: DataFrame, child: str, parent: str, priority: str) -> DataFrame:
-    """Child to the parent of highest priority; equal priorities with different parents are a conflict."""
-    g = edges.groupBy(child, priority).agg(F.count_distinct(parent).alias("n"), F.min(parent).alias("parent"))
-    top = g.withColumn("_r", F.row_number().over(W.partitionBy(child).orderBy(F.desc(priority)))).where("_r = 1")
-    return top.select(child, F.when(F.col("n") == 1, F.col("parent")).alias("parent"), priority, (F.col("n") > 1).alias("conflict"))
+    """Child to the parent of highest priority; equal priorities with different parents are a conflict.
+
+    Two aggregates of fixed size: the least and greatest parent by child and priority, then those of the child's highest priority; null priorities are the lowest.
+    """
+    g = edges.groupBy(child, priority).agg(F.min(parent).alias("_lo"), F.max(parent).alias("_hi"))
+    top = lambda c: F.when(F.max(priority).isNull(), F.min(c)).otherwise(F.max_by(c, priority)).alias(c)
+    x = g.groupBy(child).agg(top("_lo"), top("_hi"), F.max(priority).alias(priority))
+    return x.select(child, F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("parent"), priority, F.coalesce(F.col("_lo") != F.col("_hi"), F.lit(False)).alias("conflict"))
 
 
 def verify_tree(tree: DataFrame, trace: str, node: str, parent: str) -> DataFrame:

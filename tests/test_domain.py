@@ -167,6 +167,16 @@ def test_definitions_of_null_names(spark):
     assert "Join" not in x._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_single_tree_of_top_priority(spark):
+    """Null priorities come last, null parents count as none; groups are kept by their least and greatest parent only."""
+    rows = [("a", 1.0, "x"), ("a", 2.0, "z"), ("a", 2.0, "y"), ("b", 2.0, "x"), ("b", 1.0, "y"), ("c", None, "x"), ("d", None, "y"), ("d", 0.0, None), ("e", None, "x"), ("e", None, "y"), (None, 1.0, "x"), ("f", float("nan"), "n"), ("f", 9.0, "m")]
+    x = graph.single_tree(spark.createDataFrame(rows, "c string, p double, u string"), "c", "u", "p")
+    got = {r.c: (r.parent, str(r.p), r.conflict) for r in x.collect()}
+    assert got == {"a": (None, "2.0", True), "b": ("x", "2.0", False), "c": ("x", "None", False), "d": (None, "0.0", False), "e": (None, "None", True), None: ("x", "1.0", False), "f": ("n", "nan", False)}
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Expand" not in plan and "distinct" not in plan
+
+
 def test_integrity_of_null_ids(spark):
     """Null ids match nothing; the sets of calls and endpoints come from one aggregate: the only joins left look for parents."""
     from loomspark.operators import spans
