@@ -14,6 +14,8 @@ import heapq
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,10 @@ _S = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
 
+#: Rank and new id of a pair that isn't merged: after all others.
+NO_MERGE = (1 << 62, -1)
+
+
 def byte_symbols() -> dict[str, int]:
     """The public printable stand-ins of the 256 bytes: symbol to byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -74,13 +80,13 @@ class ByteBPE:
 
     def forget(self) -> None:
         """Drop what is known of recent pieces and fragments."""
-        self.pieces, self.fragments = Recent(self._piece), Recent(self._merged, 8 << 20)
+        self.pieces, self.fragments = Recent(self._piece, 48 << 20), Recent(self._merged, 24 << 20)
 
     def cuts(self, piece: bytes) -> list[bytes]:
         """The fragments of a pre-token between its certain cuts."""
         inside, out, at = self.inside, [], 0
-        for i in range(1, len(piece)):
-            if not inside[piece[i - 1] << 8 | piece[i]]:
+        for i, (x, y) in enumerate(pairwise(piece), 1):
+            if not inside[x << 8 | y]:
                 out.append(piece[at:i])
                 at = i
         out.append(piece[at:])
@@ -89,15 +95,17 @@ class ByteBPE:
     def _merged(self, fragment: bytes) -> list[int]:
         ids, merge = [self.byte_id[b] for b in fragment], self.merge
         if len(ids) <= 48:
-            while len(ids) > 1:
-                best, at = None, -1
-                for i in range(len(ids) - 1):
-                    m = merge.get((ids[i], ids[i + 1]))
-                    if m and (best is None or m < best):
-                        best, at = m, i
-                if best is None:
-                    break
+            # what each pair would merge to; a merge changes the pairs beside it only
+            get = merge.get
+            found = [get(p, NO_MERGE) for p in pairwise(ids)]
+            while found and (best := min(found)) is not NO_MERGE:
+                at = found.index(best)
                 ids[at : at + 2] = [best[1]]
+                del found[at]
+                if at:
+                    found[at - 1] = get((ids[at - 1], ids[at]), NO_MERGE)
+                if at < len(found):
+                    found[at] = get((ids[at], ids[at + 1]), NO_MERGE)
             return ids
         n = len(ids)
         left, right, alive = [*range(-1, n - 1)], [*range(1, n), -1], [True] * n
@@ -120,7 +128,7 @@ class ByteBPE:
         ids: list[int] = []
         for f in self.cuts(piece.encode("utf-8", "surrogatepass")):
             ids += self.fragments[f] if len(f) <= 128 else self._merged(f)
-        return np.array(ids, "<u4").tobytes()
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers. Strings of special tokens become their ids."""

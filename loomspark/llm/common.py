@@ -84,16 +84,20 @@ def tidied(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> Da
 
 
 class Recent(dict):
-    """What one task computes again and again, made by ``make`` when first asked for; of ``most`` bytes or so, and when full it starts anew."""
+    """What one task computes again and again, made by ``make`` when first asked for; of ``most`` bytes or so.
+
+    When half of them are held these become the older half, whose values are taken over when asked for again, so that what recurs stays.
+    """
 
     def __init__(self, make: Callable, most: int = 24 << 20):
         super().__init__()
-        self.make, self.most, self.held = make, most, 0
+        self.make, self.most, self.held, self.older = make, most, 0, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older[key] if key in self.older else self.make(key)
         self.held += 200 + 2 * len(key)
-        if self.held > self.most:
+        if self.held > self.most // 2:
+            self.older = dict(self)
             self.clear()
             self.held = 0
         self[key] = value

@@ -479,3 +479,14 @@ def test_salted_parameters_meet_the_same_rows(spark):
     par = spark.createDataFrame([("g", 1), ("h", 2)], "g string, s int")
     few, many = (sorted(tuple(r) for r in rules._beside(rows, par, ["g"], n).collect()) for n in (2, 10**9))
     assert few == many and len(few) == 50 and "_salt" not in rules._beside(rows, par, ["g"], 10**9).columns
+
+
+def test_recent_keeps_what_recurs():
+    """A value asked for again and again is made once, however many others pass; the others don't pile up."""
+    from loomspark.llm.common import Recent
+
+    made = []
+    r = Recent(lambda k: made.append(k) or k.upper(), most=40_000)
+    for i in range(5000):
+        assert r["often"] == "OFTEN" and r[f"k{i}"] == f"K{i}"
+    assert made.count("often") == 1 and len(made) == 5001 and len(r) + len(r.older) <= 200
