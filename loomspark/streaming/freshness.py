@@ -40,28 +40,34 @@ class Freshness(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         now = timerValues.getCurrentProcessingTimeInMs() if self.on_clock else 0
+        # each access to the state is a message to the JVM: it is read once, and written once for a source that rows refresh
+        last, fresh = self._last(), {}
         for r in rows:
-            if r["ms"] is None or r["source"] not in self.expected:
+            s = r["source"]
+            if r["ms"] is None or s not in self.expected:
                 continue
             at = now if self.on_clock else r["ms"]
-            was = self.last.getValue((r["source"],))[0] if self.last.containsKey((r["source"],)) else None
+            was = fresh.get(s, last.get(s))
             if was is None or at > was:
-                self.last.updateValue((r["source"],), (at,))
-        yield from self._judge(key, now, now if self.on_clock else timerValues.getCurrentWatermarkInMs())
+                fresh[s] = at
+        for s, at in fresh.items():
+            self.last.updateValue((s,), (at,))
+        yield from self._judge(key, last | fresh, now, now if self.on_clock else timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         until = timerValues.getCurrentProcessingTimeInMs() if self.on_clock else timerValues.getCurrentWatermarkInMs()
-        yield from self._judge(key, expiredTimerInfo.getExpiryTimeInMs(), until)
+        yield from self._judge(key, self._last(), expiredTimerInfo.getExpiryTimeInMs(), until)
 
-    def _judge(self, key, now: int, until: int) -> Iterator[Row]:
+    def _last(self) -> dict[str, int]:
+        return {k[0]: v[0] for k, v in self.last.iterator()}
+
+    def _judge(self, key, last: dict[str, int], now: int, until: int) -> Iterator[Row]:
         """The verdict at ``now`` and, as time may have gone on by more than one source's end, those due by ``until``."""
-        last = {k[0]: v[0] for k, v in self.last.iterator()}
         if not last:
             return
-        now = max(now, *last.values())
-        if self.said.exists():
-            now = max(now, self.said.get()[3])
-        old = tuple(self.said.get())[:3] if self.said.exists() else None
+        said = self.said.get() if self.said.exists() else None
+        now = max(now, *last.values(), *([said[3]] if said else []))
+        old = tuple(said)[:3] if said else None
         while True:
             *new, then = verdict(last, now, self.expected, self.within, self.default_ms)
             if old != tuple(new):

@@ -26,6 +26,28 @@ def test_verdicts():
     assert v({"a": 100, "b": 100}, 151) == ("degraded", "", "a,b", None)
 
 
+def test_state_is_read_once_for_many_rows():
+    """Each access to the state is a message to the JVM: their number goes by sources, not by rows."""
+    calls = []
+
+    class State(dict):
+        def __getattr__(self, name):
+            calls.append(name)
+            return {"getValue": self.get, "containsKey": self.__contains__, "updateValue": self.__setitem__, "iterator": self.items, "exists": lambda: "v" in self, "get": lambda: self["v"], "update": lambda v: self.__setitem__("v", v)}[name]
+
+    class Handle:
+        getMapState = getValueState = lambda self, *a: type("S", (), {"__getattr__": lambda s, n, d=State(): d.__getattr__(n)})()
+        listTimers = lambda self: []
+        registerTimer = lambda self, t: timers.append(t)
+
+    timers, clock = [], type("T", (), {"getCurrentWatermarkInMs": lambda self: 0})()
+    p = freshness.Freshness(["a", "b"], {"b": 50}, 10, None, False)
+    p.init(Handle())
+    rows = [{"ms": k, "source": "ab"[k % 2]} for k in (3, 1, 2, *range(4, 1000))] + [{"ms": None, "source": "a"}, {"ms": 5000, "source": "odd"}]
+    got = [tuple(r) for r in p.handleInputRows(("k",), iter(rows), clock)]
+    assert got == [("k", 999, "complete", "", "")] and timers == [1009] and len(calls) < 10
+
+
 def test_goes_stale_without_input(rocks, tmp_path):
     rows = [("c1", "k", "a", datetime(2024, 1, 1)), ("c2", "k", "b", datetime(2024, 1, 1)), ("c3", "k", "odd", datetime(2024, 1, 1)), ("c4", "j", "a", None)]
     df = rocks.createDataFrame(rows, "id string, k string, s string, ts timestamp")
