@@ -66,7 +66,7 @@ def lines(bodies: DataFrame, key: str, body: str) -> DataFrame:
     """key, n, kind (event, data, blank, other), value, start and end (bytes) of each line; lines end at line feeds only."""
     x = bodies.select(key, F.posexplode(F.regexp_extract_all(F.coalesce(body, F.lit("")), F.lit("[^\n]*\n|[^\n]+"), F.lit(0))).alias("n", "raw"))
     end = F.sum(F.octet_length("raw")).over(W.partitionBy(key).orderBy("n"))
-    text = F.regexp_replace("raw", "\r*\n$", "")
+    text = F.when(F.col("raw").endswith("\n"), F.rtrim(F.substring("raw", F.lit(1), F.length("raw") - 1), F.lit("\r"))).otherwise(F.col("raw"))
     kind = F.when(text == "", "blank").when(text.startswith("event:"), "event").when(text.startswith("data:"), "data").otherwise("other")
     value = F.when(kind == "event", F.trim(F.substring(text, 7, 1 << 30))).when(kind == "data", F.ltrim(F.substring(text, 6, 1 << 30)))
     return x.select(key, "n", kind.alias("kind"), value.alias("value"), (end - F.octet_length("raw")).alias("start"), end.alias("end"))
@@ -83,10 +83,11 @@ def events(bodies: DataFrame, key: str, body: str) -> DataFrame:
     """
     x = lines(bodies, key, body).where("kind != 'other'")
     order = W.partitionBy(key).orderBy("n")
-    v = whole_json(F.col("value"))
-    x = x.withColumn("whole", F.when((F.col("kind") == "data") & F.col("value").rlike(r"^[\[{]"), v.isNotNull()).otherwise(F.lit(False)))
-    was = F.lag("kind").over(order)
-    x = x.withColumns({"was": was, "was_whole": F.coalesce(F.lag("whole").over(order), F.lit(False)), "marked": F.trim("value") == DONE})
+    # only where data follows data does it matter whether a line is whole: elsewhere none is parsed before its frame is
+    x = x.withColumns({"was": F.lag("kind").over(order), "next": F.lead("kind").over(order)})
+    beside = (F.col("was") == "data") | (F.col("next") == "data")
+    x = x.withColumn("whole", F.when((F.col("kind") == "data") & beside & F.col("value").rlike(r"^[\[{]"), whole_json(F.col("value")).isNotNull()).otherwise(F.lit(False)))
+    x = x.withColumns({"was_whole": F.coalesce(F.lag("whole").over(order), F.lit(False)), "marked": F.trim("value") == DONE})
     cut = (F.col("was") == "data") & ((F.col("kind") == "event") | ((F.col("kind") == "data") & F.col("was_whole") & (F.col("whole") | F.col("marked"))))
     x = x.withColumn("cut", F.coalesce(cut, F.lit(False)))
     x = x.withColumn("frame", F.sum(F.when(F.col("cut") | F.coalesce(F.col("was") == "blank", F.lit(True)), 1).otherwise(0)).over(order))

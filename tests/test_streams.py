@@ -114,3 +114,13 @@ def test_responses(spark, part):
         assert call.call_id == "c1" and body[call.start : call.end].decode().startswith('data: {"type": "response.output_item.added"') and call.end == body.index(b'data: {"type": "response.completed"')
         assert json.loads(got[0].response) == {"id": "r"} and json.loads(got[8].response) == {"id": "r"}
         assert got[5].calls[0].end == len(cases[5][0].encode())
+
+
+def test_lines_alone_are_parsed_once(spark):
+    """A data line between blanks is parsed as its frame only; lines that follow each other still make good a missing blank, whatever their ends."""
+    body = 'data: {"a":1}\r\n\r\r\n' + 'data: {"b":2}\n' + 'data: {"c":3}\n' + 'data: [DONE]'
+    x = streams.events(spark.createDataFrame([("k", body)], "k string, body string"), "k", "body")
+    got = [(r.data, r.recovered, r.done) for r in x.orderBy("seq").collect()]
+    assert got == [('{"a":1}', False, False), ('{"b":2}', False, False), ('{"c":3}', True, False), ("[DONE]", True, True)]
+    plan = x._jdf.queryExecution().optimizedPlan().toString()
+    assert "lead(" in plan
